@@ -1,10 +1,11 @@
-"""Column-valued acceptance rules over a paired frame.
+"""Acceptance rules over a paired frame, as Spark SQL expressions.
 
 A paired frame holds the first source's columns (``transaction_uid`` ...
 ``amount``, ``row_sha2``) next to the second source's (``..._2``,
-``row2_sha2``). Every rule returns a non-NULL boolean: comparisons involving
-NULL count as "not accepted". Rules are plain expressions, so all of them are
-evaluated in one projection over one join.
+``row2_sha2``). Every rule is a non-NULL boolean: a comparison involving NULL
+counts as "not accepted". Rules are built as SQL text (``*_sql``) and wrapped
+once with ``F.expr``, so a whole rule costs one call from Python to the JVM
+and all rules are evaluated in one projection over one join.
 """
 
 from __future__ import annotations
@@ -14,95 +15,79 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.text import edit_distance_ci, non_empty
-
 LEFT_HASH = "row_sha2"
 RIGHT_HASH = "row2_sha2"
 
 # What a missing counter_login / comment is compared as.
-COUNTER_NULL_AS = 0
-COMMENT_NULL_AS = "0"
+COUNTER_NULL_AS = "0L"
+COMMENT_NULL_AS = "'0'"
 
 
-def _l(name: str) -> Column:
-    return F.col(name)
+def _eq(name: str) -> str:
+    return f"{name} = {name}_2"
 
 
-def _r(name: str) -> Column:
-    return F.col(f"{name}_2")
+def _eq_counter() -> str:
+    return f"coalesce(counter_login, {COUNTER_NULL_AS}) = coalesce(counter_login_2, {COUNTER_NULL_AS})"
 
 
-def _eq(name: str) -> Column:
-    return _l(name) == _r(name)
+def _eq_comment() -> str:
+    return f"coalesce(comment, {COMMENT_NULL_AS}) = coalesce(comment_2, {COMMENT_NULL_AS})"
 
 
-def _eq_counter() -> Column:
-    zero = F.lit(COUNTER_NULL_AS).cast("long")
-    return F.coalesce(_l("counter_login"), zero) == F.coalesce(_r("counter_login"), zero)
+def _non_empty(name: str) -> str:
+    return f"({name} IS NOT NULL AND {name} <> '')"
 
 
-def _eq_comment() -> Column:
-    missing = F.lit(COMMENT_NULL_AS)
-    return F.coalesce(_l("comment"), missing) == F.coalesce(_r("comment"), missing)
+def _all(*conds: str) -> str:
+    return "coalesce(" + " AND ".join(f"({c})" for c in conds) + ", false)"
 
 
-def _all(*conds: Column) -> Column:
-    out = conds[0]
-    for c in conds[1:]:
-        out = out & c
-    return F.coalesce(out, F.lit(False))
+def _differs() -> str:
+    return f"{LEFT_HASH} <> {RIGHT_HASH}"
 
 
-def left_present() -> Column:
-    return F.col(LEFT_HASH).isNotNull()
+def left_present_sql() -> str:
+    return f"{LEFT_HASH} IS NOT NULL"
 
 
-def right_present() -> Column:
-    return F.col(RIGHT_HASH).isNotNull()
+def right_present_sql() -> str:
+    return f"{RIGHT_HASH} IS NOT NULL"
 
 
-def is_exact() -> Column:
+def is_exact_sql() -> str:
     """Both rows present and their row hashes equal."""
-    return _all(F.col(LEFT_HASH) == F.col(RIGHT_HASH))
-
+    return _all(f"{LEFT_HASH} = {RIGHT_HASH}")
 
-def _differs() -> Column:
-    return F.col(LEFT_HASH) != F.col(RIGHT_HASH)
 
-
-def char_ok(tolerance: int, inclusive: bool = False) -> Column:
+def char_ok_sql(tolerance: int, inclusive: bool = False) -> str:
     """Only the comment differs, within an edit distance of the lower-cased texts.
 
-    Both comments must be non-empty; the distance must be ``< tolerance``
-    (``<=`` with ``inclusive``).
+    Both comments must be non-empty; distance ``< tolerance`` (``<=`` with
+    ``inclusive``).
     """
-    dist = edit_distance_ci(_l("comment"), _r("comment"))
-    within = dist <= F.lit(tolerance) if inclusive else dist < F.lit(tolerance)
+    op = "<=" if inclusive else "<"
     return _all(
         _differs(),
-        non_empty(_l("comment")),
-        non_empty(_r("comment")),
+        _non_empty("comment"),
+        _non_empty("comment_2"),
         _eq("transaction_uid"),
         _eq_counter(),
         _eq("transaction_type"),
         _eq("unix_timestamp"),
         _eq("login"),
         _eq("amount"),
-        within,
+        f"levenshtein(lower(comment), lower(comment_2)) {op} {int(tolerance)}",
     )
 
 
-def time_delta() -> Column:
-    return _l("unix_timestamp") - _r("unix_timestamp")
-
-
-def date_ok(tolerance: int, symmetric: bool = False) -> Column:
+def date_ok_sql(tolerance: int, symmetric: bool = False) -> str:
     """Only the epoch differs; ``epoch1 - epoch2 < tolerance`` (or its absolute value)."""
-    delta = time_delta()
-    within = F.abs(delta) < F.lit(tolerance) if symmetric else delta < F.lit(tolerance)
+    delta = "(unix_timestamp - unix_timestamp_2)"
+    within = f"abs{delta} < {int(tolerance)}" if symmetric else f"{delta} < {int(tolerance)}"
     return _all(
         _differs(),
-        _l("unix_timestamp") != _r("unix_timestamp"),
+        "unix_timestamp <> unix_timestamp_2",
         _eq("transaction_uid"),
         _eq_counter(),
         _eq("transaction_type"),
@@ -113,21 +98,19 @@ def date_ok(tolerance: int, symmetric: bool = False) -> Column:
     )
 
 
-def _tolerance_lit(tolerance: int | Decimal) -> Column:
-    if isinstance(tolerance, Decimal):
-        return F.lit(tolerance)
-    return F.lit(int(tolerance)).cast("long")
+def _number(value: int | Decimal) -> str:
+    if isinstance(value, Decimal):
+        return f"{value}BD"
+    return f"{int(value)}L"
 
 
-def int_ok(tolerance: int | Decimal) -> Column:
+def int_ok_sql(tolerance: int | Decimal) -> str:
     """Only the amount differs, by at most ``tolerance`` percent of the first amount.
 
     Written without division: ``|a1 - a2| * 100 <= tolerance * |a1|`` with
     ``a1 <> 0`` -- exact in decimal arithmetic, and a zero first amount is
     rejected instead of raising a division by zero.
     """
-    a1, a2 = _l("amount"), _r("amount")
-    within = F.abs(a1 - a2) * F.lit(100) <= _tolerance_lit(tolerance) * F.abs(a1)
     return _all(
         _differs(),
         _eq("transaction_uid"),
@@ -136,6 +119,22 @@ def int_ok(tolerance: int | Decimal) -> Column:
         _eq("login"),
         _eq_comment(),
         _eq("unix_timestamp"),
-        a1 != F.lit(0),
-        within,
+        "amount <> 0",
+        f"abs(amount - amount_2) * 100 <= {_number(tolerance)} * abs(amount)",
     )
+
+
+def is_exact() -> Column:
+    return F.expr(is_exact_sql())
+
+
+def char_ok(tolerance: int, inclusive: bool = False) -> Column:
+    return F.expr(char_ok_sql(tolerance, inclusive))
+
+
+def date_ok(tolerance: int, symmetric: bool = False) -> Column:
+    return F.expr(date_ok_sql(tolerance, symmetric))
+
+
+def int_ok(tolerance: int | Decimal) -> Column:
+    return F.expr(int_ok_sql(tolerance))

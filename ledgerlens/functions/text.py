@@ -26,6 +26,22 @@ def row_hash(columns: Sequence[str | Column], null_token: str | None = None) ->
     return F.sha2(F.concat_ws(HASH_SEPARATOR, *parts), 256)
 
 
+def _quote(name: str) -> str:
+    return name if name.replace("_", "").isalnum() else f"`{name}`"
+
+
+def row_hash_sql(columns: Sequence[str], null_token: str | None = None) -> str:
+    """``row_hash`` as one SQL expression over column names."""
+    parts = []
+    for c in columns:
+        text = f"CAST({_quote(c)} AS STRING)"
+        if null_token is not None:
+            escaped = null_token.replace("\\", "\\\\").replace("'", "\\'")
+            text = f"coalesce({text}, '{escaped}')"
+        parts.append(text)
+    return f"sha2(concat_ws('{HASH_SEPARATOR}', {', '.join(parts)}), 256)"
+
+
 def edit_distance_ci(a: str | Column, b: str | Column) -> Column:
     """Levenshtein distance of the lower-cased texts."""
     ca = F.col(a) if isinstance(a, str) else a

@@ -10,72 +10,75 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.time import day_of, month_start
 from ledgerlens.schemas import MONEY_SUM
 
+SUM_TYPE = MONEY_SUM.simpleString()
 
-def _calc_ts(calculation_ts) -> Column | None:
+
+def _calc_ts(calculation_ts) -> str | None:
     if calculation_ts is False:
         return None
     if calculation_ts is None:
-        return F.current_timestamp()
-    if isinstance(calculation_ts, Column):
-        return calculation_ts
-    if isinstance(calculation_ts, (dt.datetime, str)):
-        return F.lit(calculation_ts).cast("timestamp_ntz")
+        return "current_timestamp()"
+    if isinstance(calculation_ts, dt.datetime):
+        return f"TIMESTAMP_NTZ'{calculation_ts.isoformat(sep=' ')}'"
+    if isinstance(calculation_ts, str):
+        return f"CAST('{calculation_ts}' AS TIMESTAMP_NTZ)"
     raise TypeError(f"calculation_ts: unsupported {calculation_ts!r}")
 
 
 def signed_amounts(clean: DataFrame) -> DataFrame:
     """Login, transaction_type, transaction_ts, amount, sign_amount = amount * type."""
-    return clean.select(
+    return clean.selectExpr(
         "login",
         "transaction_type",
         "transaction_ts",
         "amount",
-        (F.col("amount") * F.col("transaction_type")).cast(MONEY_SUM).alias("sign_amount"),
+        f"CAST(amount * transaction_type AS {SUM_TYPE}) AS sign_amount",
     )
 
 
 def _finish(df: DataFrame, calculation_ts) -> DataFrame:
     ts = _calc_ts(calculation_ts)
-    return df if ts is None else df.withColumn("calculation_ts", ts)
+    return df if ts is None else df.selectExpr("*", f"{ts} AS calculation_ts")
+
+
+def _sum(col: str, out: str):
+    return F.expr(f"CAST(sum({col}) AS {SUM_TYPE}) AS {out}")
 
 
 def daily_agg(signed: DataFrame, calculation_ts=None) -> DataFrame:
     """C14: login, date_from (day), daily_sum[, calculation_ts].
 
-    ``calculation_ts``: None -> now; a value -> that instant; False -> no column.
+    ``calculation_ts``: None -> now; a datetime or text -> that instant (no
+    time zone); False -> no column.
     """
-    out = signed.groupBy("login", day_of("transaction_ts").alias("date_from")).agg(
-        F.sum("sign_amount").cast(MONEY_SUM).alias("daily_sum")
-    )
+    out = signed.groupBy("login", F.expr("to_date(transaction_ts) AS date_from")).agg(_sum("sign_amount", "daily_sum"))
     return _finish(out, calculation_ts)
 
 
 def monthly_agg(signed: DataFrame, calculation_ts=None) -> DataFrame:
-    """Login, date_from (first day of the month), monthly_sum[, calculation_ts]."""
-    out = signed.groupBy("login", month_start("transaction_ts").alias("date_from")).agg(
-        F.sum("sign_amount").cast(MONEY_SUM).alias("monthly_sum")
-    )
+    """Login, date_from (first day of the month, a date), monthly_sum[, calculation_ts]."""
+    month = F.expr("trunc(to_date(transaction_ts), 'MM') AS date_from")
+    out = signed.groupBy("login", month).agg(_sum("sign_amount", "monthly_sum"))
     return _finish(out, calculation_ts)
 
 
 def total_agg(signed: DataFrame, calculation_ts=None) -> DataFrame:
     """Login, total_sum[, calculation_ts]."""
-    out = signed.groupBy("login").agg(F.sum("sign_amount").cast(MONEY_SUM).alias("total_sum"))
+    out = signed.groupBy("login").agg(_sum("sign_amount", "total_sum"))
     return _finish(out, calculation_ts)
 
 
 def rollup_from_daily(daily: DataFrame, calculation_ts=None) -> tuple[DataFrame, DataFrame]:
     """Monthly and total sums derived from daily sums (far fewer rows than transactions)."""
-    monthly = daily.groupBy("login", F.trunc("date_from", "month").alias("date_from")).agg(
-        F.sum("daily_sum").cast(MONEY_SUM).alias("monthly_sum")
+    monthly = daily.groupBy("login", F.expr("trunc(date_from, 'MM') AS date_from")).agg(
+        _sum("daily_sum", "monthly_sum")
     )
-    total = daily.groupBy("login").agg(F.sum("daily_sum").cast(MONEY_SUM).alias("total_sum"))
+    total = daily.groupBy("login").agg(_sum("daily_sum", "total_sum"))
     return _finish(monthly, calculation_ts), _finish(total, calculation_ts)
 
 
@@ -87,5 +90,5 @@ def latest_aggregates(history: DataFrame, keys: Sequence[str], ts_col: str = "ca
     """
     keys = list(keys)
     others = [c for c in history.columns if c not in keys and c != ts_col]
-    newest = history.groupBy(*keys).agg(F.max(F.struct(ts_col, *others)).alias("_n"))
-    return newest.select(*keys, *[F.col(f"_n.{c}").alias(c) for c in others], F.col(f"_n.{ts_col}").alias(ts_col))
+    newest = history.groupBy(*keys).agg(F.expr(f"max(struct({', '.join([ts_col, *others])})) AS _n"))
+    return newest.selectExpr(*keys, *[f"_n.{c} AS {c}" for c in others], f"_n.{ts_col} AS {ts_col}")

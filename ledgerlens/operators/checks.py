@@ -9,26 +9,27 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """K1: key values that occur more than once, with their count ``n``."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+    return df.groupBy(*keys).agg(F.expr("count(1) AS n")).filter("n > 1")
+
+
+def _q(name: str) -> str:
+    return f"`{name}`"
 
 
 def not_null_violations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """K2: rows with a NULL in any of the columns."""
-    cond = F.lit(False)
-    for c in columns:
-        cond = cond | F.col(c).isNull()
-    return df.filter(cond)
+    return df.filter(" OR ".join(f"{_q(c)} IS NULL" for c in columns))
 
 
 def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """K2 summary: one row per column with its NULL count (``column``, ``nulls``)."""
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
+    counts = df.selectExpr(*[f"count_if({_q(c)} IS NULL) AS {_q(c)}" for c in columns])
     return counts.unpivot([], list(columns), "column", "nulls")
 
 
@@ -37,24 +38,21 @@ def over_length(df: DataFrame, limits: Mapping[str, int], keys: Sequence[str] =
 
     Columns: the ``keys``, ``column``, ``length``, ``max_length``.
     """
-    items = [
-        F.when(
-            F.length(F.col(c)) > F.lit(n),
-            F.struct(F.lit(c).alias("column"), F.length(F.col(c)).alias("length"), F.lit(n).alias("max_length")),
-        )
+    items = ", ".join(
+        f"CASE WHEN length({_q(c)}) > {int(n)} THEN named_struct('column', '{c}', "
+        f"'length', length({_q(c)}), 'max_length', {int(n)}) END"
         for c, n in limits.items()
-    ]
-    found = F.filter(F.array(*items), lambda s: s.isNotNull())
-    exploded = df.select(*keys, F.explode(found).alias("v"))
-    return exploded.select(*keys, "v.column", "v.length", "v.max_length")
+    )
+    found = f"explode(filter(array({items}), s -> s IS NOT NULL)) AS v"
+    return df.selectExpr(*keys, found).selectExpr(*keys, "v.column", "v.length", "v.max_length")
 
 
-def fill_default_timestamp(df: DataFrame, column: str, default: Column | dt.datetime | str | None = None) -> DataFrame:
+def fill_default_timestamp(df: DataFrame, column: str, default: dt.datetime | str | None = None) -> DataFrame:
     """K4: replace a missing timestamp by a default (the load time when not given)."""
     if default is None:
-        value = F.current_timestamp().cast("timestamp_ntz")
-    elif isinstance(default, Column):
-        value = default
+        value = "CAST(current_timestamp() AS TIMESTAMP_NTZ)"
+    elif isinstance(default, dt.datetime):
+        value = f"TIMESTAMP_NTZ'{default.isoformat(sep=' ')}'"
     else:
-        value = F.lit(default).cast("timestamp_ntz")
-    return df.withColumn(column, F.coalesce(F.col(column), value))
+        value = f"CAST('{default}' AS TIMESTAMP_NTZ)"
+    return df.withColumn(column, F.expr(f"coalesce({_q(column)}, {value})"))

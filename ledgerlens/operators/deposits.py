@@ -10,60 +10,52 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from decimal import Decimal
 
-from ledgerlens.functions.time import add_days, day_diff
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 DEPOSIT = "deposit"
 REAL = "real"
 
 
-def _as_of_column(as_of: dt.datetime | dt.date | str | Column | None) -> Column:
+def _as_of_sql(as_of) -> str:
+    """``as_of`` as a SQL timestamp expression (default: now)."""
     if as_of is None:
-        return F.current_timestamp().cast("timestamp_ntz")
-    if isinstance(as_of, Column):
-        return as_of
+        return "CAST(current_timestamp() AS TIMESTAMP_NTZ)"
     if isinstance(as_of, dt.datetime):
-        return F.lit(as_of).cast("timestamp_ntz")
+        return f"TIMESTAMP_NTZ'{as_of.isoformat(sep=' ')}'"
     if isinstance(as_of, dt.date):
-        return F.lit(as_of).cast("timestamp_ntz")
-    return F.lit(as_of).cast("timestamp_ntz")
+        return f"TIMESTAMP_NTZ'{as_of.isoformat()} 00:00:00'"
+    return f"CAST('{as_of}' AS TIMESTAMP_NTZ)"
 
 
 def deposits(operations: DataFrame) -> DataFrame:
-    return operations.filter(F.col("operation_type") == DEPOSIT)
+    return operations.filter(f"operation_type = '{DEPOSIT}'")
 
 
 def first_deposit_per_user(logins: DataFrame, operations: DataFrame, account_type: str | None = REAL) -> DataFrame:
     """Earliest deposit per user over the user's logins (ties: lowest operation_uid).
 
-    Columns: user_uid, login, operation_uid, operation_date.
+    Columns: user_uid, login, operation_uid, operation_date. The earliest
+    deposit is found per login first (partial aggregation), then per user.
     """
-    first_per_login = (
-        deposits(operations)
-        .groupBy("login")
-        .agg(F.min(F.struct("operation_date", "operation_uid")).alias("d"))
+    first_per_login = deposits(operations).groupBy("login").agg(
+        F.expr("min(struct(operation_date, operation_uid)) AS d")
     )
-    owned = logins
-    if account_type is not None:
-        owned = owned.filter(F.col("account_type") == account_type)
-    owned = owned.select("user_uid", "login")
+    owned = logins if account_type is None else logins.filter(f"account_type = '{account_type}'")
     per_user = (
-        first_per_login.join(owned, "login", "inner")
+        first_per_login.join(owned.select("user_uid", "login"), "login", "inner")
         .groupBy("user_uid")
-        .agg(F.min(F.struct(F.col("d.operation_date"), F.col("d.operation_uid"), F.col("login"))).alias("f"))
+        .agg(F.expr("min(struct(d.operation_date, d.operation_uid, login)) AS f"))
     )
-    return per_user.select(
-        "user_uid",
-        F.col("f.login").alias("login"),
-        F.col("f.operation_uid").alias("operation_uid"),
-        F.col("f.operation_date").alias("operation_date"),
+    return per_user.selectExpr(
+        "user_uid", "f.login AS login", "f.operation_uid AS operation_uid", "f.operation_date AS operation_date"
     )
 
 
 def first_trade_per_login(trades: DataFrame) -> DataFrame:
-    return trades.groupBy("login").agg(F.min("order_close_date").alias("first_order_date"))
+    return trades.groupBy("login").agg(F.expr("min(order_close_date) AS first_order_date"))
 
 
 def first_deposit_funnel(
@@ -76,25 +68,27 @@ def first_deposit_funnel(
 ) -> DataFrame:
     """Per country, users whose first deposit (on a real login) is known.
 
-    Only users registered within ``days`` before ``as_of`` count (default: now).
-    Columns: country, login_count, avg_reg_to_dep, avg_dep_to_ord (days;
-    NULL-free averages, so users without a trade only count in the first).
+    Only users registered within ``days`` before ``as_of`` count (default:
+    now); that filter is applied to the users before the joins (uid is the
+    users' key, so it commutes with the per-user first deposit).
+    Columns: country, login_count, avg_reg_to_dep, avg_dep_to_ord (calendar
+    days; users without a trade only count in the first average).
     """
-    cutoff = add_days(_as_of_column(as_of), -days)
-    recent = users.filter(F.col("registration_date") >= cutoff).select("uid", "registration_date", "country")
+    recent = users.filter(
+        f"registration_date >= timestampadd(DAY, -{int(days)}, {_as_of_sql(as_of)})"
+    ).select("uid", "registration_date", "country")
     first = first_deposit_per_user(logins, operations, REAL)
-    funnel = (
-        first.join(recent, first.user_uid == recent.uid, "inner")
-        .join(first_trade_per_login(trades), "login", "left")
+    funnel = first.join(recent, F.expr("user_uid = uid"), "inner").join(
+        first_trade_per_login(trades), "login", "left"
     )
     return (
         funnel.groupBy("country")
         .agg(
-            F.count("login").alias("login_count"),
-            F.avg(day_diff("registration_date", "operation_date")).alias("avg_reg_to_dep"),
-            F.avg(day_diff("operation_date", "first_order_date")).alias("avg_dep_to_ord"),
+            F.expr("count(login) AS login_count"),
+            F.expr("avg(date_diff(to_date(operation_date), to_date(registration_date))) AS avg_reg_to_dep"),
+            F.expr("avg(date_diff(to_date(first_order_date), to_date(operation_date))) AS avg_dep_to_ord"),
         )
-        .orderBy(F.col("login_count").desc(), F.col("country"))
+        .orderBy(F.expr("login_count DESC"), F.expr("country"))
     )
 
 
@@ -108,30 +102,30 @@ def high_avg_deposit_by_country(
 
     Columns: country, avg_dep_gte_1k (users over the threshold), count_all
     (all users of the country). Countries without such a user are left out.
-    The average is compared as ``sum >= threshold * count`` (exact).
+    Sums and counts are reduced per login, then per user, before the users
+    join; the average is compared as ``sum >= threshold * count`` (exact).
     """
-    per_login = deposits(operations).groupBy("login").agg(
-        F.sum("amount").alias("s"), F.count("amount").alias("n")
-    )
+    per_login = deposits(operations).groupBy("login").agg(F.expr("sum(amount) AS s"), F.expr("count(amount) AS n"))
     per_user = (
         per_login.join(logins.select("user_uid", "login"), "login", "inner")
         .groupBy("user_uid")
-        .agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
+        .agg(F.expr("sum(s) AS s"), F.expr("sum(n) AS n"))
     )
-    user_country = users.select("uid", "country")
     qualified = (
-        per_user.join(user_country, per_user.user_uid == user_country.uid, "inner")
+        per_user.join(users.select("uid", "country"), F.expr("user_uid = uid"), "inner")
         .groupBy("uid", "country")
-        .agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
-        .filter((F.col("n") > 0) & (F.col("s") >= F.lit(threshold) * F.col("n")))
-    )
-    high = qualified.groupBy("country").agg(F.count("uid").alias("avg_dep_gte_1k"))
-    all_clients = users.groupBy("country").agg(F.count("uid").alias("count_all"))
-    return (
-        high.join(all_clients, "country", "inner")
-        .select("country", "avg_dep_gte_1k", "count_all")
-        .orderBy("country")
+        .agg(F.expr("sum(s) AS s"), F.expr("sum(n) AS n"))
+        .filter(f"n > 0 AND s >= {_number(threshold)} * n")
     )
+    high = qualified.groupBy("country").agg(F.expr("count(uid) AS avg_dep_gte_1k"))
+    all_clients = users.groupBy("country").agg(F.expr("count(uid) AS count_all"))
+    return high.join(all_clients, "country", "inner").select("country", "avg_dep_gte_1k", "count_all").orderBy("country")
+
+
+def _number(value) -> str:
+    if isinstance(value, bool) or not isinstance(value, (int, float, Decimal)):
+        raise TypeError(f"threshold must be a number, got {value!r}")
+    return f"{Decimal(str(value))}BD"
 
 
 def first_n_deposits(users: DataFrame, logins: DataFrame, operations: DataFrame, n: int = 3) -> DataFrame:
@@ -146,23 +140,20 @@ def first_n_deposits(users: DataFrame, logins: DataFrame, operations: DataFrame,
     shuffle, so a hot login or user sends at most its top n (plus ties) per
     map partition.
     """
-    by_login = Window.partitionBy("login").orderBy("operation_date")
+    n = int(n)
     top_per_login = (
         deposits(operations)
-        .select("login", "operation_date")
-        .withColumn("_r", F.rank().over(by_login))
-        .filter(F.col("_r") <= n)
+        .selectExpr("login", "operation_date", "rank() OVER (PARTITION BY login ORDER BY operation_date) AS _r")
+        .filter(f"_r <= {n}")
         .drop("_r")
     )
-    owned = logins.select("user_uid", "login")
-    user_ids = users.select("uid")
-    joined = top_per_login.join(owned, "login", "inner").join(
-        user_ids, F.col("user_uid") == F.col("uid"), "inner"
+    joined = top_per_login.join(logins.select("user_uid", "login"), "login", "inner").join(
+        users.select("uid"), F.expr("user_uid = uid"), "inner"
     )
-    by_user = Window.partitionBy("uid").orderBy("operation_date")
     return (
-        joined.withColumn("dep_rank", F.rank().over(by_user))
-        .filter(F.col("dep_rank") <= n)
-        .select("uid", "login", "operation_date", "dep_rank")
+        joined.selectExpr(
+            "uid", "login", "operation_date", "rank() OVER (PARTITION BY uid ORDER BY operation_date) AS dep_rank"
+        )
+        .filter(f"dep_rank <= {n}")
         .orderBy("uid", "dep_rank")
     )

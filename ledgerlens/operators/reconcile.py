@@ -15,14 +15,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.config import Tolerances
 from ledgerlens.functions import compare
-from ledgerlens.functions.text import row_hash
-from ledgerlens.functions.time import epoch_to_timestamp, to_epoch_seconds
-from ledgerlens.schemas import MONEY, TRANSACTION_COLUMNS
+from ledgerlens.functions.text import row_hash_sql
+from ledgerlens.schemas import TRANSACTION_COLUMNS
 
 KEY = "transaction_uid"
 SUFFIX = "_2"
@@ -54,27 +53,32 @@ def with_row_hash(
 ) -> DataFrame:
     """C4: add the SHA-256 of the columns (default: all, in frame order)."""
     cols = list(columns) if columns is not None else list(df.columns)
-    return df.withColumn(out, row_hash(cols, null_token))
+    return df.selectExpr("*", f"{row_hash_sql(cols, null_token)} AS {out}")
 
 
-def _typed(df: DataFrame, names: Sequence[str]) -> list:
-    """The seven compared columns with fixed types (the hash text depends on them)."""
-    types = ("long", "long", "long", "long", "long", "string", MONEY)
-    return [F.col(src).cast(t).alias(dst) for src, dst, t in zip(names, TRANSACTION_COLUMNS, types, strict=True)]
+# Fixed types of the seven compared columns (the hash text depends on them).
+_TYPES = ("bigint", "bigint", "bigint", "bigint", "bigint", "string", "decimal(18,4)")
+
+
+def _typed(sources: Sequence[str], suffix: str = "") -> list[str]:
+    return [
+        f"CAST({src} AS {t}) AS {dst}{suffix}"
+        for src, dst, t in zip(sources, TRANSACTION_COLUMNS, _TYPES, strict=True)
+    ]
 
 
 def load_ledger(table: DataFrame, ts_col: str = "transaction_ts", null_token: str | None = None) -> DataFrame:
     """Ledger rows -> the seven compared columns + ``row_sha2``."""
-    with_epoch = table.withColumn("unix_timestamp", to_epoch_seconds(ts_col))
-    names = ["transaction_uid", "login", "counter_login", "transaction_type", "unix_timestamp", "comment", "amount"]
-    return with_row_hash(with_epoch.select(*_typed(with_epoch, names)), TRANSACTION_COLUMNS, LEFT_HASH, null_token)
+    sources = ["transaction_uid", "login", "counter_login", "transaction_type",
+               f"unix_timestamp({ts_col})", "comment", "amount"]
+    seven = table.selectExpr(*_typed(sources))
+    return with_row_hash(seven, TRANSACTION_COLUMNS, LEFT_HASH, null_token)
 
 
 def load_second_source(df: DataFrame, epoch_col: str = "epoch_seconds", null_token: str | None = None) -> DataFrame:
     """Second source -> the seven columns suffixed ``_2`` + ``row2_sha2``."""
-    names = ["transaction_uid", "login", "counter_login", "transaction_type", epoch_col, "comment", "amount"]
-    seven = df.select(*_typed(df, names))
-    suffixed = seven.toDF(*[c + SUFFIX for c in TRANSACTION_COLUMNS])
+    sources = ["transaction_uid", "login", "counter_login", "transaction_type", epoch_col, "comment", "amount"]
+    suffixed = df.selectExpr(*_typed(sources, SUFFIX))
     return with_row_hash(suffixed, [c + SUFFIX for c in TRANSACTION_COLUMNS], RIGHT_HASH, null_token)
 
 
@@ -85,44 +89,53 @@ def pair_sources(first: DataFrame, second: DataFrame, how: str = "full", one_to_
     ``how='inner'`` suffices when only accepted pairs are wanted, because an
     unmatched row is never accepted. With ``one_to_one=False`` a repeated key
     pairs every row with every row of the other side.
+
+    The occurrence number comes from a window partitioned by the key; with
+    ``spark.sql.requireAllClusterKeysForCoPartition=false`` (set by
+    ``session.build_session``) the join reuses that partitioning, so each side
+    is shuffled once, as for a plain key join.
     """
     right_key = KEY + SUFFIX
     if not one_to_one:
-        return first.join(second, first[KEY] == second[right_key], how)
-    left = first.withColumn("_occ", F.row_number().over(Window.partitionBy(KEY).orderBy(LEFT_HASH)))
-    right = second.withColumn("_occ_2", F.row_number().over(Window.partitionBy(right_key).orderBy(RIGHT_HASH)))
-    cond = (left[KEY] == right[right_key]) & (left["_occ"] == right["_occ_2"])
+        return first.join(second, F.expr(f"{KEY} = {right_key}"), how)
+    left = first.selectExpr("*", f"row_number() OVER (PARTITION BY {KEY} ORDER BY {LEFT_HASH}) AS _occ")
+    right = second.selectExpr("*", f"row_number() OVER (PARTITION BY {right_key} ORDER BY {RIGHT_HASH}) AS _occ_2")
+    cond = F.expr(f"{KEY} = {right_key} AND _occ = _occ_2")
     return left.join(right, cond, how).drop("_occ", "_occ_2")
 
 
-def status_column(tol: Tolerances) -> F.Column:
+def status_sql(tol: Tolerances) -> str:
     """One status per pair: the first rule that accepts it, in ``STATUSES`` order."""
     return (
-        F.when(~compare.left_present(), F.lit(RIGHT_ONLY))
-        .when(~compare.right_present(), F.lit(LEFT_ONLY))
-        .when(compare.is_exact(), F.lit(EXACT))
-        .when(compare.char_ok(tol.levenshtein, tol.char_inclusive), F.lit(CHAR))
-        .when(compare.date_ok(tol.seconds, tol.symmetric_time), F.lit(DATE))
-        .when(compare.int_ok(tol.percent), F.lit(INT))
-        .otherwise(F.lit(UNRECONCILED))
+        f"CASE WHEN NOT ({compare.left_present_sql()}) THEN '{RIGHT_ONLY}'"
+        f" WHEN NOT ({compare.right_present_sql()}) THEN '{LEFT_ONLY}'"
+        f" WHEN {compare.is_exact_sql()} THEN '{EXACT}'"
+        f" WHEN {compare.char_ok_sql(tol.levenshtein, tol.char_inclusive)} THEN '{CHAR}'"
+        f" WHEN {compare.date_ok_sql(tol.seconds, tol.symmetric_time)} THEN '{DATE}'"
+        f" WHEN {compare.int_ok_sql(tol.percent)} THEN '{INT}'"
+        f" ELSE '{UNRECONCILED}' END"
     )
 
 
-def passed_statuses(tol: Tolerances) -> F.Column:
+def status_column(tol: Tolerances) -> F.Column:
+    return F.expr(status_sql(tol))
+
+
+def passed_statuses_sql(tol: Tolerances) -> str:
     """Every accepting rule of a pair, as an array (empty when none accepts)."""
     rules = [
-        (EXACT, compare.is_exact()),
-        (CHAR, compare.char_ok(tol.levenshtein, tol.char_inclusive)),
-        (DATE, compare.date_ok(tol.seconds, tol.symmetric_time)),
-        (INT, compare.int_ok(tol.percent)),
+        (EXACT, compare.is_exact_sql()),
+        (CHAR, compare.char_ok_sql(tol.levenshtein, tol.char_inclusive)),
+        (DATE, compare.date_ok_sql(tol.seconds, tol.symmetric_time)),
+        (INT, compare.int_ok_sql(tol.percent)),
     ]
-    flagged = F.array(*[F.when(cond, F.lit(name)) for name, cond in rules])
-    return F.filter(flagged, lambda s: s.isNotNull())
+    flagged = ", ".join(f"CASE WHEN {cond} THEN '{name}' END" for name, cond in rules)
+    return f"filter(array({flagged}), s -> s IS NOT NULL)"
 
 
 def classify(paired: DataFrame, tol: Tolerances | None = None) -> DataFrame:
     """Add ``status`` to every pair."""
-    return paired.withColumn("status", status_column(tol or Tolerances()))
+    return paired.selectExpr("*", f"{status_sql(tol or Tolerances())} AS status")
 
 
 def _left_seven(df: DataFrame) -> DataFrame:
@@ -149,16 +162,11 @@ def int_rec(paired: DataFrame, tolerance) -> DataFrame:
     return _left_seven(paired.filter(compare.int_ok(tolerance)))
 
 
-def _clean_columns(df: DataFrame) -> list:
-    return [
-        "transaction_uid",
-        "login",
-        "counter_login",
-        "transaction_type",
-        epoch_to_timestamp("unix_timestamp").alias("transaction_ts"),
-        "comment",
-        "amount",
-    ]
+# The first source's values in ledger order; the epoch back to a timestamp.
+_CLEAN_SELECT = (
+    "transaction_uid", "login", "counter_login", "transaction_type",
+    "CAST(timestamp_seconds(unix_timestamp) AS timestamp_ntz) AS transaction_ts", "comment", "amount",
+)
 
 
 def clean_transactions(
@@ -179,11 +187,11 @@ def clean_transactions(
     tol = tol or Tolerances()
     paired = pair_sources(first, second, how="inner", one_to_one=one_to_one)
     if multi:
-        tagged = paired.select("*", F.explode(passed_statuses(tol)).alias("status"))
+        tagged = paired.selectExpr("*", f"explode({passed_statuses_sql(tol)}) AS status")
     else:
-        tagged = classify(paired, tol).filter(F.col("status").isin(*ACCEPTED))
-    cols = _clean_columns(tagged) + (["status"] if with_status else [])
-    return tagged.select(*cols)
+        accepted = ", ".join(f"'{s}'" for s in ACCEPTED)
+        tagged = classify(paired, tol).filter(f"status IN ({accepted})")
+    return tagged.selectExpr(*_CLEAN_SELECT, *(["status"] if with_status else []))
 
 
 def reconciliation_report(paired: DataFrame, tol: Tolerances | None = None) -> DataFrame:
@@ -196,4 +204,4 @@ def reconciliation_report(paired: DataFrame, tol: Tolerances | None = None) -> D
 
 def reconciliation_summary(report: DataFrame) -> DataFrame:
     """Pairs per status (statuses with no pair are left out)."""
-    return report.groupBy("status").agg(F.count(F.lit(1)).alias("pairs"))
+    return report.groupBy("status").agg(F.expr("count(1) AS pairs"))

@@ -9,7 +9,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ledgerlens.config import Tolerances
 from ledgerlens.operators import aggregates as agg
@@ -40,10 +39,6 @@ def query(name: str):
     return register
 
 
-def _ts(text: str):
-    return F.lit(text).cast("timestamp_ntz")
-
-
 def _first(spark, sf):
     return rec.load_ledger(v.ledger(spark, sf))
 
@@ -176,8 +171,8 @@ def c17b(spark, sf):
 
 @query("c18_latest_aggregates")
 def c18(spark, sf):
-    before = agg.daily_agg(agg.signed_amounts(v.ledger(spark, sf)), calculation_ts=_ts(o.HISTORY_TS_1))
-    after = agg.daily_agg(_signed(spark, sf), calculation_ts=_ts(o.HISTORY_TS_2))
+    before = agg.daily_agg(agg.signed_amounts(v.ledger(spark, sf)), calculation_ts=o.HISTORY_TS_1)
+    after = agg.daily_agg(_signed(spark, sf), calculation_ts=o.HISTORY_TS_2)
     return agg.latest_aggregates(before.unionByName(after), ["login", "date_from"])
 
 
@@ -204,4 +199,4 @@ def k3(spark, sf):
 
 @query("k4_fill_default_timestamp")
 def k4(spark, sf):
-    return checks.fill_default_timestamp(v.ledger(spark, sf), "transaction_ts", _ts(o.DEFAULT_TS))
+    return checks.fill_default_timestamp(v.ledger(spark, sf), "transaction_ts", o.DEFAULT_TS)

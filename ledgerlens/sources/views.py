@@ -28,7 +28,7 @@ Mapping rules (fixed values, shared with the SQL oracle in ``plans.oracle``):
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.schemas import MONEY
@@ -49,13 +49,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _registration(custkey: Column) -> Column:
-    day = F.date_add(F.lit(REGISTRATION_BASE).cast("date"), (custkey % REGISTRATION_SPREAD_DAYS).cast("int"))
-    return day.cast("timestamp_ntz")
+def _registration(custkey: str) -> str:
+    return (
+        f"CAST(date_add(DATE'{REGISTRATION_BASE}', CAST({custkey} % {REGISTRATION_SPREAD_DAYS} AS INT))"
+        " AS TIMESTAMP_NTZ)"
+    )
 
 
-def _login_of_order(custkey: Column, orderkey: Column) -> Column:
-    return custkey * 10 + 1 + orderkey % 2
+def _login_of_order(custkey: str, orderkey: str) -> str:
+    return f"CAST({custkey} * 10 + 1 + {orderkey} % 2 AS BIGINT)"
 
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,108 +65,90 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     # nation is a fixed 25-row dimension at every scale factor, so it is
     # broadcast; the join then runs map-side on the customer scan.
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    return customer.join(
-        F.broadcast(nation), customer.c_nationkey == nation.n_nationkey, "inner"
-    ).select(
-        F.col("c_custkey").cast("long").alias("uid"),
-        _registration(F.col("c_custkey")).alias("registration_date"),
-        F.col("n_name").alias("country"),
-        F.col("c_name").alias("first_name"),
+    return customer.join(F.broadcast(nation), F.expr("c_nationkey = n_nationkey"), "inner").selectExpr(
+        "CAST(c_custkey AS BIGINT) AS uid",
+        f"{_registration('c_custkey')} AS registration_date",
+        "n_name AS country",
+        "c_name AS first_name",
     )
 
 
 def logins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customer = table(spark, sf_dir, "customer").select("c_custkey")
-    k = F.explode(F.array(*[F.lit(i) for i in LOGINS_PER_USER])).alias("k")
-    per_login = customer.select("c_custkey", k)
-    return per_login.select(
-        F.col("c_custkey").cast("long").alias("user_uid"),
-        (F.col("c_custkey") * 10 + F.col("k")).cast("long").alias("login"),
-        F.when((F.col("c_custkey") + F.col("k")) % DEMO_MODULUS == 0, F.lit("demo"))
-        .otherwise(F.lit("real"))
-        .alias("account_type"),
-        F.timestamp_add("HOUR", F.col("k"), _registration(F.col("c_custkey"))).alias("created_ts"),
+    ks = ", ".join(str(k) for k in LOGINS_PER_USER)
+    per_login = table(spark, sf_dir, "customer").selectExpr("c_custkey", f"explode(array({ks})) AS k")
+    return per_login.selectExpr(
+        "CAST(c_custkey AS BIGINT) AS user_uid",
+        "CAST(c_custkey * 10 + k AS BIGINT) AS login",
+        f"CASE WHEN (c_custkey + k) % {DEMO_MODULUS} = 0 THEN 'demo' ELSE 'real' END AS account_type",
+        f"timestampadd(HOUR, k, {_registration('c_custkey')}) AS created_ts",
     )
 
 
 def operations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders")
-    return orders.select(
-        F.col("o_orderkey").cast("long").alias("operation_uid"),
-        F.when(F.col("o_orderstatus") == "P", F.lit("withdrawal"))
-        .otherwise(F.lit("deposit"))
-        .alias("operation_type"),
-        F.col("o_orderdate").cast("timestamp_ntz").alias("operation_date"),
-        _login_of_order(F.col("o_custkey"), F.col("o_orderkey")).cast("long").alias("login"),
-        F.col("o_totalprice").cast(MONEY).alias("amount"),
+    return table(spark, sf_dir, "orders").selectExpr(
+        "CAST(o_orderkey AS BIGINT) AS operation_uid",
+        "CASE WHEN o_orderstatus = 'P' THEN 'withdrawal' ELSE 'deposit' END AS operation_type",
+        "CAST(o_orderdate AS TIMESTAMP_NTZ) AS operation_date",
+        f"{_login_of_order('o_custkey', 'o_orderkey')} AS login",
+        f"CAST(o_totalprice AS {MONEY.simpleString()}) AS amount",
     )
 
 
 def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The skip rule is applied to both sides so that line items of skipped
     # orders are dropped at the scan, before the join shuffles them.
-    kept_line = F.col("l_orderkey") % TRADE_SKIP_MODULUS != 0
-    kept_order = F.col("o_orderkey") % TRADE_SKIP_MODULUS != 0
-    lineitem = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate").filter(kept_line)
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey").filter(kept_order)
-    return lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey, "inner").select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("long").alias("order_uid"),
-        _login_of_order(F.col("o_custkey"), F.col("o_orderkey")).cast("long").alias("login"),
-        F.col("l_shipdate").cast("timestamp_ntz").alias("order_close_date"),
+    lineitem = (
+        table(spark, sf_dir, "lineitem")
+        .select("l_orderkey", "l_linenumber", "l_shipdate")
+        .filter(f"l_orderkey % {TRADE_SKIP_MODULUS} <> 0")
     )
-
-
-def _ledger_columns(events: DataFrame) -> DataFrame:
-    event_id = F.col("event_id")
-    comment = (
-        F.when(event_id % 4 == 0, F.lit(""))
-        .when(event_id % 11 == 0, F.lit(None).cast("string"))
-        .otherwise(F.col("event_type"))
+    orders = (
+        table(spark, sf_dir, "orders")
+        .select("o_orderkey", "o_custkey")
+        .filter(f"o_orderkey % {TRADE_SKIP_MODULUS} <> 0")
     )
-    return events.select(
-        event_id.cast("long").alias("transaction_uid"),
-        F.col("user_id").cast("long").alias("login"),
-        F.when(event_id % 3 == 0, F.col("user_id") + 1).cast("long").alias("counter_login"),
-        F.when(F.col("event_type") == "purchase", F.lit(-1)).otherwise(F.lit(1)).cast("long").alias("transaction_type"),
-        F.col("ts").cast("timestamp_ntz").alias("transaction_ts"),
-        comment.alias("comment"),
-        F.col("value").cast(MONEY).alias("amount"),
+    return lineitem.join(orders, F.expr("l_orderkey = o_orderkey"), "inner").selectExpr(
+        "CAST(l_orderkey * 10 + l_linenumber AS BIGINT) AS order_uid",
+        f"{_login_of_order('o_custkey', 'o_orderkey')} AS login",
+        "CAST(l_shipdate AS TIMESTAMP_NTZ) AS order_close_date",
     )
 
 
+LEDGER_SELECT = (
+    "CAST(event_id AS BIGINT) AS transaction_uid",
+    "CAST(user_id AS BIGINT) AS login",
+    "CAST(CASE WHEN event_id % 3 = 0 THEN user_id + 1 END AS BIGINT) AS counter_login",
+    "CAST(CASE WHEN event_type = 'purchase' THEN -1 ELSE 1 END AS BIGINT) AS transaction_type",
+    "CAST(ts AS TIMESTAMP_NTZ) AS transaction_ts",
+    "CASE WHEN event_id % 4 = 0 THEN '' WHEN event_id % 11 = 0 THEN NULL ELSE event_type END AS comment",
+    f"CAST(value AS {MONEY.simpleString()}) AS amount",
+)
+
+
 def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First source: the bank ledger table (schema ``schemas.LEDGER``)."""
-    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts", "value")
-    return _ledger_columns(events)
+    return table(spark, sf_dir, "events").selectExpr(*LEDGER_SELECT)
+
+
+def _case(residues: dict, otherwise: str, template: str) -> str:
+    whens = " ".join(f"WHEN {r} THEN {template.format(v)}" for r, v in residues.items())
+    return f"CASE transaction_uid % {ALTERATION_MODULUS} {whens} ELSE {otherwise} END"
 
 
 def second_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Second source as stored (schema ``schemas.SECOND_SOURCE``)."""
-    base = ledger(spark, sf_dir).filter(F.col("transaction_uid") % ALTERATION_MODULUS != 0)
-    m = F.col("transaction_uid") % ALTERATION_MODULUS
-
-    epoch = F.unix_timestamp(F.col("transaction_ts"))
-    shift = F.lit(0)
-    for residue, seconds in EPOCH_SHIFTS.items():
-        shift = F.when(m == residue, F.lit(seconds)).otherwise(shift)
-
-    amount = F.col("amount")
-    for residue, factor in AMOUNT_FACTORS.items():
-        amount = F.when(m == residue, F.col("amount") * F.lit(factor).cast("decimal(3,2)")).otherwise(amount)
-
-    return base.select(
-        F.when(m == 12, F.col("transaction_uid") + UID_SHIFT).otherwise(F.col("transaction_uid")).alias("transaction_uid"),
-        F.when(m == 9, F.col("login") + 1).otherwise(F.col("login")).alias("login"),
-        F.when(m == 10, F.coalesce(F.col("counter_login"), F.lit(0).cast("long")))
-        .otherwise(F.col("counter_login"))
-        .alias("counter_login"),
-        F.col("transaction_type"),
-        (epoch + shift).cast("long").alias("epoch_seconds"),
-        F.when(m == 1, F.upper(F.col("comment")))
-        .when(m == 2, F.concat(F.col("comment"), F.lit("x")))
-        .otherwise(F.col("comment"))
-        .alias("comment"),
-        amount.cast(MONEY).alias("amount"),
+    m = f"transaction_uid % {ALTERATION_MODULUS}"
+    base = ledger(spark, sf_dir).filter(f"{m} <> 0")
+    shift = _case(EPOCH_SHIFTS, "0", "{}")
+    amount = _case(AMOUNT_FACTORS, "amount", "amount * {}BD")
+    return base.selectExpr(
+        f"CASE WHEN {m} = 12 THEN transaction_uid + {UID_SHIFT} ELSE transaction_uid END AS transaction_uid",
+        f"CASE WHEN {m} = 9 THEN login + 1 ELSE login END AS login",
+        f"CASE WHEN {m} = 10 THEN coalesce(counter_login, 0L) ELSE counter_login END AS counter_login",
+        "transaction_type",
+        f"CAST(unix_timestamp(transaction_ts) + {shift} AS BIGINT) AS epoch_seconds",
+        f"CASE WHEN {m} = 1 THEN upper(comment) WHEN {m} = 2 THEN concat(comment, 'x') ELSE comment END AS comment",
+        f"CAST({amount} AS {MONEY.simpleString()}) AS amount",
     )
 
 
