@@ -15,7 +15,8 @@ from ledgerlens.operators import aggregates as agg
 from ledgerlens.operators import checks, deposits
 from ledgerlens.operators import reconcile as rec
 from ledgerlens.plans import oracle as o
-from ledgerlens.session import apply_required
+from ledgerlens.session import apply_required, scratch_path
+from ledgerlens.sources import files, sinks
 from ledgerlens.sources import views as v
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -200,3 +201,53 @@ def k3(spark, sf):
 @query("k4_fill_default_timestamp")
 def k4(spark, sf):
     return checks.fill_default_timestamp(v.ledger(spark, sf), "transaction_ts", o.DEFAULT_TS)
+
+
+def _buckets(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _table_name(path: str) -> str:
+    return "ll_" + path.rstrip("/").rsplit("/", 1)[-1].replace("-", "_")
+
+
+@query("s3_csv_second_source")
+def s3(spark, sf):
+    """The second source written as headerless CSV and loaded back from it."""
+    path = scratch_path(spark, "s3-second-source-csv")
+    files.write_source_csv(v.second_source(spark, sf), path)
+    return rec.load_second_source(files.read_source_csv(spark, path))
+
+
+@query("s6_partitioned_clean")
+def s6(spark, sf):
+    """Clean rows written partitioned by date, read back for a date range."""
+    path = scratch_path(spark, "s6-clean-by-date")
+    sinks.write_partitioned(_clean(spark, sf), path, "transaction_date", "to_date(transaction_ts)",
+                            cluster_by=("transaction_uid",))
+    lo, hi = o.PARTITION_RANGE
+    return sinks.read_partitioned(spark, path).filter(
+        f"transaction_date BETWEEN DATE'{lo}' AND DATE'{hi}'"
+    )
+
+
+@query("s7_bucketed_reconciliation")
+def s7(spark, sf):
+    """Status counts over both sources stored bucketed by transaction_uid."""
+    n = _buckets(spark)
+    p1, p2 = scratch_path(spark, "s7-first"), scratch_path(spark, "s7-second")
+    first = sinks.write_bucketed(_first(spark, sf), _table_name(p1), p1, "transaction_uid", n)
+    second = sinks.write_bucketed(_second(spark, sf), _table_name(p2), p2, "transaction_uid_2", n)
+    return rec.reconciliation_summary(rec.reconciliation_report(rec.pair_sources(first, second), TOL))
+
+
+@query("s8_join_copies")
+def s8(spark, sf):
+    """C2 over copies of operations and logins both bucketed by login."""
+    n = _buckets(spark)
+    p1, p2 = scratch_path(spark, "s8-operations-by-login"), scratch_path(spark, "s8-logins-by-login")
+    ops = sinks.write_copy(v.operations(spark, sf), _table_name(p1), p1, "login", n,
+                           ["operation_uid", "operation_type", "operation_date", "login", "amount"])
+    logins = sinks.write_copy(v.logins(spark, sf), _table_name(p2), p2, "login", n,
+                              ["user_uid", "login", "account_type"])
+    return deposits.high_avg_deposit_by_country(v.users(spark, sf), logins, ops, threshold=o.HIGH_AVG_THRESHOLD)

@@ -49,7 +49,7 @@ def build_session(
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    conf = {**PLAN_CONF, **REQUIRED_CONF, "spark.ui.enabled": "false"}
+    conf = {**PLAN_CONF, **REQUIRED_CONF, "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"}
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})
