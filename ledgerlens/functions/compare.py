@@ -39,8 +39,12 @@ def _non_empty(name: str) -> str:
     return f"({name} IS NOT NULL AND {name} <> '')"
 
 
-def _all(*conds: str) -> str:
-    return "coalesce(" + " AND ".join(f"({c})" for c in conds) + ", false)"
+def _all(*conds: str, as_filter: bool = False) -> str:
+    """Conjunction; NULL counts as false. As a filter the bare conjunction is
+    kept, so Catalyst sees it rejects NULLs (and can turn an outer join into
+    an inner one)."""
+    body = " AND ".join(f"({c})" for c in conds)
+    return body if as_filter else f"coalesce({body}, false)"
 
 
 def _differs() -> str:
@@ -55,12 +59,12 @@ def right_present_sql() -> str:
     return f"{RIGHT_HASH} IS NOT NULL"
 
 
-def is_exact_sql() -> str:
+def is_exact_sql(as_filter: bool = False) -> str:
     """Both rows present and their row hashes equal."""
-    return _all(f"{LEFT_HASH} = {RIGHT_HASH}")
+    return _all(f"{LEFT_HASH} = {RIGHT_HASH}", as_filter=as_filter)
 
 
-def char_ok_sql(tolerance: int, inclusive: bool = False) -> str:
+def char_ok_sql(tolerance: int, inclusive: bool = False, as_filter: bool = False) -> str:
     """Only the comment differs, within an edit distance of the lower-cased texts.
 
     Both comments must be non-empty; distance ``< tolerance`` (``<=`` with
@@ -78,10 +82,11 @@ def char_ok_sql(tolerance: int, inclusive: bool = False) -> str:
         _eq("login"),
         _eq("amount"),
         f"levenshtein(lower(comment), lower(comment_2)) {op} {int(tolerance)}",
+        as_filter=as_filter,
     )
 
 
-def date_ok_sql(tolerance: int, symmetric: bool = False) -> str:
+def date_ok_sql(tolerance: int, symmetric: bool = False, as_filter: bool = False) -> str:
     """Only the epoch differs; ``epoch1 - epoch2 < tolerance`` (or its absolute value)."""
     delta = "(unix_timestamp - unix_timestamp_2)"
     within = f"abs{delta} < {int(tolerance)}" if symmetric else f"{delta} < {int(tolerance)}"
@@ -95,6 +100,7 @@ def date_ok_sql(tolerance: int, symmetric: bool = False) -> str:
         _eq_comment(),
         _eq("amount"),
         within,
+        as_filter=as_filter,
     )
 
 
@@ -104,7 +110,7 @@ def _number(value: int | Decimal) -> str:
     return f"{int(value)}L"
 
 
-def int_ok_sql(tolerance: int | Decimal) -> str:
+def int_ok_sql(tolerance: int | Decimal, as_filter: bool = False) -> str:
     """Only the amount differs, by at most ``tolerance`` percent of the first amount.
 
     Written without division: ``|a1 - a2| * 100 <= tolerance * |a1|`` with
@@ -121,20 +127,21 @@ def int_ok_sql(tolerance: int | Decimal) -> str:
         _eq("unix_timestamp"),
         "amount <> 0",
         f"abs(amount - amount_2) * 100 <= {_number(tolerance)} * abs(amount)",
+        as_filter=as_filter,
     )
 
 
-def is_exact() -> Column:
-    return F.expr(is_exact_sql())
+def is_exact(as_filter: bool = False) -> Column:
+    return F.expr(is_exact_sql(as_filter))
 
 
-def char_ok(tolerance: int, inclusive: bool = False) -> Column:
-    return F.expr(char_ok_sql(tolerance, inclusive))
+def char_ok(tolerance: int, inclusive: bool = False, as_filter: bool = False) -> Column:
+    return F.expr(char_ok_sql(tolerance, inclusive, as_filter))
 
 
-def date_ok(tolerance: int, symmetric: bool = False) -> Column:
-    return F.expr(date_ok_sql(tolerance, symmetric))
+def date_ok(tolerance: int, symmetric: bool = False, as_filter: bool = False) -> Column:
+    return F.expr(date_ok_sql(tolerance, symmetric, as_filter))
 
 
-def int_ok(tolerance: int | Decimal) -> Column:
-    return F.expr(int_ok_sql(tolerance))
+def int_ok(tolerance: int | Decimal, as_filter: bool = False) -> Column:
+    return F.expr(int_ok_sql(tolerance, as_filter))

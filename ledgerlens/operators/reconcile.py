@@ -144,22 +144,22 @@ def _left_seven(df: DataFrame) -> DataFrame:
 
 def exact_matches(paired: DataFrame) -> DataFrame:
     """Pairs with equal row hashes, first source's columns."""
-    return _left_seven(paired.filter(compare.is_exact()))
+    return _left_seven(paired.filter(compare.is_exact(as_filter=True)))
 
 
 def char_rec(paired: DataFrame, tolerance: int, inclusive: bool = False) -> DataFrame:
     """Pairs that differ only in the comment, within the edit distance."""
-    return _left_seven(paired.filter(compare.char_ok(tolerance, inclusive)))
+    return _left_seven(paired.filter(compare.char_ok(tolerance, inclusive, as_filter=True)))
 
 
 def date_rec(paired: DataFrame, tolerance: int, symmetric: bool = False) -> DataFrame:
     """Pairs that differ only in the epoch, within the tolerance."""
-    return _left_seven(paired.filter(compare.date_ok(tolerance, symmetric)))
+    return _left_seven(paired.filter(compare.date_ok(tolerance, symmetric, as_filter=True)))
 
 
 def int_rec(paired: DataFrame, tolerance) -> DataFrame:
     """C11: pairs that differ only in the amount, within ``tolerance`` percent."""
-    return _left_seven(paired.filter(compare.int_ok(tolerance)))
+    return _left_seven(paired.filter(compare.int_ok(tolerance, as_filter=True)))
 
 
 # The first source's values in ledger order; the epoch back to a timestamp.
