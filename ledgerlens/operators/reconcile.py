@@ -67,18 +67,39 @@ def _typed(sources: Sequence[str], suffix: str = "") -> list[str]:
     ]
 
 
-def load_ledger(table: DataFrame, ts_col: str = "transaction_ts", null_token: str | None = None) -> DataFrame:
-    """Ledger rows -> the seven compared columns + ``row_sha2``."""
+def load_ledger(
+    table: DataFrame,
+    ts_col: str = "transaction_ts",
+    null_token: str | None = None,
+    by_key: bool = False,
+) -> DataFrame:
+    """Ledger rows -> the seven compared columns + ``row_sha2``.
+
+    ``by_key=True`` hash-partitions the rows by transaction_uid *before* the
+    hash is computed: the shuffle then carries the seven columns only (the
+    64-character hash would nearly double each shuffled row), and the pairing
+    window and join reuse this partitioning instead of shuffling again.
+    """
     sources = ["transaction_uid", "login", "counter_login", "transaction_type",
                f"unix_timestamp({ts_col})", "comment", "amount"]
     seven = table.selectExpr(*_typed(sources))
+    if by_key:
+        seven = seven.repartition(KEY)
     return with_row_hash(seven, TRANSACTION_COLUMNS, LEFT_HASH, null_token)
 
 
-def load_second_source(df: DataFrame, epoch_col: str = "epoch_seconds", null_token: str | None = None) -> DataFrame:
-    """Second source -> the seven columns suffixed ``_2`` + ``row2_sha2``."""
+def load_second_source(
+    df: DataFrame,
+    epoch_col: str = "epoch_seconds",
+    null_token: str | None = None,
+    by_key: bool = False,
+) -> DataFrame:
+    """Second source -> the seven columns suffixed ``_2`` + ``row2_sha2``
+    (``by_key`` as for ``load_ledger``)."""
     sources = ["transaction_uid", "login", "counter_login", "transaction_type", epoch_col, "comment", "amount"]
     suffixed = df.selectExpr(*_typed(sources, SUFFIX))
+    if by_key:
+        suffixed = suffixed.repartition(KEY + SUFFIX)
     return with_row_hash(suffixed, [c + SUFFIX for c in TRANSACTION_COLUMNS], RIGHT_HASH, null_token)
 
 

@@ -44,7 +44,9 @@ def reconcile(
     """Pair, classify and write; returns the paths of the pairs and clean tables."""
     tol = tol or Tolerances()
     out = ReconcileOutput(pairs=f"{out_dir.rstrip('/')}/pairs", clean=f"{out_dir.rstrip('/')}/clean")
-    paired = rec.pair_sources(rec.load_ledger(ledger), rec.load_second_source(second), how="full")
+    paired = rec.pair_sources(
+        rec.load_ledger(ledger, by_key=True), rec.load_second_source(second, by_key=True), how="full"
+    )
     classified = paired.selectExpr(
         *rec.TRANSACTION_COLUMNS,
         "transaction_uid_2",

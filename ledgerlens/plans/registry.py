@@ -40,12 +40,12 @@ def query(name: str):
     return register
 
 
-def _first(spark, sf):
-    return rec.load_ledger(v.ledger(spark, sf))
+def _first(spark, sf, by_key=True):
+    return rec.load_ledger(v.ledger(spark, sf), by_key=by_key)
 
 
-def _second(spark, sf):
-    return rec.load_second_source(v.second_source(spark, sf))
+def _second(spark, sf, by_key=True):
+    return rec.load_second_source(v.second_source(spark, sf), by_key=by_key)
 
 
 def _paired(spark, sf, how="full"):
@@ -87,12 +87,12 @@ def c4(spark, sf):
 
 @query("c5_load_ledger")
 def c5(spark, sf):
-    return _first(spark, sf)
+    return _first(spark, sf, by_key=False)
 
 
 @query("c6_load_second_source")
 def c6(spark, sf):
-    return _second(spark, sf)
+    return _second(spark, sf, by_key=False)
 
 
 @query("c7_pair_sources")
