@@ -47,8 +47,3 @@ def edit_distance_ci(a: str | Column, b: str | Column) -> Column:
     ca = F.col(a) if isinstance(a, str) else a
     cb = F.col(b) if isinstance(b, str) else b
     return F.levenshtein(F.lower(ca), F.lower(cb))
-
-
-def non_empty(c: str | Column) -> Column:
-    col = F.col(c) if isinstance(c, str) else c
-    return col.isNotNull() & (col != F.lit(""))

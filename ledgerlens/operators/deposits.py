@@ -62,12 +62,17 @@ def first_deposit_funnel(
     users: DataFrame,
     logins: DataFrame,
     operations: DataFrame,
-    trades: DataFrame,
+    trades: DataFrame | None = None,
     as_of=None,
     days: int = 900,
+    first_trades: DataFrame | None = None,
 ) -> DataFrame:
     """Per country, users whose first deposit (on a real login) is known.
 
+    Trades enter only as the first close date per login: pass ``trades``
+    (order_uid, login, order_close_date) or an already reduced
+    ``first_trades`` (login, first_order_date).
+
     Only users registered within ``days`` before ``as_of`` count (default:
     now); that filter is applied to the users before the joins (uid is the
     users' key, so it commutes with the per-user first deposit).
@@ -78,9 +83,11 @@ def first_deposit_funnel(
         f"registration_date >= timestampadd(DAY, -{int(days)}, {_as_of_sql(as_of)})"
     ).select("uid", "registration_date", "country")
     first = first_deposit_per_user(logins, operations, REAL)
-    funnel = first.join(recent, F.expr("user_uid = uid"), "inner").join(
-        first_trade_per_login(trades), "login", "left"
-    )
+    if first_trades is None:
+        if trades is None:
+            raise ValueError("pass trades or first_trades")
+        first_trades = first_trade_per_login(trades)
+    funnel = first.join(recent, F.expr("user_uid = uid"), "inner").join(first_trades, "login", "left")
     return (
         funnel.groupBy("country")
         .agg(

@@ -184,7 +184,7 @@ def int_rec(paired: DataFrame, tolerance) -> DataFrame:
 
 
 # The first source's values in ledger order; the epoch back to a timestamp.
-_CLEAN_SELECT = (
+CLEAN_SELECT = (
     "transaction_uid", "login", "counter_login", "transaction_type",
     "CAST(timestamp_seconds(unix_timestamp) AS timestamp_ntz) AS transaction_ts", "comment", "amount",
 )
@@ -212,7 +212,7 @@ def clean_transactions(
     else:
         accepted = ", ".join(f"'{s}'" for s in ACCEPTED)
         tagged = classify(paired, tol).filter(f"status IN ({accepted})")
-    return tagged.selectExpr(*_CLEAN_SELECT, *(["status"] if with_status else []))
+    return tagged.selectExpr(*CLEAN_SELECT, *(["status"] if with_status else []))
 
 
 def reconciliation_report(paired: DataFrame, tol: Tolerances | None = None) -> DataFrame:

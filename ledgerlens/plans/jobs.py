@@ -59,7 +59,7 @@ def reconcile(
     accepted = pairs.filter(F.col("status").isin(*rec.ACCEPTED))
     if multi:
         accepted = accepted.selectExpr("*", "explode(passed) AS rule")
-    clean = accepted.selectExpr(*rec._CLEAN_SELECT)
+    clean = accepted.selectExpr(*rec.CLEAN_SELECT)
     write_partitioned(clean, out.clean, "transaction_date", "to_date(transaction_ts)", cluster_by=("transaction_uid",))
     return out
 

@@ -15,7 +15,7 @@ from ledgerlens.operators import aggregates as agg
 from ledgerlens.operators import checks, deposits
 from ledgerlens.operators import reconcile as rec
 from ledgerlens.plans import oracle as o
-from ledgerlens.session import apply_required, scratch_path
+from ledgerlens.session import apply_plan_settings, apply_required, scratch_path
 from ledgerlens.sources import files, sinks
 from ledgerlens.sources import views as v
 
@@ -30,6 +30,7 @@ def query(name: str):
     def register(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             apply_required(spark)
+            apply_plan_settings(spark)
             return fn(spark, sf_dir)
 
         run.__name__ = fn.__name__
@@ -63,8 +64,8 @@ def _signed(spark, sf):
 @query("c1_first_deposit_funnel")
 def c1(spark, sf):
     return deposits.first_deposit_funnel(
-        v.users(spark, sf), v.logins(spark, sf), v.operations(spark, sf), v.trades(spark, sf),
-        as_of=o.AS_OF, days=o.FUNNEL_DAYS,
+        v.users(spark, sf), v.logins(spark, sf), v.operations(spark, sf),
+        first_trades=v.first_trades(spark, sf), as_of=o.AS_OF, days=o.FUNNEL_DAYS,
     )
 
 

@@ -66,6 +66,12 @@ def apply_required(spark: SparkSession) -> None:
         spark.conf.set(key, value)
 
 
+def apply_plan_settings(spark: SparkSession) -> None:
+    """Apply the plan-shaping settings to a session created elsewhere."""
+    for key, value in PLAN_CONF.items():
+        spark.conf.set(key, value)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
@@ -81,6 +87,10 @@ def shared_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir"
     )
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: on a cluster it must name storage every executor can reach"
+            )
         configured = tempfile.mkdtemp(prefix="ledgerlens-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

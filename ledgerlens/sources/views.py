@@ -114,6 +114,32 @@ def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def first_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First trade close date per login (login, first_order_date).
+
+    Equal to ``min(order_close_date)`` over ``trades`` per login, but the
+    minimum is taken per order on the line items first (partial aggregation,
+    before the join shuffles them), so the join sees one row per order.
+    """
+    per_order = (
+        table(spark, sf_dir, "lineitem")
+        .select("l_orderkey", "l_shipdate")
+        .filter(f"l_orderkey % {TRADE_SKIP_MODULUS} <> 0")
+        .groupBy("l_orderkey")
+        .agg(F.expr("min(l_shipdate) AS first_ship"))
+    )
+    orders = (
+        table(spark, sf_dir, "orders")
+        .select("o_orderkey", "o_custkey")
+        .filter(f"o_orderkey % {TRADE_SKIP_MODULUS} <> 0")
+    )
+    return (
+        per_order.join(orders, F.expr("l_orderkey = o_orderkey"), "inner")
+        .groupBy(F.expr(f"{_login_of_order('o_custkey', 'o_orderkey')} AS login"))
+        .agg(F.expr("CAST(min(first_ship) AS TIMESTAMP_NTZ) AS first_order_date"))
+    )
+
+
 LEDGER_SELECT = (
     "CAST(event_id AS BIGINT) AS transaction_uid",
     "CAST(user_id AS BIGINT) AS login",
