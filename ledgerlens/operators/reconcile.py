@@ -6,9 +6,10 @@ transaction key; each pair gets one status from a single ``CASE`` chain
 (``classify``), so exact, comment, time and amount matches are all decided in
 one pass over one join instead of one join per rule.
 
-Pairing is one-to-one: rows sharing a key are numbered per side (ordered by row
-hash) and paired on (key, number). With unique keys this is the plain key
-join; a key repeated on both sides yields max(n, m) pairs instead of n * m.
+Pairing is one-to-one (see ``pair_sources``): identical rows pair first, per
+distinct content; the remaining rows sharing a key are numbered per side and
+paired on (key, number). With unique keys this is the plain key join; a key
+repeated on both sides yields max(n, m) pairs instead of n * m.
 """
 
 from __future__ import annotations
@@ -75,10 +76,11 @@ def load_ledger(
 ) -> DataFrame:
     """Ledger rows -> the seven compared columns + ``row_sha2``.
 
-    ``by_key=True`` hash-partitions the rows by transaction_uid *before* the
-    hash is computed: the shuffle then carries the seven columns only (the
-    64-character hash would nearly double each shuffled row), and the pairing
-    window and join reuse this partitioning instead of shuffling again.
+    ``by_key=True`` hash-partitions the rows by transaction_uid before the hash
+    is computed, so that a plain key join (``pair_sources(one_to_one=False)``)
+    shuffles the seven columns only and reuses this partitioning.
+    ``pair_sources`` (one-to-one) does not need it: it groups by content and
+    derives the hashes after its own shuffle.
     """
     sources = ["transaction_uid", "login", "counter_login", "transaction_type",
                f"unix_timestamp({ts_col})", "comment", "amount"]
@@ -103,26 +105,111 @@ def load_second_source(
     return with_row_hash(suffixed, [c + SUFFIX for c in TRANSACTION_COLUMNS], RIGHT_HASH, null_token)
 
 
-def pair_sources(first: DataFrame, second: DataFrame, how: str = "full", one_to_one: bool = True) -> DataFrame:
+def _content(cols: Sequence[str]) -> str:
+    """The seven values as one struct, field names of the first source on both
+    sides. Struct equality treats NULL fields as equal values."""
+    return "named_struct(" + ", ".join(f"'{n}', {c}" for n, c in zip(TRANSACTION_COLUMNS, cols, strict=True)) + ")"
+
+
+_LEFT = TRANSACTION_COLUMNS
+_RIGHT = tuple(c + SUFFIX for c in TRANSACTION_COLUMNS)
+
+
+def pair_sources(
+    first: DataFrame,
+    second: DataFrame,
+    how: str = "full",
+    one_to_one: bool = True,
+    null_token: str | None = None,
+) -> DataFrame:
     """Pair the loaded sources on the transaction key.
 
     ``how='full'`` keeps unmatched rows of both sides (needed for the report);
     ``how='inner'`` suffices when only accepted pairs are wanted, because an
-    unmatched row is never accepted. With ``one_to_one=False`` a repeated key
-    pairs every row with every row of the other side.
-
-    The occurrence number comes from a window partitioned by the key; with
-    ``spark.sql.requireAllClusterKeysForCoPartition=false`` (set by
-    ``session.build_session``) the join reuses that partitioning, so each side
-    is shuffled once, as for a plain key join.
+    unmatched row is never accepted (also ``'left'``, ``'right'``). With
+    ``one_to_one=False`` a repeated key pairs every row with every row of the
+    other side (the plain key join).
+
+    One-to-one pairing runs in two steps:
+
+    1. Each side is reduced to its distinct rows with a copy count
+       (``groupBy(key, content).count()``: a partial aggregation, so copies of
+       a row collapse inside each map task before the shuffle), and the two
+       sides are joined on (key, content). Identical rows pair up --
+       ``min(copies left, copies right)`` exact pairs per content. The shuffle
+       spreads rows by key *and* content, so neither a hot key nor a large
+       group of copies lands in one task; inputs bucketed by the key are
+       paired without a shuffle.
+    2. Only the rows left over (missing or different on the other side) are
+       numbered per key and side (ordered by row hash) and paired on
+       (key, number) by an aggregation that reuses the numbering's
+       partitioning: these are the candidates for the tolerance rules and the
+       unmatched rows. A NULL key never pairs.
+
+    With unique keys this is exactly the key join; a key repeated n and m
+    times yields max(n, m) pairs, never n * m. Row hashes are computed after
+    the step-1 shuffle, once per distinct row (exact pairs) or leftover row.
     """
     right_key = KEY + SUFFIX
     if not one_to_one:
         return first.join(second, F.expr(f"{KEY} = {right_key}"), how)
-    left = first.selectExpr("*", f"row_number() OVER (PARTITION BY {KEY} ORDER BY {LEFT_HASH}) AS _occ")
-    right = second.selectExpr("*", f"row_number() OVER (PARTITION BY {right_key} ORDER BY {RIGHT_HASH}) AS _occ_2")
-    cond = F.expr(f"{KEY} = {right_key} AND _occ = _occ_2")
-    return left.join(right, cond, how).drop("_occ", "_occ_2")
+
+    left = first.groupBy(KEY, F.expr(f"{_content(_LEFT)} AS _kl")).agg(F.expr("count(1) AS _nl"))
+    right = second.groupBy(right_key, F.expr(f"{_content(_RIGHT)} AS _kr")).agg(F.expr("count(1) AS _nr"))
+    # One full join feeds both steps. Both read the same two shuffles, which
+    # Spark reuses; a full join also keeps later filters (e.g. on the status)
+    # above it, so the two branches stay identical below the shuffles.
+    groups = left.join(right, F.expr(f"{KEY} = {right_key} AND _kl = _kr"), "full").selectExpr(
+        "_kl",
+        "_kr",
+        "least(coalesce(_nl, 0L), coalesce(_nr, 0L)) AS _m",
+        "coalesce(_nl, 0L) - least(coalesce(_nl, 0L), coalesce(_nr, 0L)) AS _el",
+        "coalesce(_nr, 0L) - least(coalesce(_nl, 0L), coalesce(_nr, 0L)) AS _er",
+    )
+    hash_l = row_hash_sql(_LEFT, null_token)
+
+    # Step 1: identical rows on both sides, one output row per pair of copies.
+    exact = (
+        groups.filter("_m > 0")
+        .selectExpr(*[f"_kl.{c} AS {c}" for c in _LEFT], "explode(sequence(1L, _m)) AS _copy")
+        .selectExpr(*_LEFT, f"{hash_l} AS {LEFT_HASH}")
+        .selectExpr("*", *[f"{lc} AS {rc}" for lc, rc in zip(_LEFT, _RIGHT, strict=True)], f"{LEFT_HASH} AS {RIGHT_HASH}")
+    )
+
+    # Step 2: leftovers of both sides in one frame, numbered per (key, side).
+    pieces = (
+        groups.filter("_el > 0 OR _er > 0")
+        .selectExpr(
+            "explode(array(named_struct('side', 'L', 'c', _kl, 'n', _el), "
+            "named_struct('side', 'R', 'c', _kr, 'n', _er))) AS _p"
+        )
+        .filter("_p.n > 0")
+        .selectExpr("_p.side AS _side", *[f"_p.c.{c} AS {c}" for c in _LEFT], "explode(sequence(1L, _p.n)) AS _copy")
+        .selectExpr("_side", *_LEFT, f"{hash_l} AS _h")
+    )
+    numbered = pieces.selectExpr(
+        "*",
+        f"row_number() OVER (PARTITION BY {KEY} ORDER BY _side, _h) AS _rn",
+        f"count_if(_side = 'L') OVER (PARTITION BY {KEY}) AS _nkl",
+    ).selectExpr(
+        "*",
+        "CASE WHEN _side = 'L' THEN _rn ELSE _rn - _nkl END AS _occ",
+        f"CASE WHEN {KEY} IS NULL THEN _side ELSE '' END AS _solo",
+    )
+    row = "named_struct(" + ", ".join(f"'{c}', {c}" for c in _LEFT) + ", 'h', _h)"
+    rest = numbered.groupBy(KEY, "_occ", "_solo").agg(
+        F.expr(f"max(CASE WHEN _side = 'L' THEN {row} END) AS _a"),
+        F.expr(f"max(CASE WHEN _side = 'R' THEN {row} END) AS _b"),
+    )
+    keep = {"full": None, "outer": None, "inner": "_a IS NOT NULL AND _b IS NOT NULL",
+            "left": "_a IS NOT NULL", "right": "_b IS NOT NULL"}[how]
+    if keep:
+        rest = rest.filter(keep)
+    rest = rest.selectExpr(
+        *[f"_a.{c} AS {c}" for c in _LEFT], f"_a.h AS {LEFT_HASH}",
+        *[f"_b.{c} AS {rc}" for c, rc in zip(_LEFT, _RIGHT, strict=True)], f"_b.h AS {RIGHT_HASH}",
+    )
+    return exact.unionByName(rest)
 
 
 def status_sql(tol: Tolerances) -> str:

@@ -41,11 +41,11 @@ def query(name: str):
     return register
 
 
-def _first(spark, sf, by_key=True):
+def _first(spark, sf, by_key=False):
     return rec.load_ledger(v.ledger(spark, sf), by_key=by_key)
 
 
-def _second(spark, sf, by_key=True):
+def _second(spark, sf, by_key=False):
     return rec.load_second_source(v.second_source(spark, sf), by_key=by_key)
 
 

@@ -1,5 +1,6 @@
 """Plan shapes the design relies on."""
 
+import contextlib
 import re
 
 from conftest import SF_SMALL
@@ -11,19 +12,29 @@ def q(spark, name):
     return QUERIES[name](spark, SF_SMALL)
 
 
-def test_exact_matches_use_inner_join(spark):
-    text = inspect.plan_text(q(spark, "c8_exact_matches"), "simple")
-    assert "FullOuter" not in text
+@contextlib.contextmanager
+def no_broadcast(spark):
+    """Plan as at scale: no side is small enough to broadcast."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        yield
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
 
 
-def test_classification_is_one_join(spark):
+def test_pairing_joins_on_key_and_content_only(spark):
+    """Exact copies and leftovers come from one full join on (key, content)
+    (planned once per branch over the same shuffles); the rules add no join."""
     for name in ("c12_clean_transactions", "c12_clean_transactions_multi", "c17_reconciliation_report"):
-        assert len(inspect.joins(q(spark, name))) == 1, name
-
-
-def test_clean_uses_inner_join_report_full(spark):
-    assert "FullOuter" not in inspect.plan_text(q(spark, "c12_clean_transactions"), "simple")
-    assert "FullOuter" in inspect.plan_text(q(spark, "c17_reconciliation_report"), "simple")
+        with no_broadcast(spark):
+            df = q(spark, name)
+            joins = inspect.joins(df)
+            text = inspect.plan_text(df, "simple")
+        assert len(joins) == 2, (name, joins)
+        found = re.findall(r"SortMergeJoin \[transaction_uid#\d+L, _kl#\d+\], \[transaction_uid_2#\d+L, _kr#\d+\], (\w+)", text)
+        assert found == ["FullOuter", "FullOuter"], (name, found)
 
 
 def test_first_n_uses_partial_group_limit(spark):
@@ -50,29 +61,27 @@ def test_trades_filter_reaches_both_scans(spark):
 
 
 def test_pairing_shuffles_each_source_once(spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        ex = inspect.exchanges(q(spark, "c12_clean_transactions"))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert len([e for e in ex if "hashpartitioning(transaction_uid" in e]) == 2
-
-
-def test_bucketed_sources_pair_without_shuffle(spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
+    with no_broadcast(spark):
+        df = q(spark, "c12_clean_transactions")
+        df.collect()
+        final = inspect.plan_text(df, "simple").split("== Initial Plan ==")[0]
+    by_content = set(re.findall(r"Exchange hashpartitioning\((transaction_uid(?:_2)?)#\d+L, _groupingexpression", final))
+    assert by_content == {"transaction_uid", "transaction_uid_2"}
+    # the second read of each step-1 shuffle is a reuse, not a new shuffle
+    assert final.count("ReusedExchange") == 2
+    # only the leftover rows are shuffled again, by key alone
+    assert len(re.findall(r"Exchange hashpartitioning\(transaction_uid#\d+L, \d+\)", final)) == 1
+
+
+def test_bucketed_sources_pair_without_shuffling_all_rows(spark):
+    with no_broadcast(spark):
         ex = inspect.exchanges(q(spark, "s7_bucketed_reconciliation"))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert not [e for e in ex if "transaction_uid" in e]
+    assert not [e for e in ex if "_groupingexpression" in e]
 
 
 def test_bucketed_copies_join_without_shuffle_on_login(spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
+    with no_broadcast(spark):
         ex = inspect.exchanges(q(spark, "s8_join_copies"))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert not [e for e in ex if "hashpartitioning(login" in e]
 
 
