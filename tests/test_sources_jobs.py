@@ -150,3 +150,26 @@ def test_windowed_daily_sums_emit_closed_days(spark, tmp_dir):
     last_day = want.agg({"date_from": "max"}).collect()[0][0]
     # days before the last one are final and exact; the last day stays open
     assert rows(got.filter(f"date_from < DATE'{last_day}'")) == rows(want.filter(f"date_from < DATE'{last_day}'"))
+
+
+def test_large_group_of_copies_pairs_by_count(spark):
+    """One row repeated 5000 times on the left and 3000 times on the right:
+    3000 exact pairs and 2000 left-only rows, without numbering the copies."""
+    cols = ("transaction_uid long, login long, counter_login long, transaction_type long, "
+            "ts timestamp_ntz, comment string, amount decimal(18,4)")
+    base = spark.range(5000).selectExpr(
+        "7L AS transaction_uid", "1L AS login", "CAST(NULL AS BIGINT) AS counter_login", "1L AS transaction_type",
+        "TIMESTAMP_NTZ'2020-01-01 00:00:00' AS ts", "'copy' AS comment", "CAST(5 AS DECIMAL(18,4)) AS amount",
+    )
+    other = spark.createDataFrame([(8, 2, None, 1, dt.datetime(2020, 1, 1), "x", Decimal("1"))], cols)
+    left = base.unionByName(other)
+    right_rows = base.limit(3000).unionByName(
+        spark.createDataFrame([(8, 2, None, 1, dt.datetime(2020, 1, 1), "X", Decimal("1"))], cols)
+    )
+    first = rec.load_ledger(left, ts_col="ts")
+    second = rec.load_second_source(right_rows.selectExpr(
+        "transaction_uid", "login", "counter_login", "transaction_type", "unix_timestamp(ts) AS epoch_seconds",
+        "comment", "amount"))
+    summary = {r.status: r.pairs for r in rec.reconciliation_summary(
+        rec.reconciliation_report(rec.pair_sources(first, second), Tolerances())).collect()}
+    assert summary == {"exact": 3000, "left_only": 2000, "char": 1}
