@@ -56,3 +56,45 @@ def fill_default_timestamp(df: DataFrame, column: str, default: dt.datetime | st
     else:
         value = f"CAST('{default}' AS TIMESTAMP_NTZ)"
     return df.withColumn(column, F.expr(f"coalesce({_q(column)}, {value})"))
+
+
+def constraint_report(
+    df: DataFrame,
+    keys: Sequence[str] = (),
+    not_null: Sequence[str] = (),
+    max_length: Mapping[str, int] | None = None,
+) -> DataFrame:
+    """K1-K3 together: one row per rule and column with its violation count.
+
+    Columns: ``check`` ('duplicate_key', 'not_null', 'max_length'), ``column``
+    (the key columns joined by ',' for duplicates), ``violations`` (rows
+    breaking the rule; for keys, rows beyond the first per key value). NULL
+    and length counts come from one aggregation pass; duplicates from one
+    aggregation by key (partial, so a hot key value costs one row per task).
+    """
+    limits = dict(max_length or {})
+    parts = []
+    exprs = [f"count_if({_q(c)} IS NULL) AS `nn:{c}`" for c in not_null]
+    exprs += [f"count_if(length({_q(c)}) > {int(n)}) AS `ml:{c}`" for c, n in limits.items()]
+    if exprs:
+        counts = df.selectExpr(*exprs)
+        stacked = counts.unpivot([], [c for c in counts.columns], "rule", "violations")
+        parts.append(
+            stacked.selectExpr(
+                "CASE WHEN rule LIKE 'nn:%' THEN 'not_null' ELSE 'max_length' END AS check",
+                "substr(rule, 4) AS column",
+                "violations",
+            )
+        )
+    if keys:
+        dup = (
+            df.groupBy(*keys)
+            .agg(F.expr("count(1) AS n"))
+            .agg(F.expr("coalesce(sum(n - 1), 0L) AS violations"))
+            .selectExpr("'duplicate_key' AS check", f"'{','.join(keys)}' AS column", "violations")
+        )
+        parts.append(dup)
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

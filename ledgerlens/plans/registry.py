@@ -199,6 +199,26 @@ def k3(spark, sf):
     return checks.over_length(v.users(spark, sf), {"country": 4, "first_name": 80}, keys=["uid"])
 
 
+@query("k_constraint_report_users")
+def k_users(spark, sf):
+    from ledgerlens import schemas
+
+    return checks.constraint_report(
+        v.users(spark, sf), keys=schemas.PRIMARY_KEYS["users"], not_null=["uid", "country"],
+        max_length=schemas.MAX_LENGTH["users"],
+    )
+
+
+@query("k_constraint_report_ledger")
+def k_ledger(spark, sf):
+    from ledgerlens import schemas
+
+    return checks.constraint_report(
+        v.ledger(spark, sf), keys=schemas.PRIMARY_KEYS["ledger"], not_null=schemas.NOT_NULL["ledger"],
+        max_length=schemas.MAX_LENGTH["ledger"],
+    )
+
+
 @query("k4_fill_default_timestamp")
 def k4(spark, sf):
     return checks.fill_default_timestamp(v.ledger(spark, sf), "transaction_ts", o.DEFAULT_TS)
