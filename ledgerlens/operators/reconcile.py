@@ -115,12 +115,26 @@ _LEFT = TRANSACTION_COLUMNS
 _RIGHT = tuple(c + SUFFIX for c in TRANSACTION_COLUMNS)
 
 
+# Fixed sizes of the skew handling: copies per chunk row, buckets per key side.
+COPIES_PER_CHUNK = 100_000
+BUCKETS_PER_KEY = 64
+
+
+def _chunks(df: DataFrame, count: str, chunk: int) -> DataFrame:
+    """Split a copy count into chunk rows of at most ``chunk`` copies (_chunk, _k)."""
+    return df.selectExpr("*", f"explode(sequence(0L, ({count} - 1) DIV {int(chunk)})) AS _chunk").selectExpr(
+        "*", f"least({count} - _chunk * {int(chunk)}, {int(chunk)}) AS _k"
+    )
+
+
 def pair_sources(
     first: DataFrame,
     second: DataFrame,
     how: str = "full",
     one_to_one: bool = True,
     null_token: str | None = None,
+    chunk: int = COPIES_PER_CHUNK,
+    buckets: int = BUCKETS_PER_KEY,
 ) -> DataFrame:
     """Pair the loaded sources on the transaction key.
 
@@ -139,16 +153,22 @@ def pair_sources(
        ``min(copies left, copies right)`` exact pairs per content. The shuffle
        spreads rows by key *and* content, so neither a hot key nor a large
        group of copies lands in one task; inputs bucketed by the key are
-       paired without a shuffle.
+       joined without a shuffle. Copies are expanded into rows at the end;
+       groups of more than ``chunk`` copies are first cut into chunks and
+       spread over tasks.
     2. Only the rows left over (missing or different on the other side) are
-       numbered per key and side (ordered by row hash) and paired on
-       (key, number) by an aggregation that reuses the numbering's
-       partitioning: these are the candidates for the tolerance rules and the
-       unmatched rows. A NULL key never pairs.
+       paired -- the candidates for the tolerance rules and the unmatched
+       rows. They are spread (in chunks of copies) over ``buckets`` buckets
+       per key by their hash; within a (key, bucket) the n-th left row pairs
+       with the n-th right row (ordered by hash). Rows left alone in their
+       bucket -- about sqrt(rows x buckets) for a key with many leftovers, the
+       single non-exact pair for a unique key -- are numbered per key and
+       paired the same way in a second round. A key with a large share of
+       the leftovers is thus split over many tasks. A NULL key never pairs.
 
     With unique keys this is exactly the key join; a key repeated n and m
     times yields max(n, m) pairs, never n * m. Row hashes are computed after
-    the step-1 shuffle, once per distinct row (exact pairs) or leftover row.
+    the step-1 shuffle, once per distinct row.
     """
     right_key = KEY + SUFFIX
     if not one_to_one:
@@ -156,9 +176,9 @@ def pair_sources(
 
     left = first.groupBy(KEY, F.expr(f"{_content(_LEFT)} AS _kl")).agg(F.expr("count(1) AS _nl"))
     right = second.groupBy(right_key, F.expr(f"{_content(_RIGHT)} AS _kr")).agg(F.expr("count(1) AS _nr"))
-    # One full join feeds both steps. Both read the same two shuffles, which
+    # One full join feeds both steps. They read the same two shuffles, which
     # Spark reuses; a full join also keeps later filters (e.g. on the status)
-    # above it, so the two branches stay identical below the shuffles.
+    # above it, so the branches stay identical below the shuffles.
     groups = left.join(right, F.expr(f"{KEY} = {right_key} AND _kl = _kr"), "full").selectExpr(
         "_kl",
         "_kr",
@@ -167,16 +187,23 @@ def pair_sources(
         "coalesce(_nr, 0L) - least(coalesce(_nl, 0L), coalesce(_nr, 0L)) AS _er",
     )
     hash_l = row_hash_sql(_LEFT, null_token)
+    content_cols = [f"_c.{c} AS {c}" for c in _LEFT]
 
     # Step 1: identical rows on both sides, one output row per pair of copies.
+    matched = groups.filter("_m > 0").selectExpr("_kl AS _c", "_m")
+    small = matched.filter(f"_m <= {int(chunk)}").selectExpr(*content_cols, "explode(sequence(1L, _m)) AS _copy")
+    large = (
+        _chunks(matched.filter(f"_m > {int(chunk)}"), "_m", chunk)
+        .repartition(F.expr(f"_c.{KEY}"), F.col("_chunk"))
+        .selectExpr(*content_cols, "explode(sequence(1L, _k)) AS _copy")
+    )
     exact = (
-        groups.filter("_m > 0")
-        .selectExpr(*[f"_kl.{c} AS {c}" for c in _LEFT], "explode(sequence(1L, _m)) AS _copy")
+        small.unionByName(large)
         .selectExpr(*_LEFT, f"{hash_l} AS {LEFT_HASH}")
         .selectExpr("*", *[f"{lc} AS {rc}" for lc, rc in zip(_LEFT, _RIGHT, strict=True)], f"{LEFT_HASH} AS {RIGHT_HASH}")
     )
 
-    # Step 2: leftovers of both sides in one frame, numbered per (key, side).
+    # Step 2: leftovers of both sides in one frame, as chunks of copies.
     pieces = (
         groups.filter("_el > 0 OR _er > 0")
         .selectExpr(
@@ -184,30 +211,60 @@ def pair_sources(
             "named_struct('side', 'R', 'c', _kr, 'n', _er))) AS _p"
         )
         .filter("_p.n > 0")
-        .selectExpr("_p.side AS _side", *[f"_p.c.{c} AS {c}" for c in _LEFT], "explode(sequence(1L, _p.n)) AS _copy")
-        .selectExpr("_side", *_LEFT, f"{hash_l} AS _h")
-    )
-    numbered = pieces.selectExpr(
-        "*",
-        f"row_number() OVER (PARTITION BY {KEY} ORDER BY _side, _h) AS _rn",
-        f"count_if(_side = 'L') OVER (PARTITION BY {KEY}) AS _nkl",
-    ).selectExpr(
-        "*",
-        "CASE WHEN _side = 'L' THEN _rn ELSE _rn - _nkl END AS _occ",
-        f"CASE WHEN {KEY} IS NULL THEN _side ELSE '' END AS _solo",
+        .selectExpr("_p.side AS _side", *[f"_p.c.{c} AS {c}" for c in _LEFT], "_p.n AS _n")
+        .selectExpr("*", f"{hash_l} AS _h")
     )
+    pieces = _chunks(pieces, "_n", chunk).selectExpr("*", f"pmod(xxhash64(_h, _chunk), {int(buckets)}) AS _b")
+
+    # Round 1: within (key, bucket), the n-th left row pairs with the n-th
+    # right row; the grouping reuses the spread's partitioning.
     row = "named_struct(" + ", ".join(f"'{c}', {c}" for c in _LEFT) + ", 'h', _h)"
-    rest = numbered.groupBy(KEY, "_occ", "_solo").agg(
-        F.expr(f"max(CASE WHEN _side = 'L' THEN {row} END) AS _a"),
-        F.expr(f"max(CASE WHEN _side = 'R' THEN {row} END) AS _b"),
+    solo = f"CASE WHEN {KEY} IS NULL THEN _side ELSE '' END"
+    round1 = (
+        pieces.repartition(KEY, "_b")
+        .selectExpr("*", "explode(sequence(1L, _k)) AS _copy")
+        .selectExpr(
+            KEY, "_side", "_b", f"{row} AS _row", f"{solo} AS _solo",
+            f"row_number() OVER (PARTITION BY {KEY}, _b, _side ORDER BY _h, _chunk, _copy) AS _r",
+        )
+        .groupBy(KEY, "_b", "_r", "_solo")
+        .agg(
+            F.expr("max(CASE WHEN _side = 'L' THEN _row END) AS _a"),
+            F.expr("max(CASE WHEN _side = 'R' THEN _row END) AS _z"),
+        )
+    )
+    paired1 = round1.filter("_a IS NOT NULL AND _z IS NOT NULL").select(KEY, "_a", "_z")
+    # Round 2: rows left alone in their bucket (a small residue even for a hot
+    # key: about sqrt(rows x buckets)) are numbered per key and side and
+    # paired; NULL keys are only spread, never paired.
+    residue = round1.filter("_a IS NULL OR _z IS NULL").selectExpr(
+        KEY, "_b", "_r", "_solo",
+        "CASE WHEN _a IS NOT NULL THEN 'L' ELSE 'R' END AS _side",
+        "coalesce(_a, _z) AS _row",
+        f"CASE WHEN {KEY} IS NULL THEN _b END AS _nb",
+    )
+    round2 = (
+        residue.selectExpr(
+            "*",
+            f"row_number() OVER (PARTITION BY {KEY}, _nb ORDER BY _side, _b, _r) AS _rn",
+            f"count_if(_side = 'L') OVER (PARTITION BY {KEY}, _nb) AS _nleft",
+        )
+        .selectExpr("*", "CASE WHEN _side = 'L' THEN _rn ELSE _rn - _nleft END AS _occ")
+        .groupBy(KEY, "_nb", "_occ", "_solo")
+        .agg(
+            F.expr("max(CASE WHEN _side = 'L' THEN _row END) AS _a"),
+            F.expr("max(CASE WHEN _side = 'R' THEN _row END) AS _z"),
+        )
+        .select(KEY, "_a", "_z")
     )
-    keep = {"full": None, "outer": None, "inner": "_a IS NOT NULL AND _b IS NOT NULL",
-            "left": "_a IS NOT NULL", "right": "_b IS NOT NULL"}[how]
+    rest = paired1.unionByName(round2)
+    keep = {"full": None, "outer": None, "inner": "_a IS NOT NULL AND _z IS NOT NULL",
+            "left": "_a IS NOT NULL", "right": "_z IS NOT NULL"}[how]
     if keep:
         rest = rest.filter(keep)
     rest = rest.selectExpr(
         *[f"_a.{c} AS {c}" for c in _LEFT], f"_a.h AS {LEFT_HASH}",
-        *[f"_b.{c} AS {rc}" for c, rc in zip(_LEFT, _RIGHT, strict=True)], f"_b.h AS {RIGHT_HASH}",
+        *[f"_z.{c} AS {rc}" for c, rc in zip(_LEFT, _RIGHT, strict=True)], f"_z.h AS {RIGHT_HASH}",
     )
     return exact.unionByName(rest)
 

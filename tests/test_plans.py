@@ -26,15 +26,16 @@ def no_broadcast(spark):
 
 def test_pairing_joins_on_key_and_content_only(spark):
     """Exact copies and leftovers come from one full join on (key, content)
-    (planned once per branch over the same shuffles); the rules add no join."""
+    (planned once per branch over the same shuffles); leftovers are paired by
+    grouping, and the rules add no join."""
     for name in ("c12_clean_transactions", "c12_clean_transactions_multi", "c17_reconciliation_report"):
         with no_broadcast(spark):
             df = q(spark, name)
             joins = inspect.joins(df)
             text = inspect.plan_text(df, "simple")
-        assert len(joins) == 2, (name, joins)
         found = re.findall(r"SortMergeJoin \[transaction_uid#\d+L, _kl#\d+\], \[transaction_uid_2#\d+L, _kr#\d+\], (\w+)", text)
-        assert found == ["FullOuter", "FullOuter"], (name, found)
+        assert found and len(found) == len(joins), (name, joins)
+        assert set(found) == {"FullOuter"}, (name, found)
 
 
 def test_first_n_uses_partial_group_limit(spark):
@@ -65,12 +66,13 @@ def test_pairing_shuffles_each_source_once(spark):
         df = q(spark, "c12_clean_transactions")
         df.collect()
         final = inspect.plan_text(df, "simple").split("== Initial Plan ==")[0]
-    by_content = set(re.findall(r"Exchange hashpartitioning\((transaction_uid(?:_2)?)#\d+L, _groupingexpression", final))
-    assert by_content == {"transaction_uid", "transaction_uid_2"}
-    # the second read of each step-1 shuffle is a reuse, not a new shuffle
-    assert final.count("ReusedExchange") == 2
-    # only the leftover rows are shuffled again, by key alone
-    assert len(re.findall(r"Exchange hashpartitioning\(transaction_uid#\d+L, \d+\)", final)) == 1
+    # step 1: each source shuffled once, by (key, content) ...
+    by_content = re.findall(r"\+- Exchange hashpartitioning\((transaction_uid(?:_2)?)#\d+L, _groupingexpression", final)
+    assert sorted(by_content) == ["transaction_uid", "transaction_uid_2"]
+    # ... and read again by the leftover branch through a reuse, not a new shuffle
+    assert final.count("ReusedExchange") >= 2
+    # no shuffle of rows by the key alone (a hot key would land in one task)
+    assert not re.findall(r"Exchange hashpartitioning\(transaction_uid(?:_2)?#\d+L, \d+\)", final)
 
 
 def test_bucketed_sources_pair_without_shuffling_all_rows(spark):

@@ -173,3 +173,26 @@ def test_large_group_of_copies_pairs_by_count(spark):
     summary = {r.status: r.pairs for r in rec.reconciliation_summary(
         rec.reconciliation_report(rec.pair_sources(first, second), Tolerances())).collect()}
     assert summary == {"exact": 3000, "left_only": 2000, "char": 1}
+
+
+@pytest.mark.parametrize("chunk, buckets", [(4, 3), (100_000, 64)])
+def test_skewed_leftovers_pair_exactly(spark, chunk, buckets):
+    """A key with many differing rows on both sides, a large group of copies,
+    and NULL keys: counts are exact whatever the chunk and bucket sizes."""
+    cols = "transaction_uid long, login long, counter_login long, transaction_type long, epoch long, comment string, amount decimal(18,4)"
+
+    def rows(n, uid, amount0, comment="c"):
+        return [(uid, 1, None, 1, 100, comment, Decimal(amount0 + i)) for i in range(n)]
+
+    left_rows = rows(50, 7, 0) + [(8, 1, None, 1, 100, "copy", Decimal(5))] * 25 + rows(3, None, 10_000)
+    right_rows = rows(30, 7, 1_000_000) + [(8, 1, None, 1, 100, "copy", Decimal(5))] * 10 + rows(2, None, 10_000)
+    left = spark.createDataFrame(left_rows, cols)
+    right = spark.createDataFrame(right_rows, cols)
+    first = rec.load_ledger(left.selectExpr("*", "CAST(timestamp_seconds(epoch) AS TIMESTAMP_NTZ) AS ts"), ts_col="ts")
+    second = rec.load_second_source(right.withColumnRenamed("epoch", "epoch_seconds"))
+    paired = rec.pair_sources(first, second, chunk=chunk, buckets=buckets)
+    summary = {r.status: r.pairs for r in rec.reconciliation_summary(rec.reconciliation_report(paired, Tolerances())).collect()}
+    assert summary == {"exact": 10, "unreconciled": 30, "left_only": 20 + 15 + 3, "right_only": 2}
+    # every source row appears in exactly one pair
+    assert paired.filter("row_sha2 IS NOT NULL").count() == len(left_rows)
+    assert paired.filter("row2_sha2 IS NOT NULL").count() == len(right_rows)
