@@ -161,10 +161,11 @@ def pair_sources(
        rows. They are spread (in chunks of copies) over ``buckets`` buckets
        per key by their hash; within a (key, bucket) the n-th left row pairs
        with the n-th right row (ordered by hash). Rows left alone in their
-       bucket -- about sqrt(rows x buckets) for a key with many leftovers, the
-       single non-exact pair for a unique key -- are numbered per key and
-       paired the same way in a second round. A key with a large share of
-       the leftovers is thus split over many tasks. A NULL key never pairs.
+       bucket are numbered per key and side across buckets -- their rank in
+       the bucket plus the residue of the earlier buckets (prefix sums over a
+       table of at most ``buckets`` rows per key) -- and paired on
+       (key, number) in a second round. No step puts all rows of one key in
+       one task. A NULL key never pairs.
 
     With unique keys this is exactly the key join; a key repeated n and m
     times yields max(n, m) pairs, never n * m. Row hashes are computed after
@@ -203,7 +204,11 @@ def pair_sources(
         .selectExpr("*", *[f"{lc} AS {rc}" for lc, rc in zip(_LEFT, _RIGHT, strict=True)], f"{LEFT_HASH} AS {RIGHT_HASH}")
     )
 
-    # Step 2: leftovers of both sides in one frame, as chunks of copies.
+    # Step 2: leftovers of both sides in one frame, as chunks of copies. The
+    # key is wrapped in a struct (never NULL; struct equality treats a NULL
+    # field as a value), so NULL keys flow through the joins and groupings of
+    # this step and Catalyst infers no extra filters that would make the
+    # branches below differ (they share one shuffle).
     pieces = (
         groups.filter("_el > 0 OR _er > 0")
         .selectExpr(
@@ -212,50 +217,57 @@ def pair_sources(
         )
         .filter("_p.n > 0")
         .selectExpr("_p.side AS _side", *[f"_p.c.{c} AS {c}" for c in _LEFT], "_p.n AS _n")
-        .selectExpr("*", f"{hash_l} AS _h")
+        .selectExpr("*", f"{hash_l} AS _h", f"named_struct('k', {KEY}) AS _key")
+    )
+    pieces = _chunks(pieces, "_n", chunk).selectExpr(
+        "*", f"coalesce(pmod(xxhash64(_h, _chunk), {int(buckets)}), 0L) AS _b"
     )
-    pieces = _chunks(pieces, "_n", chunk).selectExpr("*", f"pmod(xxhash64(_h, _chunk), {int(buckets)}) AS _b")
 
     # Round 1: within (key, bucket), the n-th left row pairs with the n-th
     # right row; the grouping reuses the spread's partitioning.
     row = "named_struct(" + ", ".join(f"'{c}', {c}" for c in _LEFT) + ", 'h', _h)"
     solo = f"CASE WHEN {KEY} IS NULL THEN _side ELSE '' END"
     round1 = (
-        pieces.repartition(KEY, "_b")
+        pieces.repartition("_key", "_b")
         .selectExpr("*", "explode(sequence(1L, _k)) AS _copy")
         .selectExpr(
-            KEY, "_side", "_b", f"{row} AS _row", f"{solo} AS _solo",
-            f"row_number() OVER (PARTITION BY {KEY}, _b, _side ORDER BY _h, _chunk, _copy) AS _r",
+            "_key", "_side", "_b", f"{row} AS _row", f"{solo} AS _solo",
+            "row_number() OVER (PARTITION BY _key, _b, _side ORDER BY _h, _chunk, _copy) AS _r",
         )
-        .groupBy(KEY, "_b", "_r", "_solo")
+        .groupBy("_key", "_b", "_r", "_solo")
         .agg(
             F.expr("max(CASE WHEN _side = 'L' THEN _row END) AS _a"),
             F.expr("max(CASE WHEN _side = 'R' THEN _row END) AS _z"),
         )
     )
-    paired1 = round1.filter("_a IS NOT NULL AND _z IS NOT NULL").select(KEY, "_a", "_z")
-    # Round 2: rows left alone in their bucket (a small residue even for a hot
-    # key: about sqrt(rows x buckets)) are numbered per key and side and
-    # paired; NULL keys are only spread, never paired.
-    residue = round1.filter("_a IS NULL OR _z IS NULL").selectExpr(
-        KEY, "_b", "_r", "_solo",
-        "CASE WHEN _a IS NOT NULL THEN 'L' ELSE 'R' END AS _side",
-        "coalesce(_a, _z) AS _row",
-        f"CASE WHEN {KEY} IS NULL THEN _b END AS _nb",
-    )
-    round2 = (
-        residue.selectExpr(
-            "*",
-            f"row_number() OVER (PARTITION BY {KEY}, _nb ORDER BY _side, _b, _r) AS _rn",
-            f"count_if(_side = 'L') OVER (PARTITION BY {KEY}, _nb) AS _nleft",
-        )
-        .selectExpr("*", "CASE WHEN _side = 'L' THEN _rn ELSE _rn - _nleft END AS _occ")
-        .groupBy(KEY, "_nb", "_occ", "_solo")
+    paired1 = round1.filter("_a IS NOT NULL AND _z IS NOT NULL").select("_a", "_z")
+    # Round 2: rows left alone in their bucket are numbered per key and side
+    # across buckets: a bucket's residue rows are its ranks above the pairs
+    # it formed, offset by the residue of the earlier buckets (prefix sums
+    # over a table of at most ``buckets`` rows per key). The final grouping
+    # on (key, number) spreads a large residue over many tasks; NULL keys
+    # never pair.
+    per_bucket = (
+        round1.groupBy("_key", "_b")
         .agg(
-            F.expr("max(CASE WHEN _side = 'L' THEN _row END) AS _a"),
-            F.expr("max(CASE WHEN _side = 'R' THEN _row END) AS _z"),
+            F.expr("count_if(_a IS NOT NULL AND _z IS NOT NULL) AS _p"),
+            F.expr("count_if(_a IS NOT NULL AND _z IS NULL) AS _nl"),
+            F.expr("count_if(_z IS NOT NULL AND _a IS NULL) AS _nr"),
         )
-        .select(KEY, "_a", "_z")
+        .selectExpr(
+            "_key", "_b", "_p",
+            "coalesce(sum(_nl) OVER (PARTITION BY _key ORDER BY _b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0L) AS _ol",
+            "coalesce(sum(_nr) OVER (PARTITION BY _key ORDER BY _b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0L) AS _or",
+        )
+    )
+    residue = round1.filter("_a IS NULL OR _z IS NULL").join(per_bucket, ["_key", "_b"], "inner").selectExpr(
+        "_key", "_solo", "_a", "_z",
+        "CASE WHEN _a IS NOT NULL THEN _ol ELSE _or END + (_r - _p) AS _occ",
+    )
+    round2 = (
+        residue.groupBy("_key", "_occ", "_solo")
+        .agg(F.expr("max(_a) AS _a"), F.expr("max(_z) AS _z"))
+        .select("_a", "_z")
     )
     rest = paired1.unionByName(round2)
     keep = {"full": None, "outer": None, "inner": "_a IS NOT NULL AND _z IS NOT NULL",

@@ -27,15 +27,17 @@ def no_broadcast(spark):
 def test_pairing_joins_on_key_and_content_only(spark):
     """Exact copies and leftovers come from one full join on (key, content)
     (planned once per branch over the same shuffles); leftovers are paired by
-    grouping, and the rules add no join."""
+    grouping, with one join to a small table of bucket offsets; the rules add
+    no join."""
     for name in ("c12_clean_transactions", "c12_clean_transactions_multi", "c17_reconciliation_report"):
         with no_broadcast(spark):
             df = q(spark, name)
             joins = inspect.joins(df)
             text = inspect.plan_text(df, "simple")
-        found = re.findall(r"SortMergeJoin \[transaction_uid#\d+L, _kl#\d+\], \[transaction_uid_2#\d+L, _kr#\d+\], (\w+)", text)
-        assert found and len(found) == len(joins), (name, joins)
-        assert set(found) == {"FullOuter"}, (name, found)
+        step1 = re.findall(r"SortMergeJoin \[transaction_uid#\d+L, _kl#\d+\], \[transaction_uid_2#\d+L, _kr#\d+\], (\w+)", text)
+        offsets = re.findall(r"SortMergeJoin \[_key#\d+, _b#\d+L\], \[_key#\d+, _b#\d+L\], Inner", text)
+        assert step1 and set(step1) == {"FullOuter"}, (name, step1)
+        assert len(step1) + len(offsets) == len(joins), (name, joins)
 
 
 def test_first_n_uses_partial_group_limit(spark):
