@@ -36,20 +36,51 @@ PLAN_CONF = {
 }
 
 
+# Fixed sizing targets: bytes per shuffle partition after AQE coalescing, and
+# bytes per input split.
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+TARGET_SPLIT_BYTES = 256 * 1024 * 1024
+
+
+def sizing_conf(input_bytes: int, total_cores: int) -> dict[str, str]:
+    """Partition settings for a job reading ``input_bytes`` on ``total_cores``.
+
+    Shuffle partitions start at about one per 256 MB of input (at least three
+    waves of tasks); AQE then coalesces small ones to the same advisory size
+    and splits skewed join partitions over 5x the median. At 100 TB on
+    1000 executors x 8 cores this gives ~400k initial partitions.
+    """
+    initial = max(3 * total_cores, -(-int(input_bytes) // TARGET_PARTITION_BYTES))
+    return {
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TARGET_PARTITION_BYTES),
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(16 * 1024 * 1024),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(TARGET_PARTITION_BYTES),
+        "spark.sql.files.maxPartitionBytes": str(TARGET_SPLIT_BYTES),
+    }
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "ledgerlens",
     shuffle_partitions: int | None = None,
     extra_conf: dict[str, str] | None = None,
+    input_bytes: int | None = None,
+    total_cores: int | None = None,
 ) -> SparkSession:
     """Create (or fetch) a session with the package's required settings.
 
     ``master`` is only set when given, so that a cluster launcher keeps control.
+    With ``input_bytes`` and ``total_cores`` the partition settings come from
+    ``sizing_conf``.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = {**PLAN_CONF, **REQUIRED_CONF, "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"}
+    if input_bytes and total_cores:
+        conf.update(sizing_conf(input_bytes, total_cores))
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})

@@ -191,3 +191,12 @@ def test_tolerances_are_typed():
     t = Tolerances.from_mapping({"tolerance_percent": "5", "tolerance_levenshtein": "1", "tolerance_seconds": "300"})
     assert (t.percent, t.levenshtein, t.seconds) == (5, 1, 300)
     assert Tolerances.from_mapping({"tolerance_percent": "2.5"}).percent == Decimal("2.5")
+
+
+def test_sizing_conf_scales_with_input():
+    from ledgerlens.session import sizing_conf
+
+    small = sizing_conf(10 * 1024**2, 8)
+    assert small["spark.sql.shuffle.partitions"] == "24"
+    big = sizing_conf(100 * 1024**4, 8000)
+    assert int(big["spark.sql.shuffle.partitions"]) == 409600
