@@ -73,3 +73,57 @@ def test_status_precedence_is_first_accepting_rule(spark):
     got = [r.status for r in rec.classify(df, tol).collect()]
     # equal rows with different hashes pass the comment rule first (distance 0)
     assert got == ["char", "int", "date"]
+
+
+SRC = ("transaction_uid long, login long, counter_login long, transaction_type long, "
+       "ts timestamp_ntz, comment string, amount decimal(18,4)")
+src_rows = st.lists(
+    st.tuples(
+        st.sampled_from([1, 2, 3, None]),
+        st.sampled_from([1, 2]),
+        st.sampled_from([None, 0]),
+        st.sampled_from(["a", "b", None]),
+        st.sampled_from([Decimal(1), Decimal(2)]),
+    ),
+    min_size=0,
+    max_size=25,
+)
+
+
+def _as_rows(items):
+    import datetime as dt
+
+    return [(k, login, counter, 1, dt.datetime(2020, 1, 1), c, a) for k, login, counter, c, a in items]
+
+
+@settings(max_examples=4, deadline=None)
+@given(src_rows, src_rows, st.sampled_from([(1, 1), (2, 2), (3, 5), (100_000, 64)]))
+def test_pairing_invariants(spark, left_items, right_items, sizes):
+    from collections import Counter
+
+    chunk, buckets = sizes
+    left_rows, right_rows = _as_rows(left_items), _as_rows(right_items)
+    first = rec.load_ledger(spark.createDataFrame(left_rows, SRC), ts_col="ts")
+    second = rec.load_second_source(
+        spark.createDataFrame(right_rows, SRC).selectExpr(
+            "transaction_uid", "login", "counter_login", "transaction_type", "unix_timestamp(ts) AS epoch_seconds",
+            "comment", "amount",
+        )
+    )
+    pairs = [r.asDict() for r in rec.pair_sources(first, second, chunk=chunk, buckets=buckets).collect()]
+    seven = ["transaction_uid", "login", "counter_login", "transaction_type", "unix_timestamp", "comment", "amount"]
+    lefts = Counter(tuple(p[c] for c in seven) for p in pairs if p["row_sha2"] is not None)
+    rights = Counter(tuple(p[c + "_2"] for c in seven) for p in pairs if p["row2_sha2"] is not None)
+    epoch = 1577836800
+    assert lefts == Counter((r[0], r[1], r[2], r[3], epoch, r[5], r[6]) for r in left_rows)
+    assert rights == Counter((r[0], r[1], r[2], r[3], epoch, r[5], r[6]) for r in right_rows)
+    both = [p for p in pairs if p["row_sha2"] is not None and p["row2_sha2"] is not None]
+    assert all(p["transaction_uid"] is not None and p["transaction_uid"] == p["transaction_uid_2"] for p in both)
+    n_left = Counter(r[0] for r in left_rows if r[0] is not None)
+    n_right = Counter(r[0] for r in right_rows if r[0] is not None)
+    per_key = Counter(p["transaction_uid"] for p in both)
+    assert per_key == Counter({k: min(n_left[k], n_right[k]) for k in n_left if min(n_left[k], n_right[k]) > 0})
+    same = sum(1 for p in both if all(p[c] == p[c + "_2"] for c in seven))
+    cl = Counter(r for r in left_rows if r[0] is not None)
+    cr = Counter(r for r in right_rows if r[0] is not None)
+    assert same == sum(min(n, cr[row]) for row, n in cl.items())
