@@ -188,20 +188,24 @@ def pair_sources(
         "coalesce(_nr, 0L) - least(coalesce(_nl, 0L), coalesce(_nr, 0L)) AS _er",
     )
     hash_l = row_hash_sql(_LEFT, null_token)
-    content_cols = [f"_c.{c} AS {c}" for c in _LEFT]
 
-    # Step 1: identical rows on both sides, one output row per pair of copies.
-    matched = groups.filter("_m > 0").selectExpr("_kl AS _c", "_m")
-    small = matched.filter(f"_m <= {int(chunk)}").selectExpr(*content_cols, "explode(sequence(1L, _m)) AS _copy")
+    def content_cols_of(struct: str) -> list[str]:
+        return [f"{struct}.{c} AS {c}" for c in _LEFT]
+
+    # Step 1: identical rows on both sides, one output row per pair of copies
+    # (the hash is computed once per distinct row, before the expansion).
+    matched = groups.filter("_m > 0").selectExpr(*content_cols_of("_kl"), "_m").selectExpr(
+        "*", f"{hash_l} AS {LEFT_HASH}"
+    )
+    small = matched.filter(f"_m <= {int(chunk)}").selectExpr("*", "explode(sequence(1L, _m)) AS _copy")
     large = (
         _chunks(matched.filter(f"_m > {int(chunk)}"), "_m", chunk)
-        .repartition(F.expr(f"_c.{KEY}"), F.col("_chunk"))
-        .selectExpr(*content_cols, "explode(sequence(1L, _k)) AS _copy")
+        .repartition(KEY, "_chunk")
+        .selectExpr("*", "explode(sequence(1L, _k)) AS _copy")
+        .drop("_chunk", "_k")
     )
-    exact = (
-        small.unionByName(large)
-        .selectExpr(*_LEFT, f"{hash_l} AS {LEFT_HASH}")
-        .selectExpr("*", *[f"{lc} AS {rc}" for lc, rc in zip(_LEFT, _RIGHT, strict=True)], f"{LEFT_HASH} AS {RIGHT_HASH}")
+    exact = small.unionByName(large).selectExpr(
+        *_LEFT, LEFT_HASH, *[f"{lc} AS {rc}" for lc, rc in zip(_LEFT, _RIGHT, strict=True)], f"{LEFT_HASH} AS {RIGHT_HASH}"
     )
 
     # Step 2: leftovers of both sides in one frame, as chunks of copies. The
