@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -44,6 +44,36 @@ def create_schemas(spark: SparkSession, root: str | None = None, fmt: str = "par
     return created
 
 
+# Fixed column defaults declared by the table definitions (SQL expressions).
+DEFAULTS: Mapping[str, Mapping[str, str]] = {
+    "bank.tb_transactions": {"transaction_ts": "CAST(current_timestamp() AS TIMESTAMP_NTZ)"},
+}
+
+
 def load_rows(spark: SparkSession, rows: Iterable[tuple], schema: StructType) -> DataFrame:
     """Typed rows (e.g. seed values) as a DataFrame with a fixed schema."""
     return spark.createDataFrame(list(rows), schema=schema)
+
+
+def insert_rows(
+    spark: SparkSession,
+    table: str,
+    rows: Iterable[tuple],
+    columns: Sequence[str] | None = None,
+) -> None:
+    """Append rows to a created table, like ``INSERT INTO t (cols) VALUES``.
+
+    Columns left out take the table's declared default (``DEFAULTS``) or NULL.
+    """
+    schema = spark.table(table).schema
+    names = list(columns) if columns is not None else schema.fieldNames()
+    given = load_rows(spark, rows, StructType([schema[n] for n in names]))
+    defaults = DEFAULTS.get(table, {})
+    exprs = []
+    for field in schema.fields:
+        if field.name in names:
+            exprs.append(f"`{field.name}`")
+        else:
+            value = defaults.get(field.name, "NULL")
+            exprs.append(f"CAST({value} AS {field.dataType.simpleString()}) AS `{field.name}`")
+    given.selectExpr(*exprs).write.insertInto(table)

@@ -196,3 +196,16 @@ def test_skewed_leftovers_pair_exactly(spark, chunk, buckets):
     # every source row appears in exactly one pair
     assert paired.filter("row_sha2 IS NOT NULL").count() == len(left_rows)
     assert paired.filter("row2_sha2 IS NOT NULL").count() == len(right_rows)
+
+
+def test_insert_rows_with_column_list_and_default(spark, tmp_dir):
+    catalog.create_schemas(spark, root=f"{tmp_dir}/tables")
+    cols = ["transaction_uid", "login", "counter_login", "transaction_type", "comment", "amount"]
+    catalog.insert_rows(
+        spark, "bank.tb_transactions",
+        [(501, 71, None, 1, "", Decimal("250")), (502, 72, 73, -1, "refund", Decimal("12.5"))],
+        cols,
+    )
+    got = spark.table("bank.tb_transactions").orderBy("transaction_uid").collect()
+    assert [r.transaction_uid for r in got][-2:] == [501, 502]
+    assert all(r.transaction_ts is not None for r in got)  # declared default: load time
