@@ -25,11 +25,11 @@ PAIRED = StructType(
 )
 
 BASE = dict(
-    transaction_uid=3000005,
-    login=10005001,
+    transaction_uid=41,
+    login=7001,
     counter_login=None,
     transaction_type=-1,
-    unix_timestamp=1586453322,
+    unix_timestamp=1600000000,
     comment="Rental Pay",
     amount=Decimal("50"),
 )
@@ -96,7 +96,7 @@ def test_equal_hashes_are_not_tolerance_matches(spark):
 
 
 def test_date_two_seconds_accepted(spark):
-    p = pair(left={"unix_timestamp": 1586453320})
+    p = pair(left={"unix_timestamp": 1600000000 - 2})
     assert run(spark, rec.date_rec, [p], 300) == [first_values(p)]
 
 
@@ -112,13 +112,13 @@ def test_date_two_seconds_accepted(spark):
     ],
 )
 def test_date_boundaries(spark, delta, symmetric, accepted):
-    p = pair(left={"unix_timestamp": 1586453322 + delta})
+    p = pair(left={"unix_timestamp": 1600000000 + delta})
     assert bool(run(spark, rec.date_rec, [p], 300, symmetric=symmetric)) is accepted
 
 
 def test_date_null_comment_equals_null_but_not_empty(spark):
-    both_null = pair(left={"unix_timestamp": 1586453320, "comment": None}, right={"comment": None})
-    null_vs_empty = pair(left={"unix_timestamp": 1586453320, "comment": None}, right={"comment": ""})
+    both_null = pair(left={"unix_timestamp": 1600000000 - 2, "comment": None}, right={"comment": None})
+    null_vs_empty = pair(left={"unix_timestamp": 1600000000 - 2, "comment": None}, right={"comment": ""})
     assert len(run(spark, rec.date_rec, [both_null], 300)) == 1
     assert run(spark, rec.date_rec, [null_vs_empty], 300) == []
 
@@ -177,7 +177,7 @@ def test_status_of_unmatched_and_unreconciled(spark):
     names = [n for n, _ in SIDE]
     left_only = tuple(BASE[n] for n in names) + ("h1",) + (None,) * 8
     right_only = (None,) * 8 + tuple(BASE[n] for n in names) + ("h2",)
-    two_errors = pair(right={"amount": Decimal("51"), "unix_timestamp": 1586453000})
+    two_errors = pair(right={"amount": Decimal("51"), "unix_timestamp": 1600000000 - 322})
     df = spark.createDataFrame([left_only, right_only, two_errors], PAIRED)
     got = sorted(r.status for r in rec.classify(df, Tolerances()).collect())
     assert got == ["left_only", "right_only", "unreconciled"]
