@@ -159,8 +159,8 @@ def pair_sources(
     2. Only the rows left over (missing or different on the other side) are
        paired -- the candidates for the tolerance rules and the unmatched
        rows. They are spread (in chunks of copies) over ``buckets`` buckets
-       per key by their hash; within a (key, bucket) the n-th left row pairs
-       with the n-th right row (ordered by hash). Rows left alone in their
+       per key by a hash of their content; within a (key, bucket) the n-th
+       left row pairs with the n-th right row (in content-hash order). Rows left alone in their
        bucket are numbered per key and side across buckets -- their rank in
        the bucket plus the residue of the earlier buckets (prefix sums over a
        table of at most ``buckets`` rows per key) -- and paired on
@@ -168,8 +168,9 @@ def pair_sources(
        one task. A NULL key never pairs.
 
     With unique keys this is exactly the key join; a key repeated n and m
-    times yields max(n, m) pairs, never n * m. Row hashes are computed after
-    the step-1 shuffle, once per distinct row.
+    times yields max(n, m) pairs, never n * m. Text row hashes are computed
+    after the shuffles (once per distinct exact row), so no shuffle carries
+    them.
     """
     right_key = KEY + SUFFIX
     if not one_to_one:
@@ -221,22 +222,26 @@ def pair_sources(
         )
         .filter("_p.n > 0")
         .selectExpr("_p.side AS _side", *[f"_p.c.{c} AS {c}" for c in _LEFT], "_p.n AS _n")
-        .selectExpr("*", f"{hash_l} AS _h", f"named_struct('k', {KEY}) AS _key")
+        .selectExpr("*", f"xxhash64({', '.join(_LEFT)}) AS _x", f"named_struct('k', {KEY}) AS _key")
     )
+    # Buckets and order come from a 64-bit hash of the content (ties broken by
+    # the content itself); the text row hash is computed after the shuffle.
     pieces = _chunks(pieces, "_n", chunk).selectExpr(
-        "*", f"coalesce(pmod(xxhash64(_h, _chunk), {int(buckets)}), 0L) AS _b"
+        "*", f"coalesce(pmod(xxhash64(_x, _chunk), {int(buckets)}), 0L) AS _b"
     )
 
     # Round 1: within (key, bucket), the n-th left row pairs with the n-th
     # right row; the grouping reuses the spread's partitioning.
     row = "named_struct(" + ", ".join(f"'{c}', {c}" for c in _LEFT) + ", 'h', _h)"
     solo = f"CASE WHEN {KEY} IS NULL THEN _side ELSE '' END"
+    order = ", ".join(["_x", *_LEFT, "_chunk", "_copy"])
     round1 = (
         pieces.repartition("_key", "_b")
         .selectExpr("*", "explode(sequence(1L, _k)) AS _copy")
+        .selectExpr("*", f"{hash_l} AS _h")
         .selectExpr(
             "_key", "_side", "_b", f"{row} AS _row", f"{solo} AS _solo",
-            "row_number() OVER (PARTITION BY _key, _b, _side ORDER BY _h, _chunk, _copy) AS _r",
+            f"row_number() OVER (PARTITION BY _key, _b, _side ORDER BY {order}) AS _r",
         )
         .groupBy("_key", "_b", "_r", "_solo")
         .agg(
