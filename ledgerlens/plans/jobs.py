@@ -7,10 +7,11 @@ no stage holds more than one join in its lineage.
 Reconciliation writes every pair once, with its status (and, for the
 multi-rule variant, every accepting rule), partitioned by status; the clean
 table is then a partition-pruned read of the accepted statuses, written
-partitioned by transaction date. Aggregates append one calculation to
-history tables partitioned by ``date_from`` (so ``latest_aggregates`` can pick
-the newest calculation per key); monthly and total sums are rolled up from
-the daily rows of the same calculation instead of rescanning transactions.
+partitioned by transaction date. Aggregates add one calculation to history
+tables partitioned by calculation and ``date_from`` (so ``latest_aggregates``
+can pick the newest calculation per key, and a rerun of a calculation
+replaces it); monthly and total sums are rolled up from the daily rows of the
+same calculation instead of rescanning transactions.
 """
 
 from __future__ import annotations
@@ -74,17 +75,35 @@ class AggregateOutput:
     calculation_ts: dt.datetime
 
 
+def _write_calculation(df: DataFrame, path: str, partition_cols: tuple[str, ...]) -> None:
+    """Write one calculation; a re-run of the same calculation replaces its
+    own partitions (dynamic overwrite) and leaves other calculations alone."""
+    (
+        df.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*partition_cols)
+        .parquet(path)
+    )
+
+
 def aggregates(spark: SparkSession, clean: DataFrame, out_dir: str, calculation_ts: dt.datetime | None = None) -> AggregateOutput:
-    """Append one calculation of daily, monthly and total signed sums."""
+    """Add one calculation of daily, monthly and total signed sums to the history.
+
+    Each history table is partitioned by ``calc_id`` (the calculation time as
+    text) and, for daily and monthly sums, ``date_from``; rerunning a
+    calculation after a failure rewrites exactly its own partitions.
+    """
     calc = calculation_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
+    calc_id = calc.strftime("%Y%m%dT%H%M%S")
     base = out_dir.rstrip("/")
     out = AggregateOutput(f"{base}/daily", f"{base}/monthly", f"{base}/total", calc)
+    tag = F.lit(calc_id).alias("calc_id")
 
     daily = agg.daily_agg(agg.signed_amounts(clean), calculation_ts=calc)
-    daily.write.mode("append").partitionBy("date_from").parquet(out.daily)
+    _write_calculation(daily.select("*", tag), out.daily, ("calc_id", "date_from"))
 
-    this_run = spark.read.parquet(out.daily).filter(f"calculation_ts = TIMESTAMP_NTZ'{calc.isoformat(sep=' ')}'")
-    monthly, total = agg.rollup_from_daily(this_run.drop("calculation_ts"), calculation_ts=calc)
-    monthly.write.mode("append").partitionBy("date_from").parquet(out.monthly)
-    total.write.mode("append").parquet(out.total)
+    this_run = spark.read.parquet(out.daily).filter(F.col("calc_id") == calc_id)
+    monthly, total = agg.rollup_from_daily(this_run.drop("calculation_ts", "calc_id"), calculation_ts=calc)
+    _write_calculation(monthly.select("*", tag), out.monthly, ("calc_id", "date_from"))
+    _write_calculation(total.select("*", tag), out.total, ("calc_id",))
     return out

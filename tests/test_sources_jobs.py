@@ -102,12 +102,17 @@ def test_reconcile_and_aggregate_jobs(spark, tmp_dir):
     assert rows(daily.select("login", "date_from", "daily_sum")) == rows(
         agg.daily_agg(agg.signed_amounts(direct), calculation_ts=False)
     )
-    # a second calculation appends history; latest_aggregates keeps one row per key
+    # rerunning the same calculation replaces it (no doubled history) ...
+    n_daily, total_before = daily.count(), s(total, "total_sum")
+    jobs.aggregates(spark, clean, f"{tmp_dir}/agg", calc)
+    assert spark.read.parquet(a.daily).count() == n_daily
+    assert s(spark.read.parquet(a.total), "total_sum") == total_before
+    # ... a second calculation adds history; latest_aggregates keeps one row per key
     jobs.aggregates(spark, clean, f"{tmp_dir}/agg", calc + dt.timedelta(days=1))
     hist = spark.read.parquet(a.daily)
-    assert hist.count() == 2 * daily.count()
+    assert hist.count() == 2 * n_daily
     latest = agg.latest_aggregates(hist, ["login", "date_from"])
-    assert latest.count() == daily.count()
+    assert latest.count() == n_daily
     assert {r.calculation_ts for r in latest.select("calculation_ts").distinct().collect()} == {calc + dt.timedelta(days=1)}
 
 
