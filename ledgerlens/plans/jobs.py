@@ -52,7 +52,7 @@ def reconcile(
         f"{rec.status_sql(tol)} AS status",
         f"{rec.passed_statuses_sql(tol)} AS passed",
     )
-    write_partitioned(classified, out.pairs, "status")
+    write_partitioned(classified, out.pairs, "status", dynamic=False)  # a full report per run
 
     pairs = spark.read.parquet(out.pairs)
     accepted = pairs.filter(F.col("status").isin(*rec.ACCEPTED))

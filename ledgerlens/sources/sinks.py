@@ -31,6 +31,7 @@ def write_partitioned(
     cluster_by: Sequence[str] = (),
     max_records_per_file: int | None = None,
     fmt: str = "parquet",
+    dynamic: bool = True,
 ) -> None:
     """Write ``df`` partitioned by ``partition_col`` (derived from
     ``source_expr``, e.g. ``to_date(transaction_ts)``, when given).
@@ -39,11 +40,14 @@ def write_partitioned(
     (partition_col, *cluster_by): each date goes to few files, and a date
     holding a large share of the rows is split over several tasks along the
     second key instead of landing in one.
+
+    ``dynamic=True`` replaces only the partitions present in ``df`` (a run
+    owns the dates it writes); ``dynamic=False`` replaces the whole table.
     """
     out = df if source_expr is None else df.withColumn(partition_col, F.expr(source_expr))
     if cluster_by:
         out = out.repartitionByRange(partition_col, *cluster_by)
-    writer = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if dynamic else "static")
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", int(max_records_per_file))
     writer.partitionBy(partition_col).format(fmt).save(path)
