@@ -214,3 +214,23 @@ def test_insert_rows_with_column_list_and_default(spark, tmp_dir):
     got = spark.table("bank.tb_transactions").orderBy("transaction_uid").collect()
     assert [r.transaction_uid for r in got][-2:] == [501, 502]
     assert all(r.transaction_ts is not None for r in got)  # declared default: load time
+
+
+def test_command_line_jobs(spark, tmp_dir, capsys):
+    from ledgerlens.__main__ import main
+
+    v.ledger(spark, SF_SMALL).write.parquet(f"{tmp_dir}/ledger")
+    files.write_source_csv(v.second_source(spark, SF_SMALL), f"{tmp_dir}/second_csv")
+    ini = f"{tmp_dir}/config.ini"
+    with open(ini, "w") as fh:
+        fh.write("[tolerance_vars]\ntolerance_percent = 5\ntolerance_levenshtein = 1\ntolerance_seconds = 300\n")
+    assert main(["reconcile", "--ledger", f"{tmp_dir}/ledger", "--second", f"{tmp_dir}/second_csv",
+                 "--second-format", "csv", "--tolerances", ini, "--out", f"{tmp_dir}/rec"]) == 0
+    assert main(["aggregates", "--clean", f"{tmp_dir}/rec/clean", "--out", f"{tmp_dir}/agg",
+                 "--calculation-ts", "2024-03-01 00:00:00"]) == 0
+    out = capsys.readouterr().out
+    assert '"clean":' in out and '"daily":' in out
+    clean = jobs.read_clean(spark, f"{tmp_dir}/rec/clean")
+    total = spark.read.parquet(f"{tmp_dir}/agg/total").agg({"total_sum": "sum"}).collect()[0][0]
+    assert clean.count() > 0
+    assert total == agg.signed_amounts(clean).agg({"sign_amount": "sum"}).collect()[0][0]
