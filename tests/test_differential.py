@@ -80,3 +80,17 @@ def test_daily_monthly_total_agree(spark):
         return QUERIES[name](spark, SF_SMALL).agg({col: "sum"}).collect()[0][0]
 
     assert total("c14_daily_agg", "daily_sum") == total("c15_monthly_agg", "monthly_sum") == total("c16_total_agg", "total_sum")
+
+
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
+                 "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if not n.startswith("s")))
+def test_query_types_match_oracle(spark, duck, name):
+    df = QUERIES[name](spark, SF_SMALL)
+    res = duck.execute(f"SELECT * FROM ({ORACLE[name]}) q LIMIT 0")
+    oracle = {d[0]: str(d[1]) for d in res.description}
+    for field in df.schema.fields:
+        t = field.dataType.simpleString()
+        assert oracle[field.name] == SPARK_TO_DUCK.get(t, t.upper()), (field.name, t, oracle[field.name])
