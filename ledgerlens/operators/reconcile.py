@@ -173,6 +173,10 @@ def pair_sources(
     them.
     """
     right_key = KEY + SUFFIX
+    keep_rule = {"full": None, "outer": None, "inner": "_a IS NOT NULL AND _z IS NOT NULL",
+                 "left": "_a IS NOT NULL", "right": "_z IS NOT NULL"}
+    if how not in keep_rule:
+        raise ValueError(f"how must be one of {sorted(keep_rule)}, got {how!r}")
     if not one_to_one:
         return first.join(second, F.expr(f"{KEY} = {right_key}"), how)
 
@@ -279,8 +283,7 @@ def pair_sources(
         .select("_a", "_z")
     )
     rest = paired1.unionByName(round2)
-    keep = {"full": None, "outer": None, "inner": "_a IS NOT NULL AND _z IS NOT NULL",
-            "left": "_a IS NOT NULL", "right": "_z IS NOT NULL"}[how]
+    keep = keep_rule[how]
     if keep:
         rest = rest.filter(keep)
     rest = rest.selectExpr(

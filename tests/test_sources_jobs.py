@@ -234,3 +234,16 @@ def test_command_line_jobs(spark, tmp_dir, capsys):
     total = spark.read.parquet(f"{tmp_dir}/agg/total").agg({"total_sum": "sum"}).collect()[0][0]
     assert clean.count() > 0
     assert total == agg.signed_amounts(clean).agg({"sign_amount": "sum"}).collect()[0][0]
+
+
+def test_pairing_join_types(spark):
+    first = rec.load_ledger(v.ledger(spark, SF_SMALL))
+    second = rec.load_second_source(v.second_source(spark, SF_SMALL))
+    n_left, n_right = first.count(), second.count()
+    full = rec.pair_sources(first, second, how="full")
+    both = full.filter("row_sha2 IS NOT NULL AND row2_sha2 IS NOT NULL").count()
+    assert rec.pair_sources(first, second, how="inner").count() == both
+    assert rec.pair_sources(first, second, how="left").count() == n_left
+    assert rec.pair_sources(first, second, how="right").count() == n_right
+    with pytest.raises(ValueError):
+        rec.pair_sources(first, second, how="cross")
