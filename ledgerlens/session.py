@@ -9,7 +9,6 @@ shuffle partitions are split.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -133,7 +132,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
     base = shared_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def sf_dir_default() -> str:
-    return os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")

@@ -64,7 +64,13 @@ def start_daily_partials(
 
 
 def daily_sums(spark: SparkSession, out_dir: str) -> DataFrame:
-    """Daily signed sums folded from all written partials."""
+    """Daily signed sums folded from all written partials.
+
+    Partials accumulate one folder per micro-batch; writing this result to a
+    table now and then (and starting a new partials folder) keeps the fold
+    cheap -- sums are decomposable, so the compacted table plus the newer
+    partials give the same sums.
+    """
     return (
         spark.read.parquet(out_dir)
         .groupBy("login", "date_from")
