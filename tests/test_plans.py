@@ -93,3 +93,13 @@ def test_partitioned_read_prunes_folders(spark):
     text = inspect.plan_text(q(spark, "s6_partitioned_clean"), "simple")
     m = re.search(r"PartitionFilters: \[([^\]]*)\]", text)
     assert m and "transaction_date" in m.group(1)
+
+
+def test_first_trade_is_reduced_per_order_before_the_join(spark):
+    with no_broadcast(spark):
+        text = inspect.plan_text(q(spark, "c1_first_deposit_funnel"), "simple")
+    lines = text.splitlines()
+    join = next(i for i, l in enumerate(lines) if "SortMergeJoin [l_orderkey" in l)
+    below = "\n".join(lines[join:])
+    # the line items reach the join as one row per order (partial + final min)
+    assert "partial_min(l_shipdate" in below and "functions=[min(l_shipdate" in below
