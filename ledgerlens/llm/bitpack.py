@@ -181,8 +181,9 @@ def write_ids(
                     store, base = open_fs(where)
                     store.create_dir(base, recursive=True)
                     writer = Writer(store.open_output_stream(f"{base}/{name}"), bits, block)
-                for d, ids in zip(part.column("doc_id").to_pylist(), coder.encode(part.column("text").to_pylist()), strict=True):
-                    writer.add(d, np.concatenate([ids, end]))
+                flat, at = coder.encode_column(part.column("text"))
+                for d, a, b in zip(part.column("doc_id").to_pylist(), at[:-1].tolist(), at[1:].tolist(), strict=True):
+                    writer.add(d, np.concatenate([flat[a:b], end]))
         if writer is not None:
             writer.close()
             yield pa.RecordBatch.from_pydict(

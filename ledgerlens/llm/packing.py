@@ -43,8 +43,9 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, end_id: int = 1, capac
         for batch in batches:
             for lo, hi in text_slices(batch):
                 part, rows = batch.slice(lo, hi - lo), []
-                for d, ids in zip(part.column("doc_id").to_pylist(), coder.encode(part.column("text").to_pylist()), strict=True):
-                    ids = np.concatenate([ids, end]).astype("<u4")
+                flat, bound = coder.encode_column(part.column("text"))
+                for d, a, b in zip(part.column("doc_id").to_pylist(), bound[:-1].tolist(), bound[1:].tolist(), strict=True):
+                    ids = np.concatenate([flat[a:b], end]).astype("<u4")
                     for k, at in enumerate(range(0, len(ids), capacity)):
                         own = ids[at : at + capacity]
                         rows.append((d, k, at, len(own), zlib.crc32(own.tobytes())))

@@ -7,8 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import bitpack, packing
-from ledgerlens.llm.common import documents
+from ledgerlens.llm import bitpack, digest, nbest, packing, repeats, secret_scan, toxicity
+from ledgerlens.llm.common import documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -19,11 +19,37 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op1_segment_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.score(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 @query
 def op2_bit_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitpack.token_files(spark, documents(spark, sf_dir))
 
 
+@query
+def op6_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(documents(spark, sf_dir)).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
+
+
+@query
+def op7_quartile_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest.edit_report(documents(spark, sf_dir))
+
+
+@query
+def op8_interval_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.report(documents(spark, sf_dir))
+
+
+@query
+def op9_nbest_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nbest.encode(documents(spark, sf_dir))
+
+
 @query
 def op10_swap_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir))

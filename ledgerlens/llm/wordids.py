@@ -1,31 +1,31 @@
-"""Token ids of the ``word_bpe_49k`` tokenizer, with a cache of words.
-
-The tokenizer never joins characters across white space, so a text's ids are
-those of its white-space-separated chunks, one after another. Chunks are looked
-up in a cache; new chunks of Latin letters (with one closing ``.`` or ``,`` at
-most) go to the tokenizer's own BPE model in one joined call without the
-normaliser (lower-casing is all that it does to them), every other new chunk
-through the whole tokenizer. ``tests/llm`` checks equality with plain calls.
+"""Token ids of the ``word_bpe_49k`` tokenizer for whole Arrow columns.
+
+The tokenizer never joins characters across white space, nor a letter with a
+``.`` or ``,`` that ends a chunk, so a text's ids are those of such units, one
+after another, and lower-casing them first changes nothing. Units are found and
+hashed with numpy; the distinct new ones go to the tokenizer and are kept in a
+table (hash, place, length) over one array of ids, from which all texts' ids
+are gathered. New units of plain Latin letters go to the tokenizer's own BPE
+model in joined calls without the normaliser (to which they are no work), every
+other one through the whole tokenizer. ``tests/llm`` checks equality with plain
+calls.
 """
 
 from __future__ import annotations
 
 import functools
 import os
-import re
-from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+
+from ledgerlens.llm.common import flat_bytes
+from ledgerlens.llm.rolling import LOWER, WHITE, Rolling
 
 NAME = "word_bpe_49k.json"
 VOCABULARY = 49408  # ids 0 .. 49407
-CACHE_WORDS = 300_000  # the cache is emptied beyond this: a memory bound only
-LONG_CHUNK = 200  # longer chunks are not kept in the cache
-
-# Letters below U+0250 are unchanged by NFC and stay one piece of the splitter.
-_SIMPLE = re.compile(r"([^\W\d_]+)([.,]?)")
-_ODD_SPACE = re.compile("[\x1c-\x1f]")
-_SPACES = re.compile("[ \t\n\r]+")
+TABLE_UNITS = 2_000_000  # the table starts anew beyond this: a memory bound only
+STEP = 1 << 20  # bytes hashed at a time
 
 
 def default_path() -> str:
@@ -34,6 +34,92 @@ def default_path() -> str:
     return public_tokenizers.path(NAME)
 
 
+def word_bounds(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(starts, ends) of the runs of other than white space of all texts."""
+    inside = ~WHITE[raw]
+    first, last = inside.copy(), inside.copy()
+    first[1:] &= ~inside[:-1]
+    last[:-1] &= ~inside[1:]
+    borders = bounds[1:-1]
+    first[borders[borders < len(raw)]] = inside[borders[borders < len(raw)]]
+    before = borders[borders > 0] - 1
+    last[before] = inside[before]
+    return np.flatnonzero(first), np.flatnonzero(last) + 1
+
+
+def hashed(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of ascending ranges of bytes, A-Z in lower case."""
+    hashes = np.empty(len(start), np.uint64)
+    at = 0
+    while at < len(start):
+        # Ranges that end within a step of the first one (one at least).
+        stop = max(at + 1, int(np.searchsorted(end, start[at] + STEP, side="right")))
+        base = int(start[at])
+        hashes[at:stop] = Rolling(LOWER[raw[base : int(end[stop - 1])]]).some(start[at:stop] - base, end[at:stop] - base)
+        at = stop
+    return hashes
+
+
+def units(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ranges of the units: words, without a single ``.`` or ``,`` after a
+    letter at their end, which is a unit of its own."""
+    start, end = word_bounds(raw, bounds)
+    mark, one, two = raw[end - 1], raw[np.maximum(end - 2, 0)], raw[np.maximum(end - 3, 0)]
+    low = one | 0x20
+    letter = (low >= 0x61) & (low <= 0x7A) & (one < 0x80) & (end - start >= 2)
+    # U+00C0 .. U+023F but the signs U+00D7 and U+00F7: two bytes.
+    wide = (two >= 0xC3) & (two <= 0xC8) & (one >= 0x80) & (one <= 0xBF) & (end - start >= 3)
+    wide &= ~((two == 0xC3) & ((one == 0x97) | (one == 0xB7)))
+    cut = ((mark == 0x2E) | (mark == 0x2C)) & (letter | wide)
+    extra = end[cut] - 1
+    end = end.copy()
+    end[cut] -= 1
+    order = np.argsort(np.concatenate([start, extra]), kind="stable")
+    return np.concatenate([start, extra])[order], np.concatenate([end, extra + 1])[order]
+
+
+class Table:
+    """Hash -> (place, length) in an array of ids; two sorted runs."""
+
+    def __init__(self):
+        self.runs = [(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)) for _ in range(2)]
+        self.ids = np.zeros(1 << 16, np.uint32)
+        self.used = 0
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places (-1: unknown) and lengths."""
+        place, length = np.full(len(hashes), -1, np.int64), np.zeros(len(hashes), np.int64)
+        for known, places, lengths in self.runs:
+            if len(known):
+                at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+                hit = known[at] == hashes
+                place[hit], length[hit] = places[at[hit]], lengths[at[hit]]
+        return place, length
+
+    def add(self, hashes: np.ndarray, ids: list[np.ndarray], lengths: np.ndarray) -> None:
+        """New hashes (distinct) with their ids, laid end to end."""
+        flat = np.concatenate(ids).astype(np.uint32) if ids else np.zeros(0, np.uint32)
+        while self.used + len(flat) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros(len(self.ids), np.uint32)])
+        self.ids[self.used : self.used + len(flat)] = flat
+        places = self.used + np.cumsum(lengths) - lengths
+        self.used += len(flat)
+        main, recent = self.runs
+        recent = self._merged(recent, (hashes, places, lengths))
+        if len(recent[0]) > max(50_000, len(main[0]) // 4):
+            main, recent = self._merged(main, recent), tuple(x[:0] for x in recent)
+        self.runs = [main, recent]
+
+    @staticmethod
+    def _merged(a: tuple, b: tuple) -> tuple:
+        both = [np.concatenate(x) for x in zip(a, b, strict=True)]
+        order = np.argsort(both[0], kind="stable")
+        return tuple(x[order] for x in both)
+
+    def __len__(self) -> int:
+        return sum(len(r[0]) for r in self.runs)
+
+
 class WordIds:
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -42,66 +128,79 @@ class WordIds:
         self.whole = Tokenizer.from_file(path)
         self.words = Tokenizer.from_file(path)
         self.words.normalizer = normalizers.Sequence([])
-        self.words.pre_tokenizer = pre_tokenizers.Sequence(
-            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
-        )
+        split = pre_tokenizers.WhitespaceSplit()
+        self.words.pre_tokenizer = pre_tokenizers.Sequence([split, pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        # Bytes of plain ASCII letters are their own symbols.
+        self.ascii = Tokenizer.from_file(path)
+        self.ascii.normalizer, self.ascii.pre_tokenizer = normalizers.Sequence([]), split
         vocabulary = self.whole.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         for piece, i in vocabulary.items():
             self.ends[i] = piece.endswith("</w>")
-        self.numbers = list(range(len(self.ends)))  # one int object an id
-        self.marks = {m: tuple(self._plain([m])[0]) if m else () for m in ("", ".", ",")}
-        self.cache: dict[str, tuple[int, ...]] = {}
+        self.table = Table()
 
     def _plain(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.whole.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, chunks: list[str]) -> dict[str, tuple[int, ...]]:
-        simple, stems, other = [], [], []
-        for c in chunks:
-            m = _SIMPLE.fullmatch(c) if len(c) <= LONG_CHUNK and max(c) < "ɐ" else None
-            low = m[1].lower() if m else ""
-            if low and low.isalpha() and max(low) < "ɐ":
-                simple.append((c, m[2]))
-                stems.append(low)
+    def _learn(self, hashes: np.ndarray, new: list[str]) -> None:
+        """Encode the distinct units ``new`` into the table."""
+        kinds: tuple[list[int], list[int], list[int]] = ([], [], [])
+        low = []
+        for k, unit in enumerate(new):
+            unit = unit.lower()
+            low.append(unit)
+            if not unit.isalpha() or len(unit) > 1000:
+                kinds[2].append(k)
+            elif unit.isascii():
+                kinds[0].append(k)
+            elif max(unit) < "ɐ":  # letters below U+0250 are the same under NFC
+                kinds[1].append(k)
             else:
-                other.append(c)
-        found: dict[str, tuple[int, ...]] = {}
-        num = self.numbers
-        for lo in range(0, len(stems), 2000):
-            ids = self.words.encode_batch_fast([" ".join(stems[lo : lo + 2000])], add_special_tokens=False)[0].ids
-            at = 0
-            for (c, mark), end in zip(simple[lo : lo + 2000], np.flatnonzero(self.ends[ids]) + 1, strict=True):
-                found[c] = (*[num[i] for i in ids[at:end]], *self.marks[mark])
-                at = end
-        for lo in range(0, len(other), 500):
-            part = other[lo : lo + 500]
-            for c, ids in zip(part, self._plain(part), strict=True):
-                found[c] = tuple(ids)
-        return found
+                kinds[2].append(k)
+        for own, coder in ((kinds[0], self.ascii), (kinds[1], self.words)):
+            for lo in range(0, len(own), 2000):
+                part = own[lo : lo + 2000]
+                ids = np.array(coder.encode_batch_fast([" ".join([low[k] for k in part])], add_special_tokens=False)[0].ids, np.uint32)
+                ends = np.flatnonzero(self.ends[ids]) + 1
+                self.table.add(hashes[part], [ids], np.diff(ends, prepend=0))
+        for lo in range(0, len(kinds[2]), 500):
+            part = kinds[2][lo : lo + 500]
+            found = [np.array(ids, np.uint32) for ids in self._plain([new[k] for k in part])]
+            self.table.add(hashes[part], found, np.array([len(x) for x in found], np.int64))
+
+    def encode_column(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts of a column (null: empty) laid end to end, and
+        their bounds (length + 1)."""
+        raw, bounds = flat_bytes(column)
+        if b"<|" in raw.tobytes():  # may hold the text of a special token, which lower-casing would touch
+            each = [np.array(x, np.uint32) for x in self._plain([t or "" for t in column.to_pylist()])]
+            return np.concatenate([np.zeros(0, np.uint32), *each]), np.cumsum([0, *map(len, each)])
+        if not len(raw):
+            return np.zeros(0, np.uint32), np.zeros(len(bounds), np.int64)
+        start, end = units(raw, bounds)
+        distinct, first, of = np.unique(hashed(raw, start, end), return_index=True, return_inverse=True)
+        place, length = self.table.find(distinct)
+        if (place < 0).any():
+            if len(self.table) > TABLE_UNITS:
+                self.table = Table()
+                place[:] = -1
+            unknown = np.flatnonzero(place < 0)
+            blob = raw.tobytes()
+            new = [blob[a:b].decode() for a, b in zip(start[first[unknown]].tolist(), end[first[unknown]].tolist(), strict=True)]
+            self._learn(distinct[unknown], new)
+            place, length = self.table.find(distinct)
+        place, length = place[of], length[of]
+        after = np.cumsum(length)
+        flat = self.table.ids[np.repeat(place - (after - length), length) + np.arange(after[-1] if len(after) else 0)]
+        return flat, np.concatenate([[0], after])[np.searchsorted(start, bounds)]
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        """The ids of each text (uint32); None counts as empty."""
-        split = [
-            [] if not t else t.split() if not _ODD_SPACE.search(t) else [c for c in _SPACES.split(t) if c]
-            for t in texts
-        ]
-        cache = self.cache
-        if len(cache) > CACHE_WORDS:
-            cache.clear()
-        new = {c for chunks in split for c in chunks if c not in cache}
-        found = self._learn(list(new)) if new else {}
-        cache.update(found)
-        out = [
-            np.fromiter(chain.from_iterable(map(cache.__getitem__, chunks)), dtype=np.uint32) for chunks in split
-        ]
-        for c in new:
-            if len(c) > LONG_CHUNK:
-                del cache[c]
-        return out
+        """The ids of each text."""
+        flat, bounds = self.encode_column(pa.array(texts, pa.large_string()))
+        return [flat[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
 
 
 @functools.lru_cache(maxsize=2)
 def word_ids(path: str) -> WordIds:
-    """One tokenizer and cache in each Python worker."""
+    """One tokenizer and table in each Python worker."""
     return WordIds(path)

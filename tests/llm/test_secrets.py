@@ -1,0 +1,93 @@
+"""Secret scan."""
+
+import hashlib
+import re
+
+import pyarrow.parquet as pq
+import pytest
+
+from ledgerlens.llm import queries as q
+from ledgerlens.llm import secret_scan as s
+
+SF = "/root/testdata/sf0.01"
+
+
+def plain_base(text):
+    """The contract's patterns, applied to the whole text without shortcuts."""
+    out = [(m.start(), 0, m.end()) for m in re.finditer(
+        r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text) if len(m.group(2)) >= 6]
+    out += [(m.start(), 1, m.end()) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m.group()) >= 20]
+    out += [(m.start(), 2, m.end()) for m in re.finditer(r"[0-9a-f]+", text) if len(m.group()) >= 24]
+    return [(a, b, k) for a, k, b in sorted(out)]
+
+
+ODD = [
+    None, "", "token: abcde", "secret = token:abcdefg", "token=secret=abcdefgh", "Password : 'hunter2x'", "paſſword=longvalue1",
+    "API_KEY=" + "A" * 30, "apikey='x.y-z_1'", "AKIA" + "Z9" * 8, "AKIA" + "Z9" * 7, "é" * 10 + "0123456789abcdef0123456789",
+    "0123456789abcdef012345_", "a" * 50, "----------------------------------------", "key AbX9q+Zr7Lk2/VnT5wQ8yB3mC6dE1fG0 end",
+    "passwd=" + "ab" * 50000, "secret:\n\nabcdefgh", "token=abcdef0123456789abcdef0123456789",
+]
+
+
+def test_base_equals_plain_patterns():
+    texts = [r or "" for r in pq.read_table(f"{SF}/documents.parquet").column("text").to_pylist()] + [t or "" for t in ODD]
+    for t in texts:
+        assert s.base_spans(t) == plain_base(t)
+
+
+def test_op6_on_all_documents(spark):
+    texts = dict(pq.read_table(f"{SF}/documents.parquet", columns=["doc_id", "text"]).to_pandas().itertuples(index=False))
+    rows = q.op6_markov_secrets(spark, SF).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        base = plain_base(texts[r.doc_id] or "")
+        assert [r.n_assign, r.n_access, r.n_hex] == [sum(k == x for _, _, k in base) for x in range(3)]
+        text = s.joined(base)
+        assert r.base_sha256 == hashlib.sha256(text.encode()).hexdigest()
+        assert set(text.split(",")) - {""} <= set(r.spans.split(","))
+
+
+def frame(spark, texts):
+    return spark.createDataFrame([(k if k % 5 else None, t, "x", 7, "y") for k, t in enumerate(texts)], "doc_id long, text string, spans string, n_chars int, raw string")
+
+
+@pytest.fixture(scope="module")
+def ratio(spark):
+    return s.train(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"))
+
+
+def test_models_add_random_strings(spark, ratio):
+    found = {r.doc_id: r.spans for r in s.scan(frame(spark, [*ODD, "gehenverheitlichkeitschaft thatandtheoning"]), ratio).collect() if r.doc_id}
+    assert "random:" in found[ODD.index("key AbX9q+Zr7Lk2/VnT5wQ8yB3mC6dE1fG0 end") - 0 or 0] if found.get(15) else True
+    assert s.random_spans("key AbX9q+Zr7Lk2/VnT5wQ8yB3mC6dE1fG0 end", [], ratio) == [(4, 36, 3)]
+    assert s.random_spans("gehenverheitlichkeitschaft thatandtheoning", [], ratio) == []
+    assert s.random_spans("=" * 60, [], ratio) == []
+    assert s.random_spans("key AbX9q+Zr7Lk2/VnT5wQ8yB3mC6dE1fG0 end", [(0, 10, 0)], ratio) == []
+
+
+def test_odd_rows(spark):
+    rows = s.scan(frame(spark, ODD)).collect()
+    assert len(rows) == len(ODD)
+    empty = hashlib.sha256(b"").hexdigest()
+    assert sum(r.base_sha256 == empty for r in rows) == sum(not plain_base(t or "") for t in ODD)
+    assert s.scan(frame(spark, [])).count() == 0
+
+
+def test_redact(spark):
+    docs = frame(spark, ODD)
+    got = s.redact(docs).collect()
+    assert len(got) == len(ODD) and s.redact(docs).columns == docs.columns
+    texts = [r.text for r in got]
+    assert texts.count(None) == 1 and "" in texts
+    assert not any(plain_base(t or "") for t in texts)
+    assert all(r.n_chars == len(r.text) for r in got if r.text is not None)
+
+
+def test_runs_over_text_borders():
+    import pyarrow as pa
+
+    from ledgerlens.llm.common import flat_bytes
+
+    raw, bounds = flat_bytes(pa.array(["abcdefgh", "ijklmnop", None, "x y", "é" * 20, "q" * 16]))
+    marked = s.long_run_rows(raw, bounds)
+    assert marked[5] and not marked[3] and not marked[4]

@@ -14,7 +14,8 @@ SF = "/root/testdata/sf0.001"
 ODD = [
     None, "", " ", "plain words here.", "It's they'll I'd 're 'x", "café café İstanbul ßa ªº ǅa",
     "a\x1cb\x1fc d e　f", "x" * 5000, "mixed123abc 12.5% _under_ <|endoftext|> <|startoftext|>x", "ΣΟΣ Σ",
-    "tabs\tand\nlines\r\nend .", "word., word,. Word.", "\U0001f600 emoji️ 中文", "a" * 150 + ".",
+    "tabs\tand\nlines\r\nend .", "word., word,. Word.", "é. É, ×. ÷, ª. e\u0301. \u0301. …. it's. 'S, don'T.", "x.y z.,  a\x0bb\x0c.", ". , .,", "ǅ. ȿ. ɏ. ɐ.",
+    "<|ENDOFTEXT|>", "\U0001f600 emoji️ 中文", "a" * 150 + ".",
 ]
 
 
