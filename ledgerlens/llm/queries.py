@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import bitpack, digest, nbest, packing, repeats, secret_scan, toxicity
+from ledgerlens.llm import bitpack, digest, jaccard, nbest, packing, repeats, secret_scan, toxicity
 from ledgerlens.llm.common import documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,11 @@ def op2_bit_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitpack.token_files(spark, documents(spark, sf_dir))
 
 
+@query
+def op5_signature_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.classes(documents(spark, sf_dir))
+
+
 @query
 def op6_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(documents(spark, sf_dir)).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")

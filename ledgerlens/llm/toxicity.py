@@ -7,8 +7,9 @@ the score of its longest significant prefix (unseen forms of a toxic stem). All
 other words cost a small constant, so expected scores are negative. One linear
 scan of a text finds every maximal-scoring segment; the scores of its best
 segments are judged together by the extreme-value distribution of the best
-segment scores of clean training texts, and the probability that a clean text
-does as well becomes the posterior probability of label 1.
+segment scores of clean training texts; the probability that a clean text does
+as well, set against how toxic training texts do, becomes the posterior
+probability of label 1.
 """
 
 from __future__ import annotations
@@ -26,7 +27,8 @@ from pyspark.sql import functions as F
 from ledgerlens.llm.common import text_slices, written
 
 WORD = re.compile(r"[^\W\d_]+")
-PREFIXES = (5, 4)  # lengths of the stems tried when a word is not significant
+PREFIXES = (8, 7, 6, 5, 4)  # lengths of the stems tried when a word is not significant
+STEM_SHARE = 0.6  # a stem is dropped when one significant word makes up more of its toxic texts
 PRIOR_SHARE = 0.1  # weight of the Dirichlet prior, as a share of the toxic texts' word types
 CAUTION = 0.5  # standard errors that are taken off a log-odds
 LEAST_TEXTS = 3  # toxic training texts that a feature needs
@@ -34,6 +36,7 @@ MODEL_FEATURES = 100_000  # bound of the shared model: the most significant feat
 DRIFT = 0.05  # what any other word costs
 SEGMENTS = 8  # best segments of a text that are judged together
 THRESHOLD = 0.7
+QUANTILES = 64  # of the evidence of toxic training texts
 LAMBDAS = [round(0.2 + 0.05 * k, 2) for k in range(27)]  # grid of the scale of the extreme-value law
 
 
@@ -104,12 +107,18 @@ def log_odds(counts: DataFrame) -> tuple[dict[str, float], float]:
     best = (
         tested.filter(f"toxic > (clean + toxic) * {toxic_share!r}D AND {ratio} >= {bound!r}D")
         .selectExpr("feature", "clean", "toxic", f"{prior} AS prior", f"{ratio} AS ratio")
-        .selectExpr("feature", "ratio", f"{side('toxic', n1)} - {side('clean', n0)} - {CAUTION} * sqrt(1 / (toxic + prior) + 1 / (clean + prior)) AS odds")
+        .selectExpr("feature", "ratio", "toxic", f"{side('toxic', n1)} - {side('clean', n0)} - {CAUTION} * sqrt(1 / (toxic + prior) + 1 / (clean + prior)) AS odds")
         .filter(f"odds > {2 * DRIFT}")
         .orderBy(F.col("ratio").desc(), "feature")
         .limit(MODEL_FEATURES)
     )
-    return {r.feature: float(r.odds) for r in best.collect()}, toxic_share
+    rows = {r.feature: (float(r.odds), r.toxic) for r in best.collect()}
+    most: dict[str, int] = {}
+    for word, (_, n) in rows.items():
+        for k in PREFIXES:
+            if not word.endswith("*") and len(word) > k:
+                most[word[:k] + "*"] = max(n, most.get(word[:k] + "*", 0))
+    return {f: odds for f, (odds, n) in rows.items() if most.get(f, 0) <= STEM_SHARE * n}, toxic_share
 
 
 def word_score(word: str, model: dict[str, float]) -> float:
@@ -191,14 +200,14 @@ def fit_extremes(clean: DataFrame) -> tuple[float, float]:
     return LAMBDAS[k], math.log(c / sums[f"e{k}"])
 
 
-def probability(share: float, scale: float, log_k: float) -> str:
-    """SQL: the posterior of label 1 from n_words and best.
+def evidence(scale: float, log_k: float) -> str:
+    """SQL: minus the logarithm of the chance that a clean text does as well,
+    from n_words and best.
 
     With x_i = lambda s_i - ln(K n), r segments together are as good by chance
     with probability min over r of e^(-y) y^(r-1) / (r! (r-1)!), y = x_1 + ... +
     x_r (1 - exp(-e^(-x)) for one); the least of these, times the number tried,
-    is the chance p of a clean text; the posterior is share / (share + (1 -
-    share) p)."""
+    is the chance of a clean text."""
     x = f"transform(best, s -> {scale!r}D * s - ({log_k!r}D + ln(double(n_words))))"
     good = f"filter({x}, v -> v > 0)"
     one = f"CASE WHEN size(best) > 0 THEN -expm1(-exp(-least(greatest(get({x}, 0), -30D), 700D))) ELSE 1D END"
@@ -209,7 +218,18 @@ def probability(share: float, scale: float, log_k: float) -> str:
         f" - ln(double(factorial(r))) - ln(double(factorial(r - 1))))) * greatest(1, least({SEGMENTS}, size({good}))) END)"
     )
     p = f"least(1D, {one}, array_min({tails}))"
-    return f"CASE WHEN coalesce(n_words, 0) = 0 THEN {share!r}D * 0.5D ELSE {share!r}D / ({share!r}D + {1 - share!r}D * {p}) END"
+    return f"CASE WHEN n_words > 0 THEN -ln(greatest({p}, 1e-300D)) ELSE 0D END"
+
+
+def probability(share: float, toxic_evidence: list[float]) -> str:
+    """SQL: the posterior of label 1 from the column evidence, e.
+
+    Clean texts reach e with chance exp(-e), toxic ones stay at or below it
+    with the share q of the quantiles of their training texts; the posterior is
+    share q / (share q + (1 - share) exp(-e))."""
+    known = ", ".join(f"{v!r}D" for v in toxic_evidence)
+    q = f"((0.5D + size(filter(CAST(array({known}) AS array<double>), v -> v <= evidence))) / {len(toxic_evidence) + 1}D)"
+    return f"{share!r}D * {q} / ({share!r}D * {q} + {1 - share!r}D * exp(-evidence))" if share < 1 else "1D"
 
 
 def score(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -218,10 +238,10 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> D
 
     Returns doc_id, held_out, score (0 to 1), predicted, n_words, passages (score:first
     word:end word of every maximal segment). Null or empty texts, and texts
-    without words, score half the share of toxic texts. Exact copies count once
-    in training; a document with several labels is toxic if one says so; null
-    labels and ids train nothing. Without labels of both classes every score is
-    that share (0 or 1). Repeated rows are scored each.
+    without words, score as a text without any toxic word. Exact copies count
+    once in training; a document with several labels is toxic if one says so;
+    null labels and ids train nothing. Without labels of both classes every
+    score is the share of toxic ones (0 or 1). Repeated rows are scored each.
     """
     docs = docs.selectExpr("CAST(doc_id AS long) AS doc_id", "text")
     mark = (
@@ -244,6 +264,10 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> D
     model, share = log_odds(counts)
     stats = written(segment_stats(docs, model), "toxic-segments")
     scale, log_k = fit_extremes(stats.join(mark.filter("toxic = 0"), "doc_id", "left_semi"))
-    return stats.selectExpr(
-        "doc_id", f"coalesce({held_out()}, false) AS held_out", f"{probability(share, scale, log_k)} AS score", "n_words", "passages"
+    judged = stats.select("*", F.expr(evidence(scale, log_k)).alias("evidence"))
+    cuts = judged.join(mark.filter("toxic = 1"), "doc_id", "left_semi").selectExpr(
+        f"percentile_approx(evidence, array({', '.join(str(k / QUANTILES) for k in range(QUANTILES + 1))})) AS q"
+    ).first()["q"]
+    return judged.selectExpr(
+        "doc_id", f"coalesce({held_out()}, false) AS held_out", f"{probability(share, cuts or [])} AS score", "n_words", "passages"
     ).selectExpr("doc_id", "held_out", "score", f"CASE WHEN score >= {threshold}D THEN 1 ELSE 0 END AS predicted", "n_words", "passages")
