@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import bitpack, digest, jaccard, nbest, packing, repeats, secret_scan, toxicity
+from ledgerlens.llm import bitpack, digest, graph_index, jaccard, kneser_ney, nbest, packing, repeats, secret_scan, toxicity
 from ledgerlens.llm.common import documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,16 @@ def op2_bit_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitpack.token_files(spark, documents(spark, sf_dir))
 
 
+@query
+def op3_pruned_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph_index.nearest(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op4_kneser_ney_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.classify(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
 @query
 def op5_signature_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.classes(documents(spark, sf_dir))

@@ -222,7 +222,8 @@ def repeated_ranges(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> Da
                 )
 
     places = texts.mapInArrow(anchors, "anchor long, context long, key long, size long, start long, length long")
-    several = places.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
+    # Written, so that the join below deals both sides by itself and can split a crowded anchor.
+    several = written(places.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor"), "repeat-anchors")
     shared = written(places.join(several, "anchor", "left_semi"), "repeat-places")
 
     # Contexts by content; one place stands for each.

@@ -18,11 +18,13 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ledgerlens.llm.common import text_slices, written
 
@@ -150,12 +152,13 @@ def segments(scores: np.ndarray) -> list[tuple[float, int, int]]:
     return [(r - a, s, e) for a, r, s, e, _ in found]
 
 
-STATS = "doc_id long, n_words long, best array<double>, passages string"
+STATS = "_tox_words long, _tox_best array<double>, _tox_passages string"
 
 
-def segment_stats(docs: DataFrame, model: dict[str, float]) -> DataFrame:
-    """n_words, the scores of the best segments (largest first) and the
-    segments (score:first word:end word) of every whole text."""
+def with_segments(docs: DataFrame, model: dict[str, float]) -> DataFrame:
+    """All columns of ``docs``, and of every whole text the number of words, the
+    scores of the best segments (largest first) and all segments
+    (score:first word:end word)."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, float] = {}
@@ -176,17 +179,17 @@ def segment_stats(docs: DataFrame, model: dict[str, float]) -> DataFrame:
                 if len(known) > 300_000:
                     known.clear()
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(n_words, pa.int64()), pa.array(best, pa.list_(pa.float64())), pa.array(passages, pa.string())],
-                    names=["doc_id", "n_words", "best", "passages"],
+                    [*part.columns, pa.array(n_words, pa.int64()), pa.array(best, pa.list_(pa.float64())), pa.array(passages, pa.string())],
+                    names=[*part.schema.names, "_tox_words", "_tox_best", "_tox_passages"],
                 )
 
-    return docs.selectExpr("CAST(doc_id AS long) AS doc_id", "text").mapInArrow(scan, STATS)
+    return docs.mapInArrow(scan, StructType([*docs.schema.fields, *StructType.fromDDL(STATS).fields]))
 
 
 def fit_extremes(clean: DataFrame) -> tuple[float, float]:
     """(lambda, ln K) of the law P(best >= s) = 1 - exp(-K n e^(-lambda s)),
-    by maximum likelihood over a grid, from n_words and best of clean texts."""
-    sums = clean.filter("n_words > 0").selectExpr("double(n_words) AS n", "coalesce(get(best, 0), 0D) AS s").selectExpr(
+    by maximum likelihood over a grid, from the segments of clean texts."""
+    sums = clean.filter("_tox_words > 0").selectExpr("double(_tox_words) AS n", "coalesce(get(_tox_best, 0), 0D) AS s").selectExpr(
         "count(1) AS c", "sum(s) AS total", *[f"sum(n * exp(-{v} * s)) AS e{k}" for k, v in enumerate(LAMBDAS)]
     ).first()
     if not sums["c"]:
@@ -202,15 +205,15 @@ def fit_extremes(clean: DataFrame) -> tuple[float, float]:
 
 def evidence(scale: float, log_k: float) -> str:
     """SQL: minus the logarithm of the chance that a clean text does as well,
-    from n_words and best.
+    from the segments.
 
     With x_i = lambda s_i - ln(K n), r segments together are as good by chance
     with probability min over r of e^(-y) y^(r-1) / (r! (r-1)!), y = x_1 + ... +
     x_r (1 - exp(-e^(-x)) for one); the least of these, times the number tried,
     is the chance of a clean text."""
-    x = f"transform(best, s -> {scale!r}D * s - ({log_k!r}D + ln(double(n_words))))"
+    x = f"transform(_tox_best, s -> {scale!r}D * s - ({log_k!r}D + ln(double(_tox_words))))"
     good = f"filter({x}, v -> v > 0)"
-    one = f"CASE WHEN size(best) > 0 THEN -expm1(-exp(-least(greatest(get({x}, 0), -30D), 700D))) ELSE 1D END"
+    one = f"CASE WHEN size(_tox_best) > 0 THEN -expm1(-exp(-least(greatest(get({x}, 0), -30D), 700D))) ELSE 1D END"
     tails = (
         f"transform(sequence(1, {SEGMENTS}), r -> CASE WHEN r > size({good}) OR r = 1 THEN 1D ELSE exp(least(0D,"
         f" -aggregate(slice({good}, 1, r), 0D, (a, v) -> a + v)"
@@ -218,32 +221,34 @@ def evidence(scale: float, log_k: float) -> str:
         f" - ln(double(factorial(r))) - ln(double(factorial(r - 1))))) * greatest(1, least({SEGMENTS}, size({good}))) END)"
     )
     p = f"least(1D, {one}, array_min({tails}))"
-    return f"CASE WHEN n_words > 0 THEN -ln(greatest({p}, 1e-300D)) ELSE 0D END"
+    return f"CASE WHEN _tox_words > 0 THEN -ln(greatest({p}, 1e-300D)) ELSE 0D END"
 
 
 def probability(share: float, toxic_evidence: list[float]) -> str:
-    """SQL: the posterior of label 1 from the column evidence, e.
+    """SQL: the posterior of label 1 from the column _tox_evidence, e.
 
     Clean texts reach e with chance exp(-e), toxic ones stay at or below it
     with the share q of the quantiles of their training texts; the posterior is
     share q / (share q + (1 - share) exp(-e))."""
     known = ", ".join(f"{v!r}D" for v in toxic_evidence)
-    q = f"((0.5D + size(filter(CAST(array({known}) AS array<double>), v -> v <= evidence))) / {len(toxic_evidence) + 1}D)"
-    return f"{share!r}D * {q} / ({share!r}D * {q} + {1 - share!r}D * exp(-evidence))" if share < 1 else "1D"
+    q = f"((0.5D + size(filter(CAST(array({known}) AS array<double>), v -> v <= _tox_evidence))) / {len(toxic_evidence) + 1}D)"
+    return f"{share!r}D * {q} / ({share!r}D * {q} + {1 - share!r}D * exp(-_tox_evidence))" if share < 1 else "1D"
 
 
-def score(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Score all documents (doc_id, text) by models learned from ``labels``
-    (doc_id, toxic) of rows that are not held out.
+class Model(NamedTuple):
+    words: dict[str, float]  # log-odds of significant words, and stems marked with *
+    share: float  # of toxic training texts
+    scale: float  # of the extreme-value law
+    log_k: float
+    quantiles: list[float]  # of the evidence of toxic training texts
 
-    Returns doc_id, held_out, score (0 to 1), predicted, n_words, passages (score:first
-    word:end word of every maximal segment). Null or empty texts, and texts
-    without words, score as a text without any toxic word. Exact copies count
-    once in training; a document with several labels is toxic if one says so;
-    null labels and ids train nothing. Without labels of both classes every
-    score is the share of toxic ones (0 or 1). Repeated rows are scored each.
-    """
-    docs = docs.selectExpr("CAST(doc_id AS long) AS doc_id", "text")
+
+def fit(docs: DataFrame, labels: DataFrame) -> Model:
+    """Learn from the rows of ``docs`` (doc_id, text) that ``labels`` (doc_id,
+    toxic) marks and that are not held out. Exact copies count once; a document
+    with several labels is toxic if one says so; null labels, ids and texts
+    train nothing."""
+    docs = docs.selectExpr("CAST(doc_id AS long) AS doc_id", "text").filter(f"doc_id IS NOT NULL AND text IS NOT NULL AND NOT {held_out()}")
     mark = (
         labels.selectExpr("CAST(doc_id AS long) AS doc_id", "CAST(toxic AS int) AS toxic")
         .filter(f"doc_id IS NOT NULL AND toxic IN (0, 1) AND NOT {held_out()}")
@@ -252,22 +257,48 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> D
     )
     # One document of each group of exact copies; the labels meet hashes first, texts after.
     first = (
-        docs.filter(f"doc_id IS NOT NULL AND text IS NOT NULL AND NOT {held_out()}")
-        .selectExpr("doc_id", "xxhash64(text) AS copy")
+        docs.selectExpr("doc_id", "xxhash64(text) AS copy")
         .join(mark, "doc_id")
         .groupBy("copy")
         .agg(F.expr("min(struct(-toxic AS toxic, doc_id))").alias("one"))
         .selectExpr("one.doc_id", "-one.toxic AS toxic")
     )
-    train = docs.filter(f"doc_id IS NOT NULL AND text IS NOT NULL AND NOT {held_out()}").join(first, "doc_id")
-    counts = written(feature_counts(train), "toxic-counts")
-    model, share = log_odds(counts)
-    stats = written(segment_stats(docs, model), "toxic-segments")
-    scale, log_k = fit_extremes(stats.join(mark.filter("toxic = 0"), "doc_id", "left_semi"))
-    judged = stats.select("*", F.expr(evidence(scale, log_k)).alias("evidence"))
-    cuts = judged.join(mark.filter("toxic = 1"), "doc_id", "left_semi").selectExpr(
-        f"percentile_approx(evidence, array({', '.join(str(k / QUANTILES) for k in range(QUANTILES + 1))})) AS q"
+    train = written(docs.join(first, "doc_id").select("text", "toxic"), "toxic-train")
+    words, share = log_odds(written(feature_counts(train), "toxic-counts"))
+    found = written(with_segments(train, words).drop("text"), "toxic-segments")
+    scale, log_k = fit_extremes(found.filter("toxic = 0"))
+    cuts = found.filter("toxic = 1").selectExpr(
+        f"percentile_approx({evidence(scale, log_k)}, array({', '.join(str(k / QUANTILES) for k in range(QUANTILES + 1))})) AS q"
     ).first()["q"]
-    return judged.selectExpr(
-        "doc_id", f"coalesce({held_out()}, false) AS held_out", f"{probability(share, cuts or [])} AS score", "n_words", "passages"
-    ).selectExpr("doc_id", "held_out", "score", f"CASE WHEN score >= {threshold}D THEN 1 ELSE 0 END AS predicted", "n_words", "passages")
+    return Model(words, share, scale, log_k, cuts or [])
+
+
+def with_score(docs: DataFrame, model: Model) -> DataFrame:
+    """All columns of ``docs`` with _tox_score, _tox_words, _tox_passages."""
+    return (
+        with_segments(docs, model.words)
+        .withColumn("_tox_evidence", F.expr(evidence(model.scale, model.log_k)))
+        .withColumn("_tox_score", F.expr(probability(model.share, model.quantiles)))
+        .drop("_tox_best", "_tox_evidence")
+    )
+
+
+def score(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """Score all documents (doc_id, text; other columns are ignored).
+
+    Returns doc_id, held_out, score (0 to 1), predicted, n_words, passages (score:first
+    word:end word of every maximal segment). Null or empty texts, and texts
+    without words, score as a text without any toxic word. Without labels of
+    both classes every score is the share of toxic ones (0 or 1). Repeated rows
+    are scored each, null ids too.
+    """
+    own = docs.selectExpr("CAST(doc_id AS long) AS doc_id", "text")
+    return with_score(own, fit(docs, labels)).selectExpr(
+        "doc_id", f"coalesce({held_out()}, false) AS held_out", "_tox_score AS score",
+        f"CASE WHEN _tox_score >= {threshold}D THEN 1 ELSE 0 END AS predicted", "_tox_words AS n_words", "_tox_passages AS passages",
+    )
+
+
+def keep_clean(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, unchanged, that score below the threshold."""
+    return with_score(docs, fit(docs, labels)).filter(f"_tox_score < {threshold}D").select(*docs.columns)

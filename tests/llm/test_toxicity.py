@@ -92,7 +92,15 @@ def test_stems_reach_unseen_words():
 
 def test_long_passages_add_up(spark):
     """A passage of several weak words is worth more than its best word."""
-    rows = spark.sql("SELECT 1L AS doc_id, 100L AS n_words, array(6D) AS best UNION ALL SELECT 2L, 100L, array(6D, 6D, 6D) UNION ALL SELECT 3L, 100L, CAST(array() AS array<double>) UNION ALL SELECT 4L, 0L, CAST(array() AS array<double>)")
-    judged = rows.selectExpr("doc_id", f"{t.evidence(1.0, -2.0)} AS evidence")
-    got = {r.doc_id: (r.evidence, r.p) for r in judged.selectExpr("doc_id", "evidence", f"{t.probability(0.1, [0.0, 1.0, 5.0, 9.0])} AS p").collect()}
+    rows = spark.sql("SELECT 1L AS doc_id, 100L AS _tox_words, array(6D) AS _tox_best UNION ALL SELECT 2L, 100L, array(6D, 6D, 6D) UNION ALL SELECT 3L, 100L, CAST(array() AS array<double>) UNION ALL SELECT 4L, 0L, CAST(array() AS array<double>)")
+    judged = rows.selectExpr("doc_id", f"{t.evidence(1.0, -2.0)} AS _tox_evidence")
+    got = {r.doc_id: (r._tox_evidence, r.p) for r in judged.selectExpr("doc_id", "_tox_evidence", f"{t.probability(0.1, [0.0, 1.0, 5.0, 9.0])} AS p").collect()}
     assert got[3] < got[1] < got[2] and got[4][0] == 0 and got[4][1] < 0.1
+
+
+def test_keep_clean_leaves_rows_as_they_are(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    kept = t.keep_clean(docs, spark.read.parquet(f"{SF}/labels.parquet"))
+    assert kept.columns == docs.columns
+    gone = docs.exceptAll(kept)
+    assert kept.exceptAll(docs).count() == 0 and 0 < gone.count() < 0.15 * docs.count()
