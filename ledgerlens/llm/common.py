@@ -15,6 +15,8 @@ from ledgerlens.session import scratch_path
 
 # Bytes of text that one numpy pass holds at a time (memory bound of a worker).
 SLICE_BYTES = 2 << 20
+# Bytes of an Arrow batch on its way to a worker: whole texts may be long.
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,8 +30,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> None:
-    """Let local Python workers import this package wherever the session was
-    started from; on a cluster the package is installed or sent by --py-files."""
+    """Bound the batches that Python workers get, unless the deployer has, and
+    let local workers import this package wherever the session was started
+    from; on a cluster the package is installed or sent by --py-files."""
+    if spark.conf.get(BATCH_SETTING, None) is None:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
     sc = spark.sparkContext
     if sc.master.startswith("local"):
         root = str(Path(__file__).resolve().parents[2])

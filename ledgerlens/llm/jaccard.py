@@ -46,7 +46,7 @@ LEAF = 64  # nodes of a tree's leaf; groups of this size are paired directly
 FAN_OUT = 8
 BLOCK = 2048  # nodes of a tree
 DENSE = 8  # bits a shingle of the bitmaps in trees
-SLICE = 8 << 20  # bytes of text whose shingles are packed together
+SLICE = 4 << 20  # bytes of text whose shingles are packed together
 
 
 def least_overlap(n, percent: int = PERCENT):
