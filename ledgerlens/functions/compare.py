@@ -15,24 +15,27 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ledgerlens.schemas import TRANSACTION_COLUMNS
+
 LEFT_HASH = "row_sha2"
 RIGHT_HASH = "row2_sha2"
 
 # What a missing counter_login / comment is compared as.
-COUNTER_NULL_AS = "0L"
-COMMENT_NULL_AS = "'0'"
+NULL_AS = {"counter_login": "0L", "comment": "'0'"}
 
 
-def _eq(name: str) -> str:
-    return f"{name} = {name}_2"
+def compared(name: str, suffix: str = "") -> str:
+    """A column as the rules compare it (a missing value may stand for one)."""
+    return f"coalesce({name}{suffix}, {NULL_AS[name]})" if name in NULL_AS else f"{name}{suffix}"
 
 
-def _eq_counter() -> str:
-    return f"coalesce(counter_login, {COUNTER_NULL_AS}) = coalesce(counter_login_2, {COUNTER_NULL_AS})"
+def others(relaxed: str) -> tuple[str, ...]:
+    """All compared columns but the one that a rule relaxes."""
+    return tuple(c for c in TRANSACTION_COLUMNS if c != relaxed)
 
 
-def _eq_comment() -> str:
-    return f"coalesce(comment, {COMMENT_NULL_AS}) = coalesce(comment_2, {COMMENT_NULL_AS})"
+def _equal_others(relaxed: str) -> list[str]:
+    return [f"{compared(c)} = {compared(c, '_2')}" for c in others(relaxed)]
 
 
 def _non_empty(name: str) -> str:
@@ -64,43 +67,30 @@ def is_exact_sql(as_filter: bool = False) -> str:
     return _all(f"{LEFT_HASH} = {RIGHT_HASH}", as_filter=as_filter)
 
 
+def most_edits(tolerance: int, inclusive: bool = False) -> int:
+    """Largest accepted edit distance (-1: none)."""
+    return int(tolerance) if inclusive else int(tolerance) - 1
+
+
 def char_ok_sql(tolerance: int, inclusive: bool = False, as_filter: bool = False) -> str:
     """Only the comment differs, within an edit distance of the lower-cased texts.
 
     Both comments must be non-empty; distance ``< tolerance`` (``<=`` with
-    ``inclusive``).
+    ``inclusive``). The bounded distance stops early (-1: beyond the bound).
     """
-    op = "<=" if inclusive else "<"
+    most = most_edits(tolerance, inclusive)
+    near = f"levenshtein(lower(comment), lower(comment_2), {most}) >= 0" if most >= 0 else "false"
     return _all(
-        _differs(),
-        _non_empty("comment"),
-        _non_empty("comment_2"),
-        _eq("transaction_uid"),
-        _eq_counter(),
-        _eq("transaction_type"),
-        _eq("unix_timestamp"),
-        _eq("login"),
-        _eq("amount"),
-        f"levenshtein(lower(comment), lower(comment_2)) {op} {int(tolerance)}",
-        as_filter=as_filter,
+        _differs(), _non_empty("comment"), _non_empty("comment_2"), *_equal_others("comment"), near, as_filter=as_filter
     )
 
 
 def date_ok_sql(tolerance: int, symmetric: bool = False, as_filter: bool = False) -> str:
     """Only the epoch differs; ``epoch1 - epoch2 < tolerance`` (or its absolute value)."""
     delta = "(unix_timestamp - unix_timestamp_2)"
-    within = f"abs{delta} < {int(tolerance)}" if symmetric else f"{delta} < {int(tolerance)}"
+    within = f"{'abs' if symmetric else ''}{delta} < {int(tolerance)}"
     return _all(
-        _differs(),
-        "unix_timestamp <> unix_timestamp_2",
-        _eq("transaction_uid"),
-        _eq_counter(),
-        _eq("transaction_type"),
-        _eq("login"),
-        _eq_comment(),
-        _eq("amount"),
-        within,
-        as_filter=as_filter,
+        _differs(), "unix_timestamp <> unix_timestamp_2", *_equal_others("unix_timestamp"), within, as_filter=as_filter
     )
 
 
@@ -119,12 +109,7 @@ def int_ok_sql(tolerance: int | Decimal, as_filter: bool = False) -> str:
     """
     return _all(
         _differs(),
-        _eq("transaction_uid"),
-        _eq_counter(),
-        _eq("transaction_type"),
-        _eq("login"),
-        _eq_comment(),
-        _eq("unix_timestamp"),
+        *_equal_others("amount"),
         "amount <> 0",
         f"abs(amount - amount_2) * 100 <= {_number(tolerance)} * abs(amount)",
         as_filter=as_filter,

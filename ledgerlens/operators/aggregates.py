@@ -22,7 +22,7 @@ def _calc_ts(calculation_ts) -> str | None:
     if calculation_ts is False:
         return None
     if calculation_ts is None:
-        return "current_timestamp()"
+        return "CAST(current_timestamp() AS TIMESTAMP_NTZ)"
     if isinstance(calculation_ts, dt.datetime):
         return f"TIMESTAMP_NTZ'{calculation_ts.isoformat(sep=' ')}'"
     if isinstance(calculation_ts, str):
@@ -53,8 +53,8 @@ def _sum(col: str, out: str):
 def daily_agg(signed: DataFrame, calculation_ts=None) -> DataFrame:
     """C14: login, date_from (day), daily_sum[, calculation_ts].
 
-    ``calculation_ts``: None -> now; a datetime or text -> that instant (no
-    time zone); False -> no column.
+    ``calculation_ts``: None -> now; a datetime or text -> that instant; False
+    -> no column. The column has no time zone in any case (UTC is meant).
     """
     out = signed.groupBy("login", F.expr("to_date(transaction_ts) AS date_from")).agg(_sum("sign_amount", "daily_sum"))
     return _finish(out, calculation_ts)
@@ -83,12 +83,13 @@ def rollup_from_daily(daily: DataFrame, calculation_ts=None) -> tuple[DataFrame,
 
 
 def latest_aggregates(history: DataFrame, keys: Sequence[str], ts_col: str = "calculation_ts") -> DataFrame:
-    """Newest row per key from an aggregate history (ties: largest other values).
+    """Newest row per key from an aggregate history, whose own key is
+    (keys, ``ts_col``): one calculation has one row per key.
 
-    Runs as ``max(struct(ts, ...))`` per key, a partial aggregation, so a key
-    with many recalculations never gathers its rows in one task.
+    Runs as ``max_by`` per key over fixed-width buffers: a partial hash
+    aggregation, so a key with many recalculations never gathers its rows in
+    one task, and no task sorts.
     """
     keys = list(keys)
     others = [c for c in history.columns if c not in keys and c != ts_col]
-    newest = history.groupBy(*keys).agg(F.expr(f"max(struct({', '.join([ts_col, *others])})) AS _n"))
-    return newest.selectExpr(*keys, *[f"_n.{c} AS {c}" for c in others], f"_n.{ts_col} AS {ts_col}")
+    return history.groupBy(*keys).agg(*(F.max_by(c, ts_col).alias(c) for c in others), F.max(ts_col).alias(ts_col))

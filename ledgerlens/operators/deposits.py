@@ -34,23 +34,31 @@ def deposits(operations: DataFrame) -> DataFrame:
     return operations.filter(f"operation_type = '{DEPOSIT}'")
 
 
+# Date and operation_uid in one number that orders like the two together
+# (2**64 uids from -2**63 on): a fixed-width buffer, which hash-aggregates.
+DEPOSIT_ORDER = (
+    "CAST(unix_micros(CAST(operation_date AS TIMESTAMP)) AS DECIMAL(18,0)) * 18446744073709551616BD"
+    " + (CAST(operation_uid AS DECIMAL(19,0)) + 9223372036854775808BD)"
+)
+
+
 def first_deposit_per_user(logins: DataFrame, operations: DataFrame, account_type: str | None = REAL) -> DataFrame:
-    """Earliest deposit per user over the user's logins (ties: lowest operation_uid).
+    """Earliest deposit per user over the user's logins (ties: lowest
+    operation_uid; deposits without a date are none).
 
     Columns: user_uid, login, operation_uid, operation_date. The earliest
     deposit is found per login first (partial aggregation), then per user.
     """
-    first_per_login = deposits(operations).groupBy("login").agg(
-        F.expr("min(struct(operation_date, operation_uid)) AS d")
+    place = F.expr(f"CAST({DEPOSIT_ORDER} AS DECIMAL(38,0)) AS place")
+    first = ("min_by(operation_uid, place) AS operation_uid", "min_by(operation_date, place) AS operation_date")
+    per_login = (
+        deposits(operations).filter("operation_date IS NOT NULL").select("login", "operation_uid", "operation_date", place)
+        .groupBy("login").agg(*map(F.expr, first), F.expr("min(place) AS place"))
     )
     owned = logins if account_type is None else logins.filter(f"account_type = '{account_type}'")
-    per_user = (
-        first_per_login.join(owned.select("user_uid", "login"), "login", "inner")
-        .groupBy("user_uid")
-        .agg(F.expr("min(struct(d.operation_date, d.operation_uid, login)) AS f"))
-    )
-    return per_user.selectExpr(
-        "user_uid", "f.login AS login", "f.operation_uid AS operation_uid", "f.operation_date AS operation_date"
+    return (
+        per_login.join(owned.select("user_uid", "login"), "login", "inner")
+        .groupBy("user_uid").agg(F.expr("min_by(login, place) AS login"), *map(F.expr, first))
     )
 
 

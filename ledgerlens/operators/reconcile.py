@@ -6,10 +6,11 @@ transaction key; each pair gets one status from a single ``CASE`` chain
 (``classify``), so exact, comment, time and amount matches are all decided in
 one pass over one join instead of one join per rule.
 
-Pairing is one-to-one (see ``pair_sources``): identical rows pair first, per
-distinct content; the remaining rows sharing a key are numbered per side and
-paired on (key, number). With unique keys this is the plain key join; a key
-repeated on both sides yields max(n, m) pairs instead of n * m.
+Pairing is one-to-one (see ``pair_sources``): where no key repeats on a side it
+is the plain key join. Rows of a key that repeats are matched by the rules in
+their order before what is left over is paired by number, so a key with n and
+m rows yields max(n, m) pairs and no row that a rule accepts is lost to
+another one's place.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from ledgerlens.config import Tolerances
 from ledgerlens.functions import compare
 from ledgerlens.functions.text import row_hash_sql
 from ledgerlens.schemas import TRANSACTION_COLUMNS
+from ledgerlens.session import scratch_path
 
 KEY = "transaction_uid"
 SUFFIX = "_2"
@@ -72,59 +74,45 @@ def load_ledger(
     table: DataFrame,
     ts_col: str = "transaction_ts",
     null_token: str | None = None,
-    by_key: bool = False,
 ) -> DataFrame:
     """Ledger rows -> the seven compared columns + ``row_sha2``.
 
-    ``by_key=True`` hash-partitions the rows by transaction_uid before the hash
-    is computed, so that a plain key join (``pair_sources(one_to_one=False)``)
-    shuffles the seven columns only and reuses this partitioning.
-    ``pair_sources`` (one-to-one) does not need it: it groups by content and
-    derives the hashes after its own shuffle.
+    Rows are equal to later steps when these hashes are: give both sources the
+    same ``null_token``, or none.
     """
     sources = ["transaction_uid", "login", "counter_login", "transaction_type",
                f"unix_timestamp({ts_col})", "comment", "amount"]
-    seven = table.selectExpr(*_typed(sources))
-    if by_key:
-        seven = seven.repartition(KEY)
-    return with_row_hash(seven, TRANSACTION_COLUMNS, LEFT_HASH, null_token)
+    return with_row_hash(table.selectExpr(*_typed(sources)), TRANSACTION_COLUMNS, LEFT_HASH, null_token)
 
 
 def load_second_source(
     df: DataFrame,
     epoch_col: str = "epoch_seconds",
     null_token: str | None = None,
-    by_key: bool = False,
 ) -> DataFrame:
     """Second source -> the seven columns suffixed ``_2`` + ``row2_sha2``
-    (``by_key`` as for ``load_ledger``)."""
+    (``null_token`` as for ``load_ledger``)."""
     sources = ["transaction_uid", "login", "counter_login", "transaction_type", epoch_col, "comment", "amount"]
     suffixed = df.selectExpr(*_typed(sources, SUFFIX))
-    if by_key:
-        suffixed = suffixed.repartition(KEY + SUFFIX)
     return with_row_hash(suffixed, [c + SUFFIX for c in TRANSACTION_COLUMNS], RIGHT_HASH, null_token)
 
 
-def _content(cols: Sequence[str]) -> str:
-    """The seven values as one struct, field names of the first source on both
-    sides. Struct equality treats NULL fields as equal values."""
-    return "named_struct(" + ", ".join(f"'{n}', {c}" for n, c in zip(TRANSACTION_COLUMNS, cols, strict=True)) + ")"
-
-
 _LEFT = TRANSACTION_COLUMNS
 _RIGHT = tuple(c + SUFFIX for c in TRANSACTION_COLUMNS)
+_ROW = (*_LEFT, LEFT_HASH)  # a row of either side, under the first source's names
+_JOINS = ("full", "inner", "left", "right")
 
-
-# Fixed sizes of the skew handling: copies per chunk row, buckets per key side.
+# Copies of one row that a task expands at a time; no result depends on it.
 COPIES_PER_CHUNK = 100_000
-BUCKETS_PER_KEY = 64
+# Leftover rows of a key are numbered within stretches of time of this length.
+STRETCH_SECONDS = 86_400
 
 
-def _chunks(df: DataFrame, count: str, chunk: int) -> DataFrame:
-    """Split a copy count into chunk rows of at most ``chunk`` copies (_chunk, _k)."""
-    return df.selectExpr("*", f"explode(sequence(0L, ({count} - 1) DIV {int(chunk)})) AS _chunk").selectExpr(
-        "*", f"least({count} - _chunk * {int(chunk)}, {int(chunk)}) AS _k"
-    )
+def repeated_keys(first: DataFrame, second: DataFrame) -> DataFrame:
+    """K1 over both sources: keys (not NULL) that occur more than once on a
+    side. A partial aggregation, so a hot key stays one row a task."""
+    sides = [df.filter(f"{c} IS NOT NULL").groupBy(F.col(c).alias(KEY)).agg(F.expr("count(1) AS n")).filter("n > 1") for df, c in ((first, KEY), (second, KEY + SUFFIX))]
+    return sides[0].select(KEY).union(sides[1].select(KEY)).distinct()
 
 
 def pair_sources(
@@ -132,9 +120,8 @@ def pair_sources(
     second: DataFrame,
     how: str = "full",
     one_to_one: bool = True,
-    null_token: str | None = None,
-    chunk: int = COPIES_PER_CHUNK,
-    buckets: int = BUCKETS_PER_KEY,
+    tol: Tolerances | None = None,
+    unique_keys: bool | None = None,
 ) -> DataFrame:
     """Pair the loaded sources on the transaction key.
 
@@ -142,155 +129,142 @@ def pair_sources(
     ``how='inner'`` suffices when only accepted pairs are wanted, because an
     unmatched row is never accepted (also ``'left'``, ``'right'``). With
     ``one_to_one=False`` a repeated key pairs every row with every row of the
-    other side (the plain key join).
-
-    One-to-one pairing runs in two steps:
-
-    1. Each side is reduced to its distinct rows with a copy count
-       (``groupBy(key, content).count()``: a partial aggregation, so copies of
-       a row collapse inside each map task before the shuffle), and the two
-       sides are joined on (key, content). Identical rows pair up --
-       ``min(copies left, copies right)`` exact pairs per content. The shuffle
-       spreads rows by key *and* content, so neither a hot key nor a large
-       group of copies lands in one task; inputs bucketed by the key are
-       joined without a shuffle. Copies are expanded into rows at the end;
-       groups of more than ``chunk`` copies are first cut into chunks and
-       spread over tasks.
-    2. Only the rows left over (missing or different on the other side) are
-       paired -- the candidates for the tolerance rules and the unmatched
-       rows. They are spread (in chunks of copies) over ``buckets`` buckets
-       per key by a hash of their content; within a (key, bucket) the n-th
-       left row pairs with the n-th right row (in content-hash order). Rows left alone in their
-       bucket are numbered per key and side across buckets -- their rank in
-       the bucket plus the residue of the earlier buckets (prefix sums over a
-       table of at most ``buckets`` rows per key) -- and paired on
-       (key, number) in a second round. No step puts all rows of one key in
-       one task. A NULL key never pairs.
-
-    With unique keys this is exactly the key join; a key repeated n and m
-    times yields max(n, m) pairs, never n * m. Text row hashes are computed
-    after the shuffles (once per distinct exact row), so no shuffle carries
-    them.
+    other side (the plain key join). A NULL key never pairs.
+
+    One-to-one: keys that occur once on each side, at most, take the plain key
+    join. ``unique_keys=True`` states that there are no others; None finds out
+    with one small job over the keys (False: take the way for repeats anyway).
+    Rows of other keys are matched, each row once, in this order:
+
+    1. rows with the same content, then rows with the same hash;
+    2. per rule of ``tol`` (comment, time, amount), rows that agree on all
+       compared columns but the rule's own, n-th with n-th in the order of that
+       column (comments in lower case, first those that are equal so), kept
+       where the rule accepts the pair;
+    3. what is left of a key, n-th with n-th by (unix_timestamp, login,
+       counter_login, transaction_type, comment, amount), NULLs first.
+
+    A key with n and m rows yields max(n, m) pairs. Steps write their result
+    under the shared folder, so that none is repeated.
     """
-    right_key = KEY + SUFFIX
-    keep_rule = {"full": None, "outer": None, "inner": "_a IS NOT NULL AND _z IS NOT NULL",
-                 "left": "_a IS NOT NULL", "right": "_z IS NOT NULL"}
-    if how not in keep_rule:
-        raise ValueError(f"how must be one of {sorted(keep_rule)}, got {how!r}")
+    if how not in _JOINS:
+        raise ValueError(f"how must be one of {sorted(_JOINS)}, got {how!r}")
+    on = F.expr(f"{KEY} = {KEY + SUFFIX}")
     if not one_to_one:
-        return first.join(second, F.expr(f"{KEY} = {right_key}"), how)
-
-    left = first.groupBy(KEY, F.expr(f"{_content(_LEFT)} AS _kl")).agg(F.expr("count(1) AS _nl"))
-    right = second.groupBy(right_key, F.expr(f"{_content(_RIGHT)} AS _kr")).agg(F.expr("count(1) AS _nr"))
-    # One full join feeds both steps. They read the same two shuffles, which
-    # Spark reuses; a full join also keeps later filters (e.g. on the status)
-    # above it, so the branches stay identical below the shuffles.
-    groups = left.join(right, F.expr(f"{KEY} = {right_key} AND _kl = _kr"), "full").selectExpr(
-        "_kl",
-        "_kr",
-        "least(coalesce(_nl, 0L), coalesce(_nr, 0L)) AS _m",
-        "coalesce(_nl, 0L) - least(coalesce(_nl, 0L), coalesce(_nr, 0L)) AS _el",
-        "coalesce(_nr, 0L) - least(coalesce(_nl, 0L), coalesce(_nr, 0L)) AS _er",
-    )
-    hash_l = row_hash_sql(_LEFT, null_token)
+        return first.join(second, on, how)
+    if unique_keys is None:
+        unique_keys = repeated_keys(first, second).isEmpty()
+    if unique_keys:
+        return first.join(second, on, how)
+    repeated = _written(repeated_keys(first, second).withColumnRenamed(KEY, "_rep"), "repeated-keys")
+    sides = []
+    for df, key in ((first, KEY), (second, KEY + SUFFIX)):
+        own = F.col(key) == F.col("_rep")
+        sides.append((df.join(repeated, own, "left_anti"), df.join(repeated, own, "left_semi")))
+    (left, left_rep), (right, right_rep) = sides
+    return left.join(right, on, how).unionByName(_pair_repeated(left_rep, right_rep, how, tol or Tolerances()))
 
-    def content_cols_of(struct: str) -> list[str]:
-        return [f"{struct}.{c} AS {c}" for c in _LEFT]
 
-    # Step 1: identical rows on both sides, one output row per pair of copies
-    # (the hash is computed once per distinct row, before the expansion).
-    matched = groups.filter("_m > 0").selectExpr(*content_cols_of("_kl"), "_m").selectExpr(
-        "*", f"{hash_l} AS {LEFT_HASH}"
-    )
-    small = matched.filter(f"_m <= {int(chunk)}").selectExpr("*", "explode(sequence(1L, _m)) AS _copy")
-    large = (
-        _chunks(matched.filter(f"_m > {int(chunk)}"), "_m", chunk)
-        .repartition(KEY, "_chunk")
-        .selectExpr("*", "explode(sequence(1L, _k)) AS _copy")
-        .drop("_chunk", "_k")
-    )
-    exact = small.unionByName(large).selectExpr(
-        *_LEFT, LEFT_HASH, *[f"{lc} AS {rc}" for lc, rc in zip(_LEFT, _RIGHT, strict=True)], f"{LEFT_HASH} AS {RIGHT_HASH}"
-    )
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-    # Step 2: leftovers of both sides in one frame, as chunks of copies. The
-    # key is wrapped in a struct (never NULL; struct equality treats a NULL
-    # field as a value), so NULL keys flow through the joins and groupings of
-    # this step and Catalyst infers no extra filters that would make the
-    # branches below differ (they share one shuffle).
-    pieces = (
-        groups.filter("_el > 0 OR _er > 0")
-        .selectExpr(
-            "explode(array(named_struct('side', 'L', 'c', _kl, 'n', _el), "
-            "named_struct('side', 'R', 'c', _kr, 'n', _er))) AS _p"
-        )
-        .filter("_p.n > 0")
-        .selectExpr("_p.side AS _side", *[f"_p.c.{c} AS {c}" for c in _LEFT], "_p.n AS _n")
-        .selectExpr("*", f"xxhash64({', '.join(_LEFT)}) AS _x", f"named_struct('k', {KEY}) AS _key")
-    )
-    # Buckets and order come from a 64-bit hash of the content (ties broken by
-    # the content itself); the text row hash is computed after the shuffle.
-    pieces = _chunks(pieces, "_n", chunk).selectExpr(
-        "*", f"coalesce(pmod(xxhash64(_x, _chunk), {int(buckets)}), 0L) AS _b"
-    )
 
-    # Round 1: within (key, bucket), the n-th left row pairs with the n-th
-    # right row; the grouping reuses the spread's partitioning.
-    row = "named_struct(" + ", ".join(f"'{c}', {c}" for c in _LEFT) + ", 'h', _h)"
-    solo = f"CASE WHEN {KEY} IS NULL THEN _side ELSE '' END"
-    order = ", ".join(["_x", *_LEFT, "_chunk", "_copy"])
-    round1 = (
-        pieces.repartition("_key", "_b")
-        .selectExpr("*", "explode(sequence(1L, _k)) AS _copy")
-        .selectExpr("*", f"{hash_l} AS _h")
-        .selectExpr(
-            "_key", "_side", "_b", f"{row} AS _row", f"{solo} AS _solo",
-            f"row_number() OVER (PARTITION BY _key, _b, _side ORDER BY {order}) AS _r",
-        )
-        .groupBy("_key", "_b", "_r", "_solo")
-        .agg(
-            F.expr("max(CASE WHEN _side = 'L' THEN _row END) AS _a"),
-            F.expr("max(CASE WHEN _side = 'R' THEN _row END) AS _z"),
-        )
+def _copies(df: DataFrame, count: str) -> DataFrame:
+    """Each row ``count`` times; many copies of one row spread over tasks."""
+    cut = df.filter(f"{count} > 0").selectExpr("*", f"explode(sequence(0L, ({count} - 1) DIV {COPIES_PER_CHUNK})) AS _chunk")
+    own = f"least({count} - _chunk * {COPIES_PER_CHUNK}, {COPIES_PER_CHUNK})"
+    spread = cut.filter("_chunk = 0").unionByName(cut.filter("_chunk > 0").repartition(*_ROW, "_chunk"))
+    return spread.selectExpr("*", f"explode(sequence(1L, {own})) AS _copy").select(*_ROW)
+
+
+def _struct(exprs: Sequence[str]) -> str:
+    """Values as one struct: never NULL, and NULL fields compare as values."""
+    return "named_struct(" + ", ".join(f"'c{k}', {e}" for k, e in enumerate(exprs)) + ")"
+
+
+def _both_sides() -> list[str]:
+    """Columns of a pair from the row structs ``a`` (first) and ``z`` (second)."""
+    return [*(f"a.{c} AS {c}" for c in _ROW), *(f"z.{c} AS {r}" for c, r in zip(_ROW, (*_RIGHT, RIGHT_HASH), strict=True))]
+
+
+def _number_pairs(pool: DataFrame, number: str) -> DataFrame:
+    """Rows of both sides (column side) with the same group ``_g`` and number."""
+    row = "named_struct(" + ", ".join(f"'{c}', {c}" for c in _ROW) + ")"
+    return (
+        pool.selectExpr("_g", "side", f"{number} AS _n", f"{row} AS row")
+        .groupBy("_g", "_n")
+        .agg(F.expr("max(CASE WHEN side = 'L' THEN row END) AS a"), F.expr("max(CASE WHEN side = 'R' THEN row END) AS z"))
     )
-    paired1 = round1.filter("_a IS NOT NULL AND _z IS NOT NULL").select("_a", "_z")
-    # Round 2: rows left alone in their bucket are numbered per key and side
-    # across buckets: a bucket's residue rows are its ranks above the pairs
-    # it formed, offset by the residue of the earlier buckets (prefix sums
-    # over a table of at most ``buckets`` rows per key). The final grouping
-    # on (key, number) spreads a large residue over many tasks; NULL keys
-    # never pair.
-    per_bucket = (
-        round1.groupBy("_key", "_b")
-        .agg(
-            F.expr("count_if(_a IS NOT NULL AND _z IS NOT NULL) AS _p"),
-            F.expr("count_if(_a IS NOT NULL AND _z IS NULL) AS _nl"),
-            F.expr("count_if(_z IS NOT NULL AND _a IS NULL) AS _nr"),
-        )
-        .selectExpr(
-            "_key", "_b", "_p",
-            "coalesce(sum(_nl) OVER (PARTITION BY _key ORDER BY _b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0L) AS _ol",
-            "coalesce(sum(_nr) OVER (PARTITION BY _key ORDER BY _b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0L) AS _or",
-        )
+
+
+def _match(pool: DataFrame, groups: Sequence[str], order: Sequence[str], accept: str, name: str) -> tuple[DataFrame, DataFrame]:
+    """n-th with n-th inside a group: (accepted pairs, what stays in the pool)."""
+    keyed = pool.withColumn("_g", F.expr(_struct(groups))).repartition("_g")
+    nth = f"row_number() OVER (PARTITION BY _g, side ORDER BY {', '.join([*order, *_ROW])})"
+    paired = _number_pairs(keyed, nth)
+    paired = paired.selectExpr(*_both_sides(), "a IS NOT NULL AND z IS NOT NULL AS both")
+    tried = _written(paired.selectExpr("*", f"both AND coalesce({accept}, false) AS ok"), name)
+    accepted = tried.filter("ok").drop("both", "ok")
+    left = tried.filter(f"NOT ok AND {LEFT_HASH} IS NOT NULL").selectExpr("'L' AS side", *_ROW)
+    right = tried.filter(f"NOT ok AND {RIGHT_HASH} IS NOT NULL").selectExpr(
+        "'R' AS side", *(f"{r} AS {c}" for c, r in zip(_ROW, (*_RIGHT, RIGHT_HASH), strict=True))
     )
-    residue = round1.filter("_a IS NULL OR _z IS NULL").join(per_bucket, ["_key", "_b"], "inner").selectExpr(
-        "_key", "_solo", "_a", "_z",
-        "CASE WHEN _a IS NOT NULL THEN _ol ELSE _or END + (_r - _p) AS _occ",
+    return accepted, left.unionByName(right)
+
+
+def _pair_repeated(first: DataFrame, second: DataFrame, how: str, tol: Tolerances) -> DataFrame:
+    """Steps 1 to 3 of ``pair_sources`` for rows of repeated keys."""
+    second = second.selectExpr(*(f"{r} AS {c}" for c, r in zip(_ROW, (*_RIGHT, RIGHT_HASH), strict=True)))
+    # Step 1, by content: copies collapse before the shuffle, which spreads a
+    # key's rows by content.
+    counts = [df.groupBy(*_ROW).agg(F.expr("count(1) AS n")).selectExpr(f"{_struct(_ROW)} AS {c}", f"n AS n{c}") for df, c in ((first, "l"), (second, "r"))]
+    content = [f"coalesce(l.c{k}, r.c{k}) AS {c}" for k, c in enumerate(_ROW)]
+    groups = _written(
+        counts[0].join(counts[1], F.expr("l = r"), "full").selectExpr(*content, "coalesce(nl, 0L) AS nl", "coalesce(nr, 0L) AS nr"), "repeated-content"
     )
-    round2 = (
-        residue.groupBy("_key", "_occ", "_solo")
-        .agg(F.expr("max(_a) AS _a"), F.expr("max(_z) AS _z"))
-        .select("_a", "_z")
+    exact = _copies(groups, "least(nl, nr)").selectExpr(*_ROW, *(f"{c} AS {r}" for c, r in zip(_ROW, (*_RIGHT, RIGHT_HASH), strict=True)))
+    pool = _copies(groups, "(nl - nr)").selectExpr("'L' AS side", *_ROW).unionByName(_copies(groups, "(nr - nl)").selectExpr("'R' AS side", *_ROW))
+    steps = [([KEY, LEFT_HASH], [], "true")]
+    compared = {c: [compare.compared(x) for x in compare.others(c)] for c in ("comment", "unix_timestamp", "amount")}
+    most = compare.most_edits(tol.levenshtein, tol.char_inclusive)
+    char = compare.char_ok_sql(tol.levenshtein, tol.char_inclusive)
+    if most >= 0:
+        steps.append(([*compared["comment"], "lower(comment)"], ["comment"], char))
+    if most >= 1:
+        steps.append((compared["comment"], ["lower(comment)", "comment"], char))
+    steps.append((compared["unix_timestamp"], ["unix_timestamp"], compare.date_ok_sql(tol.seconds, tol.symmetric_time)))
+    steps.append((compared["amount"], ["amount"], compare.int_ok_sql(tol.percent)))
+    out = exact
+    for group, order, accept in steps:
+        accepted, pool = _match(pool, group, order, accept, "repeated-pairs")
+        out = out.unionByName(accepted)
+    # Step 3: numbers run over stretches of time, whose rows are numbered apart
+    # and whose sizes add up, so a hot key's rows need not meet in one task.
+    order = ", ".join(("unix_timestamp", *(c for c in _LEFT if c not in (KEY, "unix_timestamp")), LEFT_HASH))
+    pool = pool.selectExpr("*", f"{_struct([KEY])} AS _g", f"coalesce(unix_timestamp DIV {STRETCH_SECONDS}, -9223372036854775808L) AS _s")
+    before = (
+        pool.groupBy("_g", "side", "_s").agg(F.expr("count(1) AS n"))
+        .selectExpr("_g", "side", "_s", "coalesce(sum(n) OVER (PARTITION BY _g, side ORDER BY _s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0L) AS _before")
     )
-    rest = paired1.unionByName(round2)
-    keep = keep_rule[how]
-    if keep:
-        rest = rest.filter(keep)
-    rest = rest.selectExpr(
-        *[f"_a.{c} AS {c}" for c in _LEFT], f"_a.h AS {LEFT_HASH}",
-        *[f"_z.{c} AS {rc}" for c, rc in zip(_LEFT, _RIGHT, strict=True)], f"_z.h AS {RIGHT_HASH}",
+    nth = pool.selectExpr("*", f"row_number() OVER (PARTITION BY _g, side, _s ORDER BY {order}) AS _r").join(before, ["_g", "side", "_s"])
+    rest = _number_pairs(nth, "_r + _before")
+    keep = {"full": "true", "inner": "a IS NOT NULL AND z IS NOT NULL", "left": "a IS NOT NULL", "right": "z IS NOT NULL"}[how]
+    return out.unionByName(rest.filter(keep).selectExpr(*_both_sides()))
+
+
+def full_outer_spread(first: DataFrame, second: DataFrame) -> DataFrame:
+    """The plain full outer key join as an inner join and what either side
+    has alone: unlike a full outer join, each of these can be split where a key
+    holds many rows, and rows with a NULL key never travel to one task."""
+    on = F.expr(f"{KEY} = {KEY + SUFFIX}")
+    none = [[f"CAST(NULL AS {t.dataType.simpleString()}) AS {t.name}" for t in df.schema.fields] for df in (first, second)]
+    return (
+        first.join(second, on)
+        .unionByName(first.join(second, on, "left_anti").selectExpr("*", *none[1]))
+        .unionByName(second.join(first, on, "left_anti").selectExpr(*none[0], "*"))
     )
-    return exact.unionByName(rest)
 
 
 def status_sql(tol: Tolerances) -> str:
@@ -306,10 +280,6 @@ def status_sql(tol: Tolerances) -> str:
     )
 
 
-def status_column(tol: Tolerances) -> F.Column:
-    return F.expr(status_sql(tol))
-
-
 def passed_statuses_sql(tol: Tolerances) -> str:
     """Every accepting rule of a pair, as an array (empty when none accepts)."""
     rules = [
@@ -365,6 +335,7 @@ def clean_transactions(
     multi: bool = False,
     with_status: bool = False,
     one_to_one: bool = True,
+    unique_keys: bool | None = None,
 ) -> DataFrame:
     """Accepted rows of the first source, ledger column order.
 
@@ -374,7 +345,7 @@ def clean_transactions(
     accepted, so the pairing is an inner join here.
     """
     tol = tol or Tolerances()
-    paired = pair_sources(first, second, how="inner", one_to_one=one_to_one)
+    paired = pair_sources(first, second, "inner", one_to_one, tol, unique_keys)
     if multi:
         tagged = paired.selectExpr("*", f"explode({passed_statuses_sql(tol)}) AS status")
     else:
@@ -384,11 +355,9 @@ def clean_transactions(
 
 
 def reconciliation_report(paired: DataFrame, tol: Tolerances | None = None) -> DataFrame:
-    """C17: one status per pair, unmatched rows included.
-
-    Columns: transaction_uid, transaction_uid_2, status.
-    """
-    return classify(paired, tol).select(KEY, KEY + SUFFIX, "status")
+    """C17: one status per pair, unmatched rows included, with the values of
+    both sides (the seven columns, then those of the second source) and status."""
+    return classify(paired, tol).select(*_LEFT, *_RIGHT, "status")
 
 
 def reconciliation_summary(report: DataFrame) -> DataFrame:

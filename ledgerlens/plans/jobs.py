@@ -7,7 +7,7 @@ no stage holds more than one join in its lineage.
 Reconciliation writes every pair once, with its status (and, for the
 multi-rule variant, every accepting rule), partitioned by status; the clean
 table is then a partition-pruned read of the accepted statuses, written
-partitioned by transaction date. Aggregates add one calculation to history
+partitioned by transaction date. Both are replaced as a whole by each run. Aggregates add one calculation to history
 tables partitioned by calculation and ``date_from`` (so ``latest_aggregates``
 can pick the newest calculation per key, and a rerun of a calculation
 replaces it); monthly and total sums are rolled up from the daily rows of the
@@ -21,10 +21,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StructField, StructType
 
 from ledgerlens.config import Tolerances
 from ledgerlens.operators import aggregates as agg
 from ledgerlens.operators import reconcile as rec
+from ledgerlens.schemas import LEDGER
 from ledgerlens.sources.sinks import write_partitioned
 
 
@@ -41,14 +43,19 @@ def reconcile(
     out_dir: str,
     tol: Tolerances | None = None,
     multi: bool = False,
+    null_token: str | None = None,
 ) -> ReconcileOutput:
-    """Pair, classify and write; returns the paths of the pairs and clean tables."""
+    """Pair, classify and write; returns the paths of the pairs and clean tables.
+
+    The pairs table holds both sides' values of every pair, matched or not.
+    ``null_token`` marks NULLs in the row hashes of both sources."""
     tol = tol or Tolerances()
     out = ReconcileOutput(pairs=f"{out_dir.rstrip('/')}/pairs", clean=f"{out_dir.rstrip('/')}/clean")
-    paired = rec.pair_sources(rec.load_ledger(ledger), rec.load_second_source(second), how="full")
+    first, other = rec.load_ledger(ledger, null_token=null_token), rec.load_second_source(second, null_token=null_token)
+    paired = rec.pair_sources(first, other, how="full", tol=tol)
     classified = paired.selectExpr(
         *rec.TRANSACTION_COLUMNS,
-        "transaction_uid_2",
+        *(c + rec.SUFFIX for c in rec.TRANSACTION_COLUMNS),
         f"{rec.status_sql(tol)} AS status",
         f"{rec.passed_statuses_sql(tol)} AS passed",
     )
@@ -59,12 +66,14 @@ def reconcile(
     if multi:
         accepted = accepted.selectExpr("*", "explode(passed) AS rule")
     clean = accepted.selectExpr(*rec.CLEAN_SELECT)
-    write_partitioned(clean, out.clean, "transaction_date", "to_date(transaction_ts)", cluster_by=("transaction_uid",))
+    write_partitioned(clean, out.clean, "transaction_date", "to_date(transaction_ts)", cluster_by=("transaction_uid",), dynamic=False)
     return out
 
 
 def read_clean(spark: SparkSession, clean_path: str) -> DataFrame:
-    return spark.read.parquet(clean_path).drop("transaction_date")
+    """The clean table, also when no row was accepted (it has no files then)."""
+    stored = StructType([*LEDGER.fields, StructField("transaction_date", DateType())])
+    return spark.read.schema(stored).parquet(clean_path).drop("transaction_date")
 
 
 @dataclass(frozen=True)
@@ -77,15 +86,23 @@ class AggregateOutput:
 
 def _write_calculation(df: DataFrame, path: str, partition_cols: tuple[str, ...]) -> None:
     """Write one calculation; a re-run of the same calculation replaces its
-    own partitions (dynamic overwrite) and leaves other calculations alone."""
+    own partitions (dynamic overwrite) and leaves other calculations alone.
+    Rows are ranged by (partition, login) first: few files for each partition,
+    and a large one is split over several tasks."""
     (
-        df.write.mode("overwrite")
+        df.repartitionByRange(*partition_cols, "login")
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_cols)
         .parquet(path)
     )
 
 
+def read_calculation(spark: SparkSession, path: str, calc_id: str) -> DataFrame:
+    """One calculation of a history table: only its own folder is listed."""
+    return spark.read.option("basePath", path).parquet(f"{path}/calc_id={calc_id}")
+
+
 def aggregates(spark: SparkSession, clean: DataFrame, out_dir: str, calculation_ts: dt.datetime | None = None) -> AggregateOutput:
     """Add one calculation of daily, monthly and total signed sums to the history.
 
@@ -93,8 +110,8 @@ def aggregates(spark: SparkSession, clean: DataFrame, out_dir: str, calculation_
     text) and, for daily and monthly sums, ``date_from``; rerunning a
     calculation after a failure rewrites exactly its own partitions.
     """
-    calc = calculation_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
-    calc_id = calc.strftime("%Y%m%dT%H%M%S")
+    calc = calculation_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    calc_id = calc.strftime("%Y%m%dT%H%M%S%f")
     base = out_dir.rstrip("/")
     out = AggregateOutput(f"{base}/daily", f"{base}/monthly", f"{base}/total", calc)
     tag = F.lit(calc_id).alias("calc_id")
@@ -102,7 +119,7 @@ def aggregates(spark: SparkSession, clean: DataFrame, out_dir: str, calculation_
     daily = agg.daily_agg(agg.signed_amounts(clean), calculation_ts=calc)
     _write_calculation(daily.select("*", tag), out.daily, ("calc_id", "date_from"))
 
-    this_run = spark.read.parquet(out.daily).filter(F.col("calc_id") == calc_id)
+    this_run = read_calculation(spark, out.daily, calc_id)
     monthly, total = agg.rollup_from_daily(this_run.drop("calculation_ts", "calc_id"), calculation_ts=calc)
     _write_calculation(monthly.select("*", tag), out.monthly, ("calc_id", "date_from"))
     _write_calculation(total.select("*", tag), out.total, ("calc_id",))

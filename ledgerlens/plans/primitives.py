@@ -12,8 +12,9 @@ from ledgerlens.functions import text as tx
 from ledgerlens.functions import time as tm
 from ledgerlens.operators import deposits
 from ledgerlens.operators import reconcile as rec
+from ledgerlens.operators.ranking import split_rank
 from ledgerlens.plans import oracle as o
-from ledgerlens.plans.registry import TOL, _first, _paired, _second, query
+from ledgerlens.plans.registry import TOL, _first, _second, query
 from ledgerlens.sources import views as v
 
 # --- joins ------------------------------------------------------------------
@@ -41,7 +42,7 @@ def j2(spark, sf):
 @query("j3_full_outer")
 def j3(spark, sf):
     """Plain full outer join of the two loaded sources on the key."""
-    paired = rec.pair_sources(_first(spark, sf), _second(spark, sf), how="full", one_to_one=False)
+    paired = rec.full_outer_spread(_first(spark, sf), _second(spark, sf))
     return paired.select("transaction_uid", "transaction_uid_2", "row_sha2", "row2_sha2")
 
 
@@ -72,9 +73,20 @@ def a1(spark, sf):
 
 @query("a2_avg_day_difference")
 def a2(spark, sf):
+    """The operations are reduced per login and type to the number of days that
+    they hold, before the join."""
     first = deposits.first_trade_per_login(v.trades(spark, sf))
-    joined = v.operations(spark, sf).join(first, "login", "left")
-    return joined.groupBy("operation_type").agg(F.avg(tm.day_diff("operation_date", "first_order_date")).alias("avg_days"))
+    per_login = v.operations(spark, sf).groupBy("login", "operation_type").agg(
+        F.expr("count(operation_date) AS n"), F.expr("sum(CAST(unix_date(to_date(operation_date)) AS BIGINT)) AS days")
+    )
+    return (
+        per_login.join(first, "login", "left")
+        .groupBy("operation_type")
+        .agg(F.expr(
+            "sum(n * unix_date(to_date(first_order_date)) - IF(first_order_date IS NULL, NULL, days))"
+            " / sum(IF(first_order_date IS NULL, NULL, n)) AS avg_days"
+        ))
+    )
 
 
 @query("a3_avg_having")
@@ -137,17 +149,14 @@ def _user_deposits(spark, sf):
 
 @query("w1_row_number")
 def w1(spark, sf):
-    return _user_deposits(spark, sf).selectExpr(
-        "uid", "operation_uid",
-        "row_number() OVER (PARTITION BY uid ORDER BY operation_date, operation_uid) AS rn",
-    )
+    numbered = split_rank(_user_deposits(spark, sf), "row_number", "uid", "operation_date", ("operation_uid",), "rn")
+    return numbered.select("uid", "operation_uid", "rn")
 
 
 @query("w2_rank")
 def w2(spark, sf):
-    return _user_deposits(spark, sf).selectExpr(
-        "uid", "operation_uid", "rank() OVER (PARTITION BY uid ORDER BY operation_date) AS dep_rank"
-    )
+    ranked = split_rank(_user_deposits(spark, sf), "rank", "uid", "operation_date", (), "dep_rank")
+    return ranked.select("uid", "operation_uid", "dep_rank")
 
 
 # --- union ------------------------------------------------------------------
@@ -156,7 +165,7 @@ def w2(spark, sf):
 @query("u1_union_all_rules")
 def u1(spark, sf):
     """The per-rule results combined with UNION ALL (one join per branch)."""
-    paired = _paired(spark, sf)
+    paired = rec.pair_sources(_first(spark, sf), _second(spark, sf), one_to_one=False)
     parts = [
         rec.exact_matches(paired),
         rec.char_rec(paired, TOL.levenshtein),
@@ -194,11 +203,9 @@ def f4(spark, sf):
 
 @query("f6_day_difference")
 def f6(spark, sf):
-    first = deposits.first_trade_per_login(v.trades(spark, sf))
-    return (
-        v.operations(spark, sf)
-        .join(first, "login")
-        .select("operation_uid", tm.day_diff("operation_date", "first_order_date").alias("days"))
+    """Calendar days from each transaction to 0 - 71 hours after it."""
+    return v.ledger(spark, sf).withColumn("later", F.expr("timestampadd(HOUR, transaction_uid % 72, transaction_ts)")).select(
+        "transaction_uid", tm.day_diff("transaction_ts", "later").alias("days")
     )
 
 
@@ -209,12 +216,11 @@ def f7(spark, sf):
 
 @query("f8_parse_timestamp_text")
 def f8(spark, sf):
-    """Dates written as seed text (with and without seconds) and parsed back."""
-    ops = v.operations(spark, sf)
+    """Times written as seed text (with and without seconds) and parsed back."""
     text = F.when(
-        F.col("operation_uid") % 2 == 0, F.date_format("operation_date", tm.SEED_FORMAT_SECONDS)
-    ).otherwise(F.date_format("operation_date", tm.SEED_FORMAT_MINUTES))
-    return ops.select("operation_uid", tm.parse_seed_timestamp(text).alias("parsed"))
+        F.col("transaction_uid") % 2 == 0, F.date_format("transaction_ts", tm.SEED_FORMAT_SECONDS)
+    ).otherwise(F.date_format("transaction_ts", tm.SEED_FORMAT_MINUTES))
+    return v.ledger(spark, sf).select("transaction_uid", tm.parse_seed_timestamp(text).alias("parsed"))
 
 
 @query("f9_explicit_casts")
@@ -247,7 +253,7 @@ def f12(spark, sf):
 
 @query("f13_levenshtein")
 def f13(spark, sf):
-    paired = rec.pair_sources(_first(spark, sf), _second(spark, sf), how="inner")
+    paired = rec.pair_sources(_first(spark, sf), _second(spark, sf), how="inner", tol=TOL)
     return paired.filter("comment IS NOT NULL AND comment_2 IS NOT NULL").select(
         "transaction_uid", tx.edit_distance_ci("comment", "comment_2").alias("distance")
     )
@@ -262,13 +268,13 @@ def f14(spark, sf):
 
 @query("f15_epoch_difference")
 def f15(spark, sf):
-    paired = rec.pair_sources(_first(spark, sf), _second(spark, sf), how="inner")
+    paired = rec.pair_sources(_first(spark, sf), _second(spark, sf), how="inner", tol=TOL)
     return paired.selectExpr("transaction_uid", "unix_timestamp - unix_timestamp_2 AS delta")
 
 
 @query("f16_percent_deviation")
 def f16(spark, sf):
-    paired = rec.pair_sources(_first(spark, sf), _second(spark, sf), how="inner")
+    paired = rec.pair_sources(_first(spark, sf), _second(spark, sf), how="inner", tol=TOL)
     return paired.selectExpr(
         "transaction_uid",
         "CAST(round(try_divide((amount - amount_2) * 100, amount), 4) AS decimal(38,4)) AS percent_diff",

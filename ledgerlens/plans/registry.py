@@ -1,14 +1,18 @@
 """Named queries over the test tables: one per operator of the inventory.
 
-Each entry takes ``(spark, sf_dir)`` and returns a lazy DataFrame over the
-whole tables. Parameters are fixed here and mirrored by ``plans.oracle``.
+Each entry takes ``(spark, sf_dir)`` and returns a DataFrame over the whole
+tables: lazy, but for queries that pair sources (one small job finds out
+whether keys repeat) and those of the file layouts (s3, s6 - s8), which write
+their tables first. Parameters are fixed here and mirrored by ``plans.oracle``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerlens.config import Tolerances
 from ledgerlens.operators import aggregates as agg
@@ -41,22 +45,30 @@ def query(name: str):
     return register
 
 
-def _first(spark, sf, by_key=False):
-    return rec.load_ledger(v.ledger(spark, sf), by_key=by_key)
+def _first(spark, sf):
+    return rec.load_ledger(v.ledger(spark, sf))
 
 
-def _second(spark, sf, by_key=False):
-    return rec.load_second_source(v.second_source(spark, sf), by_key=by_key)
+def _second(spark, sf):
+    return rec.load_second_source(v.second_source(spark, sf))
 
 
-def _paired(spark, sf, how="full"):
-    return rec.pair_sources(_first(spark, sf), _second(spark, sf), how=how)
+def _paired(spark, sf, how="full", tol=TOL):
+    return rec.pair_sources(_first(spark, sf), _second(spark, sf), how=how, tol=tol)
 
 
 def _clean(spark, sf, multi=False):
     return rec.clean_transactions(_first(spark, sf), _second(spark, sf), TOL, multi=multi)
 
 
+def _repeating(spark, sf):
+    return rec.load_ledger(v.repeating_ledger(spark, sf)), rec.load_second_source(v.repeating_second_source(spark, sf))
+
+
+def _paired_repeating(spark, sf, how="full", tol=TOL):
+    return rec.pair_sources(*_repeating(spark, sf), how=how, tol=tol)
+
+
 def _signed(spark, sf):
     return agg.signed_amounts(_clean(spark, sf))
 
@@ -88,12 +100,12 @@ def c4(spark, sf):
 
 @query("c5_load_ledger")
 def c5(spark, sf):
-    return _first(spark, sf, by_key=False)
+    return _first(spark, sf)
 
 
 @query("c6_load_second_source")
 def c6(spark, sf):
-    return _second(spark, sf, by_key=False)
+    return _second(spark, sf)
 
 
 @query("c7_pair_sources")
@@ -113,7 +125,7 @@ def c9(spark, sf):
 
 @query("c9_char_rec_tol2")
 def c9b(spark, sf):
-    return rec.char_rec(_paired(spark, sf), 2)
+    return rec.char_rec(_paired(spark, sf, tol=replace(TOL, levenshtein=2)), 2)
 
 
 @query("c10_date_rec")
@@ -148,17 +160,50 @@ def c13(spark, sf):
 
 @query("c14_daily_agg")
 def c14(spark, sf):
-    return agg.daily_agg(_signed(spark, sf), calculation_ts=False)
+    return agg.daily_agg(_signed(spark, sf), calculation_ts=o.HISTORY_TS_2)
 
 
 @query("c15_monthly_agg")
 def c15(spark, sf):
-    return agg.monthly_agg(_signed(spark, sf), calculation_ts=False)
+    return agg.monthly_agg(_signed(spark, sf), calculation_ts=o.HISTORY_TS_2)
 
 
 @query("c16_total_agg")
 def c16(spark, sf):
-    return agg.total_agg(_signed(spark, sf), calculation_ts=False)
+    return agg.total_agg(_signed(spark, sf), calculation_ts=o.HISTORY_TS_2)
+
+
+TOL2 = replace(TOL, levenshtein=2)
+
+
+@query("c7_pair_repeating_keys")
+def c7r(spark, sf):
+    return _paired_repeating(spark, sf)
+
+
+@query("c9_char_rec_repeating_keys")
+def c9r(spark, sf):
+    return rec.char_rec(_paired_repeating(spark, sf, tol=TOL2), 2)
+
+
+@query("c10_date_rec_repeating_keys")
+def c10r(spark, sf):
+    return rec.date_rec(_paired_repeating(spark, sf), 300)
+
+
+@query("c11_int_rec_repeating_keys")
+def c11r(spark, sf):
+    return rec.int_rec(_paired_repeating(spark, sf), 5)
+
+
+@query("c12_clean_repeating_keys")
+def c12r(spark, sf):
+    return rec.clean_transactions(*_repeating(spark, sf), TOL)
+
+
+@query("c17_report_repeating_keys")
+def c17r(spark, sf):
+    return rec.reconciliation_report(_paired_repeating(spark, sf), TOL)
 
 
 @query("c17_reconciliation_report")
@@ -196,7 +241,7 @@ def k2b(spark, sf):
 
 @query("k3_over_length")
 def k3(spark, sf):
-    return checks.over_length(v.users(spark, sf), {"country": 4, "first_name": 80}, keys=["uid"])
+    return checks.over_length(v.users(spark, sf), {"country": o.COUNTRY_LENGTH, "first_name": 80}, keys=["uid"])
 
 
 @query("k_constraint_report_users")
@@ -259,7 +304,7 @@ def s7(spark, sf):
     p1, p2 = scratch_path(spark, "s7-first"), scratch_path(spark, "s7-second")
     first = sinks.write_bucketed(_first(spark, sf), _table_name(p1), p1, "transaction_uid", n)
     second = sinks.write_bucketed(_second(spark, sf), _table_name(p2), p2, "transaction_uid_2", n)
-    return rec.reconciliation_summary(rec.reconciliation_report(rec.pair_sources(first, second), TOL))
+    return rec.reconciliation_summary(rec.reconciliation_report(rec.pair_sources(first, second, tol=TOL), TOL))
 
 
 @query("s8_join_copies")
@@ -272,3 +317,15 @@ def s8(spark, sf):
     logins = sinks.write_copy(v.logins(spark, sf), _table_name(p2), p2, "login", n,
                               ["user_uid", "login", "account_type"])
     return deposits.high_avg_deposit_by_country(v.users(spark, sf), logins, ops, threshold=o.HIGH_AVG_THRESHOLD)
+
+
+@query("s8_logins_by_user")
+def s8b(spark, sf):
+    """Logins of each type per country, over a copy of the logins and one of the
+    users that are both bucketed by the user."""
+    n = _buckets(spark)
+    p1, p2 = scratch_path(spark, "s8-logins-by-user"), scratch_path(spark, "s8-users-by-uid")
+    logins = sinks.write_copy(v.logins(spark, sf), _table_name(p1), p1, "user_uid", n, ["user_uid", "login", "account_type"])
+    users = sinks.write_copy(v.users(spark, sf), _table_name(p2), p2, "uid", n, ["uid", "country"])
+    owned = users.join(logins, F.expr("uid = user_uid"))
+    return owned.groupBy("country", "account_type").agg(F.expr("count(login) AS logins"))

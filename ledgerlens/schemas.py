@@ -1,7 +1,8 @@
 """Typed schemas of the domain tables.
 
 Integer keys are 64-bit, money is ``decimal(18,4)``, timestamps carry no time
-zone, epoch values are seconds as ``long``.
+zone, epoch values are seconds as ``long``. Names, types, keys and rules of the
+tables below are fixed values of the data model.
 """
 
 from __future__ import annotations
@@ -14,7 +15,6 @@ from pyspark.sql.types import (
     StructField,
     StructType,
     TimestampNTZType,
-    TimestampType,
 )
 
 MONEY = DecimalType(18, 4)
@@ -78,20 +78,20 @@ DAILY_AGG = _schema(
     ("login", LongType(), True),
     ("date_from", DateType(), True),
     ("daily_sum", MONEY_SUM, True),
-    ("calculation_ts", TimestampType(), True),
+    ("calculation_ts", TimestampNTZType(), True),
 )
 
 MONTHLY_AGG = _schema(
     ("login", LongType(), True),
     ("date_from", DateType(), True),
     ("monthly_sum", MONEY_SUM, True),
-    ("calculation_ts", TimestampType(), True),
+    ("calculation_ts", TimestampNTZType(), True),
 )
 
 TOTAL_AGG = _schema(
     ("login", LongType(), True),
     ("total_sum", MONEY_SUM, True),
-    ("calculation_ts", TimestampType(), True),
+    ("calculation_ts", TimestampNTZType(), True),
 )
 
 # Column order of a compared transaction; it fixes the row hash.

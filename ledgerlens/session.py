@@ -27,11 +27,6 @@ PLAN_CONF = {
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.sources.bucketing.enabled": "true",
-    # The reconciliation pairs rows on (transaction_uid, occurrence); the
-    # occurrence comes from a window already partitioned by transaction_uid
-    # (or from tables bucketed by it). Letting the join reuse that
-    # partitioning saves one full shuffle of each source.
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
 
@@ -97,9 +92,11 @@ def apply_required(spark: SparkSession) -> None:
 
 
 def apply_plan_settings(spark: SparkSession) -> None:
-    """Apply the plan-shaping settings to a session created elsewhere."""
+    """Apply the plan-shaping settings that a session created elsewhere leaves
+    open; what its deployer has set stays."""
     for key, value in PLAN_CONF.items():
-        spark.conf.set(key, value)
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
 
 
 def shared_dir(spark: SparkSession) -> str:

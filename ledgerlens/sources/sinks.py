@@ -71,7 +71,9 @@ def write_bucketed(
     keys = [key] if isinstance(key, str) else list(key)
     sorts = keys if sort_by is None else ([sort_by] if isinstance(sort_by, str) else list(sort_by))
     (
-        df.write.mode("overwrite")
+        # One task a bucket: otherwise every task writes a file into each bucket.
+        df.repartition(int(buckets), *keys)
+        .write.mode("overwrite")
         .format(fmt)
         .bucketBy(int(buckets), keys[0], *keys[1:])
         .sortBy(sorts[0], *sorts[1:])

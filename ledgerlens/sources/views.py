@@ -14,16 +14,22 @@ Mapping rules (fixed values, shared with the SQL oracle in ``plans.oracle``):
 * operations: one per order; type 'withdrawal' when o_orderstatus = 'P', else
   'deposit'; login = o_custkey * 10 + 1 + o_orderkey % 2;
   amount = o_totalprice as decimal(18,4)
-* trades: one per line item of orders with o_orderkey % 7 <> 0;
-  order_uid = l_orderkey * 10 + l_linenumber; order_close_date = l_shipdate
+* trades: one per line item of orders that are no withdrawals
+  (o_orderstatus <> 'P'); order_uid = l_orderkey * 10 + l_linenumber;
+  order_close_date = l_shipdate
 * ledger (first source): one per event; counter_login = user_id + 1 when
   event_id % 3 = 0; transaction_type = -1 for 'purchase', else 1;
+  transaction_ts = ts, but NULL when event_id % 50 = 9;
   comment = '' when event_id % 4 = 0, else NULL when event_id % 11 = 0,
-  else event_type; amount = value as decimal(18,4)
+  else event_type; amount = value as decimal(18,4), but 0 when event_id % 50 =
+  3 and NULL when event_id % 50 = 7
 * second source: the ledger altered by m = event_id % 20 -- 0 absent;
   1 upper(comment); 2 comment || 'x'; 3, 4, 5, 6, 11 epoch +120, -120, -300,
   +100000, +60; 7 amount * 1.05; 8 amount * 0.94; 11 amount * 1.01;
   9 login + 1; 10 counter_login NULL -> 0; 12 transaction_uid + 10000000
+* repeating sources: both sources with fewer, repeating keys -- NULL when
+  event_id % 13 = 0, -1 (a hot key) when event_id % 10 = 1, else event_id DIV 3
+  (plus 10000000 where the second source is shifted)
 """
 
 from __future__ import annotations
@@ -38,7 +44,7 @@ REGISTRATION_BASE = "1994-01-01"
 REGISTRATION_SPREAD_DAYS = 365
 LOGINS_PER_USER = (1, 2)
 DEMO_MODULUS = 3
-TRADE_SKIP_MODULUS = 7
+WITHDRAWAL_STATUS = "P"
 ALTERATION_MODULUS = 20
 UID_SHIFT = 10_000_000
 EPOCH_SHIFTS = {3: 120, 4: -120, 5: -300, 6: 100_000, 11: 60}
@@ -94,20 +100,13 @@ def operations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _traded_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").filter(f"o_orderstatus <> '{WITHDRAWAL_STATUS}'").select("o_orderkey", "o_custkey")
+
+
 def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # The skip rule is applied to both sides so that line items of skipped
-    # orders are dropped at the scan, before the join shuffles them.
-    lineitem = (
-        table(spark, sf_dir, "lineitem")
-        .select("l_orderkey", "l_linenumber", "l_shipdate")
-        .filter(f"l_orderkey % {TRADE_SKIP_MODULUS} <> 0")
-    )
-    orders = (
-        table(spark, sf_dir, "orders")
-        .select("o_orderkey", "o_custkey")
-        .filter(f"o_orderkey % {TRADE_SKIP_MODULUS} <> 0")
-    )
-    return lineitem.join(orders, F.expr("l_orderkey = o_orderkey"), "inner").selectExpr(
+    lineitem = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
+    return lineitem.join(_traded_orders(spark, sf_dir), F.expr("l_orderkey = o_orderkey"), "inner").selectExpr(
         "CAST(l_orderkey * 10 + l_linenumber AS BIGINT) AS order_uid",
         f"{_login_of_order('o_custkey', 'o_orderkey')} AS login",
         "CAST(l_shipdate AS TIMESTAMP_NTZ) AS order_close_date",
@@ -121,20 +120,9 @@ def first_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     minimum is taken per order on the line items first (partial aggregation,
     before the join shuffles them), so the join sees one row per order.
     """
-    per_order = (
-        table(spark, sf_dir, "lineitem")
-        .select("l_orderkey", "l_shipdate")
-        .filter(f"l_orderkey % {TRADE_SKIP_MODULUS} <> 0")
-        .groupBy("l_orderkey")
-        .agg(F.expr("min(l_shipdate) AS first_ship"))
-    )
-    orders = (
-        table(spark, sf_dir, "orders")
-        .select("o_orderkey", "o_custkey")
-        .filter(f"o_orderkey % {TRADE_SKIP_MODULUS} <> 0")
-    )
+    per_order = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.expr("min(l_shipdate) AS first_ship"))
     return (
-        per_order.join(orders, F.expr("l_orderkey = o_orderkey"), "inner")
+        per_order.join(_traded_orders(spark, sf_dir), F.expr("l_orderkey = o_orderkey"), "inner")
         .groupBy(F.expr(f"{_login_of_order('o_custkey', 'o_orderkey')} AS login"))
         .agg(F.expr("CAST(min(first_ship) AS TIMESTAMP_NTZ) AS first_order_date"))
     )
@@ -145,9 +133,9 @@ LEDGER_SELECT = (
     "CAST(user_id AS BIGINT) AS login",
     "CAST(CASE WHEN event_id % 3 = 0 THEN user_id + 1 END AS BIGINT) AS counter_login",
     "CAST(CASE WHEN event_type = 'purchase' THEN -1 ELSE 1 END AS BIGINT) AS transaction_type",
-    "CAST(ts AS TIMESTAMP_NTZ) AS transaction_ts",
+    "CASE WHEN event_id % 50 <> 9 THEN CAST(ts AS TIMESTAMP_NTZ) END AS transaction_ts",
     "CASE WHEN event_id % 4 = 0 THEN '' WHEN event_id % 11 = 0 THEN NULL ELSE event_type END AS comment",
-    f"CAST(value AS {MONEY.simpleString()}) AS amount",
+    f"CAST(CASE event_id % 50 WHEN 3 THEN 0 WHEN 7 THEN NULL ELSE value END AS {MONEY.simpleString()}) AS amount",
 )
 
 
@@ -161,14 +149,15 @@ def _case(residues: dict, otherwise: str, template: str) -> str:
     return f"CASE transaction_uid % {ALTERATION_MODULUS} {whens} ELSE {otherwise} END"
 
 
-def second_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Second source as stored (schema ``schemas.SECOND_SOURCE``)."""
+def second_source(spark: SparkSession, sf_dir: str, uid: str = "transaction_uid") -> DataFrame:
+    """Second source as stored (schema ``schemas.SECOND_SOURCE``); ``uid`` is its
+    key before the shift, from the ledger's columns."""
     m = f"transaction_uid % {ALTERATION_MODULUS}"
     base = ledger(spark, sf_dir).filter(f"{m} <> 0")
     shift = _case(EPOCH_SHIFTS, "0", "{}")
     amount = _case(AMOUNT_FACTORS, "amount", "amount * {}BD")
     return base.selectExpr(
-        f"CASE WHEN {m} = 12 THEN transaction_uid + {UID_SHIFT} ELSE transaction_uid END AS transaction_uid",
+        f"CASE WHEN {m} = 12 THEN {uid} + {UID_SHIFT} ELSE {uid} END AS transaction_uid",
         f"CASE WHEN {m} = 9 THEN login + 1 ELSE login END AS login",
         f"CASE WHEN {m} = 10 THEN coalesce(counter_login, 0L) ELSE counter_login END AS counter_login",
         "transaction_type",
@@ -178,17 +167,15 @@ def second_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-VIEWS = {
-    "users": users,
-    "logins": logins,
-    "operations": operations,
-    "trades": trades,
-    "ledger": ledger,
-    "second_source": second_source,
-}
+REPEATING_UID = (
+    "CASE WHEN transaction_uid % 13 = 0 THEN CAST(NULL AS BIGINT) WHEN transaction_uid % 10 = 1 THEN -1L ELSE transaction_uid DIV 3 END"
+)
+
+
+def repeating_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger with keys that repeat (see above)."""
+    return ledger(spark, sf_dir).withColumn("transaction_uid", F.expr(REPEATING_UID))
 
 
-def register_views(spark: SparkSession, sf_dir: str) -> None:
-    """Register every domain view as a temporary view for SQL use."""
-    for name, build in VIEWS.items():
-        build(spark, sf_dir).createOrReplaceTempView(name)
+def repeating_second_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return second_source(spark, sf_dir, REPEATING_UID)

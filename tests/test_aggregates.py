@@ -3,47 +3,56 @@
 import datetime as dt
 from decimal import Decimal
 
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
-
+from ledgerlens import schemas
 from ledgerlens.operators import aggregates as agg
 
-SIGNED = StructType(
-    [
-        StructField("login", IntegerType()),
-        StructField("transaction_type", IntegerType()),
-        StructField("transaction_ts", StringType()),
-        StructField("amount", IntegerType()),
-        StructField("sign_amount", IntegerType()),
-    ]
-)
+ROWS = [  # login, time, signed amount: month and year ends, mixed signs, a day that nets to zero
+    (31, "2023-12-31 23:59:59", "70.2500"),
+    (31, "2024-01-01 00:00:00", "-20.0000"),
+    (31, "2024-01-01 18:30:00", "20.0000"),
+    (31, "2024-02-29 12:00:00", "0.0001"),
+    (44, "2024-01-31 08:00:00", "-5.5000"),
+    (44, "2024-01-31 09:00:00", "-4.5000"),
+    (44, "2024-02-01 00:00:00", "1000000.0000"),
+]
 
 
 def signed(spark, rows):
-    return spark.createDataFrame(rows, SIGNED).selectExpr(
-        "login", "transaction_type", "CAST(transaction_ts AS TIMESTAMP_NTZ) AS transaction_ts", "amount", "sign_amount"
-    )
+    frame = spark.createDataFrame([(k, t, Decimal(a)) for k, t, a in rows], "login long, transaction_ts string, sign_amount decimal(38,4)")
+    return frame.selectExpr("login", "CAST(transaction_ts AS TIMESTAMP_NTZ) AS transaction_ts", "sign_amount")
 
 
-def test_daily_sum(spark):
-    df = signed(spark, [(5005, 1, "2020-04-09 10:15:00", 130, 130), (5005, 1, "2020-04-09 10:15:00", 120, 120)])
-    rows = agg.daily_agg(df, calculation_ts=False).collect()
-    assert [(r.login, r.date_from, r.daily_sum) for r in rows] == [(5005, dt.date(2020, 4, 9), Decimal("250"))]
+def sums(rows, bucket):
+    out = {}
+    for login, ts, amount in rows:
+        out[login, bucket(ts)] = out.get((login, bucket(ts)), Decimal(0)) + Decimal(amount)
+    return out
 
 
-def test_monthly_sum_is_month_start_date(spark):
-    df = signed(spark, [(5005, 1, "2020-04-09 10:15:00", 130, 130), (5005, 1, "2020-04-10 08:00:00", 120, 120)])
-    rows = agg.monthly_agg(df, calculation_ts=False).collect()
-    assert [(r.login, r.date_from, r.monthly_sum) for r in rows] == [(5005, dt.date(2020, 4, 1), Decimal("250"))]
+def test_daily_sums(spark):
+    got = {(r.login, r.date_from.isoformat()): r.daily_sum for r in agg.daily_agg(signed(spark, ROWS), calculation_ts=False).collect()}
+    assert got == sums(ROWS, lambda ts: ts[:10])
+    assert got[31, "2024-01-01"] == 0  # a day that nets to zero stays
 
 
-def test_total_sum_with_calculation_ts(spark):
-    df = signed(spark, [(5005, 1, "2020-05-09 09:30:00", 130, 130), (5005, 1, "2020-04-10 08:00:00", 120, 120)])
-    rows = agg.total_agg(df, calculation_ts=dt.datetime(2021, 1, 2, 3, 4, 5)).collect()
-    assert [(r.login, r.total_sum, r.calculation_ts) for r in rows] == [
-        (5005, Decimal("250"), dt.datetime(2021, 1, 2, 3, 4, 5))
-    ]
-    now_rows = agg.total_agg(df).collect()
-    assert now_rows[0].calculation_ts is not None
+def test_monthly_sums_start_on_the_first(spark):
+    got = {(r.login, r.date_from.isoformat()): r.monthly_sum for r in agg.monthly_agg(signed(spark, ROWS), calculation_ts=False).collect()}
+    assert got == sums(ROWS, lambda ts: ts[:7] + "-01")
+
+
+def test_total_sums(spark):
+    got = {(r.login, ""): r.total_sum for r in agg.total_agg(signed(spark, ROWS), calculation_ts=False).collect()}
+    assert got == sums(ROWS, lambda ts: "")
+
+
+def test_calculation_time_has_one_type(spark):
+    at = dt.datetime(2024, 3, 1, 7, 8, 9, 123456)
+    for fn in (agg.daily_agg, agg.monthly_agg, agg.total_agg):
+        stamped = [fn(signed(spark, ROWS), calculation_ts=c) for c in (None, at, "2024-03-01 07:08:09.123456")]
+        assert {df.schema["calculation_ts"].dataType.simpleString() for df in stamped} == {"timestamp_ntz"}
+        assert {r.calculation_ts for df in stamped[1:] for r in df.collect()} == {at}
+    assert all(r.calculation_ts is not None for r in agg.total_agg(signed(spark, ROWS)).collect())
+    assert {schemas.DAILY_AGG["calculation_ts"].dataType.simpleString(), schemas.TOTAL_AGG["calculation_ts"].dataType.simpleString()} == {"timestamp_ntz"}
 
 
 def test_signed_amounts_sign(spark):
@@ -55,13 +64,7 @@ def test_signed_amounts_sign(spark):
 
 
 def test_rollup_from_daily_matches_direct(spark):
-    rows = [
-        (1, 1, "2020-04-09 10:00:00", 100, 100),
-        (1, -1, "2020-04-20 10:00:00", 30, -30),
-        (1, 1, "2020-05-01 00:00:00", 5, 5),
-        (2, 1, "2020-04-09 23:59:59", 7, 7),
-    ]
-    df = signed(spark, rows)
+    df = signed(spark, ROWS)
     daily = agg.daily_agg(df, calculation_ts=False)
     monthly, total = agg.rollup_from_daily(daily, calculation_ts=False)
     assert sorted(map(tuple, monthly.collect())) == sorted(map(tuple, agg.monthly_agg(df, calculation_ts=False).collect()))

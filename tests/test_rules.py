@@ -24,14 +24,16 @@ PAIRED = StructType(
     + [StructField("row2_sha2", StringType())]
 )
 
+# A refund to an account with a counter party, at noon of a leap day.
+NOON = 1709208000
 BASE = dict(
-    transaction_uid=41,
-    login=7001,
-    counter_login=None,
-    transaction_type=-1,
-    unix_timestamp=1600000000,
-    comment="Rental Pay",
-    amount=Decimal("50"),
+    transaction_uid=900,
+    login=12,
+    counter_login=77,
+    transaction_type=1,
+    unix_timestamp=NOON,
+    comment="Refund no. 8",
+    amount=Decimal("240.5000"),
 )
 
 
@@ -56,18 +58,22 @@ def first_values(row):
 # --- comment (char) ---------------------------------------------------------
 
 
-def test_char_case_only_difference_accepted(spark):
-    p = pair(right={"comment": "rental pay"})
+@pytest.mark.parametrize("right", ["REFUND NO. 8", "refund No. 8", "rEFUND nO. 8"])
+def test_char_accepts_any_change_of_case(spark, right):
+    p = pair(right={"comment": right})
     assert run(spark, rec.char_rec, [p], 1) == [first_values(p)]
+    assert run(spark, rec.char_rec, [p], 0) == []
 
 
 @pytest.mark.parametrize(
     "right_comment, tol, inclusive, accepted",
     [
-        ("Rental Pax", 1, False, False),  # distance 1, strict < 1
-        ("Rental Pax", 2, False, True),
-        ("Rental Pax", 1, True, True),  # inclusive reading of the tolerance
-        ("Rental", 2, False, False),  # distance 4
+        ("refund no. 9", 1, False, False),  # distance 1, strict < 1
+        ("refund no. 9", 2, False, True),
+        ("refund no. 9", 1, True, True),  # inclusive reading of the tolerance
+        ("refund no 88", 2, False, False),  # distance 2
+        ("refund no 88", 2, True, True),
+        ("refund", 5, True, False),  # distance 6
     ],
 )
 def test_char_distance_boundaries(spark, right_comment, tol, inclusive, accepted):
@@ -82,12 +88,12 @@ def test_char_needs_two_non_empty_comments(spark, left_comment, right_comment):
 
 
 def test_char_rejects_second_difference(spark):
-    p = pair(right={"comment": "rental pay", "amount": Decimal("51")})
-    assert run(spark, rec.char_rec, [p], 1) == []
+    for second in ({"amount": Decimal("240.5001")}, {"login": 13}, {"transaction_type": -1}, {"unix_timestamp": NOON + 1}, {"counter_login": None}):
+        assert run(spark, rec.char_rec, [pair(right={"comment": "REFUND NO. 8", **second})], 1) == []
 
 
 def test_equal_hashes_are_not_tolerance_matches(spark):
-    p = pair(right={"comment": "rental pay"}, same_hash=True)
+    p = pair(right={"comment": "REFUND NO. 8"}, same_hash=True)
     assert run(spark, rec.char_rec, [p], 1) == []
     assert run(spark, rec.exact_matches, [p]) == [first_values(p)]
 
@@ -95,9 +101,11 @@ def test_equal_hashes_are_not_tolerance_matches(spark):
 # --- time (date) ------------------------------------------------------------
 
 
-def test_date_two_seconds_accepted(spark):
-    p = pair(left={"unix_timestamp": 1600000000 - 2})
-    assert run(spark, rec.date_rec, [p], 300) == [first_values(p)]
+def test_date_returns_the_first_sources_time(spark):
+    early, late = pair(left={"unix_timestamp": NOON - 3600}), pair(left={"unix_timestamp": NOON + 299})
+    assert run(spark, rec.date_rec, [early, late], 300) == [first_values(early), first_values(late)]
+    assert run(spark, rec.date_rec, [early, late], 300, symmetric=True) == [first_values(late)]
+    assert run(spark, rec.date_rec, [pair()], 300) == []  # the same second is no difference
 
 
 @pytest.mark.parametrize(
@@ -112,13 +120,13 @@ def test_date_two_seconds_accepted(spark):
     ],
 )
 def test_date_boundaries(spark, delta, symmetric, accepted):
-    p = pair(left={"unix_timestamp": 1600000000 + delta})
+    p = pair(left={"unix_timestamp": NOON + delta})
     assert bool(run(spark, rec.date_rec, [p], 300, symmetric=symmetric)) is accepted
 
 
 def test_date_null_comment_equals_null_but_not_empty(spark):
-    both_null = pair(left={"unix_timestamp": 1600000000 - 2, "comment": None}, right={"comment": None})
-    null_vs_empty = pair(left={"unix_timestamp": 1600000000 - 2, "comment": None}, right={"comment": ""})
+    both_null = pair(left={"unix_timestamp": NOON - 40, "comment": None}, right={"comment": None})
+    null_vs_empty = pair(left={"unix_timestamp": NOON - 40, "comment": None}, right={"comment": ""})
     assert len(run(spark, rec.date_rec, [both_null], 300)) == 1
     assert run(spark, rec.date_rec, [null_vs_empty], 300) == []
 
@@ -126,8 +134,9 @@ def test_date_null_comment_equals_null_but_not_empty(spark):
 # --- amount (int) -----------------------------------------------------------
 
 
-def test_int_two_percent_accepted(spark):
-    p = pair(right={"amount": Decimal("51")})
+@pytest.mark.parametrize("right", ["240.5001", "252.5250", "228.4750"])
+def test_int_accepts_small_deviations_either_way(spark, right):
+    p = pair(right={"amount": Decimal(right)})
     assert run(spark, rec.int_rec, [p], 5) == [first_values(p)]
 
 
@@ -165,7 +174,7 @@ def test_int_fractional_tolerance(spark):
 def test_counter_null_vs_zero_once_or_twice(spark):
     # Hashes differ only because NULL and 0 are written differently; the pair
     # passes both the comment rule (distance 0) and the amount rule (0 %).
-    p = pair(right={"counter_login": 0})
+    p = pair(left={"counter_login": None}, right={"counter_login": 0})
     df = spark.createDataFrame([p], PAIRED)
     statuses = [r.status for r in rec.classify(df, Tolerances()).collect()]
     assert statuses == ["char"]
@@ -177,7 +186,7 @@ def test_status_of_unmatched_and_unreconciled(spark):
     names = [n for n, _ in SIDE]
     left_only = tuple(BASE[n] for n in names) + ("h1",) + (None,) * 8
     right_only = (None,) * 8 + tuple(BASE[n] for n in names) + ("h2",)
-    two_errors = pair(right={"amount": Decimal("51"), "unix_timestamp": 1600000000 - 322})
+    two_errors = pair(right={"amount": Decimal("241"), "unix_timestamp": NOON - 10})
     df = spark.createDataFrame([left_only, right_only, two_errors], PAIRED)
     got = sorted(r.status for r in rec.classify(df, Tolerances()).collect())
     assert got == ["left_only", "right_only", "unreconciled"]

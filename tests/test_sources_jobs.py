@@ -16,7 +16,7 @@ from ledgerlens.streaming import signed_sums
 
 
 def rows(df):
-    return sorted(tuple(r) for r in df.collect())
+    return sorted((tuple(r) for r in df.collect()), key=str)
 
 
 def test_csv_round_trip_keeps_values(spark, tmp_dir):
@@ -180,27 +180,93 @@ def test_large_group_of_copies_pairs_by_count(spark):
     assert summary == {"exact": 3000, "left_only": 2000, "char": 1}
 
 
-@pytest.mark.parametrize("chunk, buckets", [(4, 3), (100_000, 64)])
-def test_skewed_leftovers_pair_exactly(spark, chunk, buckets):
-    """A key with many differing rows on both sides, a large group of copies,
-    and NULL keys: counts are exact whatever the chunk and bucket sizes."""
-    cols = "transaction_uid long, login long, counter_login long, transaction_type long, epoch long, comment string, amount decimal(18,4)"
-
-    def rows(n, uid, amount0, comment="c"):
-        return [(uid, 1, None, 1, 100, comment, Decimal(amount0 + i)) for i in range(n)]
-
-    left_rows = rows(50, 7, 0) + [(8, 1, None, 1, 100, "copy", Decimal(5))] * 25 + rows(3, None, 10_000)
-    right_rows = rows(30, 7, 1_000_000) + [(8, 1, None, 1, 100, "copy", Decimal(5))] * 10 + rows(2, None, 10_000)
-    left = spark.createDataFrame(left_rows, cols)
-    right = spark.createDataFrame(right_rows, cols)
-    first = rec.load_ledger(left.selectExpr("*", "CAST(timestamp_seconds(epoch) AS TIMESTAMP_NTZ) AS ts"), ts_col="ts")
-    second = rec.load_second_source(right.withColumnRenamed("epoch", "epoch_seconds"))
-    paired = rec.pair_sources(first, second, chunk=chunk, buckets=buckets)
-    summary = {r.status: r.pairs for r in rec.reconciliation_summary(rec.reconciliation_report(paired, Tolerances())).collect()}
-    assert summary == {"exact": 10, "unreconciled": 30, "left_only": 20 + 15 + 3, "right_only": 2}
-    # every source row appears in exactly one pair
-    assert paired.filter("row_sha2 IS NOT NULL").count() == len(left_rows)
-    assert paired.filter("row2_sha2 IS NOT NULL").count() == len(right_rows)
+COLS = "transaction_uid long, login long, counter_login long, transaction_type long, epoch long, comment string, amount decimal(18,4)"
+
+
+def sources(spark, left_rows, right_rows, null_token=None):
+    left, right = spark.createDataFrame(left_rows, COLS), spark.createDataFrame(right_rows, COLS)
+    ts = "CAST(timestamp_seconds(epoch) AS TIMESTAMP_NTZ) AS ts"
+    return (
+        rec.load_ledger(left.selectExpr("*", ts), ts_col="ts", null_token=null_token),
+        rec.load_second_source(right.withColumnRenamed("epoch", "epoch_seconds"), null_token=null_token),
+    )
+
+
+def statuses(paired):
+    return {r.status: r.pairs for r in rec.reconciliation_summary(rec.reconciliation_report(paired, Tolerances())).collect()}
+
+
+@pytest.mark.parametrize("chunk, stretch", [(4, 10), (100_000, 86_400), (1, 10**9)])
+def test_no_constant_changes_the_pairs(spark, monkeypatch, chunk, stretch):
+    """600 rows of 200 keys, each of which differs from exactly one partner in
+    letter case only, next to rows that no rule accepts, copies and NULL keys."""
+    monkeypatch.setattr(rec, "COPIES_PER_CHUNK", chunk)
+    monkeypatch.setattr(rec, "STRETCH_SECONDS", stretch)
+    left = [(k, 1, None, 1, 1000 * i, f"text {k} {i}", Decimal(i)) for k in range(200) for i in range(3)]
+    right = [(k, 1, None, 1, 1000 * i, f"TEXT {k} {i}", Decimal(i)) for i in (1, 2, 0) for k in range(199, -1, -1)]
+    left += [(900, 1, None, 1, 7 * i, "c", Decimal(i)) for i in range(50)] + [(901, 1, None, 1, 1, "copy", Decimal(5))] * 25 + [(None, 1, None, 1, 1, "n", Decimal(1))] * 3
+    right += [(900, 2, None, 1, 7 * i, "c", Decimal(10**6 + i)) for i in range(30)] + [(901, 1, None, 1, 1, "copy", Decimal(5))] * 10 + [(None, 1, None, 1, 1, "n", Decimal(1))] * 2
+    paired = rec.pair_sources(*sources(spark, left, right))
+    assert statuses(paired) == {"char": 600, "exact": 10, "unreconciled": 30, "left_only": 20 + 15 + 3, "right_only": 2}
+    hot = sorted((r.unix_timestamp, r.unix_timestamp_2) for r in paired.filter("transaction_uid = 900 AND transaction_uid_2 = 900").collect())
+    assert hot == [(7 * i, 7 * i) for i in range(30)]
+
+
+def test_null_token_reaches_the_pairs(spark, tmp_dir):
+    """NULLs in different columns: equal texts without a token, not with one."""
+    rows = [(1, 2, None, 3, 4, "5", None)], [(1, None, 2, 3, 4, "5", None)]
+    for repeats in (1, 2):  # unique and repeated keys
+        left, right = rows[0] * repeats, rows[1] * repeats
+        assert statuses(rec.pair_sources(*sources(spark, left, right))) == {"exact": repeats}
+        assert statuses(rec.pair_sources(*sources(spark, left, right, "~"))) == {"unreconciled": repeats}
+    assert rec.clean_transactions(*sources(spark, *rows)).count() == 1
+    assert rec.clean_transactions(*sources(spark, *rows, "~")).count() == 0
+    ledger = spark.createDataFrame(rows[0], COLS).selectExpr("*", "CAST(timestamp_seconds(epoch) AS TIMESTAMP_NTZ) AS transaction_ts")
+    second = spark.createDataFrame(rows[1], COLS).withColumnRenamed("epoch", "epoch_seconds")
+    for token, want in ((None, 1), ("~", 0)):
+        out = jobs.reconcile(spark, ledger, second, f"{tmp_dir}/{want}", null_token=token)
+        assert jobs.read_clean(spark, out.clean).count() == want
+
+
+def test_rerun_with_fewer_rows_leaves_none_behind(spark, tmp_dir):
+    left = [(1, 2, None, 1, 86_400, "a", Decimal(100)), (2, 2, None, 1, 900_000, "a", Decimal(100))]
+    right = [(1, 2, None, 1, 86_400, "a", Decimal(100)), (2, 2, None, 1, 900_000, "a", Decimal(103))]
+    ledger = spark.createDataFrame(left, COLS).selectExpr("*", "CAST(timestamp_seconds(epoch) AS TIMESTAMP_NTZ) AS transaction_ts")
+    second = spark.createDataFrame(right, COLS).withColumnRenamed("epoch", "epoch_seconds")
+    for percent, want in ((5, 2), (1, 1)):
+        out = jobs.reconcile(spark, ledger, second, f"{tmp_dir}/r", Tolerances(percent=percent))
+        assert jobs.read_clean(spark, out.clean).count() == want
+    pairs = {r.transaction_uid: r for r in spark.read.parquet(out.pairs).collect()}
+    assert pairs[2].status == "unreconciled" and pairs[2].amount_2 == Decimal(103) and pairs[2].login_2 == 2
+
+
+def _files(path):
+    from pathlib import Path
+
+    return [f for f in Path(path).rglob("*.parquet")]
+
+
+def test_writers_make_few_files(spark, tmp_dir):
+    from ledgerlens.sources import sinks
+
+    rows = spark.range(0, 4000, 1, 8).selectExpr("id", "id % 97 AS login")
+    sinks.write_bucketed(rows, "few_files_bucketed", f"{tmp_dir}/b", "login", 4)
+    assert len(_files(f"{tmp_dir}/b")) <= 4
+    clean = spark.range(0, 6000, 1, 8).selectExpr(
+        "id AS transaction_uid", "id % 50 AS login", "CAST(NULL AS BIGINT) AS counter_login", "1L AS transaction_type",
+        "timestampadd(DAY, CAST(id % 30 AS INT), TIMESTAMP_NTZ'2024-01-01 00:00:00') AS transaction_ts", "'c' AS comment",
+        "CAST(1 AS DECIMAL(18,4)) AS amount",
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = jobs.aggregates(spark, clean, f"{tmp_dir}/a")
+        again = jobs.aggregates(spark, clean, f"{tmp_dir}/a")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert out.calculation_ts != again.calculation_ts
+    # about one file a date: a range border may cut a date in two
+    assert len(_files(out.daily)) <= 2 * (30 + 8)
+    assert spark.read.parquet(out.total).count() == 100
 
 
 def test_insert_rows_with_column_list_and_default(spark, tmp_dir):
