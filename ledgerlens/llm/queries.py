@@ -68,3 +68,67 @@ def op9_nbest_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_swap_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir))
+
+
+# --- SQL -----------------------------------------------------------------------
+
+# All pairs of documents that share a shingle, and the closure of their links.
+ORACLE_SQL["op5_signature_trees"] = r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+),
+sets AS MATERIALIZED (
+  SELECT doc_id, CASE WHEN len(words) >= 5
+                      THEN list_distinct(list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')))
+                      WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END AS shingles
+  FROM split
+),
+each AS MATERIALIZED (SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM sets),
+links AS MATERIALIZED (
+  SELECT a.doc_id AS u, b.doc_id AS v
+  FROM each a JOIN each b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n
+  HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))
+),
+reached AS (
+  SELECT doc_id AS u, doc_id AS v FROM sets
+  UNION
+  SELECT r.u, l.v FROM reached r JOIN links l ON r.v = l.u
+)
+SELECT s.doc_id, CAST(len(any_value(s.shingles)) AS BIGINT) AS n_shingles, min(r.v) AS component_id
+FROM sets s JOIN reached r ON r.u = s.doc_id
+GROUP BY s.doc_id
+"""
+
+# Every 200-byte window of every text, in hexadecimal; islands of the places
+# whose window occurs more than once.
+ORACLE_SQL["op8_interval_repeats"] = """
+WITH texts AS MATERIALIZED (
+  SELECT doc_id, lower(hex(encode(coalesce(text, '')))) AS h, CAST(strlen(coalesce(text, '')) AS BIGINT) AS n_bytes FROM documents
+),
+places AS MATERIALIZED (
+  SELECT doc_id, p, md5_number(substring(h, 2 * p + 1, 400)) AS w
+  FROM (SELECT doc_id, h, unnest(range(0, greatest(n_bytes - 199, 0))) AS p FROM texts)
+),
+repeated AS MATERIALIZED (SELECT doc_id, p FROM places SEMI JOIN (SELECT w AS k FROM places GROUP BY w HAVING count(*) > 1) ON w = k),
+islands AS (
+  SELECT doc_id, p, sum(fresh) OVER (PARTITION BY doc_id ORDER BY p) AS island
+  FROM (SELECT doc_id, p, CASE WHEN p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) <= 200 THEN 0 ELSE 1 END AS fresh FROM repeated)
+),
+spans AS MATERIALIZED (SELECT doc_id, island, min(p) AS lo, max(p) + 200 AS hi FROM islands GROUP BY doc_id, island),
+kept AS (
+  SELECT s.doc_id, substring(h, 2 * coalesce(lag(hi) OVER (PARTITION BY s.doc_id ORDER BY lo), 0) + 1,
+                             2 * (lo - coalesce(lag(hi) OVER (PARTITION BY s.doc_id ORDER BY lo), 0))) AS part, lo AS place
+  FROM spans s JOIN texts t ON t.doc_id = s.doc_id
+  UNION ALL
+  SELECT t.doc_id, substring(h, 2 * coalesce(e.hi, 0) + 1), n_bytes + 1
+  FROM texts t LEFT JOIN (SELECT doc_id, max(hi) AS hi FROM spans GROUP BY doc_id) e ON e.doc_id = t.doc_id
+)
+SELECT t.doc_id, n_bytes, CAST(coalesce(r.n, 0) AS BIGINT) AS n_removed, CAST(coalesce(r.k, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(j.rest)) AS kept_sha256
+FROM texts t
+JOIN (SELECT doc_id, string_agg(part, '' ORDER BY place) AS rest FROM kept GROUP BY doc_id) j ON j.doc_id = t.doc_id
+LEFT JOIN (SELECT doc_id, sum(hi - lo) AS n, count(*) AS k FROM spans GROUP BY doc_id) r ON r.doc_id = t.doc_id
+"""
