@@ -83,6 +83,10 @@ class AggregateOutput:
     total: str
     calculation_ts: dt.datetime
 
+    @property
+    def calc_id(self) -> str:
+        return self.calculation_ts.strftime("%Y%m%dT%H%M%S%f")
+
 
 def _write_calculation(df: DataFrame, path: str, partition_cols: tuple[str, ...]) -> None:
     """Write one calculation; a re-run of the same calculation replaces its
@@ -111,9 +115,9 @@ def aggregates(spark: SparkSession, clean: DataFrame, out_dir: str, calculation_
     calculation after a failure rewrites exactly its own partitions.
     """
     calc = calculation_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    calc_id = calc.strftime("%Y%m%dT%H%M%S%f")
     base = out_dir.rstrip("/")
     out = AggregateOutput(f"{base}/daily", f"{base}/monthly", f"{base}/total", calc)
+    calc_id = out.calc_id
     tag = F.lit(calc_id).alias("calc_id")
 
     daily = agg.daily_agg(agg.signed_amounts(clean), calculation_ts=calc)

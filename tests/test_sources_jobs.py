@@ -313,3 +313,31 @@ def test_pairing_join_types(spark):
     assert rec.pair_sources(first, second, how="right").count() == n_right
     with pytest.raises(ValueError):
         rec.pair_sources(first, second, how="cross")
+
+
+def test_command_line_options(tmp_dir, monkeypatch):
+    """Options reach the readers, writers and the session; nothing is connected."""
+    import ledgerlens.__main__ as cli
+
+    with open(f"{tmp_dir}/db.properties", "w") as fh:
+        fh.write("# login\nuser = reader\n\npassword=a=b\ndriver=org.example.Driver\n")
+    calls = {}
+    monkeypatch.setattr(cli, "build_session", lambda **kw: calls.setdefault("session", kw))
+    monkeypatch.setattr(cli.jdbc, "read_table", lambda spark, *a, **kw: calls.setdefault("read", (a, kw)))
+    monkeypatch.setattr(cli.jdbc, "append_table", lambda df, *a, **kw: calls.setdefault("append", []).append((a, kw)))
+    monkeypatch.setattr(cli.files, "read_parquet", lambda *a: None)
+    monkeypatch.setattr(cli.jobs, "read_clean", lambda *a: None)
+    monkeypatch.setattr(cli.jobs, "reconcile", lambda *a, **kw: (calls.setdefault("job", kw), cli.jobs.ReconcileOutput("p", "c"))[1])
+    argv = ["reconcile", "--ledger-jdbc", "jdbc:x:y", "ledger", "--jdbc-split", "transaction_uid", "0", "1000", "16", "--second", "s", "--out", "o",
+            "--jdbc-properties", f"{tmp_dir}/db.properties", "--append-jdbc", "jdbc:x:y", "clean", "--append-connections", "4",
+            "--input-bytes", "1000000000", "--total-cores", "64", "--null-token", "~"]
+    assert cli.main(argv) == 0
+    login = {"user": "reader", "password": "a=b", "driver": "org.example.Driver"}
+    assert calls["session"]["input_bytes"] == 1_000_000_000 and calls["session"]["total_cores"] == 64
+    (url, table, properties), split = calls["read"]
+    assert (url, table, properties) == ("jdbc:x:y", "ledger", login)
+    assert jdbc.jdbc_read_options(url, table, properties, **split)["numPartitions"] == "16"
+    assert calls["append"] == [(("jdbc:x:y", "clean", login), {"num_partitions": 4})]
+    assert calls["job"]["null_token"] == "~"
+    with pytest.raises(SystemExit):
+        cli.main([*argv[:-4], "--input-bytes", "5"])
