@@ -7,9 +7,10 @@ node; searching backwards from the end, those scores are exact heuristics, so
 A* pops complete segmentations best first and expands little else.
 
 No piece spans the start of a word, so lattices of texts fall apart into those
-of their words. Words are segmented once and cached; the N best segmentations of
-a text differ from its best one in the N - 1 words whose second choice costs
-least, and are found among those.
+of their words. The forward pass runs over all new words of a slice at once, with
+the best two scores of every node: they tell what a word's second choice costs.
+The N best segmentations of a text differ from its best one in the N - 1 words
+where that costs least only; the A* search runs for those.
 
 The model file holds merge ranks, not probabilities: pieces are scored by
 Zipf's law, -ln(rank + 2), and each byte of an uncovered character like the
@@ -20,9 +21,7 @@ from __future__ import annotations
 
 import functools
 import heapq
-import itertools
 import math
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -31,13 +30,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from ledgerlens.llm.common import text_slices
+from ledgerlens.llm.rolling import HashIndex, ranges_hashed
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
 N_BEST = 4
-CACHE_WORDS = 60_000
-LONG_WORD = 64  # longer words are not cached
-_WORDS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+KNOWN_WORDS = 1_500_000  # the table of words starts anew beyond this: a memory bound only
+SEARCHED_WORDS = 20_000  # so does the cache of searched words
+LONG_WORD = 48  # longer words pass through the lattice one by one
 
 Found = list[tuple[float, tuple[int, ...]]]  # (score, ids), best first
 
@@ -53,17 +53,35 @@ class Lattice:
         import sentencepiece
 
         sp = sentencepiece.SentencePieceProcessor(model_file=model)
-        self.n, self.cache = n, {}
+        self.n, self.searched = n, {}
         self.byte = [sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         own = [i for i in range(sp.get_piece_size()) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i))]
         ranked = sorted(own, key=lambda i: (-sp.get_score(i), i))
-        self.piece = [sp.id_to_piece(i) for i in range(sp.get_piece_size())]
-        self.edges = {self.piece[i]: (-math.log(r + 2), i) for r, i in enumerate(ranked)}
+        piece = [sp.id_to_piece(i) for i in range(sp.get_piece_size())]
+        self.edges = {piece[i]: (-math.log(r + 2), i) for r, i in enumerate(ranked)}
         if any(SPACE in p.lstrip(SPACE) for p in self.edges):
             raise ValueError("a piece spans the start of a word")
         self.longest = max(map(len, self.edges))
         self.byte_score = -math.log(len(ranked) + 2)
-        self.is_byte = {i: b for b, i in enumerate(self.byte)}
+        # What each piece decodes to.
+        self.raw = [p.replace(SPACE, " ").encode() for p in piece]
+        for b, i in enumerate(self.byte):
+            self.raw[i] = bytes([b])
+        # Pieces by length: sorted hashes of their characters, scores, ids.
+        self.by_length: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        for size in range(1, self.longest + 1):
+            some = [p for p in self.edges if len(p) == size]
+            if some:
+                hashes = _rows_hashed(np.array(some, dtype=f"U{size}").view(np.uint32).reshape(len(some), size))
+                order = np.argsort(hashes)
+                self.by_length[size] = (hashes[order], np.array([self.edges[p][0] for p in some])[order], np.array([self.edges[p][1] for p in some])[order])
+        self._forget()
+
+    def _forget(self) -> None:
+        """Start the table of words: scores, cost of the second choice, ids."""
+        self.index = HashIndex()
+        self.best, self.gap, self.end = ([np.zeros(0)], [np.zeros(0)], [np.zeros(1, np.int64)])
+        self.ids = [np.zeros(0, np.uint32)]
 
     def _into(self, word: str, end: int) -> list[tuple[int, float, tuple[int, ...]]]:
         """Edges that end at ``end``: (start, score, ids)."""
@@ -95,50 +113,161 @@ class Lattice:
                 heapq.heappush(heap, (-(best[start] + score + behind), own + ids, score + behind, start))
         return out
 
-    def segment(self, text: str) -> Found:
-        """The N best segmentations of a whole text, best first."""
-        words = _WORDS.findall(marked(text))
-        cache, choices = self.cache, []
-        for w in words:
-            found = cache.get(w)
-            if found is None:
-                found = self.word(w)
-                if len(w) <= LONG_WORD:
-                    if len(cache) >= CACHE_WORDS:
-                        cache.clear()
-                    cache[w] = found
-            choices.append(found)
-        total = math.fsum(c[0][0] for c in choices)
-        gaps = np.fromiter((c[0][0] - c[1][0] if len(c) > 1 else math.inf for c in choices), np.float64, len(choices))
-        near = [int(i) for i in np.argsort(gaps, kind="stable")[: self.n - 1] if gaps[i] < math.inf]
-        # (cost over the best, choice of each of the near words)
-        combined: list[tuple[float, tuple[int, ...]]] = [(0.0, ())]
-        for i in near:
-            own = [c[0] for c in choices[i]]
-            combined = heapq.nsmallest(
-                self.n, ((cost + own[0] - s, (*picked, k)) for cost, picked in combined for k, s in enumerate(own))
-            )
+    def _search(self, word: str) -> Found:
+        found = self.searched.get(word)
+        if found is None:
+            if len(self.searched) >= SEARCHED_WORDS:
+                self.searched.clear()
+            found = self.searched[word] = self.word(word)
+        return found
+
+    def _forward(self, words: list[str], size: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+        """(best score, cost of the second choice, best ids) of words of one
+        length: the forward pass for all at once."""
+        w = len(words)
+        chars = np.array(words, dtype=f"U{size}").view(np.uint32).reshape(w, size)
+        top = np.full((size + 1, w), -np.inf)
+        second = np.full((size + 1, w), -np.inf)
+        step, edge = np.zeros((size + 1, w), np.int64), np.full((size + 1, w), -1, np.int64)
+        top[0] = 0.0
+        wide = _byte_counts(chars)
+        for end in range(1, size + 1):
+            rolled = np.zeros(w, np.uint64)
+            factor = np.uint64(1)
+            for length in range(1, min(end, self.longest) + 1):
+                # the hash grows by characters before it
+                rolled = rolled + chars[:, end - length].astype(np.uint64) * factor
+                factor = np.uint64(int(factor) * _BASE & (2**64 - 1))
+                if length not in self.by_length:
+                    continue
+                known, scores, ids = self.by_length[length]
+                at = np.minimum(np.searchsorted(known, rolled), len(known) - 1)
+                hit = known[at] == rolled
+                score = np.where(hit, scores[at], -np.inf)
+                piece = np.where(hit, ids[at], -1)
+                if length == 1:
+                    score = np.where(hit, score, self.byte_score * wide[:, end - 1])
+                first = top[end - length] + score
+                better = first > top[end]
+                second[end] = np.maximum(np.maximum(second[end], np.minimum(first, top[end])), second[end - length] + score)
+                top[end] = np.where(better, first, top[end])
+                step[end], edge[end] = np.where(better, length, step[end]), np.where(better, piece, edge[end])
+        back = np.full((size, w), -2, np.int64)  # ids from the end on; -1: bytes of a character, -2: nothing
+        place = np.zeros((size, w), np.int64)
+        node, row = np.full(w, size), np.arange(w)
+        for k in range(size):
+            live = node > 0
+            back[k, live] = edge[node[live], row[live]]
+            node = node - np.where(live, step[node, row], 0)
+            place[k] = node
         out = []
-        for cost, picked in combined[: self.n]:
-            swap = dict(zip(near, picked, strict=True))
-            ids = itertools.chain.from_iterable(c[swap.get(i, 0)][1] for i, c in enumerate(choices))
-            out.append((total - cost, tuple(ids)))
+        plain = (back != -1).all(axis=0)
+        used = (back != -2).sum(axis=0)
+        for i in range(w):
+            path = back[: used[i], i][::-1]
+            if not plain[i]:
+                spread: list[int] = []
+                for piece, at in zip(path.tolist(), place[: used[i], i][::-1].tolist(), strict=True):
+                    spread += [piece] if piece >= 0 else [self.byte[b] for b in _literal(words[i][at]).encode("utf-8", "surrogatepass")]
+                path = np.array(spread)
+            out.append(path.astype(np.uint32))
+        return top[size], top[size] - second[size], out
+
+    def _learn(self, hashes: np.ndarray, words: list[str]) -> None:
+        """Add new words to the table."""
+        by_size: dict[int, list[int]] = {}
+        for k, word in enumerate(words):
+            by_size.setdefault(len(word) if len(word) <= LONG_WORD else 0, []).append(k)
+        for size, own in by_size.items():
+            if size:
+                best, gap, ids = self._forward([words[k] for k in own], size)
+            else:
+                found = [self.word(words[k]) for k in own]
+                best = np.array([f[0][0] for f in found])
+                gap = np.array([f[0][0] - f[1][0] if len(f) > 1 else math.inf for f in found])
+                ids = [np.array(f[0][1], np.uint32) for f in found]
+            self.index.add(hashes[own])
+            last = self.end[-1][-1]
+            self.best.append(best)
+            self.gap.append(gap)
+            self.ids.append(np.concatenate(ids))
+            self.end.append(last + np.cumsum([len(x) for x in ids]))
+        for name in ("best", "gap", "ids", "end"):
+            setattr(self, name, [np.concatenate(getattr(self, name))])
+
+    def segment_all(self, texts: list[str]) -> list[tuple[Found, bool]]:
+        """The N best segmentations of whole texts, best first, and whether they
+        all decode to the text."""
+        rows = [b" " + t.encode() for t in texts]
+        raw = np.frombuffer(b"".join(rows), np.uint8)
+        bounds = np.concatenate([[0], np.cumsum([len(r) for r in rows])])
+        space = raw == 0x20
+        first = space.copy()
+        first[1:] &= ~space[:-1]
+        first[bounds[:-1]] = True
+        start = np.flatnonzero(first)
+        end = np.append(start[1:], len(raw))
+        distinct, where, of = np.unique(ranges_hashed(raw, start, end), return_index=True, return_inverse=True)
+        if len(self.index) > KNOWN_WORDS:
+            self._forget()
+        new = self.index.find(distinct) < 0
+        blob = raw.tobytes()
+        if new.any():
+            self._learn(distinct[new], [_marked(blob[a:b]) for a, b in zip(start[where[new]].tolist(), end[where[new]].tolist(), strict=True)])
+        entry = self.index.find(distinct)[of]
+        gap, best, stop = self.gap[0][entry], self.best[0][entry], self.end[0][entry + 1]
+        size = stop - self.end[0][entry]
+        after = np.concatenate([[0], np.cumsum(size)])
+        flat = self.ids[0][np.repeat(stop - after[1:], size) + np.arange(after[-1])]
+        out = []
+        for k, (a, b) in enumerate(zip(np.searchsorted(start, bounds[:-1]).tolist(), np.searchsorted(start, bounds[1:]).tolist(), strict=True)):
+            ids, cut = flat[after[a] : after[b]], after[a : b + 1] - after[a]
+            decodes = b"".join(map(self.raw.__getitem__, ids.tolist())) == rows[k]
+            near = [int(i) for i in np.argsort(gap[a:b], kind="stable")[: self.n - 1] if gap[a + i] < math.inf]
+            words = [blob[start[a + i] : end[a + i]] for i in near]
+            choices = [self._search(_marked(w)) for w in words]
+            decodes &= all(b"".join(self.raw[i] for i in own) == w for w, c in zip(words, choices, strict=True) for _, own in c)
+            # (cost over the best, choice of each of the near words)
+            combined: list[tuple[float, tuple[int, ...]]] = [(0.0, ())]
+            for c in choices:
+                combined = heapq.nsmallest(
+                    self.n, ((cost + c[0][0] - s, (*picked, j)) for cost, picked in combined for j, (s, _) in enumerate(c))
+                )
+            total, order = math.fsum(best[a:b]), np.argsort(near)
+            found = []
+            for cost, picked in combined[: self.n]:
+                parts, at = [], 0
+                for m in order:
+                    parts += [ids[at : cut[near[m]]], np.array(choices[m][picked[m]][1], np.uint32)]
+                    at = cut[near[m] + 1]
+                found.append((total - cost, np.concatenate([*parts, ids[at:]])))
+            out.append((found, decodes))
         return out
 
+    def segment(self, text: str) -> Found:
+        """The N best segmentations of a whole text, best first."""
+        return [(s, tuple(ids.tolist())) for s, ids in self.segment_all([text])[0][0]]
+
     def decode(self, ids: tuple[int, ...]) -> str:
         """The text of a segmentation (the inverse of ``segment``)."""
-        parts, raw = [], bytearray()
-        for i in ids:
-            b = self.is_byte.get(i)
-            if b is not None:
-                raw.append(b)
-                continue
-            if raw:
-                parts.append(raw.decode("utf-8", "surrogatepass"))
-                raw.clear()
-            parts.append(self.piece[i].replace(SPACE, " "))
-        parts.append(raw.decode("utf-8", "surrogatepass"))
-        return "".join(parts)[1:]
+        return b"".join(self.raw[i] for i in ids).decode()[1:]
+
+
+_BASE = 0x9E3779B97F4A7C15 | 5
+
+
+def _rows_hashed(chars: np.ndarray) -> np.ndarray:
+    """A hash of each row of characters, last character first."""
+    out, factor = np.zeros(len(chars), np.uint64), 1
+    for k in range(chars.shape[1] - 1, -1, -1):
+        out = out + chars[:, k].astype(np.uint64) * np.uint64(factor)
+        factor = factor * _BASE & (2**64 - 1)
+    return out
+
+
+def _byte_counts(chars: np.ndarray) -> np.ndarray:
+    """UTF-8 bytes of each character; the stand-in has those of U+2581."""
+    return 1 + (chars >= 0x80) + (chars >= 0x800).astype(np.int64) + (chars >= 0x10000)
 
 
 # A U+2581 of the text itself must not decode to a space: while segmenting it
@@ -151,6 +280,11 @@ def marked(text: str) -> str:
     return SPACE + text.replace(SPACE, _STAND_IN).replace(" ", SPACE)
 
 
+def _marked(word: bytes) -> str:
+    """The same for bytes that hold the space before them already."""
+    return word.decode().replace(SPACE, _STAND_IN).replace(" ", SPACE)
+
+
 def _literal(char: str) -> str:
     return SPACE if char == _STAND_IN else char
 
@@ -175,12 +309,10 @@ def encode(docs: DataFrame, model: str | None = None, n: int = N_BEST) -> DataFr
         for batch in batches:
             for lo, hi in text_slices(batch):
                 part, rows = batch.slice(lo, hi - lo), []
-                for text in part.column("text").to_pylist():
-                    found = own.segment(text or "")
+                for found, decodes in own.segment_all([t or "" for t in part.column("text").to_pylist()]):
                     rows.append((
                         len(found), found[0][0], [s for s, _ in found], len(found[0][1]),
-                        [zlib.crc32(np.array(ids, "<u4").tobytes()) for _, ids in found],
-                        all(own.decode(ids) == (text or "") for _, ids in found),
+                        [zlib.crc32(ids.astype("<u4").tobytes()) for _, ids in found], decodes,
                     ))
                 cols = list(zip(*rows, strict=True))
                 kinds = [pa.int32(), pa.float64(), pa.list_(pa.float64()), pa.int64(), pa.list_(pa.int64()), pa.bool_()]

@@ -45,3 +45,54 @@ class Rolling:
 
     def some(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return mix64((self.sums[end] - self.sums[start]) * self.down[start] + (end - start).astype(np.uint64))
+
+
+STEP = 1 << 20  # bytes hashed at a time
+
+
+def ranges_hashed(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of ascending ranges of bytes."""
+    hashes = np.empty(len(start), np.uint64)
+    at = 0
+    while at < len(start):
+        # Ranges that end within a step of the first one (one at least).
+        stop = max(at + 1, int(np.searchsorted(end, start[at] + STEP, side="right")))
+        base = int(start[at])
+        hashes[at:stop] = Rolling(raw[base : int(end[stop - 1])]).some(start[at:stop] - base, end[at:stop] - base)
+        at = stop
+    return hashes
+
+
+class HashIndex:
+    """Numbers of distinct hashes in the order they were added; two sorted runs."""
+
+    def __init__(self):
+        self.runs = [(np.zeros(0, np.uint64), np.zeros(0, np.int64)) for _ in range(2)]
+        self.size = 0
+
+    def __len__(self) -> int:
+        return self.size
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The number of each hash, -1 if it is unknown."""
+        out = np.full(len(hashes), -1, np.int64)
+        for known, numbers in self.runs:
+            if len(known):
+                at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+                hit = known[at] == hashes
+                out[hit] = numbers[at[hit]]
+        return out
+
+    def add(self, hashes: np.ndarray) -> None:
+        main, recent = self.runs
+        recent = self._merged(recent, (hashes, self.size + np.arange(len(hashes))))
+        self.size += len(hashes)
+        if len(recent[0]) > max(50_000, len(main[0]) // 4):
+            main, recent = self._merged(main, recent), tuple(x[:0] for x in recent)
+        self.runs = [main, recent]
+
+    @staticmethod
+    def _merged(a: tuple, b: tuple) -> tuple:
+        both = [np.concatenate(x) for x in zip(a, b, strict=True)]
+        order = np.argsort(both[0], kind="stable")
+        return tuple(x[order] for x in both)

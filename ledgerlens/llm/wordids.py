@@ -20,12 +20,11 @@ import numpy as np
 import pyarrow as pa
 
 from ledgerlens.llm.common import flat_bytes
-from ledgerlens.llm.rolling import LOWER, WHITE, Rolling
+from ledgerlens.llm.rolling import LOWER, WHITE, HashIndex, ranges_hashed
 
 NAME = "word_bpe_49k.json"
 VOCABULARY = 49408  # ids 0 .. 49407
 TABLE_UNITS = 2_000_000  # the table starts anew beyond this: a memory bound only
-STEP = 1 << 20  # bytes hashed at a time
 
 
 def default_path() -> str:
@@ -49,15 +48,7 @@ def word_bounds(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nda
 
 def hashed(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Hashes of ascending ranges of bytes, A-Z in lower case."""
-    hashes = np.empty(len(start), np.uint64)
-    at = 0
-    while at < len(start):
-        # Ranges that end within a step of the first one (one at least).
-        stop = max(at + 1, int(np.searchsorted(end, start[at] + STEP, side="right")))
-        base = int(start[at])
-        hashes[at:stop] = Rolling(LOWER[raw[base : int(end[stop - 1])]]).some(start[at:stop] - base, end[at:stop] - base)
-        at = stop
-    return hashes
+    return ranges_hashed(LOWER[raw], start, end)
 
 
 def units(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -79,21 +70,19 @@ def units(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Table:
-    """Hash -> (place, length) in an array of ids; two sorted runs."""
+    """Ids of units by hash: places and lengths in one array of ids."""
 
     def __init__(self):
-        self.runs = [(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)) for _ in range(2)]
-        self.ids = np.zeros(1 << 16, np.uint32)
-        self.used = 0
+        self.index = HashIndex()
+        self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
+        self.places, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places (-1: unknown) and lengths."""
+        number = self.index.find(hashes)
+        known = number >= 0
         place, length = np.full(len(hashes), -1, np.int64), np.zeros(len(hashes), np.int64)
-        for known, places, lengths in self.runs:
-            if len(known):
-                at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
-                hit = known[at] == hashes
-                place[hit], length[hit] = places[at[hit]], lengths[at[hit]]
+        place[known], length[known] = self.places[number[known]], self.lengths[number[known]]
         return place, length
 
     def add(self, hashes: np.ndarray, ids: list[np.ndarray], lengths: np.ndarray) -> None:
@@ -102,22 +91,13 @@ class Table:
         while self.used + len(flat) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros(len(self.ids), np.uint32)])
         self.ids[self.used : self.used + len(flat)] = flat
-        places = self.used + np.cumsum(lengths) - lengths
+        self.places = np.concatenate([self.places, self.used + np.cumsum(lengths) - lengths])
+        self.lengths = np.concatenate([self.lengths, lengths])
         self.used += len(flat)
-        main, recent = self.runs
-        recent = self._merged(recent, (hashes, places, lengths))
-        if len(recent[0]) > max(50_000, len(main[0]) // 4):
-            main, recent = self._merged(main, recent), tuple(x[:0] for x in recent)
-        self.runs = [main, recent]
-
-    @staticmethod
-    def _merged(a: tuple, b: tuple) -> tuple:
-        both = [np.concatenate(x) for x in zip(a, b, strict=True)]
-        order = np.argsort(both[0], kind="stable")
-        return tuple(x[order] for x in both)
+        self.index.add(hashes)
 
     def __len__(self) -> int:
-        return sum(len(r[0]) for r in self.runs)
+        return len(self.index)
 
 
 class WordIds:

@@ -55,11 +55,32 @@ def test_decoding_is_the_inverse(lattice):
 
 def test_words_of_a_text_combine_exactly(lattice):
     text = "thing of the day or"
-    words = [lattice.word(w) for w in n._WORDS.findall(n.marked(text))]
+    words = [lattice.word(n.SPACE + w) for w in text.split()]
     every = sorted((sum(c[0] for c in pick) for pick in itertools.product(*words)), reverse=True)
     assert np.allclose([s for s, _ in lattice.segment(text)], every[: lattice.n])
 
 
+def test_forward_pass_equals_the_search(lattice):
+    words = ["▁the", "▁▁a", "thing", "▁日x", "▁" + "ab" * 20, "a\nb", "\udc81", "▁heonou", "zz", "▁", "▁" + "x" * 60]
+    for w in words:
+        want = lattice.word(w)
+        if len(w) <= n.LONG_WORD:
+            best, gap, ids = lattice._forward([w, w], len(w))
+            assert abs(best[0] - want[0][0]) < 1e-9 and (best == best[0]).all()
+            assert gap[0] == np.inf if len(want) == 1 else abs(gap[0] - (want[0][0] - want[1][0])) < 1e-9
+            assert len(want) > 1 and want[1][0] == want[0][0] or tuple(ids[0].tolist()) == want[0][1]
+
+
+def test_tables_start_anew(lattice, monkeypatch):
+    texts = [t or "" for t in pq.read_table(f"{SF}/documents.parquet").column("text").to_pylist()[:20]]
+    want = [lattice.segment(t) for t in texts]
+    monkeypatch.setattr(n, "KNOWN_WORDS", 10)
+    monkeypatch.setattr(n, "SEARCHED_WORDS", 2)
+    again = n.Lattice(n.default_path())
+    assert [again.segment(t) for t in texts] == want
+    assert [[(s, tuple(i.tolist())) for s, i in f] for f, _ in again.segment_all(texts)] == want
+
+
 def test_op9_on_all_documents(spark):
     rows = q.op9_nbest_pieces(spark, SF).collect()
     assert len(rows) == pq.read_metadata(f"{SF}/documents.parquet").num_rows
