@@ -24,7 +24,7 @@ BUCKETS = 256
 # Second and third byte of a triplet. Wide spacings depend on the text at hand
 # more than on the language's usual letter groups.
 SPACINGS = ((1, 2), (3, 7), (5, 11))
-STEP = 1 << 20  # positions counted at a time
+STEP = 1 << 18  # positions counted at a time
 BYTES = 4 + BUCKETS // 4  # checksum, length, two ratios, two bits a bucket
 LENGTH_WEIGHT, RATIO_WEIGHT = 2, 4
 LARGEST = 400.0  # difference from which on the likeness is 0

@@ -46,6 +46,8 @@ LEAF = 64  # nodes of a tree's leaf; groups of this size are paired directly
 FAN_OUT = 8
 BLOCK = 2048  # nodes of a tree
 DENSE = 8  # bits a shingle of the bitmaps in trees
+TREE_WORDS = 512  # 64-bit words of a tree's bitmaps at most: wider ones are folded
+COMPARED_WORDS = 1 << 20  # words of bitmaps compared at a time
 SLICE = 4 << 20  # bytes of text whose shingles are packed together
 
 
@@ -126,8 +128,9 @@ def _possible(a: tuple, i: np.ndarray, b: tuple, j: np.ndarray, percent: int) ->
     ok = (100 * high_a[i] >= percent * low_b[j]) & (100 * high_b[j] >= percent * low_a[i])
     out = np.zeros(len(i), bool)
     at = np.flatnonzero(ok)
-    for lo in range(0, len(at), 8192):
-        p = at[lo : lo + 8192]
+    many = max(1, COMPARED_WORDS // rows_a.shape[1])
+    for lo in range(0, len(at), many):
+        p = at[lo : lo + many]
         x, y = i[p], j[p]
         shared = np.bitwise_count(rows_a[x] & rows_b[y]).sum(axis=1).astype(np.int64)
         # Shared tokens set shared bits; those that fall together are lost ones.
@@ -317,7 +320,7 @@ def block_links(pdf: pd.DataFrame, percent: int = PERCENT) -> pd.DataFrame:
         own = own.sort_values("node", ignore_index=True)
         sets = shingle_sets(*flat_bytes(pa.array(own["text"], pa.large_string())))
         sizes, marks = np.array([len(s) for s in sets]), [signature(s, DENSE) for s in sets]
-        words = max(map(len, marks)) // 8
+        words = min(TREE_WORDS, max(map(len, marks)) // 8)
         sides = [np.flatnonzero(own["part"].to_numpy() == k) for k in (i, j)]
         trees = [Tree(sizes[at], [marks[k] for k in at], words) for at in (sides[:1] if i == j else sides)]
         x, y = traverse(trees[0], trees[-1], percent)

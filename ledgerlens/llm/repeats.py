@@ -37,7 +37,7 @@ from ledgerlens.llm.rolling import Rolling
 
 WIDTH = 200
 GRAM = 32
-CHUNK = 1 << 20  # window starts handled at a time
+CHUNK = 1 << 18  # window starts handled at a time
 GATHERED = 4000  # contexts of one anchor that are gathered in a task; beyond, step 4
 BUCKET_BYTES = 1_500_000  # context bytes aimed at for one suffix array
 

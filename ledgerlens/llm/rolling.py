@@ -47,7 +47,7 @@ class Rolling:
         return mix64((self.sums[end] - self.sums[start]) * self.down[start] + (end - start).astype(np.uint64))
 
 
-STEP = 1 << 20  # bytes hashed at a time
+STEP = 1 << 18  # bytes hashed at a time
 
 
 def ranges_hashed(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:

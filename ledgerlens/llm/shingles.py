@@ -14,6 +14,8 @@ from ledgerlens.llm.wordids import hashed, word_bounds
 
 K = 5
 _PLACE = mix64(np.arange(1, K + 1, dtype=np.uint64)) | np.uint64(1)  # a factor for each place
+
+
 def shingle_sets(raw: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each text."""
     start, end = word_bounds(raw, bounds)
