@@ -189,7 +189,9 @@ def build_index(vectors: DataFrame, top: int = TOP, shard_size: int = SHARD) ->
             "edges": [graph.edges.tobytes()], "owners": [[[int(i) for i in o] for o in pdf["owners"]]],
         })
 
-    return written(dealt.groupBy("dim", "shard").applyInPandas(build, INDEX), "graph-index")
+    # Few bytes but much work a shard: dealt out by number, shards are not coalesced into few tasks.
+    parts = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return written(dealt.repartition(parts, "dim", "shard").groupBy("dim", "shard").applyInPandas(build, INDEX), "graph-index")
 
 
 def search(index: DataFrame, queries: DataFrame, top: int = TOP, beam: int = SEARCH_BEAM) -> DataFrame:

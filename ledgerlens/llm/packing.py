@@ -186,6 +186,7 @@ def pack(items: DataFrame, capacity: int = CAPACITY, group_items: int = GROUP_IT
     n = rest.count()
     groups, level, done = -(-n // group_items), 0, []
     rest = rest.withColumn("_group", F.expr(f"pmod(xxhash64(_item), {max(1, groups)})"))
+    parts = int(items.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     while groups:
         last = groups == 1
 
@@ -212,7 +213,8 @@ def pack(items: DataFrame, capacity: int = CAPACITY, group_items: int = GROUP_IT
             )
 
         packed = written(
-            rest.groupBy("_group").applyInPandas(group, "_item long, length long, _group long, _bin long, offset long, _loose boolean"),
+            # By number, so that groups (few bytes, much work) are not coalesced into few tasks.
+            rest.repartition(min(parts, groups), "_group").groupBy("_group").applyInPandas(group, "_item long, length long, _group long, _bin long, offset long, _loose boolean"),
             f"pack-level-{level}",
         )
         done.append(packed.filter("NOT _loose").select("_item", "_bin", "offset"))
