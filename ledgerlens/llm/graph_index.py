@@ -23,7 +23,7 @@ from ledgerlens.llm.common import written
 SHARD = 4096  # vectors of a shard, about
 DEGREE = 24
 BUILD_BEAM = 48
-SEARCH_BEAM = 64
+SEARCH_BEAM = 128
 RELAX = 1.2  # on distances; squares are compared
 ENTRIES = 16  # nodes that a search starts from
 BATCH = 256
