@@ -18,6 +18,15 @@ def _star(edges: DataFrame, node: str, other: str) -> DataFrame:
     return edges.groupBy(node).agg(F.min(other).alias("m")).select(F.col(node).alias("n"), F.least(F.col(node), F.col("m")).alias("m"))
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Whether every node points at one other only, which points at none: then
+    the edges, which keep what they connect, are the components."""
+    if not edges.groupBy("a").agg(F.count("*").alias("n")).filter("n > 1").isEmpty():
+        return False
+    ends = edges.select(F.col("b").alias("a")).distinct()
+    return edges.join(ends, "a", "left_semi").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node of ``edges`` (columns a, b of one orderable
     type; self-loops, repeated and null ends are ignored), root being the least
@@ -25,8 +34,7 @@ def components(edges: DataFrame) -> DataFrame:
     now = written(
         edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "component-edges"
     )
-    mark = None
-    while True:
+    while not _stars(now):
         # Large star: the larger neighbours of a node go to its least one.
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = _star(both, "a", "b")
@@ -36,10 +44,5 @@ def components(edges: DataFrame) -> DataFrame:
         small = large.join(least, F.col("a") == F.col("n")).select("a", "b", "m")
         ends = small.select("a", F.col("m").alias("b")).union(small.filter("b <> m").select("b", "m"))
         now = written(ends.filter("a <> b").distinct(), "component-edges")
-        seen = now.selectExpr("count(1) AS n", "coalesce(bit_xor(xxhash64(a, b)), 0L) AS x", "count(DISTINCT a) AS d").first()
-        # Every node points at one root, and nothing changed: stars only.
-        if mark == (seen["n"], seen["x"]) or seen["n"] == 0:
-            break
-        mark = (seen["n"], seen["x"])
     roots = now.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())

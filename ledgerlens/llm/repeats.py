@@ -196,9 +196,6 @@ def repeated_parts(pdf: pd.DataFrame, width: int) -> pd.DataFrame:
     return pd.DataFrame({"key": pdf["key"].to_numpy()[row], "size": pdf["size"].to_numpy()[row], "start": lo + shift, "stop": hi + shift})
 
 
-KEY = "xxhash64(text) AS key, octet_length(text) AS size"
-
-
 def keyed(docs: DataFrame) -> DataFrame:
     """Texts with their keys; a null text is empty."""
     return docs.selectExpr("coalesce(text, '') AS text").selectExpr("text", "xxhash64(text) AS key", "CAST(octet_length(text) AS long) AS size")
