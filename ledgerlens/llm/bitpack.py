@@ -155,7 +155,7 @@ def open_fs(uri: str):
     return fs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (fs.LocalFileSystem(), uri)
 
 
-def _uri(path: str) -> str:
+def as_uri(path: str) -> str:
     return "file://" + path[5:] if path.startswith("file:/") and not path.startswith("file://") else path
 
 
@@ -168,7 +168,7 @@ def write_ids(
     A null text is empty and holds ``end_id`` only; an empty table writes no
     file. ``folder`` must be reachable by every executor.
     """
-    path, bits, where = tokenizer or wordids.default_path(), bits_for(vocabulary), _uri(folder)
+    path, bits, where = tokenizer or wordids.default_path(), bits_for(vocabulary), as_uri(folder)
 
     def shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, writer, n = wordids.word_ids(path), None, TaskContext.get().partitionId()

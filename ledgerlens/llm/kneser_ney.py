@@ -5,7 +5,7 @@ characters beyond are one symbol), so the context is a shift and the
 shorter n-gram a mask. Counts of trusted texts are added up over tasks; every
 level's probabilities are joins of count tables dealt by n-gram, for exactly the
 n-grams that the scored texts hold. Texts and the probabilities of their own
-n-grams then meet by group, which gives a perplexity for each document; a
+n-grams then meet part by part, which gives a perplexity for each document; a
 document is good when it lies between two quantiles of the trusted texts of its
 language.
 """
@@ -13,23 +13,26 @@ language.
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import SLICE_BYTES, text_slices, written
+from ledgerlens.llm.bitpack import as_uri, open_fs
+from ledgerlens.llm.common import text_slices, written
+from ledgerlens.session import scratch_path
 
 ORDER = 5
 BITS = 12
 OTHER = (1 << BITS) - 1
 PAD = 1  # before each text, ORDER - 1 times
 LOW, HIGH = 0.01, 0.97  # quantiles of trusted texts between which a document is good
-TEXT_GROUP_BYTES = 24 << 20  # bytes of text that a task holds the n-grams of, about
 SYMBOLS = 1 << BITS
 CALIBRATION_SHARE = 4  # one trusted text of so many sets the quantiles, the others the model
 
@@ -125,53 +128,41 @@ def probabilities(grams: DataFrame, model: list[tuple[DataFrame, list[float]]])
     return below
 
 
-PACKED = "doc_id string, lang string, part long, body binary"
+HELD = "part long, doc_ids array<string>, langs array<string>, sizes array<long>, body binary, grams binary"
+HELD_ARROW = pa.schema(
+    [("part", pa.int64()), ("doc_ids", pa.list_(pa.string())), ("langs", pa.list_(pa.string())), ("sizes", pa.list_(pa.int64())),
+     ("body", pa.binary()), ("grams", pa.binary())]
+)
 
 
-def packed(docs: DataFrame, parts: int) -> DataFrame:
-    """Documents with compressed texts and a group number."""
+def held(docs: DataFrame) -> DataFrame:
+    """The documents as compressed slices, under the number of the task that
+    read them, and one row a task with the distinct n-grams of its texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, seen, press = TaskContext.get().partitionId(), np.zeros(0, np.uint64), zstandard.ZstdCompressor(level=3)
         for batch in batches:
-            press = zstandard.ZstdCompressor(level=3)
-            body = [press.compress((t or "").encode("utf-8", "surrogatepass")) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("lang"), batch.column("part"), pa.array(body, pa.binary())], names=["doc_id", "lang", "part", "body"]
-            )
-
-    return docs.selectExpr("CAST(doc_id AS string) AS doc_id", "lang", f"pmod(xxhash64(doc_id, text), {parts}) AS part", "text").mapInArrow(run, PACKED)
-
-
-def _slices(bodies: list[bytes]) -> Iterator[tuple[int, list[str]]]:
-    """(first row, texts) of about SLICE_BYTES of text each."""
-    open_ = zstandard.ZstdDecompressor()
-    texts, size, first = [], 0, 0
-    for k, body in enumerate(bodies):
-        raw = open_.decompress(body)
-        texts.append(raw.decode("utf-8", "surrogatepass"))
-        size += len(raw)
-        if size >= SLICE_BYTES:
-            yield first, texts
-            texts, size, first = [], 0, k + 1
-    if texts:
-        yield first, texts
+            for lo, hi in text_slices(batch):
+                own = batch.slice(lo, hi - lo)
+                texts = [t or "" for t in own.column("text").to_pylist()]
+                raw = [t.encode() for t in texts]
+                seen = np.union1d(seen, codes(texts)[0])
+                yield pa.RecordBatch.from_pylist(
+                    [{"part": part, "doc_ids": own.column("doc_id").to_pylist(), "langs": own.column("lang").to_pylist(), "sizes": [len(r) for r in raw],
+                      "body": press.compress(b"".join(raw)), "grams": None}], schema=HELD_ARROW)
+        yield pa.RecordBatch.from_pylist([{"part": part, "grams": seen.tobytes()}], schema=HELD_ARROW)
+
+    return docs.selectExpr("CAST(doc_id AS string) AS doc_id", "lang", "text").mapInArrow(run, HELD)
 
 
 def perplexities(docs: DataFrame, model: list[tuple[DataFrame, list[float]]]) -> DataFrame:
     """(doc_id, lang, n_chars, perplexity) of all documents (doc_id, text,
-    lang); an empty text has perplexity null."""
-    spark = docs.sparkSession
-    size = docs.selectExpr("sum(octet_length(text)) AS b").first()["b"] or 0
-    parts = max(1, -(-int(size) // TEXT_GROUP_BYTES))
-    held = written(packed(docs, parts).repartition(parts, "part"), "ngram-texts")
-
-    def wanted(pdf: pd.DataFrame) -> pd.DataFrame:
-        seen = np.zeros(0, np.uint64)
-        for _, texts in _slices(pdf["body"].tolist()):
-            seen = np.union1d(seen, codes(texts)[0])
-        return pd.DataFrame({"part": [int(pdf["part"].iloc[0])], "grams": [seen.tobytes()]})
+    lang); an empty text has perplexity null.
 
-    asked = written(held.groupBy("part").applyInPandas(wanted, "part long, grams binary"), "ngram-wanted")
+    Texts are held in slices where they were read, and stay there: the
+    probabilities of a part's own n-grams are gathered into one file of the shared
+    folder, which the tasks that score its slices read."""
+    texts = written(held(docs), "ngram-texts")
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -181,22 +172,47 @@ def perplexities(docs: DataFrame, model: list[tuple[DataFrame, list[float]]]) ->
                     some = own[lo : lo + 200_000]
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), part)), pa.array(some)], names=["part", "gram"])
 
-    by_part = asked.mapInArrow(spread, "part long, gram long")
+    by_part = texts.filter("grams IS NOT NULL").select("part", "grams").mapInArrow(spread, "part long, gram long")
     known = written(probabilities(by_part.select("gram").distinct(), model), "ngram-probabilities")
-
-    def score(texts: pd.DataFrame, grams: pd.DataFrame) -> pd.DataFrame:
-        order = np.argsort(grams["gram"].to_numpy())
-        gram, log = grams["gram"].to_numpy()[order], np.log(grams["p"].to_numpy()[order])
-        sums, sizes = np.zeros(len(texts)), np.zeros(len(texts), np.int64)
-        for first, own in _slices(texts["body"].tolist()):
-            every, bounds = codes(own)
-            distinct, of = np.unique(every.view(np.int64), return_inverse=True)
-            total = np.concatenate([[0.0], np.cumsum(log[np.searchsorted(gram, distinct)][of])]) if len(every) else np.zeros(1)
-            sums[first : first + len(own)] = total[bounds[1:]] - total[bounds[:-1]]
-            sizes[first : first + len(own)] = np.diff(bounds)
-        return pd.DataFrame({"doc_id": texts["doc_id"], "lang": texts["lang"], "n_chars": sizes, "log": np.where(sizes > 0, sums, 0.0)})
-
-    scored = held.groupBy("part").cogroup(by_part.join(known, "gram").groupBy("part")).applyInPandas(
+    folder = as_uri(scratch_path(docs.sparkSession, "ngram-parts"))
+
+    def gather(pdf: pd.DataFrame) -> pd.DataFrame:
+        part, order = int(pdf["part"].iloc[0]), np.argsort(pdf["gram"].to_numpy())
+        store, base = open_fs(folder)
+        store.create_dir(base, recursive=True)
+        # Named after the attempt, then moved: repeated tasks leave the same file.
+        name = f"{base}/{part}-{uuid.uuid4().hex[:12]}"
+        with store.open_output_stream(name) as out:
+            out.write(np.array([len(pdf)], "<i8").tobytes())
+            out.write(pdf["gram"].to_numpy()[order].astype("<i8").tobytes())
+            out.write(np.log(pdf["p"].to_numpy()[order]).astype("<f8").tobytes())
+        store.move(name, f"{base}/{part}")
+        return pd.DataFrame({"part": [part], "n": [len(pdf)]})
+
+    by_part.join(known, "gram").groupBy("part").applyInPandas(gather, "part long, n long").write.format("noop").mode("overwrite").save()
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        have, gram, log = None, np.zeros(0, np.int64), np.zeros(0)
+        press = zstandard.ZstdDecompressor()
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["part"] != have and sum(row["sizes"]):
+                    store, base = open_fs(folder)
+                    with store.open_input_file(f"{base}/{row['part']}") as file:
+                        raw = file.read()
+                    n = int(np.frombuffer(raw, "<i8", 1)[0])
+                    gram, log, have = np.frombuffer(raw, "<i8", n, 8), np.frombuffer(raw, "<f8", n, 8 + 8 * n), row["part"]
+                body, ends = press.decompress(row["body"]), np.cumsum([0, *row["sizes"]])
+                every, bounds = codes([body[a:b].decode() for a, b in zip(ends[:-1], ends[1:], strict=True)])
+                distinct, of = np.unique(every.view(np.int64), return_inverse=True)
+                total = np.concatenate([[0.0], np.cumsum(log[np.searchsorted(gram, distinct)][of])]) if len(every) else np.zeros(1)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(row["doc_ids"], pa.string()), pa.array(row["langs"], pa.string()), pa.array(np.diff(bounds)), pa.array(total[bounds[1:]] - total[bounds[:-1]])],
+                    names=["doc_id", "lang", "n_chars", "log"],
+                )
+
+    # Slices of one part are read in order, so a task opens few files.
+    scored = texts.filter("grams IS NULL").select("part", "doc_ids", "langs", "sizes", "body").mapInArrow(
         score, "doc_id string, lang string, n_chars long, log double"
     )
     return scored.selectExpr("CAST(doc_id AS long) AS doc_id", "lang", "n_chars", "CASE WHEN n_chars > 0 THEN exp(-log / n_chars) END AS perplexity")
