@@ -140,7 +140,7 @@ def held(docs: DataFrame) -> DataFrame:
     read them, and one row a task with the distinct n-grams of its texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, seen, press = TaskContext.get().partitionId(), np.zeros(0, np.uint64), zstandard.ZstdCompressor(level=3)
+        part, seen, press = TaskContext.get().partitionId(), np.zeros(0, np.uint64), zstandard.ZstdCompressor(level=9)
         for batch in batches:
             for lo, hi in text_slices(batch):
                 own = batch.slice(lo, hi - lo)
@@ -236,7 +236,8 @@ def classify(docs: DataFrame, labels: DataFrame, low: float = LOW, high: float =
     good = labels.selectExpr("CAST(doc_id AS long) AS doc_id", "quality").filter(f"quality = 1 AND NOT {held_out()}").select("doc_id").distinct()
     # Texts that set the quantiles are not those that the model has seen.
     seen = f"pmod(xxhash64(doc_id), {CALIBRATION_SHARE}) <> 0"
-    model = train(docs.filter(f"text IS NOT NULL AND {seen}").join(good, "doc_id", "left_semi"))
+    # The filters leave out before the join what no trusted id can match.
+    model = train(docs.filter(f"text IS NOT NULL AND {seen} AND NOT {held_out()}").join(good, "doc_id", "left_semi"))
     scored = written(perplexities(docs, model), "ngram-scored")
     trusted = scored.filter(f"perplexity IS NOT NULL AND NOT ({seen})").join(good, "doc_id", "left_semi")
     cut = f"percentile_approx(perplexity, array({low}, {high}), 10000) AS q"
