@@ -11,11 +11,15 @@ Two texts link when the Jaccard similarity of their shingle sets is at least
 3. In a bucket, nodes that share such a shingle meet. Up to ``LEAF`` of them
    are paired at once, if sizes and token bitmaps allow a link (as two leaves of
    step 4 would be). Larger groups are joined up with those they overlap, over
-   all buckets, and cut into blocks.
+   all buckets, to families. Shingles that very many nodes may hold are dealt by
+   node, and their parts are joined up by a node that stands for the shingle.
 4. Each block is a signature tree: a node holds the OR of the token bitmaps
    below it and the range of set sizes. Two trees are traversed together, and
    pairs of nodes are left aside whose largest possible overlap is too small;
    remaining pairs of texts are compared, unless they are connected already.
+   A family of several blocks is dealt twice by hash and linked inside each
+   block; then only blocks that may hold nodes of different components meet,
+   each pair of blocks in a group of its own.
 5. The pairs of step 3 are compared text by text: first one partner for each
    node, then only pairs that are not connected yet.
 
@@ -49,6 +53,8 @@ DENSE = 8  # bits a shingle of the bitmaps in trees
 TREE_WORDS = 512  # 64-bit words of a tree's bitmaps at most: wider ones are folded
 COMPARED_WORDS = 1 << 20  # words of bitmaps compared at a time
 SLICE = 4 << 20  # bytes of text whose shingles are packed together
+HOT_COUNT = 6250  # counts in the sample from which a shingle's nodes are dealt (100,000 texts)
+HOT_PARTS = 64  # parts of the nodes of such a shingle
 
 
 def least_overlap(n, percent: int = PERCENT):
@@ -167,8 +173,9 @@ def _column(values: list[bytes]) -> pa.Array:
     return pa.array(values, pa.binary())
 
 
-def frequent(docs: DataFrame) -> np.ndarray:
-    """The most frequent shingles of a sample of texts, sorted (a bounded list)."""
+def frequent(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent shingles of a sample of texts, sorted (a bounded list),
+    and those of them whose nodes are too many for one task."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -194,7 +201,10 @@ def frequent(docs: DataFrame) -> np.ndarray:
         sample.mapInArrow(count, "bucket long, tokens binary").groupBy("bucket").applyInPandas(add, "token long, n long")
         .orderBy(F.col("n").desc(), "token").limit(FREQUENT)
     )
-    return np.sort(np.array([r.token for r in top.collect()], np.int64).view(np.uint64))
+    rows = top.collect()
+    every = np.array([r.token for r in rows], np.int64).view(np.uint64)
+    many = np.array([r.n >= HOT_COUNT for r in rows], bool)
+    return np.sort(every), np.sort(every[many])
 
 
 def prefix(shingles: np.ndarray, late: np.ndarray, percent: int = PERCENT) -> np.ndarray:
@@ -212,16 +222,17 @@ def prefix(shingles: np.ndarray, late: np.ndarray, percent: int = PERCENT) -> np
 ENTRIES = "doc_id long, copy long, node binary, n long, marks binary, bucket long, tokens binary, owners binary, nodes binary"
 
 
-def entries(docs: DataFrame, late: np.ndarray, percent: int = PERCENT) -> DataFrame:
+def entries(docs: DataFrame, late: np.ndarray, percent: int = PERCENT, hot: np.ndarray | None = None) -> DataFrame:
     """A row for each document (doc_id, copy, node, n, marks), and for each slice of
     texts and bucket a row with its prefix shingles (tokens, owners: numbers in
-    nodes, and nodes: fingerprint and size of 24 bytes each)."""
+    nodes, and nodes: fingerprint and size of 24 bytes each). Nodes of ``hot``
+    shingles are dealt to further buckets, from the number of partitions on."""
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     kinds = pa.schema([("doc_id", pa.int64()), ("copy", pa.int64()), ("node", pa.binary()), ("n", pa.int64()), ("marks", pa.binary()), ("bucket", pa.int64()),
                        ("tokens", pa.binary()), ("owners", pa.binary()), ("nodes", pa.binary())])
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shared = late_list.value
+        shared, dealt = late_list.value
         for batch in batches:
             for lo, hi in text_slices(batch, limit=SLICE):
                 part = batch.slice(lo, hi - lo)
@@ -240,14 +251,16 @@ def entries(docs: DataFrame, late: np.ndarray, percent: int = PERCENT) -> DataFr
                 token = np.concatenate(heads)
                 owner = np.repeat(np.arange(len(rows), dtype=np.uint32), [len(h) for h in heads])
                 bucket = (token >> np.uint64(8)) % np.uint64(parts)
+                salt = np.array([nodes[k][0] % HOT_PARTS for k in rows], np.uint64)[owner]
+                bucket += np.where(np.isin(token, dealt), np.uint64(parts) * (salt + np.uint64(1)), np.uint64(0))
                 order = np.argsort(bucket, kind="stable")
                 token, owner = token[order], owner[order]
-                ends = np.searchsorted(bucket[order], np.arange(parts + 1, dtype=np.uint64))
-                some = np.flatnonzero(np.diff(ends))
+                some, ends = np.unique(bucket[order], return_index=True)
+                ends = np.append(ends, len(order))
                 ids = np.frombuffer(b"".join(nodes[k] for k in rows), np.uint8).reshape(-1, 16)
                 ids = np.hstack([ids, np.array([sizes[k] for k in rows], "<u8").view(np.uint8).reshape(-1, 8)])
                 out = {"bucket": some.tolist(), "tokens": [], "owners": [], "nodes": []}
-                for k in some:
+                for k in range(len(some)):
                     own, of = np.unique(owner[ends[k] : ends[k + 1]], return_inverse=True)
                     out["tokens"].append(token[ends[k] : ends[k + 1]].tobytes())
                     out["owners"].append(of.astype("<u4").tobytes())
@@ -255,14 +268,17 @@ def entries(docs: DataFrame, late: np.ndarray, percent: int = PERCENT) -> DataFr
                 empty = [None] * len(some)
                 yield pa.RecordBatch.from_pydict({"doc_id": empty, "copy": empty, "node": empty, "n": empty, "marks": empty, **out}, schema=kinds)
 
-    late_list = docs.sparkSession.sparkContext.broadcast(late)  # bounded by FREQUENT
+    # Bounded by FREQUENT.
+    late_list = docs.sparkSession.sparkContext.broadcast((late, np.zeros(0, np.uint64) if hot is None else hot))
     return docs.select("doc_id", "copy", "text").mapInArrow(make, ENTRIES)
 
 
-def meet(pdf: pd.DataFrame, percent: int = PERCENT) -> pd.DataFrame:
+def meet(pdf: pd.DataFrame, percent: int = PERCENT, dealt: bool = False) -> pd.DataFrame:
     """Nodes of a bucket that share a prefix shingle: pairs (a, b) of small
     groups whose sizes allow a link, and for large groups edges (a, b) that
-    connect all groups with a node in common (column large)."""
+    connect all groups with a node in common (column large). In a bucket of
+    shingles whose nodes are ``dealt``, all groups are large and have an edge to
+    their shingle, a name of 8 bytes."""
     token = np.frombuffer(b"".join(pdf["tokens"]), np.uint64)
     nodes = np.frombuffer(b"".join(pdf["nodes"]), np.uint8).reshape(-1, 24)
     counts = np.array([len(x) // 24 for x in pdf["nodes"]])
@@ -284,7 +300,8 @@ def meet(pdf: pd.DataFrame, percent: int = PERCENT) -> pd.DataFrame:
     start = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
     length = np.diff(np.r_[start, len(token)])
     pairs = [np.zeros((0, 2), np.int64)]
-    for m in range(2, LEAF + 1):
+    least = 0 if dealt else LEAF
+    for m in range(2, least + 1):
         every = start[length == m]
         x, y = np.triu_indices(m, 1)
         step = max(1, 2_000_000 // len(x))
@@ -295,21 +312,22 @@ def meet(pdf: pd.DataFrame, percent: int = PERCENT) -> pd.DataFrame:
     small = np.unique(np.concatenate(pairs), axis=0)
     # Large groups: the least member of each connected set of groups.
     root = np.arange(len(names))
-    groups = [owner[s : s + n] for s, n in zip(start[length > LEAF], length[length > LEAF], strict=True)]
+    groups = [owner[s : s + n] for s, n in zip(start[length > least], length[length > least], strict=True)]
     changed = True
     while changed:
         changed = False
         for g in groups:
-            least = root[g].min()
-            if (root[g] != least).any():
-                root[g], changed = least, True
+            first = root[g].min()
+            if (root[g] != first).any():
+                root[g], changed = first, True
     members = np.unique(np.concatenate([np.zeros(0, np.int64), *groups]))
     large = np.stack([members, root[members]], axis=1)
     both = np.concatenate([small, large])
-    return pd.DataFrame({
-        "a": [x.tobytes() for x in names[both[:, 0]]], "b": [x.tobytes() for x in names[both[:, 1]]],
-        "large": np.r_[np.zeros(len(small), bool), np.ones(len(large), bool)],
-    })
+    ends = [[x.tobytes() for x in names[both[:, k]]] for k in (0, 1)]
+    if dealt:
+        ends[0] += [x.tobytes() for x in token[start]]
+        ends[1] += [x.tobytes() for x in names[owner[start]]]
+    return pd.DataFrame({"a": ends[0], "b": ends[1], "large": np.arange(len(ends[0])) >= len(small)})
 
 
 def block_links(pdf: pd.DataFrame, percent: int = PERCENT) -> pd.DataFrame:
@@ -371,18 +389,45 @@ def small_pairs(met: DataFrame, nodes: DataFrame, percent: int = PERCENT) -> Dat
 
 
 def family_links(families: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Links (a, b) inside families (node, family): their nodes are dealt into
-    blocks, and every pair of blocks of a family is a task of its own."""
-    counts = families.groupBy("family").agg(F.ceil(F.count("*") / F.lit(BLOCK)).alias("blocks"))
-    parts = int(families.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tasks = (
-        families.join(counts, "family").join(texts, "node")
-        .withColumn("part", F.expr("pmod(xxhash64(node), blocks)"))
-        .withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))
-        .selectExpr("family", "node", "text", "part", "least(part, other) AS i", "greatest(part, other) AS j")
-        .withColumn("task", F.expr(f"pmod(xxhash64(family, i, j), {parts})"))
+    """Links (a, b) inside families (node, family), which connect all that are
+    linked. Every group that meets in a task is a block, or two.
+
+    Nodes are dealt into blocks by hash, and those of more than one block once
+    more by another hash, and linked inside each block. Then every component of
+    a block's size or more has blocks of its own, and all pairs of blocks of a
+    family meet but those of one component, which are connected already."""
+
+    def linked_in(rows: DataFrame) -> DataFrame:
+        return written(
+            rows.groupBy("family", "i", "j").applyInPandas(lambda pdf: block_links(pdf, percent), "a binary, b binary"), "jaccard-blocks"
+        )
+
+    nodes = written(families.join(texts.select("node"), "node"), "jaccard-family-nodes")
+    counts = nodes.groupBy("family").agg(F.expr(f"CAST(ceil(count(1) / {BLOCK}) AS long)").alias("blocks"))
+    dealt = (
+        nodes.join(counts, "family").withColumn("deal", F.expr("explode(sequence(0L, CAST(blocks > 1 AS long)))"))
+        .selectExpr("node", "family", "pmod(xxhash64(node, deal), blocks) + deal * blocks AS part")
+    )
+    inside = linked_in(dealt.join(texts, "node").selectExpr("family", "node", "text", "part", "part AS i", "part AS j"))
+    wide = nodes.join(counts.filter("blocks > 1"), "family").select("node", "family")
+    if wide.isEmpty():
+        return inside
+    rooted = wide.join(components(inside).withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left").selectExpr(
+        "node", "family", "coalesce(root, node) AS root"
     )
-    return tasks.groupBy("task").applyInPandas(lambda pdf: block_links(pdf, percent), "a binary, b binary")
+    sizes = rooted.groupBy("root").agg(F.count("*").alias("n")).withColumnRenamed("root", "_root").filter(f"n >= {BLOCK}")
+    # Components below the size of a block share blocks (own is null).
+    own = rooted.join(sizes, F.col("root") == F.col("_root"), "left").selectExpr("node", "family", "_root AS own")
+    shares = own.groupBy("family", "own").agg(F.expr(f"CAST(ceil(count(1) / {BLOCK}) AS long)").alias("shares"))
+    shares = shares.selectExpr("family AS _family", "own AS _own", "shares")
+    numbered = own.join(shares, F.expr("family = _family AND own <=> _own")).selectExpr("node", "family", "own", "xxhash64(own, pmod(xxhash64(node, 2), shares)) AS part")
+    numbered = written(numbered, "jaccard-family-blocks")
+    blocks = numbered.select("family", "own", "part").distinct()
+    pairs = blocks.alias("x").join(blocks.alias("y"), F.expr("x.family = y.family AND x.part <= y.part AND (x.own IS NULL OR y.own IS NULL OR x.own <> y.own)"))
+    pairs = written(pairs.selectExpr("x.family AS _family", "x.part AS i", "y.part AS j"), "jaccard-block-pairs")
+    sides = pairs.selectExpr("_family", "i", "j", "explode(array_distinct(array(i, j))) AS _part")
+    across = numbered.join(sides, F.expr("family = _family AND part = _part")).join(texts, "node")
+    return inside.unionByName(linked_in(across.select("family", "node", "text", "part", "i", "j")))
 
 
 def verified(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -421,12 +466,14 @@ def links(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame
     """(a row for each document: doc_id, copy (hash of the text), node, n; edges
     a, b that connect the linked nodes). Nodes are fingerprints of shingle sets."""
     docs = docs.selectExpr("CAST(doc_id AS long) AS doc_id", "coalesce(text, '') AS text", "xxhash64(coalesce(text, '')) AS copy")
-    both = written(entries(docs, frequent(docs), percent), "jaccard-entries")
+    late, hot = frequent(docs)
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    both = written(entries(docs, late, percent, hot), "jaccard-entries")
     members = both.filter("bucket IS NULL").select("doc_id", "copy", "node", "n")
     nodes = both.filter("node IS NOT NULL").groupBy("node").agg(F.first("n").alias("n"), F.first("marks").alias("marks"), F.min("doc_id").alias("doc_id"))
     met = written(
         both.filter("bucket IS NOT NULL").select("bucket", "tokens", "owners", "nodes")
-        .groupBy("bucket").applyInPandas(lambda pdf: meet(pdf, percent), "a binary, b binary, large boolean").distinct(),
+        .groupBy("bucket").applyInPandas(lambda pdf: meet(pdf, percent, pdf["bucket"].iloc[0] >= parts), "a binary, b binary, large boolean").distinct(),
         "jaccard-met",
     )
     pairs = written(small_pairs(met, nodes.select("node", "n", "marks"), percent), "jaccard-pairs")

@@ -164,3 +164,45 @@ def test_one_of_each(spark):
 def test_empty_table(spark):
     assert j.classes(frame(spark, [])).count() == 0
     assert j.one_of_each(frame(spark, [])).count() == 0
+
+
+def test_a_group_of_a_family_holds_two_blocks_at_most(spark, monkeypatch):
+    """Each call gets one pair of blocks, and a family that is one component
+    does not meet block by block."""
+    plain, kept = j.block_links, {}
+
+    def single(pdf, percent=j.PERCENT):
+        if len(pdf[["family", "i", "j"]].drop_duplicates()) != 1:
+            raise ValueError("several pairs of blocks in one group")
+        return plain(pdf, percent)
+
+    def keep(df, name):
+        kept[name] = real(df, name)
+        return kept[name]
+
+    real = j.written
+    monkeypatch.setattr(j, "block_links", single)
+    monkeypatch.setattr(j, "written", keep)
+    monkeypatch.setattr(j, "BLOCK", 40)
+    base = [f"w{k}" for k in range(200)]
+    rows = [(k, " ".join([*base[:99], f"e{k}", *base[100:]])) for k in range(400)] + [(1000 + k, t) for k, t in enumerate(family(4, 90))]
+    got = sorted(map(tuple, j.classes(frame(spark, rows)).collect()), key=str)
+    assert got == brute_classes(rows)
+    near = len(rows) - 90
+    blocks = kept["jaccard-block-pairs"].groupBy("_family").count().collect()
+    # All pairs of ten blocks would be 55; the other family has few blocks.
+    assert near // 40 == 10 and sum(r["count"] for r in blocks) < 30
+
+
+def test_nodes_of_hot_shingles_are_dealt(spark, monkeypatch):
+    monkeypatch.setattr(j, "SAMPLE_SHARE", 1)
+    monkeypatch.setattr(j, "HOT_COUNT", 30)
+    monkeypatch.setattr(j, "BLOCK", 40)
+    rows = list(enumerate([*ODD, *family(6, 120), *family(7, 20), *family(8, 70, 9)]))
+    docs = frame(spark, rows)
+    late, hot = j.frequent(docs.selectExpr("coalesce(text, '') AS text"))
+    assert 0 < len(hot) < len(late)
+    made = j.entries(docs.selectExpr("doc_id", "0L AS copy", "coalesce(text, '') AS text"), late, hot=hot)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert made.filter(f"bucket >= {parts}").select("bucket").distinct().count() > 10
+    assert sorted(map(tuple, j.classes(docs).collect()), key=str) == brute_classes(rows)
