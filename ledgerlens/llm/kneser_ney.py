@@ -1,8 +1,8 @@
 """Quality classifier: interpolated modified Kneser-Ney character n-grams.
 
-An n-gram is ``ORDER`` characters packed in a 64-bit integer (12 bits each;
-characters beyond are one symbol), so the context is a shift and the
-shorter n-gram a mask. Counts of trusted texts are added up over tasks; every
+An n-gram is ``ORDER`` whole code points of 21 bits each: the last three in one
+64-bit integer (gram), those before them in another (head), so the context is a
+shift and the shorter n-gram a mask. Counts of trusted texts are added up over tasks; every
 level's probabilities are joins of count tables dealt by n-gram, for exactly the
 n-grams that the scored texts hold. Texts and the probabilities of their own
 n-grams then meet part by part, which gives a perplexity for each document; a
@@ -29,57 +29,97 @@ from ledgerlens.llm.common import text_slices, written
 from ledgerlens.session import scratch_path
 
 ORDER = 5
-BITS = 12
-OTHER = (1 << BITS) - 1
+BITS = 21
+TAIL = 3  # characters in the column gram, those before are in head
+OTHER = 1 << BITS  # above all symbols: no two characters share one
 PAD = 1  # before each text, ORDER - 1 times
 LOW, HIGH = 0.01, 0.97  # quantiles of trusted texts between which a document is good
 SYMBOLS = 1 << BITS
 CALIBRATION_SHARE = 4  # one trusted text of so many sets the quantiles, the others the model
 
 
-def codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(n-grams of all texts, bounds): one for each character, with its context."""
-    parts, ends = [], [0]
-    for t in texts:
-        c = np.frombuffer((t or "").encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-        c = np.where(c + np.uint64(2) < OTHER, c + np.uint64(2), np.uint64(OTHER))
-        padded = np.concatenate([np.full(ORDER - 1, PAD, np.uint64), c])
-        gram = np.zeros(len(c), np.uint64)
+Grams = tuple[np.ndarray, np.ndarray]  # (head, gram) of n-grams
+
+
+def packed(symbols: list[np.ndarray]) -> Grams:
+    """(head, gram) of n-grams, given as the symbols of each of their places."""
+    out = [np.zeros(len(symbols[0]), np.uint64) for _ in range(2)]
+    for k, own in enumerate(symbols):
+        side = 0 if k < ORDER - TAIL else 1
+        out[side] = (out[side] << np.uint64(BITS)) | own.astype(np.uint64)
+    return out[0], out[1]
+
+
+def codes(texts: list[str], places: bool = False) -> tuple[Grams, np.ndarray, np.ndarray]:
+    """(distinct n-grams of all texts, their counts, bounds): one n-gram for each
+    character, with its context. With ``places`` not the counts, but for each
+    character the place of its n-gram among the distinct ones."""
+    chars = [np.frombuffer((t or "").encode("utf-32-le", "surrogatepass"), np.uint32) for t in texts]
+    bounds = np.cumsum([0, *map(len, chars)])
+    pad = np.full(ORDER - 1, PAD, np.uint32)
+    flat = np.concatenate([np.zeros(0, np.uint32), *(x for c in chars for x in (pad, c + np.uint32(2)))])
+    at = np.flatnonzero(flat != PAD)
+    used = np.flatnonzero(np.bincount(flat))
+    bits = max(1, int(len(used) - 1).bit_length())
+    unique = {"return_inverse": places, "return_counts": not places}
+    if ORDER * bits <= 64:
+        # Few different characters: their numbers fit one integer.
+        number = np.zeros(int(flat.max(initial=0)) + 1, np.uint64)
+        number[used] = np.arange(len(used), dtype=np.uint64)
+        small, key = number[flat], np.zeros(len(at), np.uint64)
         for k in range(ORDER):
-            gram = (gram << np.uint64(BITS)) | padded[k : k + len(c)]
-        parts.append(gram)
-        ends.append(ends[-1] + len(gram))
-    return np.concatenate(parts) if parts else np.zeros(0, np.uint64), np.array(ends)
+            key = (key << np.uint64(bits)) | small[at - (ORDER - 1 - k)]
+        key, of = np.unique(key, **unique)
+        mask = np.uint64((1 << bits) - 1)
+        grams = packed([used[((key >> np.uint64(bits * (ORDER - 1 - k))) & mask).astype(np.int64)] for k in range(ORDER)])
+    else:
+        sides = [np.unique(x, return_inverse=True) for x in packed([flat[at - (ORDER - 1 - k)] for k in range(ORDER)])]
+        key, of = np.unique((sides[0][1].astype(np.uint64) << np.uint64(32)) | sides[1][1].astype(np.uint64), **unique)
+        grams = sides[0][0][(key >> np.uint64(32)).astype(np.int64)], sides[1][0][(key & np.uint64(0xFFFFFFFF)).astype(np.int64)]
+    return grams, of, bounds
 
 
-def gram_counts(texts: DataFrame) -> DataFrame:
-    """(gram, n) over all texts; tasks add up their own slices first."""
+def added(parts: list[pa.Table]) -> pa.Table:
+    """Tables (head, gram, n) as one with each n-gram once."""
+    return pa.concat_tables(parts).group_by(["head", "gram"], use_threads=False).aggregate([("n", "sum")]).rename_columns(["head", "gram", "n"])
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
 
-        def added() -> tuple[np.ndarray, np.ndarray]:
-            every, of = np.unique(np.concatenate([g for g, _ in held]), return_inverse=True)
-            return every, np.bincount(of, weights=np.concatenate([n for _, n in held])).astype(np.int64)
+def counted(texts: list[str]) -> pa.Table:
+    (head, gram), n, _ = codes(texts)
+    return pa.table({"head": head.view(np.int64), "gram": gram.view(np.int64), "n": n.astype(np.int64)})
+
+
+def gram_counts(texts: DataFrame) -> DataFrame:
+    """(head, gram, n) over all texts; tasks add up their own slices first."""
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
         for batch in batches:
             for lo, hi in text_slices(batch):
-                held.append(np.unique(codes(batch.column("text").slice(lo, hi - lo).to_pylist())[0], return_counts=True))
-                if sum(len(g) for g, _ in held) > 2_000_000:
-                    held[:] = [added()]
-                    if len(held[0][0]) > 1_000_000:
-                        yield pa.RecordBatch.from_arrays([pa.array(held[0][0].view(np.int64)), pa.array(held[0][1])], names=["gram", "n"])
+                held.append(counted(batch.column("text").slice(lo, hi - lo).to_pylist()))
+                if sum(map(len, held)) > 2_000_000:
+                    held[:] = [added(held)]
+                    if len(held[0]) > 1_000_000:
+                        yield from held[0].to_batches(max_chunksize=200_000)
                         held.clear()
         if held:
-            gram, n = added()
-            yield pa.RecordBatch.from_arrays([pa.array(gram.view(np.int64)), pa.array(n)], names=["gram", "n"])
+            yield from added(held).to_batches(max_chunksize=200_000)
+
+    return texts.select("text").mapInArrow(count, "head long, gram long, n long").groupBy("head", "gram").agg(F.sum("n").alias("n"))
+
+
+def shorter(k: int) -> list[str]:
+    """SQL: head and gram of the n-gram of order k without its first character."""
+
+    def low(column: str, chars: int) -> str:
+        return f"({column} & {(1 << (BITS * chars)) - 1}L)"
 
-    return texts.select("text").mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    return [low("head", k - 1 - TAIL) if k - 1 > TAIL else "0L", "gram" if k - 1 >= TAIL else low("gram", k - 1)]
 
 
-def shorter(k: int) -> str:
-    """SQL: the n-gram of order k without its first character."""
-    return f"(gram & {(1 << (BITS * (k - 1))) - 1}L)"
+def lower_grams(grams: DataFrame, k: int) -> DataFrame:
+    head, gram = shorter(k)
+    return grams.selectExpr(f"{head} AS head", f"{gram} AS gram")
 
 
 def discounts(counts: DataFrame) -> list[float]:
@@ -93,36 +133,39 @@ def discounts(counts: DataFrame) -> list[float]:
 
 
 def train(texts: DataFrame) -> list[tuple[DataFrame, list[float]]]:
-    """For each order 1 .. ORDER: (gram, n) and the discounts. The counts of the
+    """For each order 1 .. ORDER: (head, gram, n) and the discounts. The counts of the
     highest order are those of the texts, below they are numbers of different
     characters before an n-gram."""
     counts = written(gram_counts(texts), "ngram-counts")
     levels = [(counts, discounts(counts))]
     for k in range(ORDER, 1, -1):
-        counts = written(counts.selectExpr(f"{shorter(k)} AS gram").groupBy("gram").agg(F.count("*").alias("n")), "ngram-counts")
+        counts = written(lower_grams(counts, k).groupBy("head", "gram").agg(F.count("*").alias("n")), "ngram-counts")
         levels.append((counts, discounts(counts)))
     return levels[::-1]
 
 
 def probabilities(grams: DataFrame, model: list[tuple[DataFrame, list[float]]]) -> DataFrame:
-    """(gram, p) for the wanted n-grams (distinct, of the highest order): the
-    interpolated probabilities, by joins with the counts of each order."""
-    wanted = [grams.select("gram")]
+    """(head, gram, p) for the wanted n-grams (distinct, of the highest order):
+    the interpolated probabilities, by joins with the counts of each order.
+    Without a column head nothing known stands before gram."""
+    wanted = [grams.select("head" if "head" in grams.columns else F.lit(0).cast("long").alias("head"), "gram")]
     for k in range(ORDER, 1, -1):
-        wanted.append(wanted[-1].selectExpr(f"{shorter(k)} AS gram").distinct())
+        wanted.append(lower_grams(wanted[-1], k).distinct())
     below: DataFrame | None = None
     for k, ((counts, (d1, d2, d3)), want) in enumerate(zip(model, wanted[::-1], strict=True), 1):
-        context = counts.groupBy(F.expr(f"shiftright(gram, {BITS})").alias("context")).agg(
+        context = counts.groupBy("head", F.expr(f"shiftright(gram, {BITS})").alias("context")).agg(
             F.sum("n").alias("total"),
             F.expr(f"{d1}D * count_if(n = 1) + {d2}D * count_if(n = 2) + {d3}D * count_if(n > 2)").alias("spare"),
         )
-        rows = want.selectExpr("gram", f"shiftright(gram, {BITS}) AS context", f"{shorter(k)} AS lower").join(counts, "gram", "left").join(context, "context", "left")
+        lower_head, lower = shorter(k)
+        rows = want.selectExpr("head", "gram", f"shiftright(gram, {BITS}) AS context", f"{lower_head} AS lower_head", f"{lower} AS lower")
+        rows = rows.join(counts, ["head", "gram"], "left").join(context, ["head", "context"], "left")
         if below is None:
             rows = rows.withColumn("q", F.lit(1.0 / SYMBOLS))
         else:
-            rows = rows.join(below.selectExpr("gram AS lower", "p AS q"), "lower")
+            rows = rows.join(below.selectExpr("head AS lower_head", "gram AS lower", "p AS q"), ["lower_head", "lower"])
         own = f"greatest(0D, coalesce(n, 0) - CASE WHEN n = 1 THEN {d1}D WHEN n = 2 THEN {d2}D ELSE {d3}D END)"
-        below = rows.selectExpr("gram", f"CASE WHEN total IS NULL THEN q ELSE ({own} + spare * q) / total END AS p")
+        below = rows.selectExpr("head", "gram", f"CASE WHEN total IS NULL THEN q ELSE ({own} + spare * q) / total END AS p")
         if k < ORDER:
             below = written(below, "ngram-lower")
     return below
@@ -137,20 +180,25 @@ HELD_ARROW = pa.schema(
 
 def held(docs: DataFrame) -> DataFrame:
     """The documents as compressed slices, under the number of the task that
-    read them, and one row a task with the distinct n-grams of its texts."""
+    read them, and one row a task with the distinct n-grams of its texts (heads,
+    then grams, in this order, compressed)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, seen, press = TaskContext.get().partitionId(), np.zeros(0, np.uint64), zstandard.ZstdCompressor(level=9)
+        part, seen, press = TaskContext.get().partitionId(), [counted([])], zstandard.ZstdCompressor(level=9)
         for batch in batches:
             for lo, hi in text_slices(batch):
                 own = batch.slice(lo, hi - lo)
                 texts = [t or "" for t in own.column("text").to_pylist()]
                 raw = [t.encode() for t in texts]
-                seen = np.union1d(seen, codes(texts)[0])
+                seen.append(counted(texts))
+                if sum(map(len, seen[1:])) > max(1_000_000, len(seen[0])):
+                    seen[:] = [added(seen)]
                 yield pa.RecordBatch.from_pylist(
                     [{"part": part, "doc_ids": own.column("doc_id").to_pylist(), "langs": own.column("lang").to_pylist(), "sizes": [len(r) for r in raw],
                       "body": press.compress(b"".join(raw)), "grams": None}], schema=HELD_ARROW)
-        yield pa.RecordBatch.from_pylist([{"part": part, "grams": seen.tobytes()}], schema=HELD_ARROW)
+        own = added(seen).sort_by([("head", "ascending"), ("gram", "ascending")])
+        raw = b"".join(own.column(c).to_numpy().tobytes() for c in ("head", "gram"))
+        yield pa.RecordBatch.from_pylist([{"part": part, "grams": press.compress(raw)}], schema=HELD_ARROW)
 
     return docs.selectExpr("CAST(doc_id AS string) AS doc_id", "lang", "text").mapInArrow(run, HELD)
 
@@ -167,32 +215,37 @@ def perplexities(docs: DataFrame, model: list[tuple[DataFrame, list[float]]]) ->
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, raw in zip(batch.column("part").to_pylist(), batch.column("grams").to_pylist(), strict=True):
-                own = np.frombuffer(raw, np.int64)
-                for lo in range(0, len(own), 200_000):
-                    some = own[lo : lo + 200_000]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), part)), pa.array(some)], names=["part", "gram"])
+                head, gram = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.int64).reshape(2, -1)
+                for lo in range(0, len(gram), 200_000):
+                    some = [pa.array(x[lo : lo + 200_000]) for x in (head, gram)]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some[0]), part)), *some], names=["part", "head", "gram"])
 
-    by_part = texts.filter("grams IS NOT NULL").select("part", "grams").mapInArrow(spread, "part long, gram long")
-    known = written(probabilities(by_part.select("gram").distinct(), model), "ngram-probabilities")
+    by_part = texts.filter("grams IS NOT NULL").select("part", "grams").mapInArrow(spread, "part long, head long, gram long")
+    known = written(probabilities(by_part.select("head", "gram").distinct(), model), "ngram-probabilities")
     folder = as_uri(scratch_path(docs.sparkSession, "ngram-parts"))
 
     def gather(pdf: pd.DataFrame) -> pd.DataFrame:
-        part, order = int(pdf["part"].iloc[0]), np.argsort(pdf["gram"].to_numpy())
+        part = int(pdf["part"].iloc[0])
+        # Heads and grams by number: a pair of numbers is the key of an n-gram.
+        sides = [np.unique(pdf[c].to_numpy().view(np.uint64), return_inverse=True) for c in ("head", "gram")]
+        key = (sides[0][1].astype(np.int64) << 32) | sides[1][1].astype(np.int64)
+        order = np.argsort(key)
         store, base = open_fs(folder)
         store.create_dir(base, recursive=True)
         # Named after the attempt, then moved: repeated tasks leave the same file.
         name = f"{base}/{part}-{uuid.uuid4().hex[:12]}"
         with store.open_output_stream(name) as out:
-            out.write(np.array([len(pdf)], "<i8").tobytes())
-            out.write(pdf["gram"].to_numpy()[order].astype("<i8").tobytes())
+            out.write(np.array([*(len(x) for x, _ in sides), len(key)], "<i8").tobytes())
+            for own in (*(x for x, _ in sides), key[order]):
+                out.write(own.astype("<i8").tobytes())
             out.write(np.log(pdf["p"].to_numpy()[order]).astype("<f8").tobytes())
         store.move(name, f"{base}/{part}")
         return pd.DataFrame({"part": [part], "n": [len(pdf)]})
 
-    by_part.join(known, "gram").groupBy("part").applyInPandas(gather, "part long, n long").write.format("noop").mode("overwrite").save()
+    by_part.join(known, ["head", "gram"]).groupBy("part").applyInPandas(gather, "part long, n long").write.format("noop").mode("overwrite").save()
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        have, gram, log = None, np.zeros(0, np.int64), np.zeros(0)
+        have, heads, grams, keys, log = None, *np.zeros((2, 0), np.uint64), np.zeros(0, np.int64), np.zeros(0)
         press = zstandard.ZstdDecompressor()
         for batch in batches:
             for row in batch.to_pylist():
@@ -200,12 +253,13 @@ def perplexities(docs: DataFrame, model: list[tuple[DataFrame, list[float]]]) ->
                     store, base = open_fs(folder)
                     with store.open_input_file(f"{base}/{row['part']}") as file:
                         raw = file.read()
-                    n = int(np.frombuffer(raw, "<i8", 1)[0])
-                    gram, log, have = np.frombuffer(raw, "<i8", n, 8), np.frombuffer(raw, "<f8", n, 8 + 8 * n), row["part"]
+                    a, b, n = np.frombuffer(raw, "<i8", 3).tolist()
+                    heads, grams = np.frombuffer(raw, "<u8", a, 24), np.frombuffer(raw, "<u8", b, 24 + 8 * a)
+                    keys, log, have = np.frombuffer(raw, "<i8", n, 24 + 8 * (a + b)), np.frombuffer(raw, "<f8", n, 24 + 8 * (a + b + n)), row["part"]
                 body, ends = press.decompress(row["body"]), np.cumsum([0, *row["sizes"]])
-                every, bounds = codes([body[a:b].decode() for a, b in zip(ends[:-1], ends[1:], strict=True)])
-                distinct, of = np.unique(every.view(np.int64), return_inverse=True)
-                total = np.concatenate([[0.0], np.cumsum(log[np.searchsorted(gram, distinct)][of])]) if len(every) else np.zeros(1)
+                (head, gram), of, bounds = codes([body[a:b].decode() for a, b in zip(ends[:-1], ends[1:], strict=True)], places=True)
+                key = (np.searchsorted(heads, head) << 32) | np.searchsorted(grams, gram)
+                total = np.concatenate([[0.0], np.cumsum(log[np.searchsorted(keys, key)][of])]) if len(of) else np.zeros(1)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(row["doc_ids"], pa.string()), pa.array(row["langs"], pa.string()), pa.array(np.diff(bounds)), pa.array(total[bounds[1:]] - total[bounds[:-1]])],
                     names=["doc_id", "lang", "n_chars", "log"],

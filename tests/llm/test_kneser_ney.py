@@ -108,3 +108,49 @@ def test_odd_rows(spark, with_labels):
     assert len(got) == len(rows)
     assert all(r.predicted == 0 for r in got if not r.n_chars or not with_labels)
     assert k.classify(frame(spark, []), labels).count() == 0
+
+
+def test_characters_beyond_latin_stay_apart(spark):
+    """Junk of the same characters is told from good text in any script."""
+    import random
+
+    good = {
+        "zh": "今天天气很好我们去公园散步看见许多人在湖边唱歌跳舞孩子们放风筝老人下棋",
+        "ko": "오늘은 날씨가 좋아서 공원에 산책을 갔습니다 많은 사람들이 노래를 불렀습니다",
+        "ka": "დღეს კარგი ამინდია და ჩვენ პარკში ვსეირნობთ ბავშვები თამაშობენ",
+    }
+    rng = random.Random(3)
+    for lang, text in good.items():
+        model = k.train(frame(spark, [(i, text[i % 5 :], lang) for i in range(20)]))
+        junk = "".join(rng.sample(text, len(text)))
+        rows = frame(spark, [(1, text, lang), (2, junk, lang)]).select("doc_id", "text", "lang")
+        got = {r.doc_id: r.perplexity for r in k.perplexities(rows, model).collect()}
+        assert got[2] > 5 * got[1], (lang, got)
+        p = brute_model([text[i % 5 :] for i in range(20)])
+        assert math.isclose(got[2], brute_perplexity(p, junk), rel_tol=1e-9)
+
+
+def test_quotes_and_signs_are_symbols_of_their_own():
+    (head, gram), n, _ = k.codes(["“", "”", "–", "€", "中", "中"])
+    assert len(set(zip(head.tolist(), gram.tolist(), strict=True))) == 5 and sorted(n.tolist()) == [1, 1, 1, 1, 2]
+
+
+def test_many_different_characters_give_the_same_n_grams():
+    """More characters than fit one integer by number: whole code points too."""
+    text = "".join(chr(0x4E00 + 7 * i % 9000) for i in range(9000)) + "\U0010ffff"
+    (head, gram), of, bounds = k.codes([text, "", text[:50]], places=True)
+    assert bounds.tolist() == [0, len(text), len(text), len(text) + 50]
+    for at in (0, 3, 5, 8999, 9000):
+        own = [1] * 4 + [ord(c) + 2 for c in text]
+        a, b, c, d, e = own[at : at + 5]
+        assert (int(head[of[at]]), int(gram[of[at]])) == (a << 21 | b, c << 42 | d << 21 | e)
+    assert of[: 50].tolist() == of[bounds[2] :].tolist()
+    few = k.codes([text[:50]], places=True)
+    assert few[0][0][few[1]].tolist() == head[of[:50]].tolist() and few[0][1][few[1]].tolist() == gram[of[:50]].tolist()
+
+
+def test_probabilities_of_whole_code_points_sum_to_one(spark):
+    model = k.train(frame(spark, [(i, t, "zh") for i, t in enumerate(["今天天气很好", "今天天气不好"])]))
+    a, b, c, d = (ord(x) + 2 for x in "今天天气")
+    grams = spark.range(k.SYMBOLS).selectExpr(f"{a << 21 | b}L AS head", f"{c << 42 | d << 21}L + id AS gram")
+    assert math.isclose(k.probabilities(grams, model).selectExpr("sum(p)").first()[0], 1.0, rel_tol=1e-9)
