@@ -294,31 +294,63 @@ def lattice(model: str, n: int) -> Lattice:
     return Lattice(model, n)
 
 
-OUT = "doc_id long, n_found int, best_score double, scores array<double>, n_pieces long, ids_crc32 array<long>, decodes boolean"
+OUT = "doc_id long, n_found int, best_score double, scores array<double>, n_pieces long, ids_crc32 array<long>, decodes boolean, ids array<array<int>>"
+BATCH_IDS = 1 << 20  # ids of an Arrow batch at most, but for one row
+
+
+def _nested(rows: list[list[np.ndarray]]) -> pa.Array:
+    """Lists of arrays of ids as an Arrow column."""
+    each = [ids for own in rows for ids in own]
+    flat = pa.array(np.concatenate([np.zeros(0, np.int32), *each]), pa.int32())
+    inner = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, each)]), pa.int32()), flat)
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, rows)]), pa.int32()), inner)
 
 
 def encode(docs: DataFrame, model: str | None = None, n: int = N_BEST) -> DataFrame:
     """The N best segmentations of every whole text (doc_id, text; other
     columns are ignored): their number, scores, the pieces of the best one, the
-    checksum of each (ids as little-endian u32) and whether all decode to the
-    text. A null or empty text has the one segmentation of its word mark."""
+    checksum of each (ids as little-endian u32), whether all decode to the text,
+    and the ids of each, best first (``decode`` is the way back). A null or empty
+    text has the one segmentation of its word mark."""
     path = model or default_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = lattice(path, n)
         for batch in batches:
             for lo, hi in text_slices(batch):
-                part, rows = batch.slice(lo, hi - lo), []
+                part, rows, every = batch.slice(lo, hi - lo), [], []
                 for found, decodes in own.segment_all([t or "" for t in part.column("text").to_pylist()]):
                     rows.append((
                         len(found), found[0][0], [s for s, _ in found], len(found[0][1]),
                         [zlib.crc32(ids.astype("<u4").tobytes()) for _, ids in found], decodes,
                     ))
+                    every.append([ids.astype(np.int32) for _, ids in found])
                 cols = list(zip(*rows, strict=True))
                 kinds = [pa.int32(), pa.float64(), pa.list_(pa.float64()), pa.int64(), pa.list_(pa.int64()), pa.bool_()]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))],
-                    names=["doc_id", "n_found", "best_score", "scores", "n_pieces", "ids_crc32", "decodes"],
-                )
+                whole = [part.column("doc_id"), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))]
+                size = np.cumsum([sum(map(len, x)) for x in every])
+                at = 0
+                while at < len(every):
+                    end = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + BATCH_IDS, side="right")))
+                    yield pa.RecordBatch.from_arrays(
+                        [*(c.slice(at, end - at) for c in whole), _nested(every[at:end])],
+                        names=["doc_id", "n_found", "best_score", "scores", "n_pieces", "ids_crc32", "decodes", "ids"],
+                    )
+                    at = end
 
     return docs.selectExpr("CAST(doc_id AS long) AS doc_id", "text").mapInArrow(run, OUT)
+
+
+def decode(encoded: DataFrame, model: str | None = None) -> DataFrame:
+    """The texts of segmentations (doc_id, ids as ``encode`` gives them; other
+    columns are ignored): doc_id and texts, one of each segmentation. Null ids
+    have null texts; rows may repeat."""
+    path = model or default_path()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = lattice(path, N_BEST)
+        for batch in batches:
+            texts = [None if found is None else [None if ids is None else own.decode(tuple(ids)) for ids in found] for found in batch.column("ids").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.list_(pa.string()))], names=["doc_id", "texts"])
+
+    return encoded.selectExpr("CAST(doc_id AS long) AS doc_id", "ids").mapInArrow(run, "doc_id long, texts array<string>")

@@ -32,31 +32,44 @@ FAN_IN = 64  # groups of a level that meet in one of the next
 PAIR_BIN_ITEMS = 40  # bins of more items take part in moves and one-for-one exchanges only
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
+PIECES_IDS = f"{PIECES}, ids array<int>"
+BATCH_IDS = 1 << 20  # ids of an Arrow batch at most, but for one document
 
 
 def pieces(docs: DataFrame, tokenizer: str | None = None, end_id: int = 1, capacity: int = CAPACITY) -> DataFrame:
-    """One row for each piece of each document (its ids, then ``end_id``)."""
+    """One row for each piece of each document (its ids, then ``end_id``), with
+    the ids and their checksum (as little-endian u32)."""
     path = tokenizer or wordids.default_path()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, end = wordids.word_ids(path), np.array([end_id], np.uint32)
         for batch in batches:
             for lo, hi in text_slices(batch):
-                part, rows = batch.slice(lo, hi - lo), []
+                part, rows, held, size = batch.slice(lo, hi - lo), [], [], 0
                 flat, bound = coder.encode_column(part.column("text"))
                 for d, a, b in zip(part.column("doc_id").to_pylist(), bound[:-1].tolist(), bound[1:].tolist(), strict=True):
                     ids = np.concatenate([flat[a:b], end]).astype("<u4")
+                    held.append(ids)
+                    size += len(ids)
                     for k, at in enumerate(range(0, len(ids), capacity)):
                         own = ids[at : at + capacity]
                         rows.append((d, k, at, len(own), zlib.crc32(own.tobytes())))
-                cols = list(zip(*rows, strict=True))
-                kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(cols, kinds, strict=True)],
-                    names=["doc_id", "piece", "start", "length", "ids_crc32"],
-                )
+                    if size > BATCH_IDS:
+                        yield made(rows, held)
+                        rows, held, size = [], [], 0
+                if rows:
+                    yield made(rows, held)
+
+    def made(rows: list[tuple], held: list[np.ndarray]) -> pa.RecordBatch:
+        cols = list(zip(*rows, strict=True))
+        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+        ends = pa.array(np.cumsum([0, *cols[3]]), pa.int32())
+        ids = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(held).astype(np.int32), pa.int32()))
+        return pa.RecordBatch.from_arrays(
+            [*(pa.array(c, k) for c, k in zip(cols, kinds, strict=True)), ids], names=["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
+        )
 
-    return docs.selectExpr("CAST(doc_id AS long) AS doc_id", "text").mapInArrow(cut, PIECES)
+    return docs.selectExpr("CAST(doc_id AS long) AS doc_id", "text").mapInArrow(cut, PIECES_IDS)
 
 
 def best_fit(lengths: np.ndarray, capacity: int) -> np.ndarray:
@@ -230,7 +243,8 @@ def pack(items: DataFrame, capacity: int = CAPACITY, group_items: int = GROUP_IT
 
 def pack_documents(docs: DataFrame, tokenizer: str | None = None, end_id: int = 1, capacity: int = CAPACITY) -> DataFrame:
     """Pieces of ``docs`` (doc_id, text; other columns are ignored) with their
-    place: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
+    place: doc_id, piece, start, length, ids_crc32, ids, sequence_id, offset. The
+    ids of a sequence are those of its pieces by offset.
 
     A null or empty text is one piece of the end id. A null doc_id stays null.
     """

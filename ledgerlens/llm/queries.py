@@ -62,12 +62,12 @@ def op8_interval_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_nbest_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return nbest.encode(documents(spark, sf_dir))
+    return nbest.encode(documents(spark, sf_dir)).drop("ids")
 
 
 @query
 def op10_swap_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(documents(spark, sf_dir))
+    return packing.pack_documents(documents(spark, sf_dir)).drop("ids")
 
 
 # --- SQL -----------------------------------------------------------------------

@@ -1,6 +1,7 @@
 """N-best SentencePiece segmentation."""
 
 import itertools
+import zlib
 
 import numpy as np
 import pyarrow.parquet as pq
@@ -92,3 +93,19 @@ def test_odd_rows(spark):
     rows = n.encode(docs).collect()
     assert len(rows) == len(ODD) + 2 and all(r.decodes for r in rows)
     assert n.encode(docs.limit(0)).count() == 0
+
+
+def test_encode_keeps_the_ids_and_decode_is_its_inverse(spark, lattice, monkeypatch):
+    monkeypatch.setattr(n, "BATCH_IDS", 50)
+    texts = [*ODD, "the cat sat on the mat", "the cat sat on the mat"]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    encoded = n.encode(docs)
+    for r in encoded.collect():
+        want = lattice.segment(texts[r.doc_id] or "")
+        assert [tuple(ids) for ids in r.ids] == [ids for _, ids in want]
+        assert [zlib.crc32(np.array(ids, "<u4").tobytes()) for ids in r.ids] == r.ids_crc32
+    got = {r.doc_id: r.texts for r in n.decode(encoded).collect()}
+    assert all(set(got[k]) == {t or ""} for k, t in enumerate(texts)) and len(got) == len(texts)
+    assert "ids" not in q.op9_nbest_pieces(spark, SF).columns
+    none = spark.createDataFrame([(1, None)], "doc_id long, ids array<array<int>>")
+    assert [r.texts for r in n.decode(none).collect()] == [None]

@@ -159,3 +159,17 @@ def test_local_search_never_loses_ground(seed):
     square = lambda b: (np.bincount(b, weights=lengths) ** 2).sum()
     assert np.bincount(bins, weights=lengths).max() <= 100
     assert square(bins) >= square(start)
+
+
+def test_sequences_hold_their_ids(spark, plain):
+    texts = [*ODD, "word " * 9000]
+    rows = packing.pack_documents(frame(spark, list(enumerate(texts)))).collect()
+    by, spans = {}, {}
+    for r in rows:
+        assert len(r.ids) == r.length and zlib.crc32(np.array(r.ids, "<u4").tobytes()) == r.ids_crc32
+        by.setdefault(r.doc_id, []).append((r.start, r.ids))
+        spans.setdefault(r.sequence_id, []).append((r.offset, r.ids))
+    for d, t in enumerate(texts):
+        assert [i for _, ids in sorted(by[d]) for i in ids] == [*plain_ids(plain, t), 1]
+    sequences = [[i for _, ids in sorted(own) for i in ids] for own in spans.values()]
+    assert sum(map(len, sequences)) == sum(r.length for r in rows) and max(map(len, sequences)) <= 4096
