@@ -3,9 +3,11 @@
 Two first-order character models, one of random strings and one of ordinary
 identifiers and words, are trained on the scanned corpus itself: what the base
 patterns match is a labelled sample of random strings, every other run of
-letters, digits and ``+/_=-`` is one of ordinary text. A long run that overlaps
-no base match is added as a ``random`` span when its log-likelihood ratio,
-random against ordinary, is large.
+letters, digits and ``+/_=-`` is one of ordinary text. Base matches are cut out of
+a run, and what is left of it is judged by the sum of the log-likelihood ratios
+of its characters, random against ordinary: a long part with a large sum is added
+as a ``random`` span; of other parts every long maximal-scoring stretch with a
+large sum is, out to the next ``/_=-`` if that is near.
 """
 
 from __future__ import annotations
@@ -31,6 +33,7 @@ KINDS = ("assign", "access", "hex", "random")
 RUN = re.compile(r"[A-Za-z0-9+/_=-]+")
 RUN_CHARS = 16  # shorter runs are not candidates for the models
 LEAST_RATIO = 12.0  # natural logarithm; 16 random characters reach about 20 against prose
+SEPARATORS = "/_=-"  # a stretch of a run goes on to the next of these
 PSEUDO_COUNT = 0.5
 # When the corpus has no base match at all, random strings are taken as uniform.
 
@@ -128,18 +131,90 @@ def train(docs: DataFrame) -> np.ndarray:
     return log[0] - log[1]
 
 
+def stretches(scores: list[float]) -> list[tuple[int, int, float]]:
+    """All maximal-scoring stretches (start, end, sum) of scores, from the left:
+    the best one, then those of what is left on either side of it. One linear
+    scan (Ruzzo-Tompa)."""
+    held: list[tuple[int, int, float, float]] = []  # start, end, sum before, sum up to the end
+    links: list[int] = []  # for each the last one before whose sum before is less
+    total = 0.0
+    for k, x in enumerate(scores):
+        before, total = total, total + x
+        if x <= 0:
+            continue
+        own = (k, k + 1, before, total)
+        while True:
+            j = len(held) - 1
+            while j >= 0 and held[j][2] >= own[2]:
+                j = links[j]
+            if j < 0 or held[j][3] >= own[3]:
+                held.append(own)
+                links.append(j)
+                break
+            own = (held[j][0], k + 1, held[j][2], own[3])
+            del held[j:], links[j:]
+    return [(a, b, up - low) for a, b, low, up in held]
+
+
+def uncovered(start: int, end: int, base: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
+    """The parts of start .. end outside the base spans (sorted by start)."""
+    for a, b, _ in base:
+        if b <= start or a >= end:
+            continue
+        if a > start:
+            yield start, a
+        start = max(start, b)
+    if start < end:
+        yield start, end
+
+
+def _part_spans(text: str, a: int, b: int, ratio: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """Spans of one part of a run: all of it, or its stretches."""
+    if b - a < RUN_CHARS:
+        return
+    codes = np.concatenate([[0], _CODE[np.frombuffer(text[a:b].encode(), np.uint8)], [0]])
+    steps = ratio[codes[:-1], codes[1:]]
+    if steps.sum() >= LEAST_RATIO:
+        yield a, b, 3
+    elif steps[steps > 0].sum() >= LEAST_RATIO:
+        # The last pair, of a character and the edge, counts for its character.
+        scores = steps[:-1].tolist()
+        scores[-1] += steps[-1]
+        end = a
+        for x, y, total in stretches(scores):
+            if total < LEAST_RATIO or y - x < RUN_CHARS or a + y <= end:
+                continue
+            before = max([a, *(text.rfind(c, a, a + x + 1) + 1 for c in SEPARATORS)])
+            after = min([b, *(k for k in (text.find(c, a + y - 1, b) for c in SEPARATORS) if k >= 0)])
+            start = max(end, before if a + x - before < RUN_CHARS else a + x)
+            end = after if after - (a + y) < RUN_CHARS else a + y
+            yield start, end, 3
+
+
 def random_spans(text: str, base: list[tuple[int, int, int]], ratio: np.ndarray) -> list[tuple[int, int, int]]:
-    """Long runs outside the base spans whose log-likelihood ratio is large."""
+    """Spans of the long runs outside the base spans."""
     out = []
     for m in RUN.finditer(text):
-        if m.end() - m.start() < RUN_CHARS or any(a < m.end() and m.start() < b for a, b, _ in base):
-            continue
-        codes = np.concatenate([[0], _CODE[np.frombuffer(m[0].encode(), np.uint8)], [0]])
-        if ratio[codes[:-1], codes[1:]].sum() >= LEAST_RATIO:
-            out.append((m.start(), m.end(), 3))
+        if m.end() - m.start() >= RUN_CHARS and not any(a < m.end() and m.start() < b for a, b, _ in base):
+            out += _part_spans(text, m.start(), m.end(), ratio)
     return out
 
 
+def rest_spans(text: str, base: list[tuple[int, int, int]], ratio: np.ndarray) -> list[tuple[int, int, int]]:
+    """Spans of what base spans leave of the long runs that they overlap."""
+    out = []
+    for m in RUN.finditer(text) if base else ():
+        if m.end() - m.start() >= RUN_CHARS and (own := [s for s in base if s[0] < m.end() and m.start() < s[1]]):
+            for a, b in uncovered(m.start(), m.end(), own):
+                out += _part_spans(text, a, b, ratio)
+    return out
+
+
+def added_spans(text: str, base: list[tuple[int, int, int]], ratio: np.ndarray) -> list[tuple[int, int, int]]:
+    """All spans that the models add to the base spans."""
+    return [*random_spans(text, base, ratio), *rest_spans(text, base, ratio)]
+
+
 FOUND = "doc_id long, n_assign long, n_access long, n_hex long, n_random long, base_sha256 string, spans string"
 
 
@@ -157,7 +232,7 @@ def scan(docs: DataFrame, ratio: np.ndarray | None = None) -> DataFrame:
             for lo, texts, base, runs, _ in _texts(batch):
                 rows = []
                 for text, own, long in zip(texts, base, runs, strict=True):
-                    added = random_spans(text, own, ratio) if long else []
+                    added = added_spans(text, own, ratio) if long else []
                     kinds = [k for _, _, k in own]
                     rows.append((
                         *(kinds.count(k) for k in range(3)), len(added), hashlib.sha256(joined(own).encode()).hexdigest(),
@@ -185,7 +260,7 @@ def redact(docs: DataFrame, ratio: np.ndarray | None = None, mask: str = "[SECRE
             out: list[str | None] = []
             for lo, texts, base, runs, _ in _texts(batch):
                 for i, (text, own, long) in enumerate(zip(texts, base, runs, strict=True)):
-                    spans = sorted([*own, *(random_spans(text, own, ratio) if long else [])])
+                    spans = sorted([*own, *(added_spans(text, own, ratio) if long else [])])
                     if not spans:
                         out.append(batch.column("text")[lo + i].as_py())
                         continue

@@ -91,3 +91,37 @@ def test_runs_over_text_borders():
     raw, bounds = flat_bytes(pa.array(["abcdefgh", "ijklmnop", None, "x y", "é" * 20, "q" * 16]))
     marked = s.long_run_rows(raw, bounds)
     assert marked[5] and not marked[3] and not marked[4]
+
+
+KEY = "AbX9q+Zr7Lk2VnT5wQ8yB3mC6dE1fG0x"
+WORDS = "gehenverheitlichkeitschaft" * 6
+HELD = [f"path/0123456789abcdef01234567/{KEY}", f"see {WORDS}/{KEY} there", f"{KEY}/{'0123456789abcdef' * 2}", f"{WORDS}/{KEY}/{WORDS}"]
+
+
+def test_random_parts_of_runs_are_found(spark, ratio):
+    """Random strings beside a base match, or behind a long ordinary path."""
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate([*HELD, f"see {WORDS} there"])], "doc_id long, text string")
+    found = {r.doc_id: r for r in s.scan(docs, ratio).collect()}
+    for k, text in enumerate(HELD):
+        at = text.index(KEY)
+        spans = [tuple(map(int, x.split(":")[1:])) for x in found[k].spans.split(",") if x.startswith("random:")]
+        assert found[k].n_random == len(spans) and any(a <= at and b >= at + len(KEY) for a, b in spans), (text, spans)
+        assert all(b - a < len(KEY) + 12 for a, b in spans), (text, spans)
+    assert found[len(HELD)].n_random == 0
+    assert not any(KEY[4:] in r.text for r in s.redact(docs, ratio).collect())
+
+
+def test_stretches_equal_the_definition():
+    import random
+
+    def plain(x, at=0):
+        every = [(sum(x[a:b]), a, b) for a in range(len(x)) for b in range(a + 1, len(x) + 1)]
+        if not every or max(every)[0] <= 0:
+            return []
+        _, a, b = max(every)
+        return [*plain(x[:a], at), (at + a, at + b), *plain(x[b:], at + b)]
+
+    for seed in range(100):
+        rng = random.Random(seed)
+        x = [rng.uniform(-1, 1) for _ in range(rng.randint(0, 20))]
+        assert [(a, b) for a, b, _ in s.stretches(x)] == plain(x)
