@@ -9,8 +9,8 @@ one pass over one join instead of one join per rule.
 Pairing is one-to-one (see ``pair_sources``): where no key repeats on a side it
 is the plain key join. Rows of a key that repeats are matched by the rules in
 their order before what is left over is paired by number, so a key with n and
-m rows yields max(n, m) pairs and no row that a rule accepts is lost to
-another one's place.
+m rows yields max(n, m) pairs. A rule pairs n-th with n-th: where one side has
+surplus rows in a group, a row can miss a partner that the rule would accept.
 """
 
 from __future__ import annotations
