@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import bitpack, digest, graph_index, jaccard, kneser_ney, nbest, packing, repeats, secret_scan, toxicity
+from ledgerlens.llm import bitpack, digest, graph_index, jaccard, kneser_ney, merkle, mixing, nbest, packing, repeats, secret_scan, toxicity, whitening
 from ledgerlens.llm.common import documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,6 +70,21 @@ def op10_swap_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir)).drop("ids")
 
 
+@query
+def op11_polarised_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.report(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_sibling_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.report(documents(spark, sf_dir))
+
+
+@query
+def op13_threshold_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(documents(spark, sf_dir))
+
+
 # --- SQL -----------------------------------------------------------------------
 
 # All pairs of documents that share a shingle, and the closure of their links.
@@ -132,3 +147,93 @@ FROM texts t
 JOIN (SELECT doc_id, string_agg(part, '' ORDER BY place) AS rest FROM kept GROUP BY doc_id) j ON j.doc_id = t.doc_id
 LEFT JOIN (SELECT doc_id, sum(hi - lo) AS n, count(*) AS k FROM spans GROUP BY doc_id) r ON r.doc_id = t.doc_id
 """
+
+# Trees from the bottom to the top by recursion; proofs from lists of whole runs.
+ORACLE_SQL["op12_sibling_merkle"] = """
+WITH RECURSIVE framed AS MATERIALIZED (
+  SELECT doc_id, source, text,
+         coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+           || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head,
+         list_reduce(
+           list_concat([4294967295::BIGINT], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda d: CAST(ord(d) AS BIGINT))),
+           lambda c, b: list_reduce(list_concat([xor(c, b)], [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda a, z: xor(a >> 1, 3988292384 * (a & 1)))) AS crc
+  FROM documents
+),
+leaves AS MATERIALIZED (
+  SELECT doc_id, source AS g, leaf, CASE WHEN xor(crc, 4294967295) % 5 = 0 THEN changed ELSE leaf END AS tampered,
+         row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx, count(*) OVER (PARTITION BY source) AS n
+  FROM (SELECT *, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+               sha256(head || coalesce(strlen(text) || ':' || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-')) AS changed
+        FROM framed)
+),
+nodes AS (
+  SELECT g, 0 AS l, idx, n, leaf AS h FROM leaves
+  UNION ALL
+  SELECT g, l + 1, idx // 16, (n + 15) // 16, sha256(string_agg(h, '' ORDER BY idx)) FROM nodes WHERE n > 1 GROUP BY g, l, idx // 16, n
+),
+runs AS MATERIALIZED (SELECT g, l, idx // 16 AS run, list(h ORDER BY idx) AS hs FROM nodes WHERE n > 1 GROUP BY g, l, idx // 16),
+subroots AS MATERIALIZED (
+  SELECT g, h AS subroot, row_number() OVER (ORDER BY g NULLS FIRST) - 1 AS idx, count(*) OVER () AS n FROM nodes WHERE n = 1
+),
+tops AS (
+  SELECT 0 AS l, idx, n, subroot AS h FROM subroots
+  UNION ALL
+  SELECT l + 1, idx // 16, (n + 15) // 16, sha256(string_agg(h, '' ORDER BY idx)) FROM tops WHERE n > 1 GROUP BY l, idx // 16, n
+),
+topruns AS MATERIALIZED (SELECT l, idx // 16 AS run, list(h ORDER BY idx) AS hs FROM tops WHERE n > 1 GROUP BY l, idx // 16),
+climbed AS (
+  SELECT doc_id, leaf, g, 0 AS l, idx, n, tampered AS h, '' AS proof FROM leaves
+  UNION ALL
+  SELECT doc_id, leaf, g, l + 1, idx // 16, (n + 15) // 16, sha256(before || h || after), proof || before || after
+  FROM (SELECT c.*, coalesce(array_to_string(hs[1:idx % 16], ''), '') AS before, coalesce(array_to_string(hs[idx % 16 + 2:], ''), '') AS after
+        FROM climbed c JOIN runs r ON c.g IS NOT DISTINCT FROM r.g AND c.l = r.l AND c.idx // 16 = r.run WHERE c.n > 1)
+),
+over_groups AS (
+  SELECT c.doc_id, c.leaf, s.subroot, 0 AS l, s.idx, s.n, c.h, c.proof FROM climbed c JOIN subroots s ON c.g IS NOT DISTINCT FROM s.g WHERE c.n = 1
+  UNION ALL
+  SELECT doc_id, leaf, subroot, l + 1, idx // 16, (n + 15) // 16, sha256(before || h || after), proof || before || after
+  FROM (SELECT c.*, coalesce(array_to_string(hs[1:idx % 16], ''), '') AS before, coalesce(array_to_string(hs[idx % 16 + 2:], ''), '') AS after
+        FROM over_groups c JOIN topruns r ON c.l = r.l AND c.idx // 16 = r.run WHERE c.n > 1)
+)
+SELECT doc_id, leaf, subroot, t.h AS root, sha256(proof) AS proof_sha256, o.h AS folded_root, o.h = t.h AS verified
+FROM over_groups o, (SELECT h FROM tops WHERE n = 1) t WHERE o.n = 1
+"""
+
+# Shares in closed form over the sources in order of how soon they are full;
+# thresholds by a running sum over the sorted hashes.
+ORACLE_SQL["op13_threshold_mix"] = r"""
+WITH docs AS MATERIALIZED (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '-' || coalesce(text, ''))), 1, 15) AS BIGINT) AS hash
+  FROM documents
+),
+sources AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS BIGINT) AS weight
+  FROM docs GROUP BY source
+),
+fullness AS (
+  SELECT *, row_number() OVER soon AS k, 3 * source_size / weight AS ratio,
+         sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER (soon ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS words,
+         sum(weight) OVER () - coalesce(sum(weight) OVER (soon ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS weights
+  FROM sources WINDOW soon AS (ORDER BY 3 * source_size / weight, source NULLS LAST)
+),
+share AS (SELECT k, words, weights FROM fullness WHERE words <= ratio * weights ORDER BY k LIMIT 1),
+aims AS MATERIALIZED (
+  SELECT f.source, f.source_size, CASE WHEN f.k < s.k THEN CAST(3 * f.source_size AS DOUBLE) ELSE CAST(s.words AS DOUBLE) * f.weight / CAST(s.weights AS DOUBLE) END AS target
+  FROM fullness f, share s
+),
+plan AS MATERIALIZED (
+  SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS copies,
+         CASE WHEN source_size > 0 THEN target - CAST(CAST(floor(target / source_size) AS BIGINT) * source_size AS DOUBLE) ELSE 0 END AS budget
+  FROM aims
+),
+running AS (
+  SELECT source, hash, sum(sum(size)) OVER (PARTITION BY source ORDER BY hash) AS up_to, sum(size) AS own FROM docs WHERE size > 0 GROUP BY source, hash
+),
+cuts AS (
+  SELECT r.source, max(CASE WHEN up_to < budget OR (up_to - own < budget AND up_to - budget < budget - (up_to - own)) THEN hash END) AS last
+  FROM running r JOIN plan p ON r.source IS NOT DISTINCT FROM p.source WHERE budget > 0 GROUP BY r.source
+)
+SELECT d.doc_id, d.size, p.source_size, p.target, CAST(d.size * (p.copies + CASE WHEN d.hash <= c.last THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM docs d JOIN plan p ON d.source IS NOT DISTINCT FROM p.source LEFT JOIN cuts c ON d.source IS NOT DISTINCT FROM c.source
+"""
