@@ -24,6 +24,7 @@ ARITY = 16
 HEX = 64  # digits of a digest
 COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")
 STEP = "array<struct<slot:int,siblings:binary>>"
+NOTHING = "CAST(NULL AS STRING)"  # the payload of nodes that are no leaves
 
 
 def framed(value: str) -> str:
@@ -45,29 +46,29 @@ def _siblings(arity: int) -> str:
 
 
 def level(nodes: DataFrame, arity: int, name: str) -> DataFrame:
-    """Nodes (g, idx, n, digest) with ``siblings``: the digests of the rest of
-    their run, in order, joined."""
+    """Nodes (g, idx, n, digest, payload) with ``siblings``: the digests of the
+    rest of their run, in order, joined. The node meets itself too, which keeps
+    its own columns; what it fetches of others is their digest alone."""
     wanted = nodes.selectExpr("g", "idx", "n", f"explode({_siblings(arity)}) AS place").filter("place < n").drop("n")
-    held = nodes.selectExpr("g AS g2", "idx AS place2", "n", "digest")
-    met = wanted.join(held, same("g", "g2") & F.expr("place = place2"))
-    runs = met.groupBy("g", "idx").agg(
-        F.expr("max(n) AS n"),
-        F.expr("max(CASE WHEN place = idx THEN digest END) AS digest"),
-        F.expr("sort_array(collect_list(CASE WHEN place <> idx THEN named_struct('place', place, 'digest', digest) END)) AS others"),
+    held = nodes.selectExpr("g AS g2", "idx AS place2", "n", "digest", "payload")
+    met = wanted.join(held, same("g", "g2") & F.expr("place = place2")).selectExpr(
+        "g", "idx", "CASE WHEN place = idx THEN named_struct('n', n, 'digest', digest, 'payload', payload) END AS own",
+        "CASE WHEN place <> idx THEN named_struct('place', place, 'digest', digest) END AS other",
     )
+    runs = met.groupBy("g", "idx").agg(F.expr("first(own, true) AS own"), F.expr("sort_array(collect_list(other)) AS others"))
     joined = "aggregate(others, CAST('' AS BINARY), (all, o) -> concat(all, o.digest))"
-    return written(runs.selectExpr("g", "idx", "n", "digest", f"{joined} AS siblings"), name)
+    return written(runs.selectExpr("g", "idx", "own.n", "own.digest", f"{joined} AS siblings", "own.payload"), name)
 
 
 def parents(nodes: DataFrame, arity: int) -> DataFrame:
     """The nodes above: one from each slot-zero node of a group that is not done."""
     above = "unhex(sha2(lower(hex(concat(digest, siblings))), 256)) AS digest"
-    return nodes.filter(f"n > 1 AND pmod(idx, {arity}L) = 0").selectExpr("g", f"idx DIV {arity}L AS idx", f"(n + {arity - 1}L) DIV {arity}L AS n", above)
+    return nodes.filter(f"n > 1 AND pmod(idx, {arity}L) = 0").selectExpr("g", f"idx DIV {arity}L AS idx", f"(n + {arity - 1}L) DIV {arity}L AS n", above, f"{NOTHING} AS payload")
 
 
 def tree(leaves: DataFrame, arity: int, name: str) -> list[DataFrame]:
-    """All levels of the trees of the groups of ``leaves`` (g, idx, n, digest);
-    a group's root is its node with n = 1."""
+    """All levels of the trees of the groups of ``leaves`` (g, idx, n, digest,
+    payload, which stays with the leaves); a group's root is its node with n = 1."""
     most = leaves.agg(F.expr("max(n)")).first()[0]
     levels, nodes = [], leaves
     while most is not None:
@@ -86,18 +87,20 @@ def roots(levels: list[DataFrame]) -> DataFrame:
 
 
 def steps(levels: list[DataFrame], above: DataFrame, arity: int, name: str) -> DataFrame:
-    """The leaves' places with ``path``: slot and siblings from the leaf to its
-    group's root, then the path that ``above`` (g, path, subroot) goes on with."""
+    """The leaves (g, idx, digest, payload) with ``path``: slot and siblings from
+    the leaf to its group's root, then the path that ``above`` (g, path, subroot)
+    goes on with. A level joins its nodes with the paths of their parents."""
+    kept = ["g", "idx", "digest", "payload"]
     paths = None
     step = f"array(named_struct('slot', CAST(pmod(idx, {arity}L) AS INT), 'siblings', siblings))"
     onward = above.selectExpr("g AS g2", "path AS rest", "subroot")
     for k in range(len(levels) - 1, -1, -1):
         nodes = levels[k]
-        own = nodes.filter("n = 1").join(onward, same("g", "g2")).selectExpr("g", "idx", "rest AS path", "subroot")
+        own = nodes.filter("n = 1").join(onward, same("g", "g2")).selectExpr(*kept, "rest AS path", "subroot")
         if paths is not None:
             up = paths.selectExpr("g AS g2", "idx AS up", "path AS rest", "subroot")
             below = nodes.filter("n > 1").join(up, same("g", "g2") & F.expr(f"idx DIV {arity}L = up"))
-            own = own.unionByName(below.selectExpr("g", "idx", f"concat({step}, rest) AS path", "subroot"))
+            own = own.unionByName(below.selectExpr(*kept, f"concat({step}, rest) AS path", "subroot"))
         paths = written(own, f"{name}-{k}") if k else own
     return paths
 
@@ -115,26 +118,24 @@ PROOF = "sha2(array_join(transform(path, p -> lower(hex(p.siblings))), ''), 256)
 
 
 def manifest(leaves: DataFrame, arity: int = ARITY) -> DataFrame:
-    """Every row of ``leaves`` (group, key, leaf as hexadecimal text, and any
-    other columns; groups are text) with subroot, root and ``path``, the
+    """Every row of ``leaves`` (group, a text; key; leaf, 32 bytes; payload, any
+    one column) as group, leaf, payload, subroot, root (hexadecimal) and ``path``, the
     steps of its proof. Leaves of a group ascend by key, null keys first, rows
     with one key by leaf; equal leaves are interchangeable. Groups ascend by
     their bytes, the null group first. An empty table gives no rows."""
-    placed = written(numbered(leaves, "group", ["key", "leaf"], "merkle-leaves"), "merkle-places")
-    levels = tree(placed.selectExpr("group AS g", "idx", "n", "unhex(leaf) AS digest"), arity, "merkle-level")
+    placed = written(numbered(leaves, "group", ["key", "leaf"], "merkle-leaves").drop("key"), "merkle-places")
+    levels = tree(placed.selectExpr("group AS g", "idx", "n", "leaf AS digest", "payload"), arity, "merkle-level")
     if not levels:
-        return placed.drop("idx", "n").selectExpr("*", "leaf AS subroot", "leaf AS root", f"CAST(NULL AS {STEP}) AS path")
+        return placed.selectExpr("group", "leaf", "payload", "hex(leaf) AS subroot", "hex(leaf) AS root", f"CAST(NULL AS {STEP}) AS path")
     subroots = numbered(roots(levels).selectExpr("g AS group", "digest"), None, ["group"], "merkle-subroots")
     subroots = written(subroots, "merkle-subroot-places")
-    top = tree(subroots.selectExpr("CAST(NULL AS STRING) AS g", "idx", "n", "digest"), arity, "merkle-top")
+    top = tree(subroots.selectExpr("CAST(NULL AS STRING) AS g", "idx", "n", "digest", "group AS payload"), arity, "merkle-top")
     root = roots(top).first().digest.hex()
     start = top[-1].filter("n = 1").selectExpr("g", f"CAST(array() AS {STEP}) AS path", "CAST(NULL AS STRING) AS subroot")
-    over = steps(top, start, arity, "merkle-top-path").select("idx", "path")
-    above = written(
-        subroots.join(over, "idx").selectExpr("group AS g", "path", "lower(hex(digest)) AS subroot"), "merkle-above"
-    )
-    paths = steps(levels, above, arity, "merkle-path").withColumnsRenamed({"g": "_g", "idx": "_idx"})
-    return placed.join(paths, same("group", "_g") & F.expr("idx = _idx")).drop("_g", "_idx", "idx", "n").withColumn("root", F.lit(root))
+    over = steps(top, start, arity, "merkle-top-path")
+    above = written(over.selectExpr("payload AS g", "path", "lower(hex(digest)) AS subroot"), "merkle-above")
+    paths = steps(levels, above, arity, "merkle-path")
+    return paths.selectExpr("g AS group", "digest AS leaf", "payload", "subroot", f"'{root}' AS root", "path")
 
 
 def report(docs: DataFrame, arity: int = ARITY) -> DataFrame:
@@ -147,9 +148,15 @@ def report(docs: DataFrame, arity: int = ARITY) -> DataFrame:
     the five are ignored, repeated rows are leaves of their own."""
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     lowered = [c if c != "text" else f"translate(text, '{upper}', '{upper.lower()}')" for c in COLUMNS]
-    tampered = f"CASE WHEN crc32(CAST(doc_id AS STRING)) % 5 = 0 THEN {row_digest(lowered)} ELSE leaf END AS tampered"
-    rows = docs.select(*COLUMNS).selectExpr("*", f"{row_digest()} AS leaf")
-    leaves = rows.selectExpr("CAST(source AS STRING) AS group", "CAST(doc_id AS BIGINT) AS key", "leaf", tampered)
-    out = manifest(leaves, arity)
-    folded = out.selectExpr("key AS doc_id", "leaf", "subroot", "root", f"{PROOF} AS proof_sha256", f"{fold('tampered')} AS folded_root")
+    tampered = f"CASE WHEN crc32(CAST(doc_id AS STRING)) % 5 = 0 THEN unhex({row_digest(lowered)}) END"
+    leaves = docs.select(*COLUMNS).selectExpr(
+        "CAST(source AS STRING) AS group", "CAST(doc_id AS BIGINT) AS key", f"unhex({row_digest()}) AS leaf",
+        f"named_struct('doc_id', CAST(doc_id AS BIGINT), 'tampered', {tampered}) AS payload",
+    )
+    # Digests are made once: ranging reads its rows twice.
+    out = manifest(written(leaves, "merkle-digests"), arity)
+    folded = out.selectExpr(
+        "payload.doc_id", "lower(hex(leaf)) AS leaf", "subroot", "root", f"{PROOF} AS proof_sha256",
+        f"{fold('lower(hex(coalesce(payload.tampered, leaf)))')} AS folded_root",
+    )
     return folded.selectExpr("*", "folded_root = root AS verified")
