@@ -94,7 +94,8 @@ def date_ok_sql(tolerance: int, symmetric: bool = False, as_filter: bool = False
     )
 
 
-def _number(value: int | Decimal) -> str:
+def number_sql(value: int | Decimal) -> str:
+    """A whole number or a decimal as a literal."""
     if isinstance(value, Decimal):
         return f"{value}BD"
     return f"{int(value)}L"
@@ -111,7 +112,7 @@ def int_ok_sql(tolerance: int | Decimal, as_filter: bool = False) -> str:
         _differs(),
         *_equal_others("amount"),
         "amount <> 0",
-        f"abs(amount - amount_2) * 100 <= {_number(tolerance)} * abs(amount)",
+        f"abs(amount - amount_2) * 100 <= {number_sql(tolerance)} * abs(amount)",
         as_filter=as_filter,
     )
 

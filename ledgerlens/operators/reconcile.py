@@ -9,13 +9,13 @@ one pass over one join instead of one join per rule.
 Pairing is one-to-one (see ``pair_sources``): where no key repeats on a side it
 is the plain key join. Rows of a key that repeats are matched by the rules in
 their order before what is left over is paired by number, so a key with n and
-m rows yields max(n, m) pairs. A rule pairs n-th with n-th: where one side has
-surplus rows in a group, a row can miss a partner that the rule would accept.
+m rows yields max(n, m) pairs. Each rule makes as many pairs as can be made
+(``operators.matching``), also where one side has surplus rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,8 +23,9 @@ from pyspark.sql import functions as F
 from ledgerlens.config import Tolerances
 from ledgerlens.functions import compare
 from ledgerlens.functions.text import row_hash_sql
+from ledgerlens.operators import matching
 from ledgerlens.schemas import TRANSACTION_COLUMNS
-from ledgerlens.session import scratch_path
+from ledgerlens.session import stored
 
 KEY = "transaction_uid"
 SUFFIX = "_2"
@@ -102,8 +103,6 @@ _RIGHT = tuple(c + SUFFIX for c in TRANSACTION_COLUMNS)
 _ROW = (*_LEFT, LEFT_HASH)  # a row of either side, under the first source's names
 _JOINS = ("full", "inner", "left", "right")
 
-# Copies of one row that a task expands at a time; no result depends on it.
-COPIES_PER_CHUNK = 100_000
 # Leftover rows of a key are numbered within stretches of time of this length.
 STRETCH_SECONDS = 86_400
 
@@ -137,10 +136,11 @@ def pair_sources(
     Rows of other keys are matched, each row once, in this order:
 
     1. rows with the same content, then rows with the same hash;
-    2. per rule of ``tol`` (comment, time, amount), rows that agree on all
-       compared columns but the rule's own, n-th with n-th in the order of that
-       column (comments in lower case, first those that are equal so), kept
-       where the rule accepts the pair;
+    2. per rule of ``tol`` (comment, time, amount), a maximum matching of the rows
+       that agree on all compared columns but the rule's own and that the rule
+       accepts (the time rule's step also takes rows of equal time, where the
+       amount rule accepts them). Times and amounts go in order, equal comments
+       before near ones;
     3. what is left of a key, n-th with n-th by (unix_timestamp, login,
        counter_login, transaction_type, comment, amount), NULLs first.
 
@@ -156,7 +156,7 @@ def pair_sources(
         unique_keys = repeated_keys(first, second).isEmpty()
     if unique_keys:
         return first.join(second, on, how)
-    repeated = _written(repeated_keys(first, second).withColumnRenamed(KEY, "_rep"), "repeated-keys")
+    repeated = stored(repeated_keys(first, second).withColumnRenamed(KEY, "_rep"), "repeated-keys")
     sides = []
     for df, key in ((first, KEY), (second, KEY + SUFFIX)):
         own = F.col(key) == F.col("_rep")
@@ -165,53 +165,46 @@ def pair_sources(
     return left.join(right, on, how).unionByName(_pair_repeated(left_rep, right_rep, how, tol or Tolerances()))
 
 
-def _written(df: DataFrame, name: str) -> DataFrame:
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def _copies(df: DataFrame, count: str) -> DataFrame:
-    """Each row ``count`` times; many copies of one row spread over tasks."""
-    cut = df.filter(f"{count} > 0").selectExpr("*", f"explode(sequence(0L, ({count} - 1) DIV {COPIES_PER_CHUNK})) AS _chunk")
-    own = f"least({count} - _chunk * {COPIES_PER_CHUNK}, {COPIES_PER_CHUNK})"
-    spread = cut.filter("_chunk = 0").unionByName(cut.filter("_chunk > 0").repartition(*_ROW, "_chunk"))
-    return spread.selectExpr("*", f"explode(sequence(1L, {own})) AS _copy").select(*_ROW)
-
-
-def _struct(exprs: Sequence[str]) -> str:
-    """Values as one struct: never NULL, and NULL fields compare as values."""
-    return "named_struct(" + ", ".join(f"'c{k}', {e}" for k, e in enumerate(exprs)) + ")"
-
-
 def _both_sides() -> list[str]:
     """Columns of a pair from the row structs ``a`` (first) and ``z`` (second)."""
     return [*(f"a.{c} AS {c}" for c in _ROW), *(f"z.{c} AS {r}" for c, r in zip(_ROW, (*_RIGHT, RIGHT_HASH), strict=True))]
 
 
+_AS_ROW = "named_struct(" + ", ".join(f"'{c}', {c}" for c in _ROW) + ")"
+
+
 def _number_pairs(pool: DataFrame, number: str) -> DataFrame:
     """Rows of both sides (column side) with the same group ``_g`` and number."""
-    row = "named_struct(" + ", ".join(f"'{c}', {c}" for c in _ROW) + ")"
     return (
-        pool.selectExpr("_g", "side", f"{number} AS _n", f"{row} AS row")
+        pool.selectExpr("_g", "side", f"{number} AS _n", f"{_AS_ROW} AS row")
         .groupBy("_g", "_n")
         .agg(F.expr("max(CASE WHEN side = 'L' THEN row END) AS a"), F.expr("max(CASE WHEN side = 'R' THEN row END) AS z"))
     )
 
 
-def _match(pool: DataFrame, groups: Sequence[str], order: Sequence[str], accept: str, name: str) -> tuple[DataFrame, DataFrame]:
-    """n-th with n-th inside a group: (accepted pairs, what stays in the pool)."""
-    keyed = pool.withColumn("_g", F.expr(_struct(groups))).repartition("_g")
-    nth = f"row_number() OVER (PARTITION BY _g, side ORDER BY {', '.join([*order, *_ROW])})"
-    paired = _number_pairs(keyed, nth)
-    paired = paired.selectExpr(*_both_sides(), "a IS NOT NULL AND z IS NOT NULL AS both")
-    tried = _written(paired.selectExpr("*", f"both AND coalesce({accept}, false) AS ok"), name)
-    accepted = tried.filter("ok").drop("both", "ok")
-    left = tried.filter(f"NOT ok AND {LEFT_HASH} IS NOT NULL").selectExpr("'L' AS side", *_ROW)
-    right = tried.filter(f"NOT ok AND {RIGHT_HASH} IS NOT NULL").selectExpr(
-        "'R' AS side", *(f"{r} AS {c}" for c, r in zip(_ROW, (*_RIGHT, RIGHT_HASH), strict=True))
+def _steps(tol: Tolerances) -> list[tuple[str, Callable[[DataFrame], DataFrame]]]:
+    """Name and matching of each step over a pool of rows (see ``matching``)."""
+    compared = {c: [compare.compared(x) for x in compare.others(c)] for c in ("comment", "unix_timestamp", "amount")}
+    interval, text = matching.interval_flows, matching.text_flows
+    steps: list[tuple[str, Callable[[DataFrame], DataFrame]]] = [
+        ("hash", lambda pool: interval(pool, [KEY, LEFT_HASH], "0L", "0L", None, _ROW, name="same-hash"))
+    ]
+    most = compare.most_edits(tol.levenshtein, tol.char_inclusive)
+    if most >= 0:
+        given = "comment IS NOT NULL AND comment <> ''"
+        steps.append((CHAR, lambda pool: text(pool, compared["comment"], "lower(comment)", most, ("comment", *_ROW), given, "near-comments")))
+    # Rows of equal time are accepted by the amount rule, unless the amount is 0.
+    low = f"unix_timestamp - {int(tol.seconds) - 1}L"
+    high = f"unix_timestamp + {int(tol.seconds) - 1}L" if tol.symmetric_time else None
+    equal = f"amount = 0 OR {compare.number_sql(tol.percent)} < 0"
+    steps.append((DATE, lambda pool: interval(pool, compared["unix_timestamp"], "unix_timestamp", low, high, _ROW, equal, name="near-times")))
+    # In hundreds, so that a percentage is exact: CAST keeps all digits of both.
+    spread = f"CAST({compare.number_sql(tol.percent)} * abs(amount) AS DECIMAL(30, 10))"
+    whole = "CAST(amount * 100 AS DECIMAL(30, 10))"
+    steps.append(
+        (INT, lambda pool: interval(pool, compared["amount"], whole, f"{whole} - {spread}", f"{whole} + {spread}", _ROW, usable="amount <> 0", name="near-amounts"))
     )
-    return accepted, left.unionByName(right)
+    return steps
 
 
 def _pair_repeated(first: DataFrame, second: DataFrame, how: str, tol: Tolerances) -> DataFrame:
@@ -219,39 +212,34 @@ def _pair_repeated(first: DataFrame, second: DataFrame, how: str, tol: Tolerance
     second = second.selectExpr(*(f"{r} AS {c}" for c, r in zip(_ROW, (*_RIGHT, RIGHT_HASH), strict=True)))
     # Step 1, by content: copies collapse before the shuffle, which spreads a
     # key's rows by content.
-    counts = [df.groupBy(*_ROW).agg(F.expr("count(1) AS n")).selectExpr(f"{_struct(_ROW)} AS {c}", f"n AS n{c}") for df, c in ((first, "l"), (second, "r"))]
-    content = [f"coalesce(l.c{k}, r.c{k}) AS {c}" for k, c in enumerate(_ROW)]
-    groups = _written(
-        counts[0].join(counts[1], F.expr("l = r"), "full").selectExpr(*content, "coalesce(nl, 0L) AS nl", "coalesce(nr, 0L) AS nr"), "repeated-content"
+    content = matching.as_group(_ROW)
+    counts = [df.groupBy(*_ROW).agg(F.expr("count(1) AS n")).selectExpr(f"{content} AS {c}", f"n AS n{c}") for df, c in ((first, "l"), (second, "r"))]
+    columns = [f"coalesce(l.c{k}, r.c{k}) AS {c}" for k, c in enumerate(_ROW)]
+    groups = stored(
+        counts[0].join(counts[1], F.expr("l = r"), "full").selectExpr(*columns, "coalesce(nl, 0L) AS nl", "coalesce(nr, 0L) AS nr"), "repeated-content"
     )
-    exact = _copies(groups, "least(nl, nr)").selectExpr(*_ROW, *(f"{c} AS {r}" for c, r in zip(_ROW, (*_RIGHT, RIGHT_HASH), strict=True)))
-    pool = _copies(groups, "(nl - nr)").selectExpr("'L' AS side", *_ROW).unionByName(_copies(groups, "(nr - nl)").selectExpr("'R' AS side", *_ROW))
-    steps = [([KEY, LEFT_HASH], [], "true")]
-    compared = {c: [compare.compared(x) for x in compare.others(c)] for c in ("comment", "unix_timestamp", "amount")}
-    most = compare.most_edits(tol.levenshtein, tol.char_inclusive)
-    char = compare.char_ok_sql(tol.levenshtein, tol.char_inclusive)
-    if most >= 0:
-        steps.append(([*compared["comment"], "lower(comment)"], ["comment"], char))
-    if most >= 1:
-        steps.append((compared["comment"], ["lower(comment)", "comment"], char))
-    steps.append((compared["unix_timestamp"], ["unix_timestamp"], compare.date_ok_sql(tol.seconds, tol.symmetric_time)))
-    steps.append((compared["amount"], ["amount"], compare.int_ok_sql(tol.percent)))
-    out = exact
-    for group, order, accept in steps:
-        accepted, pool = _match(pool, group, order, accept, "repeated-pairs")
-        out = out.unionByName(accepted)
+    out = groups.selectExpr(f"{_AS_ROW} AS a", f"{_AS_ROW} AS z", "least(nl, nr) AS n")
+    pool = groups.filter("nl <> nr").selectExpr("CASE WHEN nl > nr THEN 'L' ELSE 'R' END AS side", *_ROW, "abs(nl - nr) AS n", "monotonically_increasing_id() AS _id")
+    pool = stored(pool, "repeated-pool")
+    for name, match in _steps(tol):
+        flows = match(pool)
+        rows = [pool.filter(f"side = '{s}'").selectExpr(f"_id AS _{s}", f"{_AS_ROW} AS {c}") for s, c in (("L", "a"), ("R", "z"))]
+        out = out.unionByName(flows.join(rows[0], F.expr("l_id = _L")).join(rows[1], F.expr("r_id = _R")).select("a", "z", "n"))
+        spent = flows.selectExpr("n AS _spent", "explode(array(l_id, r_id)) AS _of").groupBy("_of").agg(F.expr("sum(_spent) AS _spent"))
+        left = pool.join(spent, F.expr("_id = _of"), "left").withColumn("n", F.expr("n - coalesce(_spent, 0L)"))
+        pool = stored(left.filter("n > 0").drop("_spent", "_of"), f"repeated-after-{name}")
+    paired = matching.expand(out, "n").selectExpr(*_both_sides())
     # Step 3: numbers run over stretches of time, whose rows are numbered apart
     # and whose sizes add up, so a hot key's rows need not meet in one task.
     order = ", ".join(("unix_timestamp", *(c for c in _LEFT if c not in (KEY, "unix_timestamp")), LEFT_HASH))
-    pool = pool.selectExpr("*", f"{_struct([KEY])} AS _g", f"coalesce(unix_timestamp DIV {STRETCH_SECONDS}, -9223372036854775808L) AS _s")
+    rest = matching.expand(pool, "n").selectExpr("*", f"{matching.as_group([KEY])} AS _g", f"coalesce(unix_timestamp DIV {STRETCH_SECONDS}, -9223372036854775808L) AS _s")
     before = (
-        pool.groupBy("_g", "side", "_s").agg(F.expr("count(1) AS n"))
+        rest.groupBy("_g", "side", "_s").agg(F.expr("count(1) AS n"))
         .selectExpr("_g", "side", "_s", "coalesce(sum(n) OVER (PARTITION BY _g, side ORDER BY _s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0L) AS _before")
     )
-    nth = pool.selectExpr("*", f"row_number() OVER (PARTITION BY _g, side, _s ORDER BY {order}) AS _r").join(before, ["_g", "side", "_s"])
-    rest = _number_pairs(nth, "_r + _before")
+    nth = rest.selectExpr("*", f"row_number() OVER (PARTITION BY _g, side, _s ORDER BY {order}) AS _r").join(before, ["_g", "side", "_s"])
     keep = {"full": "true", "inner": "a IS NOT NULL AND z IS NOT NULL", "left": "a IS NOT NULL", "right": "z IS NOT NULL"}[how]
-    return out.unionByName(rest.filter(keep).selectExpr(*_both_sides()))
+    return paired.unionByName(_number_pairs(nth, "_r + _before").filter(keep).selectExpr(*_both_sides()))
 
 
 def full_outer_spread(first: DataFrame, second: DataFrame) -> DataFrame:

@@ -27,6 +27,7 @@ from ledgerlens.config import Tolerances
 from ledgerlens.operators import aggregates as agg
 from ledgerlens.operators import reconcile as rec
 from ledgerlens.schemas import LEDGER
+from ledgerlens.session import scratch
 from ledgerlens.sources.sinks import write_partitioned
 
 
@@ -52,14 +53,15 @@ def reconcile(
     tol = tol or Tolerances()
     out = ReconcileOutput(pairs=f"{out_dir.rstrip('/')}/pairs", clean=f"{out_dir.rstrip('/')}/clean")
     first, other = rec.load_ledger(ledger, null_token=null_token), rec.load_second_source(second, null_token=null_token)
-    paired = rec.pair_sources(first, other, how="full", tol=tol)
-    classified = paired.selectExpr(
-        *rec.TRANSACTION_COLUMNS,
-        *(c + rec.SUFFIX for c in rec.TRANSACTION_COLUMNS),
-        f"{rec.status_sql(tol)} AS status",
-        f"{rec.passed_statuses_sql(tol)} AS passed",
-    )
-    write_partitioned(classified, out.pairs, "status", dynamic=False)  # a full report per run
+    with scratch(spark):  # the tables of the pairing go once the pairs are written
+        paired = rec.pair_sources(first, other, how="full", tol=tol)
+        classified = paired.selectExpr(
+            *rec.TRANSACTION_COLUMNS,
+            *(c + rec.SUFFIX for c in rec.TRANSACTION_COLUMNS),
+            f"{rec.status_sql(tol)} AS status",
+            f"{rec.passed_statuses_sql(tol)} AS passed",
+        )
+        write_partitioned(classified, out.pairs, "status", dynamic=False)  # a full report per run
 
     pairs = spark.read.parquet(out.pairs)
     accepted = pairs.filter(F.col("status").isin(*rec.ACCEPTED))

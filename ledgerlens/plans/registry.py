@@ -206,6 +206,19 @@ def c17r(spark, sf):
     return rec.reconciliation_report(_paired_repeating(spark, sf), TOL)
 
 
+SCARCE = Tolerances(percent=o.SCARCE_PERCENT, levenshtein=o.SCARCE_EDITS, seconds=o.SCARCE_SECONDS, char_inclusive=True, symmetric_time=True)
+
+
+@query("c17_surplus_rows_by_key")
+def c17s(spark, sf):
+    """Pairs by status for each key where one source has surplus rows: as many
+    are accepted as can be, whichever rows those are."""
+    first, second = rec.load_ledger(v.surplus_ledger(spark, sf)), rec.load_second_source(v.surplus_second_source(spark, sf))
+    report = rec.reconciliation_report(rec.pair_sources(first, second, tol=SCARCE), SCARCE)
+    counts = [f"count_if(status = '{s}') AS {s}" for s in rec.STATUSES]
+    return report.groupBy(F.expr("coalesce(transaction_uid, transaction_uid_2) AS transaction_uid")).agg(*map(F.expr, counts))
+
+
 @query("c17_reconciliation_report")
 def c17(spark, sf):
     return rec.reconciliation_report(_paired(spark, sf), TOL)

@@ -10,8 +10,11 @@ shuffle partitions are split.
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every session of this package needs for correct results.
 REQUIRED_CONF = {
@@ -123,9 +126,36 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+# The scratch folders of the open ``scratch`` blocks, innermost last.
+_SCRATCH: ContextVar[tuple[str, ...]] = ContextVar("ledgerlens_scratch", default=())
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """Tables that operators write between steps go to one folder under the
+    shared folder, which is removed when the block ends, by success or failure.
+    Frames made inside read those tables lazily: write or collect them inside."""
+    path = scratch_path(spark, "scratch")
+    token = _SCRATCH.set((*_SCRATCH.get(), path))
+    try:
+        yield path
+    finally:
+        _SCRATCH.reset(token)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unique sub-folder of the shared folder for a written table."""
+    """A new, unique sub-folder for a written table: of the open ``scratch``
+    block, or else of the shared folder, where it stays."""
     import uuid
 
-    base = shared_dir(spark).rstrip("/")
+    base = (_SCRATCH.get() or (shared_dir(spark).rstrip("/"),))[-1]
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written under ``scratch_path`` and read back: its lineage ends there."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -30,6 +30,11 @@ Mapping rules (fixed values, shared with the SQL oracle in ``plans.oracle``):
 * repeating sources: both sources with fewer, repeating keys -- NULL when
   event_id % 13 = 0, -1 (a hot key) when event_id % 10 = 1, else event_id DIV 3
   (plus 10000000 where the second source is shifted)
+* surplus sources: every event is a row of either source; 16 events share a key,
+  of which the first source has 9 and 7 in turn. With h = event_id * 7919 % 1009,
+  rows of a key differ in one column by the key's remainder by 3 -- 0 the
+  comment ('ref ' and two letters, in upper case for odd ids), 1 the time (minutes h
+  % 40), 2 the amount ((1000 + h % 400) / 10) -- so that partners are scarce
 """
 
 from __future__ import annotations
@@ -179,3 +184,33 @@ def repeating_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def repeating_second_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return second_source(spark, sf_dir, REPEATING_UID)
+
+
+SURPLUS_EPOCH = 1577836800
+SURPLUS_SELECT = (
+    "key AS transaction_uid",
+    "key % 1000 AS login",
+    "CAST(NULL AS BIGINT) AS counter_login",
+    "1L AS transaction_type",
+    f"{SURPLUS_EPOCH}L + CASE WHEN key % 3 = 1 THEN h % 40 * 60 ELSE 0L END AS epoch_seconds",
+    "CASE WHEN key % 3 <> 0 THEN 'pay' WHEN event_id % 2 = 0 THEN text ELSE upper(text) END AS comment",
+    f"CAST(CASE WHEN key % 3 = 2 THEN CAST(1000 + h % 400 AS DECIMAL(10,0)) * 0.1BD ELSE 50 END AS {MONEY.simpleString()}) AS amount",
+)
+
+
+def _surplus(spark: SparkSession, sf_dir: str, side: str) -> DataFrame:
+    keyed = table(spark, sf_dir, "events").selectExpr(
+        "event_id", "CAST(event_id DIV 16 AS BIGINT) AS key", "CAST(event_id * 7919 % 1009 AS BIGINT) AS h", "event_id % 16 AS slot"
+    )
+    texts = keyed.selectExpr("*", "concat('ref ', chr(97 + h % 5), chr(97 + h DIV 5 % 4)) AS text")
+    return texts.filter(f"slot {side} CASE WHEN key % 2 = 0 THEN 9 ELSE 7 END").selectExpr(*SURPLUS_SELECT)
+
+
+def surplus_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First source of keys with more rows on one side (see above)."""
+    rows = _surplus(spark, sf_dir, "<")
+    return rows.withColumn("epoch_seconds", F.expr("CAST(timestamp_seconds(epoch_seconds) AS TIMESTAMP_NTZ)")).withColumnRenamed("epoch_seconds", "transaction_ts")
+
+
+def surplus_second_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _surplus(spark, sf_dir, ">=")

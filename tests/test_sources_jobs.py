@@ -8,6 +8,7 @@ import pytest
 from conftest import SF_SMALL
 from ledgerlens.config import Tolerances
 from ledgerlens.operators import aggregates as agg
+from ledgerlens.operators import matching
 from ledgerlens.operators import reconcile as rec
 from ledgerlens.plans import jobs
 from ledgerlens.sources import catalog, files, jdbc
@@ -200,7 +201,8 @@ def statuses(paired):
 def test_no_constant_changes_the_pairs(spark, monkeypatch, chunk, stretch):
     """600 rows of 200 keys, each of which differs from exactly one partner in
     letter case only, next to rows that no rule accepts, copies and NULL keys."""
-    monkeypatch.setattr(rec, "COPIES_PER_CHUNK", chunk)
+    monkeypatch.setattr(matching, "COPIES_PER_CHUNK", chunk)
+    monkeypatch.setattr(matching, "GROUP_ROWS", chunk)
     monkeypatch.setattr(rec, "STRETCH_SECONDS", stretch)
     left = [(k, 1, None, 1, 1000 * i, f"text {k} {i}", Decimal(i)) for k in range(200) for i in range(3)]
     right = [(k, 1, None, 1, 1000 * i, f"TEXT {k} {i}", Decimal(i)) for i in (1, 2, 0) for k in range(199, -1, -1)]
