@@ -2,8 +2,13 @@
 
 Two first-order character models, one of random strings and one of ordinary
 identifiers and words, are trained on the scanned corpus itself: what the base
-patterns match is a labelled sample of random strings, every other run of
-letters, digits and ``+/_=-`` is one of ordinary text. Base matches are cut out of
+patterns match is a labelled sample of random strings, all other text is one of
+ordinary words. A character's chance is that of its class (lower, upper, digit,
+sign, edge) after the class before, times its own in that class. For words the latter
+comes from pairs of letters whatever their case, backing off to single
+letters, and the classes follow the styles that identifiers are written in (lower,
+UPPER, Title, camelCase, with signs or numbers between), so that capitals and
+signs a corpus of prose never shows are not taken for random. Base matches are cut out of
 a run, and what is left of it is judged by the sum of the log-likelihood ratios
 of its characters, random against ordinary: a long part with a large sum is added
 as a ``random`` span; of other parts every long maximal-scoring stretch with a
@@ -32,15 +37,21 @@ KINDS = ("assign", "access", "hex", "random")
 
 RUN = re.compile(r"[A-Za-z0-9+/_=-]+")
 RUN_CHARS = 16  # shorter runs are not candidates for the models
-LEAST_RATIO = 12.0  # natural logarithm; 16 random characters reach about 20 against prose
+LEAST_RATIO = 12.0  # natural logarithm: the odds against a secret that a long run has to overcome
 SEPARATORS = "/_=-"  # a stretch of a run goes on to the next of these
 PSEUDO_COUNT = 0.5
-# When the corpus has no base match at all, random strings are taken as uniform.
+SINGLE = 0.4  # weight of single letters beside pairs: a corpus has few of the words that names are made of
+SAMPLED = 0.5  # weight of the labelled random strings; the rest is uniform over letters and digits
+REPEATED = 0.1  # chance that ordinary text repeats a character, as rules do
 
 SYMBOLS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 SIZE = len(SYMBOLS) + 1  # symbol 0 is anything else: the edge of a run
 _CODE = np.zeros(256, np.int64)
 _CODE[[ord(c) for c in SYMBOLS]] = np.arange(1, SIZE)
+# Classes of the symbols: edge, upper, lower, digit, sign; and letters whatever their case (0: none).
+EDGE, UPPER, LOWER, DIGIT, SIGN = range(5)
+CLASS = np.repeat([EDGE, UPPER, LOWER, DIGIT, SIGN], [1, 26, 26, 10, len(SYMBOLS) - 62])
+LETTER = np.r_[0, 1:27, 1:27, np.zeros(len(SYMBOLS) - 52, np.int64)]
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -60,18 +71,14 @@ def joined(spans: list[tuple[int, int, int]]) -> str:
 
 
 def long_run_rows(raw: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Which texts hold a run of ``RUN_CHARS`` symbols or more."""
-    inside = np.zeros(len(raw) + 2, np.int8)
-    inside[1:-1] = _CODE[raw] > 0
-    edge = np.diff(inside)
-    start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    keep = end - start >= RUN_CHARS
+    """Which texts hold a run of ``RUN_CHARS`` symbols or more; runs end with their text."""
+    inside = _CODE[raw] > 0
+    begins, ends = inside & np.r_[True, ~inside[:-1]][: len(raw)], inside & np.r_[~inside[1:], True][: len(raw)]
+    lo, hi = bounds[:-1][np.diff(bounds) > 0], bounds[1:][np.diff(bounds) > 0] - 1
+    begins[lo], ends[hi] = inside[lo], inside[hi]
+    start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
     found = np.zeros(len(bounds) - 1, bool)
-    # A run over a border of texts marks both: a superset is enough here.
-    lo = np.searchsorted(bounds, start[keep], side="right") - 1
-    hi = np.searchsorted(bounds, end[keep] - 1, side="right") - 1
-    for a, b in zip(lo, hi, strict=True):
-        found[a : b + 1] = True
+    found[np.searchsorted(bounds, start[end - start >= RUN_CHARS], side="right") - 1] = True
     return found
 
 
@@ -126,9 +133,55 @@ def train(docs: DataFrame) -> np.ndarray:
     counts = np.zeros((2, SIZE, SIZE))
     for model, pair, n in rows:
         counts[model, pair // SIZE, pair % SIZE] = max(n, 0)
-    counts += PSEUDO_COUNT
-    log = np.log(counts / counts.sum(axis=2, keepdims=True))
-    return log[0] - log[1]
+    ratio = np.log(random_model(counts[0])) - np.log(ordinary_model(counts[1]))
+    ratio[:, 0] = 0.0  # where a run ends says nothing
+    return ratio
+
+
+def random_model(counts: np.ndarray) -> np.ndarray:
+    """Chances of a symbol after another in random strings, from counts of pairs
+    in labelled ones: classes as sampled, any character of a class alike; mixed with
+    strings of letters and digits that are all alike."""
+    sizes = np.bincount(CLASS, minlength=5)
+    free = sizes * (np.arange(5) != EDGE)
+    free[SIGN] = 1  # one sign for 62 letters and digits
+    classes = np.zeros((5, 5))
+    np.add.at(classes, (CLASS[:, None], CLASS[None, :]), counts)
+    classes[:, EDGE] = 0.0
+    classes = (classes + PSEUDO_COUNT * free) / (classes + PSEUDO_COUNT * free).sum(axis=1, keepdims=True)
+    mixed = SAMPLED * classes + (1 - SAMPLED) * free / free.sum()
+    return np.where(CLASS == EDGE, 1.0, (mixed / sizes)[CLASS][:, CLASS])
+
+
+def ordinary_model(counts: np.ndarray) -> np.ndarray:
+    """Chances of a symbol after another in ordinary text, from counts of pairs
+    in prose: letters by pairs, whatever their case (first letters of words by
+    themselves), and the classes of identifiers in all styles."""
+    letters = np.zeros((27, 27))
+    np.add.at(letters, (LETTER[:, None], LETTER[None, :]), counts)
+    letters[:, 0] = 0.0
+    single = letters[1:].sum(axis=0) + PSEUDO_COUNT
+    single[0] = 0.0
+    single /= single.sum()
+    letters = SINGLE * single + (1 - SINGLE) * (letters + single) / (letters.sum(axis=1, keepdims=True) + 1)
+    words = max(float(counts[LETTER == 0][:, LETTER > 0].sum()), 1.0)
+    inner = max(float(counts[LETTER > 0][:, LETTER > 0].sum()) / words, 2.0)  # pairs of letters a word
+    # Fixed shares of styles: a third of all words each in lower, UPPER and Title;
+    # what follows a word is an edge, a sign, the next word or a number.
+    #                 edge, upper, lower, digit, sign
+    styles = np.array([
+        [0.00, 0.35, 0.50, 0.08, 0.07],
+        [0.50, inner, 1.02, 0.06, 0.42],
+        [0.80, 0.50, 2 * inner - 1, 0.10, 0.60],
+        [0.20, 0.05, 0.05, 0.50, 0.20],
+        [0.02, 0.30, 0.55, 0.10, 0.03],
+    ])
+    styles /= styles.sum(axis=1, keepdims=True)
+    own = np.array([0.0, 0.0, 0.0, 1 / 10, 1 / (SIZE - 63)])[CLASS]
+    within = np.where(LETTER > 0, letters[LETTER][:, LETTER], own)
+    chance = styles[CLASS][:, CLASS] * within
+    chance[1:] = (1 - REPEATED) * chance[1:] + REPEATED * np.eye(SIZE)[1:]
+    return np.where(CLASS == EDGE, 1.0, chance)
 
 
 def stretches(scores: list[float]) -> list[tuple[int, int, float]]:

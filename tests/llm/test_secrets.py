@@ -57,14 +57,72 @@ def ratio(spark):
 
 
 def test_models_add_random_strings(spark, ratio):
-    found = {r.doc_id: r.spans for r in s.scan(frame(spark, [*ODD, "gehenverheitlichkeitschaft thatandtheoning"]), ratio).collect() if r.doc_id}
-    assert "random:" in found[ODD.index("key AbX9q+Zr7Lk2/VnT5wQ8yB3mC6dE1fG0 end") - 0 or 0] if found.get(15) else True
+    texts = [*ODD, "gehenverheitlichkeitschaft thatandtheoning", "see AbX9q+Zr7Lk2VnT5wQ8yB3mC6dE1fG0 there"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.spans for r in s.scan(docs, ratio).collect()}
+    assert found[texts.index("key AbX9q+Zr7Lk2/VnT5wQ8yB3mC6dE1fG0 end")] == "random:4:36"
+    assert found[len(texts) - 1] == "random:4:35" and found[len(texts) - 2] == ""
     assert s.random_spans("key AbX9q+Zr7Lk2/VnT5wQ8yB3mC6dE1fG0 end", [], ratio) == [(4, 36, 3)]
     assert s.random_spans("gehenverheitlichkeitschaft thatandtheoning", [], ratio) == []
     assert s.random_spans("=" * 60, [], ratio) == []
     assert s.random_spans("key AbX9q+Zr7Lk2/VnT5wQ8yB3mC6dE1fG0 end", [(0, 10, 0)], ratio) == []
 
 
+# Ordinary runs that no corpus of prose holds: identifiers in all styles, paths, rules, long words.
+ORDINARY = """MAXIMUM_CONNECTION_POOL_SIZE AbstractSingletonFactoryBean org/apache/spark/sql/functions
+src/main/resources/application-config DEFAULT_REQUEST_TIMEOUT_SECONDS getElementsByTagNameAndClass
+donaudampfschifffahrtsgesellschaft /usr/local/share/documentation/examples internationalization
+http-server-connection-handler user_account_registration_date /home/development/projects/backend/service
+TransactionManagerInterface READ_COMMITTED_ISOLATION_LEVEL convertStringToInteger2 spark-sql-adaptive-execution
+electroencephalographically Rechtsschutzversicherungsgesellschaften anticonstitutionnellement
+image/vnd-microsoft-icon-collection first-second-third-fourth-2023 include/linux/memory/allocator
+SERVICE_UNAVAILABLE_EXCEPTION_2 CustomerRelationshipManagementSystem test_random_parts_of_runs_are_found
+application/octet-stream-compressed node_modules/package/distribution/index NumberFormatExceptionHandler
+responsabilidades-administrativas GESELLSCHAFTSVERTRAG_ENTWURF recommandations/professionnelles
+PartitionedAggregationBuffer long_term_storage_location_identifier lowercaseidentifierwithoutanybreaks""".split()
+ORDINARY += ["=" * 60, "-" * 40, "_" * 25, "+" * 30, "/" * 20, "=-" * 20, "a" * 17 + "h" * 20, "x" * 64, "2024-01-02-2024-03-04"]
+
+
+def random_strings(seed, count):
+    import random
+
+    rng = random.Random(seed)
+    upper, lower, digits = (s.SYMBOLS[a:b] for a, b in ((0, 26), (26, 52), (52, 62)))
+    kinds = [upper + lower + digits, upper + lower + digits + "+/", upper + digits, lower + digits]
+    return ["".join(rng.choice(kinds[k % 4]) for _ in range(rng.randint(24, 48))) for k in range(count)]
+
+
+def test_precision_and_recall_on_held_out_strings(spark, ratio):
+    """Random strings that no training saw, against ordinary runs, through scan and redact."""
+    keys = [k for k in random_strings(11, 400) if not plain_base(k)]
+    texts = [f"before {x} after" for x in keys + ORDINARY]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    hit = {r.doc_id for r in s.scan(docs, ratio).collect() if "random:" in r.spans}
+    right = sum(k in hit for k in range(len(keys)))
+    wrong = [texts[k] for k in hit if k >= len(keys)]
+    assert right >= 0.95 * len(keys), right / len(keys)
+    assert len(wrong) <= 0.05 * len(ORDINARY), wrong
+    kept = {r.doc_id: r.text for r in s.redact(docs, ratio).collect()}
+    assert sum(kept[k] == t for k, t in enumerate(texts) if k >= len(keys)) >= 0.95 * len(ORDINARY)
+    assert sum(keys[k] not in kept[k] for k in range(len(keys))) >= 0.95 * len(keys)
+
+
+def test_no_clean_document_gets_a_span(spark, ratio):
+    rows = s.scan(spark.read.parquet(f"{SF}/documents.parquet"), ratio).collect()
+    assert sum(r.n_random > 0 for r in rows) <= 0.005 * len(rows)
+
+
+def test_unseen_pairs_are_no_evidence():
+    """Without any text the models judge by classes alone; words stay ordinary."""
+    import numpy as np
+
+    nothing = np.zeros((s.SIZE, s.SIZE))
+    ratio = np.log(s.random_model(nothing)) - np.log(s.ordinary_model(nothing))
+    assert np.isfinite(ratio[1:, 1:]).all() and (abs(s.random_model(nothing)[:, 1:].sum(axis=1) - 1) < 1e-9).all()
+    upper, lower = s.CLASS == s.UPPER, s.CLASS == s.LOWER
+    assert (ratio[lower][:, lower] < 0).all() and (ratio[upper][:, upper] < 0).all()
+
+
 def test_odd_rows(spark):
     rows = s.scan(frame(spark, ODD)).collect()
     assert len(rows) == len(ODD)
