@@ -149,20 +149,34 @@ def pair_sources(
     """
     if how not in _JOINS:
         raise ValueError(f"how must be one of {sorted(_JOINS)}, got {how!r}")
-    on = F.expr(f"{KEY} = {KEY + SUFFIX}")
     if not one_to_one:
-        return first.join(second, on, how)
+        return _key_join(first, second, how)
     if unique_keys is None:
         unique_keys = repeated_keys(first, second).isEmpty()
     if unique_keys:
-        return first.join(second, on, how)
+        return _key_join(first, second, how)
     repeated = stored(repeated_keys(first, second).withColumnRenamed(KEY, "_rep"), "repeated-keys")
     sides = []
     for df, key in ((first, KEY), (second, KEY + SUFFIX)):
         own = F.col(key) == F.col("_rep")
         sides.append((df.join(repeated, own, "left_anti"), df.join(repeated, own, "left_semi")))
     (left, left_rep), (right, right_rep) = sides
-    return left.join(right, on, how).unionByName(_pair_repeated(left_rep, right_rep, how, tol or Tolerances()))
+    return _key_join(left, right, how).unionByName(_pair_repeated(left_rep, right_rep, how, tol or Tolerances()))
+
+
+def _key_join(first: DataFrame, second: DataFrame, how: str) -> DataFrame:
+    """The plain key join; rows without a key, which pair with nothing, stay out
+    of it where they are kept (all of them would be dealt to one task)."""
+    on = F.expr(f"{KEY} = {KEY + SUFFIX}")
+    if how == "inner":
+        return first.join(second, on, how)
+    none = [[f"CAST(NULL AS {t.dataType.simpleString()}) AS {t.name}" for t in df.schema.fields] for df in (first, second)]
+    out = first.filter(f"{KEY} IS NOT NULL").join(second.filter(f"{KEY + SUFFIX} IS NOT NULL"), on, how)
+    if how != "right":
+        out = out.unionByName(first.filter(f"{KEY} IS NULL").selectExpr("*", *none[1]))
+    if how != "left":
+        out = out.unionByName(second.filter(f"{KEY + SUFFIX} IS NULL").selectExpr(*none[0], "*"))
+    return out
 
 
 def _both_sides() -> list[str]:
@@ -242,17 +256,52 @@ def _pair_repeated(first: DataFrame, second: DataFrame, how: str, tol: Tolerance
     return paired.unionByName(_number_pairs(nth, "_r + _before").filter(keep).selectExpr(*_both_sides()))
 
 
-def full_outer_spread(first: DataFrame, second: DataFrame) -> DataFrame:
-    """The plain full outer key join as an inner join and what either side
-    has alone: unlike a full outer join, each of these can be split where a key
-    holds many rows, and rows with a NULL key never travel to one task."""
-    on = F.expr(f"{KEY} = {KEY + SUFFIX}")
-    none = [[f"CAST(NULL AS {t.dataType.simpleString()}) AS {t.name}" for t in df.schema.fields] for df in (first, second)]
-    return (
-        first.join(second, on)
-        .unionByName(first.join(second, on, "left_anti").selectExpr("*", *none[1]))
-        .unionByName(second.join(first, on, "left_anti").selectExpr(*none[0], "*"))
-    )
+# Rows of one key that one task should join at most, keys looked at for it, and tasks
+# that rows without a key are dealt to; no result depends on them.
+HEAVY_ROWS, HEAVY_KEYS, NULL_SALTS = 1_000_000, 1000, 64
+
+
+def heavy_keys(first: DataFrame, second: DataFrame) -> list[tuple[int, int, int]]:
+    """(key, rows in the first source, rows in the second) of keys that hold
+    ``HEAVY_ROWS`` or more on a side. A heavy-hitter sketch of each side
+    (merged from all tasks) names them, then exactly those are counted. A key beyond
+    ``HEAVY_KEYS`` others as heavy is joined as any other."""
+    sides = [df.select(F.col(c).alias(KEY)).filter(f"{KEY} IS NOT NULL") for df, c in ((first, KEY), (second, KEY + SUFFIX))]
+    found: set[int] = set()
+    for keys in sides:
+        top = keys.agg(F.expr(f"approx_top_k({KEY}, {HEAVY_KEYS}, {10 * HEAVY_KEYS}) AS top")).first().top
+        found |= {t["item"] for t in top or () if t["count"] >= HEAVY_ROWS}
+    if not found:
+        return []
+    counts = [{r[KEY]: r["count"] for r in keys.filter(F.col(KEY).isin(*found)).groupBy(KEY).count().collect()} for keys in sides]
+    pairs = [(k, *(c.get(k, 0) for c in counts)) for k in sorted(found)]
+    return [p for p in pairs if max(p[1:]) >= HEAVY_ROWS]
+
+
+def full_outer_spread(first: DataFrame, second: DataFrame, heavy: list[tuple[int, int, int]] | None = None) -> DataFrame:
+    """The plain full outer key join in one join, whose heavy keys and rows
+    without a key are dealt to many tasks.
+
+    The rows of a heavy key are dealt over salts on the side that has more of
+    them and repeated for each salt on the other. A repeated row that meets none of
+    the dealt rows under a salt meets some under another, as the key was counted on
+    both sides; it is dropped there, so the rows are those of the plain join."""
+    heavy = heavy_keys(first, second) if heavy is None else heavy
+    spark = first.sparkSession
+    rows = [(k, -(-max(n, m) // HEAVY_ROWS), n >= m, n > 0 and m > 0) for k, n, m in heavy]
+    # At most 2 * HEAVY_KEYS rows, whatever the sources.
+    plan = F.broadcast(spark.createDataFrame(rows, "_heavy long, _salts long, _first_dealt boolean, _both boolean"))
+    sides = []
+    for df, key, dealt, mark in ((first, KEY, "_first_dealt", "_1"), (second, KEY + SUFFIX, "NOT _first_dealt", "_2")):
+        salts = (
+            f"CASE WHEN {key} IS NULL THEN array(pmod(monotonically_increasing_id(), {NULL_SALTS}L)) WHEN _salts IS NULL THEN array(0L)"
+            f" WHEN {dealt} THEN array(pmod(monotonically_increasing_id(), _salts)) ELSE sequence(0L, _salts - 1) END"
+        )
+        known = df.join(plan, F.col(key) == F.col("_heavy"), "left").selectExpr(*df.columns, f"{salts} AS _all", f"coalesce(_both AND NOT ({dealt}), false) AS _repeated{mark}")
+        sides.append(known.selectExpr(*df.columns, f"_repeated{mark}", f"explode(_all) AS _salt{mark}"))
+    met = sides[0].join(sides[1], F.expr(f"{KEY} = {KEY + SUFFIX} AND _salt_1 = _salt_2"), "full")
+    real = "NOT (coalesce(_repeated_1, false) AND _salt_2 IS NULL) AND NOT (coalesce(_repeated_2, false) AND _salt_1 IS NULL)"
+    return met.filter(real).select(*first.columns, *second.columns)
 
 
 def status_sql(tol: Tolerances) -> str:

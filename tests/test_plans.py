@@ -3,7 +3,10 @@
 import contextlib
 import re
 
+from pyspark.sql import functions as F
+
 from conftest import SF_SMALL
+from ledgerlens.operators import reconcile as rec
 from ledgerlens.plans import inspect, primitives  # noqa: F401  (registers the single-operator queries)
 from ledgerlens.plans.registry import QUERIES
 
@@ -42,10 +45,12 @@ def test_first_and_latest_rows_hash_aggregate(spark):
         assert "HashAggregate" in text and "SortAggregate" not in text, name
 
 
-def test_full_outer_is_spread(spark):
+def test_full_outer_is_one_salted_join(spark):
     with no_broadcast(spark):
-        text = inspect.plan_text(q(spark, "j3_full_outer"), "simple")
-    assert "FullOuter" not in text and "LeftAnti" in text
+        df = q(spark, "j3_full_outer")
+        text = inspect.plan_text(df, "simple")
+        assert len(re.findall(r"SortMergeJoin \[\w+#\d+L, _salt_1#\d+L\], \[\w+#\d+L, _salt_2#\d+L\], FullOuter", text)) == 1
+        assert "LeftAnti" not in text and len(re.findall("FileScan parquet", text)) == 2
 
 
 def test_ranks_are_split_within_a_user(spark):
@@ -109,3 +114,49 @@ def test_first_trade_is_reduced_per_order_before_the_join(spark):
     below = "\n".join(lines[join:])
     # the line items reach the join as one row per order (partial + final min)
     assert "partial_min(l_shipdate" in below and "functions=[min(l_shipdate" in below
+
+
+def _hot_sources(spark):
+    cols = "transaction_uid long, login long, counter_login long, transaction_type long, epoch_seconds long, comment string, amount decimal(18,4)"
+
+    def rows(side, hot, lone):
+        some = [(k, side, None, 1, 0, "c", None) for k in range(50)] + [(None, side, None, 1, k, "n", None) for k in range(40)]
+        some += [(-1, side, None, 1, k % 3, "hot", None) for k in range(hot)] + [(-2, side, None, 1, k, "other", None) for k in range(9 * side)]
+        return spark.createDataFrame(some + [(-9 - side, side, None, 1, 0, "one side", None)] * lone, cols)
+
+    left, right = rows(1, 400, 300), rows(2, 7, 200)
+    first = rec.load_ledger(left.selectExpr("*", "CAST(timestamp_seconds(epoch_seconds) AS TIMESTAMP_NTZ) AS transaction_ts"))
+    return first, rec.load_second_source(right)
+
+
+def test_full_outer_join_scans_once_and_spreads_heavy_keys(spark, tmp_dir, monkeypatch):
+    from collections import Counter
+
+    monkeypatch.setattr(rec, "HEAVY_ROWS", 20)
+    for k, df in enumerate(_hot_sources(spark)):
+        df.write.parquet(f"{tmp_dir}/{k}")
+    first, second = (spark.read.parquet(f"{tmp_dir}/{k}") for k in range(2))
+    assert rec.heavy_keys(first, second) == [(-11, 0, 200), (-10, 300, 0), (-1, 400, 7)]
+    joined = rec.full_outer_spread(first, second)
+    assert inspect.count(joined, "FileScan parquet") == 2
+    plain = first.join(second, F.expr("transaction_uid = transaction_uid_2"), "full")
+    assert Counter(map(tuple, joined.collect())) == Counter(map(tuple, plain.collect()))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for kind in ("transaction_uid = -1", "transaction_uid IS NULL AND transaction_uid_2 IS NULL", "transaction_uid = -10", "transaction_uid_2 = -11"):
+            sizes = [r["count"] for r in joined.filter(kind).groupBy(F.spark_partition_id()).count().collect()]
+            assert len(sizes) > 3 and max(sizes) <= 5 * sorted(sizes)[len(sizes) // 2], (kind, sizes)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_full_outer_join_without_heavy_keys(spark):
+    from collections import Counter
+
+    first, second = _hot_sources(spark)
+    assert rec.heavy_keys(first, second) == []
+    plain = first.join(second, F.expr("transaction_uid = transaction_uid_2"), "full")
+    for other in (rec.full_outer_spread(first, second), rec.pair_sources(first, second, one_to_one=False)):
+        assert Counter(map(tuple, other.collect())) == Counter(map(tuple, plain.collect()))
+    empty = rec.full_outer_spread(first.filter("false"), second.filter("false"))
+    assert empty.count() == 0
