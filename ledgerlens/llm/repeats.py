@@ -39,7 +39,8 @@ WIDTH = 200
 GRAM = 32
 CHUNK = 1 << 18  # window starts handled at a time
 GATHERED = 4000  # contexts of one anchor that are gathered in a task; beyond, step 4
-BUCKET_BYTES = 1_500_000  # context bytes aimed at for one suffix array
+BUCKET_BYTES = 500_000  # context bytes aimed at for one suffix array
+
 
 def sliding_least(values: np.ndarray, size: int) -> np.ndarray:
     """Least value of every ``size`` neighbours, in linear time."""
@@ -95,7 +96,7 @@ def suffix_array(data: np.ndarray, rest: np.ndarray) -> tuple[np.ndarray, np.nda
     new = np.r_[True, np.diff(key[sa]) != 0]
     rank = np.empty(n, np.int64)
     rank[sa] = np.maximum.accumulate(np.where(new, at, 0)) + 1  # 0 stands for the end
-    levels, size = [(7, rank.copy())], 7
+    levels, size = [(7, rank.astype(np.int32))], 7  # a bucket is far below 2^31 bytes
     while size < int(rest.max()):
         shared = np.flatnonzero(~new | np.r_[~new[1:], False])
         if not len(shared):
@@ -114,12 +115,12 @@ def suffix_array(data: np.ndarray, rest: np.ndarray) -> tuple[np.ndarray, np.nda
         changed = rank.copy()
         changed[sa] = lead + 1
         if (changed == rank).all() and (first == np.r_[True, np.diff(rank[sa[shared]]) != 0]).all():
-            levels.append((size * 2, changed))
+            levels.append((size * 2, changed.astype(np.int32)))
             size *= 2
             continue
         rank = changed
         size *= 2
-        levels.append((size, rank.copy()))
+        levels.append((size, rank.astype(np.int32)))
     lcp = np.zeros(n, np.int64)
     a, b = sa[1:], sa[:-1]
     most = np.minimum(rest[a], rest[b])
@@ -360,14 +361,15 @@ def remove(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for text, spans in zip(batch.column("text").to_pylist(), batch.column("_spans").to_pylist(), strict=True):
-                out.append(_kept(text.encode(), spans)[0].decode("utf-8", "ignore") if spans else text)
-            columns = {n: batch.column(n) for n in names}
-            columns["text"] = pa.array(out, pa.string())
-            if "n_chars" in columns:
-                columns["n_chars"] = pa.array([None if t is None else len(t) for t in out], pa.int64())
-            yield pa.RecordBatch.from_pydict(columns)
+            for lo, hi in text_slices(batch):
+                part, out = batch.slice(lo, hi - lo), []
+                for text, spans in zip(part.column("text").to_pylist(), part.column("_spans").to_pylist(), strict=True):
+                    out.append(_kept(text.encode(), spans)[0].decode("utf-8", "ignore") if spans else text)
+                columns = {n: part.column(n) for n in names}
+                columns["text"] = pa.array(out, pa.string())
+                if "n_chars" in columns:
+                    columns["n_chars"] = pa.array([None if t is None else len(t) for t in out], pa.int64())
+                yield pa.RecordBatch.from_pydict(columns)
 
     if "n_chars" in names:
         found = found.withColumn("n_chars", F.col("n_chars").cast("long"))
