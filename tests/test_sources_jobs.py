@@ -197,6 +197,28 @@ def statuses(paired):
     return {r.status: r.pairs for r in rec.reconciliation_summary(rec.reconciliation_report(paired, Tolerances())).collect()}
 
 
+def test_lines_that_do_not_parse_are_kept_apart(spark, tmp_dir):
+    import os
+
+    src = v.second_source(spark, SF_SMALL)
+    files.write_source_csv(src, f"{tmp_dir}/csv")
+    bad = ["not,a,transaction", "x1,2,3,4,5,pay,6.0", "1,2,3,4,five,pay,6.0", "1,2,3,4,5,pay,6.0,7,extra"]
+    with open(f"{tmp_dir}/csv/part-extra.csv", "w") as f:
+        f.write("\n".join([*bad, "", "77,2,3,4,5,late,6.0"]) + "\n")
+    for _ in range(2):  # a rerun replaces both tables
+        out = files.load_source_csv(spark, f"{tmp_dir}/csv", f"{tmp_dir}/loaded")
+        assert (out.loaded, out.rejected) == (src.count() + 1, len(bad))
+    lines = spark.read.parquet(out.quarantine).collect()
+    assert sorted(r.line for r in lines) == sorted(bad) and all(r.file.endswith("part-extra.csv") for r in lines)
+    rows = spark.read.parquet(out.rows)
+    good = files.read_source_csv(spark, f"{tmp_dir}/csv/part-0*")
+    assert rows.columns == good.columns and rows.filter("transaction_uid <> 77").exceptAll(good).isEmpty() and rows.count() == good.count() + 1
+    assert rows.filter("comment IS NULL").isEmpty()
+    os.makedirs(f"{tmp_dir}/none")
+    empty = files.load_source_csv(spark, f"{tmp_dir}/none", f"{tmp_dir}/nothing")
+    assert (empty.loaded, empty.rejected) == (0, 0)
+
+
 @pytest.mark.parametrize("chunk, stretch", [(4, 10), (100_000, 86_400), (1, 10**9)])
 def test_no_constant_changes_the_pairs(spark, monkeypatch, chunk, stretch):
     """600 rows of 200 keys, each of which differs from exactly one partner in
