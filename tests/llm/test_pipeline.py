@@ -68,6 +68,6 @@ def test_everything_is_packed(stages):
     assert check_packing(rows, 4096) <= -(-sum(r.length for r in rows) // 4096) + 1
 
 
-def test_entry_lists_the_eleven_queries():
+def test_entry_lists_the_fourteen_queries():
     names = set(entry.queries())
-    assert "pipeline" in names and {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{k}" for k in range(1, 11)}
+    assert "pipeline" in names and {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{k}" for k in range(1, 14)}
