@@ -20,6 +20,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import zstandard
+from pyarrow.fs import FileSelector
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -171,6 +172,16 @@ def probabilities(grams: DataFrame, model: list[tuple[DataFrame, list[float]]])
     return below
 
 
+def pressed(head: np.ndarray, gram: np.ndarray) -> bytes:
+    """Sorted n-grams, compressed: neighbours share most of their bytes."""
+    return zstandard.ZstdCompressor(level=9).compress(head.astype("<i8").tobytes() + gram.astype("<i8").tobytes())
+
+
+def unpressed(raw: bytes) -> np.ndarray:
+    """The rows head and gram that ``pressed`` was given."""
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), "<i8").reshape(2, -1)
+
+
 HELD = "part long, doc_ids array<string>, langs array<string>, sizes array<long>, body binary, grams binary"
 HELD_ARROW = pa.schema(
     [("part", pa.int64()), ("doc_ids", pa.list_(pa.string())), ("langs", pa.list_(pa.string())), ("sizes", pa.list_(pa.int64())),
@@ -180,8 +191,8 @@ HELD_ARROW = pa.schema(
 
 def held(docs: DataFrame) -> DataFrame:
     """The documents as compressed slices, under the number of the task that
-    read them, and one row a task with the distinct n-grams of its texts (heads,
-    then grams, in this order, compressed)."""
+    read them, and one row a task with the distinct n-grams of its texts, sorted
+    (``pressed``)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seen, press = TaskContext.get().partitionId(), [counted([])], zstandard.ZstdCompressor(level=9)
@@ -197,8 +208,7 @@ def held(docs: DataFrame) -> DataFrame:
                     [{"part": part, "doc_ids": own.column("doc_id").to_pylist(), "langs": own.column("lang").to_pylist(), "sizes": [len(r) for r in raw],
                       "body": press.compress(b"".join(raw)), "grams": None}], schema=HELD_ARROW)
         own = added(seen).sort_by([("head", "ascending"), ("gram", "ascending")])
-        raw = b"".join(own.column(c).to_numpy().tobytes() for c in ("head", "gram"))
-        yield pa.RecordBatch.from_pylist([{"part": part, "grams": press.compress(raw)}], schema=HELD_ARROW)
+        yield pa.RecordBatch.from_pylist([{"part": part, "grams": pressed(*(own.column(c).to_numpy() for c in ("head", "gram")))}], schema=HELD_ARROW)
 
     return docs.selectExpr("CAST(doc_id AS string) AS doc_id", "lang", "text").mapInArrow(run, HELD)
 
@@ -208,14 +218,14 @@ def perplexities(docs: DataFrame, model: list[tuple[DataFrame, list[float]]]) ->
     lang); an empty text has perplexity null.
 
     Texts are held in slices where they were read, and stay there: the
-    probabilities of a part's own n-grams are gathered into one file of the shared
-    folder, which the tasks that score its slices read."""
+    sorted n-grams of a part and their probabilities are gathered, compressed, into
+    one file of the shared folder, which the tasks that score its slices read."""
     texts = written(held(docs), "ngram-texts")
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, raw in zip(batch.column("part").to_pylist(), batch.column("grams").to_pylist(), strict=True):
-                head, gram = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.int64).reshape(2, -1)
+                head, gram = unpressed(raw)
                 for lo in range(0, len(gram), 200_000):
                     some = [pa.array(x[lo : lo + 200_000]) for x in (head, gram)]
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some[0]), part)), *some], names=["part", "head", "gram"])
@@ -225,22 +235,21 @@ def perplexities(docs: DataFrame, model: list[tuple[DataFrame, list[float]]]) ->
     folder = as_uri(scratch_path(docs.sparkSession, "ngram-parts"))
 
     def gather(pdf: pd.DataFrame) -> pd.DataFrame:
-        part = int(pdf["part"].iloc[0])
-        # Heads and grams by number: a pair of numbers is the key of an n-gram.
-        sides = [np.unique(pdf[c].to_numpy().view(np.uint64), return_inverse=True) for c in ("head", "gram")]
-        key = (sides[0][1].astype(np.int64) << 32) | sides[1][1].astype(np.int64)
-        order = np.argsort(key)
+        part, (head, gram) = int(pdf["part"].iloc[0]), (pdf[c].to_numpy() for c in ("head", "gram"))
+        order = np.lexsort((gram, head))
+        grams, log = pressed(head[order], gram[order]), np.log(pdf["p"].to_numpy()[order]).astype("<f8")
         store, base = open_fs(folder)
-        store.create_dir(base, recursive=True)
-        # Named after the attempt, then moved: repeated tasks leave the same file.
-        name = f"{base}/{part}-{uuid.uuid4().hex[:12]}"
-        with store.open_output_stream(name) as out:
-            out.write(np.array([*(len(x) for x, _ in sides), len(key)], "<i8").tobytes())
-            for own in (*(x for x, _ in sides), key[order]):
-                out.write(own.astype("<i8").tobytes())
-            out.write(np.log(pdf["p"].to_numpy()[order]).astype("<f8").tobytes())
-        store.move(name, f"{base}/{part}")
-        return pd.DataFrame({"part": [part], "n": [len(pdf)]})
+        # Every attempt leaves a file of its own, all with the same content, which
+        # gets its place when it is whole.
+        name = uuid.uuid4().hex[:12]
+        for place in ("writing", str(part)):
+            store.create_dir(f"{base}/{place}", recursive=True)
+        with store.open_output_stream(f"{base}/writing/{part}-{name}") as out:
+            out.write(np.array([len(grams)], "<i8").tobytes())
+            out.write(grams)
+            out.write(zstandard.ZstdCompressor(level=3).compress(log.tobytes()))
+        store.move(f"{base}/writing/{part}-{name}", f"{base}/{part}/{name}")
+        return pd.DataFrame({"part": [part], "n": [len(log)]})
 
     by_part.join(known, ["head", "gram"]).groupBy("part").applyInPandas(gather, "part long, n long").write.format("noop").mode("overwrite").save()
 
@@ -251,11 +260,15 @@ def perplexities(docs: DataFrame, model: list[tuple[DataFrame, list[float]]]) ->
             for row in batch.to_pylist():
                 if row["part"] != have and sum(row["sizes"]):
                     store, base = open_fs(folder)
-                    with store.open_input_file(f"{base}/{row['part']}") as file:
-                        raw = file.read()
-                    a, b, n = np.frombuffer(raw, "<i8", 3).tolist()
-                    heads, grams = np.frombuffer(raw, "<u8", a, 24), np.frombuffer(raw, "<u8", b, 24 + 8 * a)
-                    keys, log, have = np.frombuffer(raw, "<i8", n, 24 + 8 * (a + b)), np.frombuffer(raw, "<f8", n, 24 + 8 * (a + b + n)), row["part"]
+                    file = store.get_file_info(FileSelector(f"{base}/{row['part']}"))[0]
+                    with store.open_input_file(file.path) as stream:
+                        raw = stream.read()
+                    size = np.frombuffer(raw, "<i8", 1)[0]
+                    # Heads and grams by number: a pair of numbers is the key of an
+                    # n-gram, and keys come in the order of the n-grams.
+                    (heads, high), (grams, low) = (np.unique(x.view(np.uint64), return_inverse=True) for x in unpressed(raw[8 : 8 + size]))
+                    keys, log = (high.astype(np.int64) << 32) | low.astype(np.int64), np.frombuffer(press.decompress(raw[8 + size :]), "<f8")
+                    have = row["part"]
                 body, ends = press.decompress(row["body"]), np.cumsum([0, *row["sizes"]])
                 (head, gram), of, bounds = codes([body[a:b].decode() for a, b in zip(ends[:-1], ends[1:], strict=True)], places=True)
                 key = (np.searchsorted(heads, head) << 32) | np.searchsorted(grams, gram)
