@@ -2,7 +2,7 @@
 
 Each entry takes ``(spark, sf_dir)`` and returns a DataFrame over the whole
 tables: lazy, but for queries that pair sources (one small job finds out
-whether keys repeat) and those of the file layouts (s3, s6 - s8), which write
+whether keys repeat) and those of the file layouts (s3, s5 - s8; w1, w2), which write
 their tables first. Parameters are fixed here and mirrored by ``plans.oracle``.
 """
 
@@ -19,8 +19,9 @@ from ledgerlens.operators import aggregates as agg
 from ledgerlens.operators import checks, deposits
 from ledgerlens.operators import reconcile as rec
 from ledgerlens.plans import oracle as o
+from ledgerlens.schemas import MONEY
 from ledgerlens.session import apply_plan_settings, apply_required, scratch_path
-from ledgerlens.sources import files, sinks
+from ledgerlens.sources import append, files, sinks
 from ledgerlens.sources import views as v
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -298,6 +299,20 @@ def s3(spark, sf):
     return rec.load_second_source(files.read_source_csv(spark, path))
 
 
+@query("s5_guarded_append")
+def s5(spark, sf):
+    """The ledger delivered twice: its rows until a day, then all of it with some
+    amounts restated. Rows of the target, and the restated ones that clash."""
+    whole = v.ledger(spark, sf).withColumn("transaction_date", F.expr("to_date(transaction_ts)"))
+    early = whole.filter(f"transaction_ts < TIMESTAMP_NTZ'{o.DELIVERY_TS}'")
+    restated = whole.withColumn("amount", F.expr(f"CAST(CASE WHEN transaction_uid % {o.RESTATED} = 0 THEN amount + 1 ELSE amount END AS {MONEY.simpleString()})"))
+    path = scratch_path(spark, "s5-ledger")
+    append.guarded_append(early, path, "transaction_date", ["transaction_uid"])
+    done = append.guarded_append(restated, path, "transaction_date", ["transaction_uid"])
+    stored = append.read_appended(spark, path, whole.schema).withColumn("state", F.lit("stored"))
+    return stored.unionByName(spark.read.schema(whole.schema).parquet(done.clashes).withColumn("state", F.lit("clash")))
+
+
 @query("s6_partitioned_clean")
 def s6(spark, sf):
     """Clean rows written partitioned by date, read back for a date range."""
