@@ -56,7 +56,7 @@ def test_full_outer_is_one_salted_join(spark):
 def test_ranks_are_split_within_a_user(spark):
     for name in ("w1_row_number", "w2_rank"):
         text = inspect.plan_text(q(spark, name), "simple")
-        assert re.search(r"windowspecdefinition\(uid#\d+L, _month#\d+", text), name
+        assert re.search(r"windowspecdefinition\(uid#\d+L, _range#\d+", text), name
 
 
 def test_first_n_uses_partial_group_limit(spark):
