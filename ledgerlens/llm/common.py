@@ -17,6 +17,8 @@ from ledgerlens.session import scratch_path
 SLICE_BYTES = 2 << 20
 # Bytes of an Arrow batch on its way to a worker: whole texts may be long.
 BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
+# Shuffle files go when the query that made them ends: ``written`` tables replace them.
+SHUFFLE_SETTING = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,11 +32,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> None:
-    """Bound the batches that Python workers get, unless the deployer has, and
-    let local workers import this package wherever the session was started
+    """Bound the batches that Python workers get and free shuffle files early,
+    unless the deployer has set this otherwise, and let local workers import this package wherever the session was started
     from; on a cluster the package is installed or sent by --py-files."""
     if spark.conf.get(BATCH_SETTING, None) is None:
         spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+    if spark.conf.get(SHUFFLE_SETTING, None) is None:
+        spark.conf.set(SHUFFLE_SETTING, "true")
     sc = spark.sparkContext
     if sc.master.startswith("local"):
         root = str(Path(__file__).resolve().parents[2])
