@@ -9,8 +9,8 @@ Two texts link when the Jaccard similarity of their shingle sets is at least
    linked sets share one of the first n - ceil(P n) + 1. Those go to buckets by
    hash, as packed arrays, each node once for each bucket it has shingles in.
 3. In a bucket, nodes that share such a shingle meet. Up to ``LEAF`` of them
-   are paired at once, if sizes and token bitmaps allow a link (as two leaves of
-   step 4 would be). Larger groups are joined up with those they overlap, over
+   are paired at once, if sizes, the places of the shared shingle and token bitmaps
+   allow a link (as two leaves of step 4 would be). Larger groups are joined up with those they overlap, over
    all buckets, to families. Shingles that very many nodes may hold are dealt by
    node, and their parts are joined up by a node that stands for the shingle.
 4. Each block is a signature tree: a node holds the OR of the token bitmaps
@@ -66,10 +66,6 @@ def linked(shared, n, m, percent: int = PERCENT):
     return 100 * shared >= percent * (n + m - shared)
 
 
-def sizes_allow(n, m, percent: int = PERCENT):
-    return 100 * np.minimum(n, m) >= percent * np.maximum(n, m)
-
-
 def signature(shingles: np.ndarray, density: int = 1) -> bytes:
     """Token bitmap: a power of two of bits, 64 at least and from one to two
     times ``density`` for each shingle."""
@@ -219,67 +215,88 @@ def prefix(shingles: np.ndarray, late: np.ndarray, percent: int = PERCENT) -> np
     return shingles[:keep]
 
 
-ENTRIES = "doc_id long, copy long, node binary, n long, marks binary, bucket long, tokens binary, owners binary, nodes binary"
+MEMBERS = "doc_id long, copy long, node binary, n long, marks binary"
+ENTRIES = "bucket long, tokens binary, places binary, owners binary, nodes binary"
+LAST_PLACE = (1 << 16) - 1  # places from here on count as this one, which drops fewer pairs
+
+
+def fingerprints(sets: list[np.ndarray]) -> list[bytes | None]:
+    """The node of each shingle set (none for an empty set)."""
+    return [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
+
+
+def members(docs: DataFrame) -> DataFrame:
+    """A row for each document: doc_id, copy, node, n (size of its set), marks."""
+    kinds = pa.schema([("doc_id", pa.int64()), ("copy", pa.int64()), ("node", pa.binary()), ("n", pa.int64()), ("marks", pa.binary())])
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi in text_slices(batch, limit=SLICE):
+                part = batch.slice(lo, hi - lo)
+                sets = shingle_sets(*flat_bytes(part.column("text")))
+                yield pa.RecordBatch.from_pydict(
+                    {"doc_id": part.column("doc_id"), "copy": part.column("copy"), "node": fingerprints(sets), "n": [len(s) for s in sets],
+                     "marks": [signature(s) if len(s) else None for s in sets]}, schema=kinds)
+
+    return docs.select("doc_id", "copy", "text").mapInArrow(make, MEMBERS)
 
 
 def entries(docs: DataFrame, late: np.ndarray, percent: int = PERCENT, hot: np.ndarray | None = None) -> DataFrame:
-    """A row for each document (doc_id, copy, node, n, marks), and for each slice of
-    texts and bucket a row with its prefix shingles (tokens, owners: numbers in
-    nodes, and nodes: fingerprint and size of 24 bytes each). Nodes of ``hot``
-    shingles are dealt to further buckets, from the number of partitions on."""
+    """For each slice of texts and bucket a row with its prefix shingles (tokens,
+    their places in the order of their sets, owners: numbers in nodes, and nodes:
+    fingerprint and size of 24 bytes each).
+    Nodes of ``hot`` shingles are dealt to further buckets, from the number of
+    partitions on. The rows go straight to the tasks of their buckets: a table
+    of them would hold as much again on disk."""
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    kinds = pa.schema([("doc_id", pa.int64()), ("copy", pa.int64()), ("node", pa.binary()), ("n", pa.int64()), ("marks", pa.binary()), ("bucket", pa.int64()),
-                       ("tokens", pa.binary()), ("owners", pa.binary()), ("nodes", pa.binary())])
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shared, dealt = late_list.value
         for batch in batches:
             for lo, hi in text_slices(batch, limit=SLICE):
-                part = batch.slice(lo, hi - lo)
-                sets = shingle_sets(*flat_bytes(part.column("text")))
-                nodes = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
+                sets = shingle_sets(*flat_bytes(batch.column("text").slice(lo, hi - lo)))
+                nodes = fingerprints(sets)
                 sizes = [len(s) for s in sets]
-                empty = [None] * len(sets)
-                yield pa.RecordBatch.from_pydict(
-                    {"doc_id": part.column("doc_id"), "copy": part.column("copy"), "node": nodes, "n": sizes, "marks": [signature(s) if len(s) else None for s in sets],
-                     "bucket": empty, "tokens": empty, "owners": empty, "nodes": empty}, schema=kinds)
                 first = {node: k for k, node in reversed(list(enumerate(nodes))) if node}
                 rows = sorted(first.values())
                 if not rows:
                     continue
                 heads = [prefix(sets[k], shared, percent) for k in rows]
                 token = np.concatenate(heads)
+                place = np.concatenate([np.minimum(np.arange(len(h)), LAST_PLACE).astype("<u2") for h in heads])
                 owner = np.repeat(np.arange(len(rows), dtype=np.uint32), [len(h) for h in heads])
                 bucket = (token >> np.uint64(8)) % np.uint64(parts)
                 salt = np.array([nodes[k][0] % HOT_PARTS for k in rows], np.uint64)[owner]
                 bucket += np.where(np.isin(token, dealt), np.uint64(parts) * (salt + np.uint64(1)), np.uint64(0))
                 order = np.argsort(bucket, kind="stable")
-                token, owner = token[order], owner[order]
+                token, owner, place = token[order], owner[order], place[order]
                 some, ends = np.unique(bucket[order], return_index=True)
                 ends = np.append(ends, len(order))
                 ids = np.frombuffer(b"".join(nodes[k] for k in rows), np.uint8).reshape(-1, 16)
                 ids = np.hstack([ids, np.array([sizes[k] for k in rows], "<u8").view(np.uint8).reshape(-1, 8)])
-                out = {"bucket": some.tolist(), "tokens": [], "owners": [], "nodes": []}
+                out = {"bucket": some.tolist(), "tokens": [], "places": [], "owners": [], "nodes": []}
                 for k in range(len(some)):
                     own, of = np.unique(owner[ends[k] : ends[k + 1]], return_inverse=True)
                     out["tokens"].append(token[ends[k] : ends[k + 1]].tobytes())
+                    out["places"].append(place[ends[k] : ends[k + 1]].tobytes())
                     out["owners"].append(of.astype("<u4").tobytes())
                     out["nodes"].append(ids[own].tobytes())
-                empty = [None] * len(some)
-                yield pa.RecordBatch.from_pydict({"doc_id": empty, "copy": empty, "node": empty, "n": empty, "marks": empty, **out}, schema=kinds)
+                yield pa.RecordBatch.from_pydict(out, schema=kinds)
 
+    kinds = pa.schema([("bucket", pa.int64()), ("tokens", pa.binary()), ("places", pa.binary()), ("owners", pa.binary()), ("nodes", pa.binary())])
     # Bounded by FREQUENT.
     late_list = docs.sparkSession.sparkContext.broadcast((late, np.zeros(0, np.uint64) if hot is None else hot))
-    return docs.select("doc_id", "copy", "text").mapInArrow(make, ENTRIES)
+    return docs.select("text").mapInArrow(make, ENTRIES)
 
 
 def meet(pdf: pd.DataFrame, percent: int = PERCENT, dealt: bool = False) -> pd.DataFrame:
     """Nodes of a bucket that share a prefix shingle: pairs (a, b) of small
-    groups whose sizes allow a link, and for large groups edges (a, b) that
+    groups whose sizes and places allow a link (the first shingle that two sets
+    share leaves them no more to share than what follows it in each), and for large groups edges (a, b) that
     connect all groups with a node in common (column large). In a bucket of
     shingles whose nodes are ``dealt``, all groups are large and have an edge to
     their shingle, a name of 8 bytes."""
-    token = np.frombuffer(b"".join(pdf["tokens"]), np.uint64)
+    token, place = np.frombuffer(b"".join(pdf["tokens"]), np.uint64), np.frombuffer(b"".join(pdf["places"]), "<u2")
     nodes = np.frombuffer(b"".join(pdf["nodes"]), np.uint8).reshape(-1, 24)
     counts = np.array([len(x) // 24 for x in pdf["nodes"]])
     base = np.cumsum(counts) - counts
@@ -294,9 +311,10 @@ def meet(pdf: pd.DataFrame, percent: int = PERCENT, dealt: bool = False) -> pd.D
     names, size = whole[order][new], np.ascontiguousarray(nodes[:, 16:]).view("<u8").ravel().astype(np.int64)[order][new]
     owner = number[owner]
     order = np.lexsort((owner, token))
-    token, owner = token[order], owner[order]
+    token, owner, place = token[order], owner[order], place[order]
     once = np.r_[True, (token[1:] != token[:-1]) | (owner[1:] != owner[:-1])]
     token, owner = token[once], owner[once]
+    most = size[owner] - place[once]  # shingles of the owner's set from this one on
     start = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
     length = np.diff(np.r_[start, len(token)])
     pairs = [np.zeros((0, 2), np.int64)]
@@ -306,9 +324,10 @@ def meet(pdf: pd.DataFrame, percent: int = PERCENT, dealt: bool = False) -> pd.D
         x, y = np.triu_indices(m, 1)
         step = max(1, 2_000_000 // len(x))
         for at in (every[k : k + step] for k in range(0, len(every), step)):
-            group = owner[at[:, None] + np.arange(m)]
-            both = np.stack([group[:, x].ravel(), group[:, y].ravel()], axis=1)
-            pairs.append(np.unique(both[sizes_allow(size[both[:, 0]], size[both[:, 1]], percent)], axis=0))
+            spots = at[:, None] + np.arange(m)
+            left, right = spots[:, x].ravel(), spots[:, y].ravel()
+            keep = linked(np.minimum(most[left], most[right]), size[owner[left]], size[owner[right]], percent)
+            pairs.append(np.unique(np.stack([owner[left[keep]], owner[right[keep]]], axis=1), axis=0))
     small = np.unique(np.concatenate(pairs), axis=0)
     # Large groups: the least member of each connected set of groups.
     root = np.arange(len(names))
@@ -454,7 +473,7 @@ def node_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             for lo, hi in text_slices(batch, limit=SLICE):
                 part = batch.slice(lo, hi - lo)
                 sets = shingle_sets(*flat_bytes(part.column("text")))
-                keep = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() == n for s, n in zip(sets, part.column("node").to_pylist(), strict=True)]
+                keep = [own == n for own, n in zip(fingerprints(sets), part.column("node").to_pylist(), strict=True)]
                 yield part.filter(pa.array(keep))
 
     own = docs.select(F.col("doc_id").alias("_id"), "text")
@@ -468,12 +487,11 @@ def links(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame
     docs = docs.selectExpr("CAST(doc_id AS long) AS doc_id", "coalesce(text, '') AS text", "xxhash64(coalesce(text, '')) AS copy")
     late, hot = frequent(docs)
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    both = written(entries(docs, late, percent, hot), "jaccard-entries")
-    members = both.filter("bucket IS NULL").select("doc_id", "copy", "node", "n")
-    nodes = both.filter("node IS NOT NULL").groupBy("node").agg(F.first("n").alias("n"), F.first("marks").alias("marks"), F.min("doc_id").alias("doc_id"))
+    own = written(members(docs), "jaccard-members")
+    nodes = own.filter("node IS NOT NULL").groupBy("node").agg(F.first("n").alias("n"), F.first("marks").alias("marks"), F.min("doc_id").alias("doc_id"))
     met = written(
-        both.filter("bucket IS NOT NULL").select("bucket", "tokens", "owners", "nodes")
-        .groupBy("bucket").applyInPandas(lambda pdf: meet(pdf, percent, pdf["bucket"].iloc[0] >= parts), "a binary, b binary, large boolean").distinct(),
+        entries(docs, late, percent, hot).groupBy("bucket")
+        .applyInPandas(lambda pdf: meet(pdf, percent, pdf["bucket"].iloc[0] >= parts), "a binary, b binary, large boolean").distinct(),
         "jaccard-met",
     )
     pairs = written(small_pairs(met, nodes.select("node", "n", "marks"), percent), "jaccard-pairs")
@@ -489,14 +507,14 @@ def links(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame
         .filter("coalesce(root_a, a) <> coalesce(root_b, b)").select("a", "b")
     )
     second = written(verified(apart, texts, percent), "jaccard-links")
-    return members, roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(second)
+    return own.select("doc_id", "copy", "node", "n"), roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(second)
 
 
 def rooted(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The rows of ``links`` with the root node of their class."""
-    members, edges = links(docs, percent)
+    own, edges = links(docs, percent)
     roots = components(edges).withColumnRenamed("node", "_node")
-    return members.join(roots, F.col("node") == F.col("_node"), "left").select("doc_id", "copy", "n", F.coalesce("root", "node").alias("root"))
+    return own.join(roots, F.col("node") == F.col("_node"), "left").select("doc_id", "copy", "n", F.coalesce("root", "node").alias("root"))
 
 
 def classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
