@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -58,6 +58,22 @@ def fill_default_timestamp(df: DataFrame, column: str, default: dt.datetime | st
     return df.withColumn(column, F.expr(f"coalesce({_q(column)}, {value})"))
 
 
+def metrics(
+    not_null: Sequence[str] = (),
+    max_length: Mapping[str, int] | None = None,
+    groups: Mapping[str, Sequence[str]] | None = None,
+    where: str = "true",
+    prefix: str = "",
+) -> list[Column]:
+    """K2 and K3 as counts for ``DataFrame.observe``, taken in the pass that writes:
+    ``nulls:column``, ``long:column`` and, for the values of ``groups`` (column:
+    values), ``column:value``, over the rows that meet ``where``."""
+    counts = {f"nulls:{c}": f"{_q(c)} IS NULL" for c in not_null}
+    counts |= {f"long:{c}": f"length({_q(c)}) > {int(n)}" for c, n in (max_length or {}).items()}
+    counts |= {f"{c}:{value}": f"{_q(c)} = '{value}'" for c, values in (groups or {}).items() for value in values}
+    return [F.expr(f"count_if(({where}) AND ({rule}))").alias(prefix + name) for name, rule in counts.items()]
+
+
 def constraint_report(
     df: DataFrame,
     keys: Sequence[str] = (),

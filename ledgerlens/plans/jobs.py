@@ -17,16 +17,18 @@ same calculation instead of rescanning transactions.
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+from collections.abc import Mapping
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructField, StructType
 
 from ledgerlens.config import Tolerances
 from ledgerlens.operators import aggregates as agg
+from ledgerlens.operators import checks
 from ledgerlens.operators import reconcile as rec
-from ledgerlens.schemas import LEDGER
+from ledgerlens.schemas import LEDGER, MAX_LENGTH, NOT_NULL
 from ledgerlens.session import scratch
 from ledgerlens.sources.sinks import write_partitioned
 
@@ -35,6 +37,20 @@ from ledgerlens.sources.sinks import write_partitioned
 class ReconcileOutput:
     pairs: str
     clean: str
+    checks: Mapping[str, int] = field(default_factory=dict)
+
+
+def pair_checks() -> list:
+    """What the write of the pairs counts as it goes: rows, rows by status, and for
+    each source (first:, second:) its rows with a NULL or an over-long text."""
+    statuses = (*rec.ACCEPTED, rec.UNRECONCILED, rec.LEFT_ONLY, rec.RIGHT_ONLY)
+    counts = [F.expr("count(1)").alias("rows"), *checks.metrics(groups={"status": statuses})]
+    # The compared rows hold the time as unix_timestamp.
+    required = ["unix_timestamp" if c == "transaction_ts" else c for c in NOT_NULL["ledger"]]
+    for side, suffix, absent in (("first:", "", rec.RIGHT_ONLY), ("second:", rec.SUFFIX, rec.LEFT_ONLY)):
+        limits = {c + suffix: n for c, n in MAX_LENGTH["ledger"].items()}
+        counts += checks.metrics([c + suffix for c in required], limits, where=f"status <> '{absent}'", prefix=side)
+    return counts
 
 
 def reconcile(
@@ -48,7 +64,9 @@ def reconcile(
 ) -> ReconcileOutput:
     """Pair, classify and write; returns the paths of the pairs and clean tables.
 
-    The pairs table holds both sides' values of every pair, matched or not.
+    The pairs table holds both sides' values of every pair, matched or not. The
+    output's ``checks`` (``pair_checks``) are counted by the tasks that write it,
+    each partition once, without a further scan; K1 stays a query of its own.
     ``null_token`` marks NULLs in the row hashes of both sources."""
     tol = tol or Tolerances()
     out = ReconcileOutput(pairs=f"{out_dir.rstrip('/')}/pairs", clean=f"{out_dir.rstrip('/')}/clean")
@@ -61,7 +79,8 @@ def reconcile(
             f"{rec.status_sql(tol)} AS status",
             f"{rec.passed_statuses_sql(tol)} AS passed",
         )
-        write_partitioned(classified, out.pairs, "status", dynamic=False)  # a full report per run
+        seen = Observation("pairs")
+        write_partitioned(classified.observe(seen, *pair_checks()), out.pairs, "status", dynamic=False)  # a full report per run
 
     pairs = spark.read.parquet(out.pairs)
     accepted = pairs.filter(F.col("status").isin(*rec.ACCEPTED))
@@ -69,7 +88,7 @@ def reconcile(
         accepted = accepted.selectExpr("*", "explode(passed) AS rule")
     clean = accepted.selectExpr(*rec.CLEAN_SELECT)
     write_partitioned(clean, out.clean, "transaction_date", "to_date(transaction_ts)", cluster_by=("transaction_uid",), dynamic=False)
-    return out
+    return ReconcileOutput(out.pairs, out.clean, dict(seen.get))
 
 
 def read_clean(spark: SparkSession, clean_path: str) -> DataFrame:
