@@ -18,10 +18,11 @@ from ledgerlens.config import Tolerances
 from ledgerlens.operators import aggregates as agg
 from ledgerlens.operators import checks, deposits
 from ledgerlens.operators import reconcile as rec
+from ledgerlens.plans import jobs
 from ledgerlens.plans import oracle as o
 from ledgerlens.schemas import MONEY
 from ledgerlens.session import apply_plan_settings, apply_required, scratch_path
-from ledgerlens.sources import append, files, sinks
+from ledgerlens.sources import append, files, jdbc, sinks
 from ledgerlens.sources import views as v
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -230,6 +231,13 @@ def c17b(spark, sf):
     return rec.reconciliation_summary(rec.reconciliation_report(_paired(spark, sf), TOL))
 
 
+@query("k_checks_while_writing")
+def k_write(spark, sf):
+    """What ``jobs.reconcile`` counted as it wrote the pairs: K2, K3, rows by status."""
+    out = jobs.reconcile(spark, v.ledger(spark, sf), v.second_source(spark, sf), scratch_path(spark, "k-reconciled"), TOL)
+    return spark.createDataFrame(sorted(out.checks.items()), "rule string, n long")
+
+
 @query("c18_latest_aggregates")
 def c18(spark, sf):
     before = agg.daily_agg(agg.signed_amounts(v.ledger(spark, sf)), calculation_ts=o.HISTORY_TS_1)
@@ -299,6 +307,20 @@ def s3(spark, sf):
     return rec.load_second_source(files.read_source_csv(spark, path))
 
 
+@query("s1_split_ranges")
+def s1(spark, sf):
+    """The ledger by the time ranges of a parallel read: rows, those in exactly one
+    range, and whether the largest range is near an equal share."""
+    ledger = v.ledger(spark, sf)
+    ranges = jdbc.split_predicates(ledger, "transaction_ts", o.SPLITS)
+    hits = " + ".join(f"CAST(coalesce({p}, false) AS INT)" for p in ranges)
+    largest = "greatest(" + ", ".join(f"count_if({p})" for p in ranges) + ", 0L)"
+    return ledger.selectExpr(
+        "count(1) AS rows_read", f"count_if({hits} = 1) AS in_one_range",
+        f"{largest} * {o.SPLITS} <= 2 * count(1) + count_if(transaction_ts IS NULL) * {o.SPLITS} AS level",
+    )
+
+
 @query("s5_guarded_append")
 def s5(spark, sf):
     """The ledger delivered twice: its rows until a day, then all of it with some
