@@ -44,9 +44,26 @@ def as_group(exprs: Sequence[str]) -> str:
     return "named_struct(" + ", ".join(f"'c{k}', {e}" for k, e in enumerate(exprs)) + ")"
 
 
-def expand(df: DataFrame, count: str, number: str | None = None) -> DataFrame:
+def grouped_hash(exprs: Sequence[str]) -> str:
+    """SQL: a hash of the values, by which rows of a group find each other; groups
+    that share one are told apart by their values."""
+    return f"xxhash64({', '.join(exprs)})"
+
+
+def shuffled(df: DataFrame) -> DataFrame:
+    """A join side that is dealt out like the other one, never sent whole to each
+    task through the driver: its rows grow with the input, and a stored table may be
+    compressed to a small part of what its rows take."""
+    return df.hint("merge")
+
+
+def expand(df: DataFrame, count: str, number: str | None = None, most: int | None = None) -> DataFrame:
     """Each row ``count`` times, numbered from 0 as ``number``; many copies of one
-    row spread over tasks."""
+    row spread over tasks. ``most``: a bound of the counts, if known; where it shows
+    that none are that many, ``df`` is computed once, not twice."""
+    if most is not None and most <= COPIES_PER_CHUNK:
+        copies = df.filter(f"{count} > 0").selectExpr("*", f"explode(sequence(0L, {count} - 1)) AS _copy")
+        return copies.selectExpr(*df.columns, *([f"_copy AS {number}"] if number else []))
     cut = df.filter(f"{count} > 0").selectExpr("*", f"explode(sequence(0L, ({count} - 1) DIV {COPIES_PER_CHUNK})) AS _chunk")
     spread = cut.filter("_chunk = 0").unionByName(cut.filter("_chunk > 0").repartition(*df.columns, "_chunk"))
     start = f"_chunk * {COPIES_PER_CHUNK}L"
@@ -62,7 +79,7 @@ def _flows_by_number(left: DataFrame, right: DataFrame, group: Sequence[str]) ->
         for df, s in ((left, "l"), (right, "r"))
     ]
     on = " AND ".join([*(f"l_{g} = r_{g}" for g in group), "l_k = r_k"])
-    return sides[0].join(sides[1], F.expr(on)).groupBy("l_id", "r_id").agg(F.expr("count(1) AS n"))
+    return sides[0].join(shuffled(sides[1]), F.expr(on)).groupBy("l_id", "r_id").agg(F.expr("count(1) AS n"))
 
 
 # --- values in intervals ----------------------------------------------------------
@@ -130,12 +147,13 @@ _EVENT = ["first", "is_left", "_id", "n", "p", "hi", "own", "strict", "gid", "s"
 
 
 def _swept(events: DataFrame, keep_open: bool) -> DataFrame:
-    """Events (unit: _g or (gid, s); early, p, is_left, _row, ...) swept by unit."""
-    unit = ["gid", "s"] if keep_open else ["_g"]
+    """Events (unit: (_h, _g), dealt by _h, or (gid, s); early, p, is_left, _row, ...)
+    swept by unit."""
+    unit = ["gid", "s"] if keep_open else ["_h", "_g"]
     order = ["early", "p", "side", "_row"]
     run = f"PARTITION BY {', '.join(unit)}"
     first = f"row_number() OVER ({run} ORDER BY {', '.join(order)}) = 1 AS first"
-    flagged = events.repartition(*unit).selectExpr("*", first)
+    flagged = (events.repartition(*unit) if keep_open else events).selectExpr("*", first)
     return flagged.sortWithinPartitions(*unit, *order).select(*_EVENT).mapInArrow(_sweeper(keep_open), SWEPT)
 
 
@@ -154,18 +172,24 @@ def interval_flows(
     pair can be added to, not always a maximum."""
     there = " AND ".join(f"({g}) IS NOT NULL" for g in [*groups, value])
     events = pool.filter(f"{there} AND (side = 'R' OR ({usable}))").selectExpr(
-        f"{as_group(groups)} AS _g", "side", "side = 'L' AS is_left", "_id", "n", f"CASE WHEN side = 'L' THEN {low} ELSE {value} END AS p",
+        f"{grouped_hash(groups)} AS _h", f"{as_group(groups)} AS _g", "side", "side = 'L' AS is_left", "_id", "n",
+        f"CASE WHEN side = 'L' THEN {low} ELSE {value} END AS p",
         f"CASE WHEN side = 'L' THEN {high or 'NULL'} END AS hi" if high else f"CASE WHEN false THEN {value} END AS hi",
         f"{value} AS own", f"coalesce({strict}, true) AS strict", f"{as_group(row)} AS _row", "1 AS early",
     )
-    # Groups with one side match nothing.
-    sized = events.groupBy("_g").agg(F.expr("count(1) AS size"), F.expr("count_if(is_left) AS lefts"))
-    sized = sized.filter(f"size > {GROUP_ROWS} AND lefts > 0 AND lefts < size")
-    most, small, large = sized.agg(F.expr("max(size)")).first()[0], events, sized
-    if most is not None:
-        large = stored(sized.selectExpr("_g AS _large", "monotonically_increasing_id() AS gid"), f"{name}-large")
-        small = events.join(large, F.expr("_g = _large"), "left_anti")
-    both = small.selectExpr("*", "min(side) OVER (PARTITION BY _g) AS _a", "max(side) OVER (PARTITION BY _g) AS _z").filter("_a <> _z")
+    # Groups with one side match nothing. They are found by hashes alone, so most
+    # rows that have no partner are not sorted.
+    met = stored(_two_sided(events, "_h"), f"{name}-met")
+    widest = met.agg(F.expr("max(size)")).first()[0]
+    if widest is None:
+        return pool.limit(0).selectExpr("_id AS l_id", "_id AS r_id", "n")
+    both, most = events.join(shuffled(met.select("_h")), "_h", "left_semi"), None
+    if widest > GROUP_ROWS:
+        wide = events.join(shuffled(met.filter(f"size > {GROUP_ROWS}").select("_h")), "_h", "left_semi")
+        sized = stored(_two_sided(wide, "_g").filter(f"size > {GROUP_ROWS}").selectExpr("_g AS _large", "size", "monotonically_increasing_id() AS gid"), f"{name}-large")
+        most, large = sized.agg(F.expr("max(size)")).first()[0], sized.drop("size")
+        # Repeated, as the join deals rows by their whole group.
+        both = both.join(shuffled(large), F.expr("_g = _large"), "left_anti").repartition("_h")
     flows = _swept(both.selectExpr("*", "0L AS gid", "0L AS s"), False).select("l_id", "r_id", "n")
     if most is None:
         return stored(flows, name)
@@ -177,10 +201,16 @@ def interval_flows(
     return stored(flows, name)
 
 
+def _two_sided(events: DataFrame, key: str) -> DataFrame:
+    """Values of ``key`` that both sides have, and the number of their rows."""
+    sized = events.groupBy(key).agg(F.expr("count(1) AS size"), F.expr("count_if(side = 'L') AS lefts"))
+    return sized.filter("lefts > 0 AND lefts < size").select(key, "size")
+
+
 def _stretches(events: DataFrame, large: DataFrame, count: int) -> DataFrame:
     """Events of large groups with gid and the number s of their stretch: values
     between bounds from a quantile sketch of the group."""
-    keyed = events.join(large, F.expr("_g = _large")).drop("_large", "_g")
+    keyed = events.join(shuffled(large), F.expr("_g = _large")).drop("_large", "_g", "_h")
     if count < 2:
         return keyed.selectExpr("*", "0L AS s")
     shares = ", ".join(f"{k / count!r}D" for k in range(1, count))
@@ -210,7 +240,7 @@ def _side_by_side(events: DataFrame, name: str) -> DataFrame:
         changed = stored(changed, f"{name}-changed")
         if changed.isEmpty():
             return done.filter("r_id IS NOT NULL").select("l_id", "r_id", "n")
-        again = left_open.join(changed, ["gid", "s"], "left_semi").join(waiting, F.expr("l_id = _open")).selectExpr("*", "l_id AS _id", "0 AS early").drop("l_id", "_open")
+        again = left_open.join(changed, ["gid", "s"], "left_semi").join(shuffled(waiting), F.expr("l_id = _open")).selectExpr("*", "l_id AS _id", "0 AS early").drop("l_id", "_open")
         rows = events.join(changed, ["gid", "s"], "left_semi").unionByName(again)
         done = stored(done.join(changed, ["gid", "s"], "left_anti").unionByName(_swept(rows, True)), f"{name}-swept")
         used = sent
@@ -337,10 +367,10 @@ def connected(links: DataFrame, name: str) -> DataFrame:
     edges = stored(links.union(links.selectExpr("b", "a")).distinct(), f"{name}-edges")
     labels = stored(edges.groupBy(F.col("a").alias("v")).agg(F.expr("least(min(b), max(a)) AS root")), f"{name}-labels")
     while True:
-        least = edges.join(labels, F.expr("b = v")).groupBy("a").agg(F.expr("min(root) AS near"))
-        lower = labels.join(least, F.expr("v = a"), "left").selectExpr("v", "root AS old", "least(root, coalesce(near, root)) AS root")
+        least = edges.join(shuffled(labels), F.expr("b = v")).groupBy("a").agg(F.expr("min(root) AS near"))
+        lower = labels.join(shuffled(least), F.expr("v = a"), "left").selectExpr("v", "root AS old", "least(root, coalesce(near, root)) AS root")
         jump = labels.selectExpr("v AS _v", "root AS _far")
-        lower = stored(lower.join(jump, F.expr("root = _v"), "left").selectExpr("v", "old", "least(root, coalesce(_far, root)) AS root"), f"{name}-labels")
+        lower = stored(lower.join(shuffled(jump), F.expr("root = _v"), "left").selectExpr("v", "old", "least(root, coalesce(_far, root)) AS root"), f"{name}-labels")
         if lower.filter("old <> root").isEmpty():
             return lower.select("v", "root")
         labels = lower.select("v", "root")
@@ -356,46 +386,58 @@ def text_flows(pool: DataFrame, groups: Sequence[str], text: str, most: int, row
     the columns ``row``. The index holds every text about length^most / most! times,
     so it is meant for small distances."""
     there = " AND ".join(f"({g}) IS NOT NULL" for g in [*groups, text])
-    rows = pool.filter(f"{there} AND ({usable})").selectExpr(f"{as_group(groups)} AS _g", f"{text} AS t", "side", "_id", "n", f"{as_group(row)} AS _row")
-    met = rows.groupBy("_g").agg(F.expr("min(side) AS a"), F.expr("max(side) AS z")).filter("a <> z").selectExpr("_g AS _met")
-    both = rows.join(met, F.expr("_g = _met"), "left_semi")
-    texts = stored(both.groupBy("_g", "side", "t").agg(F.expr("sum(n) AS n")).selectExpr("*", "monotonically_increasing_id() AS tid"), f"{name}-texts")
+    rows = pool.filter(f"{there} AND ({usable})").selectExpr(
+        f"{grouped_hash(groups)} AS _h", f"{as_group(groups)} AS _g", f"{text} AS t", "side", "_id", "n", f"{as_group(row)} AS _row"
+    )
+    both = rows.join(shuffled(_two_sided(rows, "_h").select("_h")), "_h", "left_semi")
+    # A text is named by the least id of its rows, times 2, plus 1 if it has several.
+    run = "PARTITION BY _h, _g, side, t"
+    numbered = both.selectExpr(
+        "_h", "_g", "t", "side", "_id AS id", "n", f"2 * min(_id) OVER ({run}) + CAST(count(1) OVER ({run}) > 1 AS BIGINT) AS tid",
+        f"sum(n) OVER ({run}) AS total", f"sum(n) OVER ({run} ORDER BY _row ROWS UNBOUNDED PRECEDING) - n AS start",
+        f"_id = min(_id) OVER ({run}) AS names",
+    )
+    numbered = stored(numbered, f"{name}-rows")
+    copies = numbered.agg(F.expr("max(total)")).first()[0]
+    if copies is None:
+        return pool.limit(0).selectExpr("_id AS l_id", "_id AS r_id", "n")
+    texts = numbered.filter("names")
     if most > 0:
-        index = texts.selectExpr("_g", "side", "tid", f"explode(transform({_deletions('t', most)}, v -> xxhash64(v))) AS v").distinct()
-        left, right = (index.filter(f"side = '{s}'").selectExpr(f"_g AS {s}_g", f"v AS {s}_v", f"tid AS {s}") for s in "LR")
-        met = left.join(right, F.expr("L_g = R_g AND L_v = R_v")).select("L", "R").distinct()
-        ends = [texts.filter(f"side = '{s}'").selectExpr(f"tid AS {s}_tid", f"t AS {s}_t", f"n AS {s}_n", *(["_g"] if s == "L" else [])) for s in "LR"]
-        near = met.join(ends[0], F.expr("L = L_tid")).join(ends[1], F.expr("R = R_tid"))
-        near = near.selectExpr("_g", "L", "R", "L_n", "R_n", f"levenshtein(L_t, R_t, {most}) AS d").filter("d >= 0")
+        # The hashes hold the group's, so the index need not.
+        index = texts.selectExpr("side", "tid", f"explode(array_distinct(transform({_deletions('t', most)}, v -> xxhash64(_h, v)))) AS v")
+        left, right = (index.filter(f"side = '{s}'").selectExpr(f"v AS {s}_v", f"tid AS {s}") for s in "LR")
+        met = left.join(shuffled(right), F.expr("L_v = R_v")).select("L", "R").distinct()
+        ends = [texts.filter(f"side = '{s}'").selectExpr(f"tid AS {s}_tid", f"_g AS {s}_g", f"t AS {s}_t", f"total AS {s}_n", *(["_h"] if s == "L" else [])) for s in "LR"]
+        near = met.join(shuffled(ends[0]), F.expr("L = L_tid")).join(shuffled(ends[1]), F.expr("R = R_tid AND L_g = R_g"))
+        near = near.selectExpr("_h", "L", "R", "L_n", "R_n", f"levenshtein(L_t, R_t, {most}) AS d").filter("d >= 0")
     else:
-        left, right = (texts.filter(f"side = '{s}'").selectExpr(f"_g AS {s}_g", f"t AS {s}_t", f"tid AS {s}", f"n AS {s}_n") for s in "LR")
-        near = left.join(right, F.expr("L_g = R_g AND L_t = R_t")).selectExpr("L_g AS _g", "L", "R", "L_n", "R_n", "0 AS d")
+        left, right = (texts.filter(f"side = '{s}'").selectExpr(f"_h AS {s}_h", f"_g AS {s}_g", f"t AS {s}_t", f"tid AS {s}", f"total AS {s}_n") for s in "LR")
+        near = left.join(shuffled(right), F.expr("L_h = R_h AND L_g = R_g AND L_t = R_t")).selectExpr("L_h AS _h", "L", "R", "L_n", "R_n", "0 AS d")
     links = stored(near, f"{name}-links")
-    large = links.groupBy("_g").agg(F.expr("count(1) AS size")).filter(f"size > {GROUP_ROWS}")
-    unit = "_g"
+    large = links.groupBy("_h").agg(F.expr("count(1) AS size")).filter(f"size > {GROUP_ROWS}")
+    unit = "_h"
     if not large.isEmpty():
         roots = connected(links.selectExpr("2 * L AS a", "2 * R + 1 AS b"), name)
-        links, unit = links.join(roots, F.expr("2 * L = v")).drop("v"), "root"
+        links, unit = links.join(shuffled(roots), F.expr("2 * L = v")).drop("v"), "root"
     keyed = links.repartition(unit).selectExpr("*", f"row_number() OVER (PARTITION BY {unit} ORDER BY L, R) = 1 AS first")
     flows = keyed.sortWithinPartitions(unit, "L", "R").select("first", "L", "R", "L_n", "R_n", "d").mapInArrow(_augmenter(), FLOWS)
     flows = stored(flows, f"{name}-flows")
-    return stored(_of_rows(both, texts, flows), name)
+    return stored(_of_rows(numbered, flows, copies), name)
 
 
-def _of_rows(rows: DataFrame, texts: DataFrame, flows: DataFrame) -> DataFrame:
-    """Flows between texts as flows between their rows: copies are numbered within
-    a text, on both sides and in the flows."""
-    numbered = rows.join(texts.selectExpr("_g AS _tg", "side AS _ts", "t AS _t", "tid"), F.expr("_g = _tg AND side = _ts AND t = _t")).selectExpr(
-        "tid", "side", "_id AS id", "n", "sum(n) OVER (PARTITION BY tid ORDER BY _row ROWS UNBOUNDED PRECEDING) - n AS start"
-    )
-    starts = flows.selectExpr(
+def _of_rows(numbered: DataFrame, flows: DataFrame, most: int) -> DataFrame:
+    """Flows between texts as flows between their rows. The row of a text that has
+    one is known; else copies are numbered within a text, on both sides and in the flows."""
+    plain = flows.filter("l_id % 2 = 0 AND r_id % 2 = 0").selectExpr("l_id DIV 2 AS l_id", "r_id DIV 2 AS r_id", "n")
+    starts = flows.filter("l_id % 2 <> 0 OR r_id % 2 <> 0").selectExpr(
         "l_id", "r_id", "n",
         "sum(n) OVER (PARTITION BY l_id ORDER BY r_id ROWS UNBOUNDED PRECEDING) - n AS ls",
         "sum(n) OVER (PARTITION BY r_id ORDER BY l_id ROWS UNBOUNDED PRECEDING) - n AS rs",
     )
-    single = expand(starts, "n", "k").selectExpr("l_id AS l_tid", "r_id AS r_tid", "ls + k AS lk", "rs + k AS rk")
-    left, right = (
-        expand(numbered.filter(f"side = '{s.upper()}'"), "n", "k").selectExpr(f"tid AS _{s}t", f"id AS {s}_id", f"start + k AS _{s}k") for s in "lr"
-    )
-    met = single.join(left, F.expr("l_tid = _lt AND lk = _lk")).join(right, F.expr("r_tid = _rt AND rk = _rk"))
-    return met.groupBy("l_id", "r_id").agg(F.expr("count(1) AS n"))
+    met = expand(starts, "n", "k", most).selectExpr("l_id AS l_tid", "r_id AS r_tid", "ls + k AS lk", "rs + k AS rk")
+    for s in "lr":
+        own = expand(numbered.filter(f"side = '{s.upper()}' AND tid % 2 <> 0").select("tid", "id", "n", "start"), "n", "k", most)
+        own = own.selectExpr(f"tid AS _{s}t", f"id AS _{s}", f"start + k AS _{s}k")
+        met = met.join(shuffled(own), F.expr(f"{s}_tid = _{s}t AND {s}k = _{s}k"), "left")
+    met = met.selectExpr("coalesce(_l, l_tid DIV 2) AS l_id", "coalesce(_r, r_tid DIV 2) AS r_id")
+    return plain.unionByName(met.groupBy("l_id", "r_id").agg(F.expr("count(1) AS n")))

@@ -16,6 +16,7 @@ m rows yields max(n, m) pairs. Each rule makes as many pairs as can be made
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -107,11 +108,17 @@ _JOINS = ("full", "inner", "left", "right")
 STRETCH_SECONDS = 86_400
 
 
+def key_repeats(first: DataFrame, second: DataFrame) -> DataFrame:
+    """Keys (not NULL) that occur more than once on a side, and ``n``, their rows
+    on the side with more of them. A partial aggregation, so a hot key stays one
+    row a task."""
+    marked = [df.selectExpr(f"{key} AS {KEY}", f"{l} AS l", f"{1 - l} AS r").filter(f"{KEY} IS NOT NULL") for df, key, l in ((first, KEY, 1), (second, KEY + SUFFIX, 0))]
+    return marked[0].union(marked[1]).groupBy(KEY).agg(F.expr("greatest(sum(l), sum(r)) AS n")).filter("n > 1")
+
+
 def repeated_keys(first: DataFrame, second: DataFrame) -> DataFrame:
-    """K1 over both sources: keys (not NULL) that occur more than once on a
-    side. A partial aggregation, so a hot key stays one row a task."""
-    sides = [df.filter(f"{c} IS NOT NULL").groupBy(F.col(c).alias(KEY)).agg(F.expr("count(1) AS n")).filter("n > 1") for df, c in ((first, KEY), (second, KEY + SUFFIX))]
-    return sides[0].select(KEY).union(sides[1].select(KEY)).distinct()
+    """K1 over both sources: keys (not NULL) that occur more than once on a side."""
+    return key_repeats(first, second).select(KEY)
 
 
 def pair_sources(
@@ -151,17 +158,23 @@ def pair_sources(
         raise ValueError(f"how must be one of {sorted(_JOINS)}, got {how!r}")
     if not one_to_one:
         return _key_join(first, second, how)
-    if unique_keys is None:
-        unique_keys = repeated_keys(first, second).isEmpty()
     if unique_keys:
         return _key_join(first, second, how)
-    repeated = stored(repeated_keys(first, second).withColumnRenamed(KEY, "_rep"), "repeated-keys")
-    sides = []
+    repeated = stored(key_repeats(first, second).withColumnRenamed(KEY, "_rep"), "repeated-keys")
+    if unique_keys is None and repeated.isEmpty():
+        return _key_join(first, second, how)
+    # The keys with the most rows, a bounded list, are told apart without a join.
+    hot = [r["_rep"] for r in repeated.filter(f"n >= {HEAVY_ROWS}").orderBy(F.desc("n"), "_rep").limit(HEAVY_KEYS).collect()]
+    keys = matching.shuffled(repeated.select("_rep"))
+    once, often = [], []
     for df, key in ((first, KEY), (second, KEY + SUFFIX)):
-        own = F.col(key) == F.col("_rep")
-        sides.append((df.join(repeated, own, "left_anti"), df.join(repeated, own, "left_semi")))
-    (left, left_rep), (right, right_rep) = sides
-    return _key_join(left, right, how).unionByName(_pair_repeated(left_rep, right_rep, how, tol or Tolerances()))
+        own, keyed = F.col(key) == F.col("_rep"), df.filter(f"{key} IS NOT NULL")
+        rest = keyed.filter(~F.col(key).isin(hot)) if hot else keyed
+        once.append(rest.join(keys, own, "left_anti"))
+        few = rest.join(keys, own, "left_semi")
+        often.append(few.unionByName(keyed.filter(F.col(key).isin(hot))) if hot else few)
+    out = once[0].join(matching.shuffled(once[1]), F.expr(f"{KEY} = {KEY + SUFFIX}"), how)
+    return _with_keyless(out, first, second, how).unionByName(_pair_repeated(*often, how, tol or Tolerances()))
 
 
 def _key_join(first: DataFrame, second: DataFrame, how: str) -> DataFrame:
@@ -170,11 +183,16 @@ def _key_join(first: DataFrame, second: DataFrame, how: str) -> DataFrame:
     on = F.expr(f"{KEY} = {KEY + SUFFIX}")
     if how == "inner":
         return first.join(second, on, how)
-    none = [[f"CAST(NULL AS {t.dataType.simpleString()}) AS {t.name}" for t in df.schema.fields] for df in (first, second)]
     out = first.filter(f"{KEY} IS NOT NULL").join(second.filter(f"{KEY + SUFFIX} IS NOT NULL"), on, how)
-    if how != "right":
+    return _with_keyless(out, first, second, how)
+
+
+def _with_keyless(out: DataFrame, first: DataFrame, second: DataFrame, how: str) -> DataFrame:
+    """The key join ``out`` and the rows without a key, on the sides that are kept."""
+    none = [[f"CAST(NULL AS {t.dataType.simpleString()}) AS {t.name}" for t in df.schema.fields] for df in (first, second)]
+    if how in ("full", "left"):
         out = out.unionByName(first.filter(f"{KEY} IS NULL").selectExpr("*", *none[1]))
-    if how != "left":
+    if how in ("full", "right"):
         out = out.unionByName(second.filter(f"{KEY + SUFFIX} IS NULL").selectExpr(*none[0], "*"))
     return out
 
@@ -226,32 +244,33 @@ def _pair_repeated(first: DataFrame, second: DataFrame, how: str, tol: Tolerance
     second = second.selectExpr(*(f"{r} AS {c}" for c, r in zip(_ROW, (*_RIGHT, RIGHT_HASH), strict=True)))
     # Step 1, by content: copies collapse before the shuffle, which spreads a
     # key's rows by content.
-    content = matching.as_group(_ROW)
-    counts = [df.groupBy(*_ROW).agg(F.expr("count(1) AS n")).selectExpr(f"{content} AS {c}", f"n AS n{c}") for df, c in ((first, "l"), (second, "r"))]
-    columns = [f"coalesce(l.c{k}, r.c{k}) AS {c}" for k, c in enumerate(_ROW)]
-    groups = stored(
-        counts[0].join(counts[1], F.expr("l = r"), "full").selectExpr(*columns, "coalesce(nl, 0L) AS nl", "coalesce(nr, 0L) AS nr"), "repeated-content"
-    )
-    out = groups.selectExpr(f"{_AS_ROW} AS a", f"{_AS_ROW} AS z", "least(nl, nr) AS n")
+    marked = first.selectExpr(*_ROW, "1L AS l", "0L AS r").unionByName(second.selectExpr(*_ROW, "0L AS l", "1L AS r"))
+    groups = stored(marked.groupBy(*_ROW).agg(F.expr("sum(l) AS nl"), F.expr("sum(r) AS nr")), "repeated-content")
+    most = groups.agg(F.expr("coalesce(max(greatest(nl, nr)), 0L)")).first()[0]
+    same = groups.selectExpr(*_ROW, *(f"{c} AS {r}" for c, r in zip(_ROW, (*_RIGHT, RIGHT_HASH), strict=True)), "least(nl, nr) AS n")
     pool = groups.filter("nl <> nr").selectExpr("CASE WHEN nl > nr THEN 'L' ELSE 'R' END AS side", *_ROW, "abs(nl - nr) AS n", "monotonically_increasing_id() AS _id")
-    pool = stored(pool, "repeated-pool")
+    pool = at_first = stored(pool, "repeated-pool")
+    found = []
     for name, match in _steps(tol):
         flows = match(pool)
-        rows = [pool.filter(f"side = '{s}'").selectExpr(f"_id AS _{s}", f"{_AS_ROW} AS {c}") for s, c in (("L", "a"), ("R", "z"))]
-        out = out.unionByName(flows.join(rows[0], F.expr("l_id = _L")).join(rows[1], F.expr("r_id = _R")).select("a", "z", "n"))
+        found.append(flows)
         spent = flows.selectExpr("n AS _spent", "explode(array(l_id, r_id)) AS _of").groupBy("_of").agg(F.expr("sum(_spent) AS _spent"))
-        left = pool.join(spent, F.expr("_id = _of"), "left").withColumn("n", F.expr("n - coalesce(_spent, 0L)"))
+        left = pool.join(matching.shuffled(spent), F.expr("_id = _of"), "left").withColumn("n", F.expr("n - coalesce(_spent, 0L)"))
         pool = stored(left.filter("n > 0").drop("_spent", "_of"), f"repeated-after-{name}")
-    paired = matching.expand(out, "n").selectExpr(*_both_sides())
+    # The rows of all steps' flows at once: ids hold through the steps.
+    rows = [at_first.filter("side = 'L'").selectExpr("_id AS _L", *_ROW), at_first.filter("side = 'R'").selectExpr("_id AS _R", *(f"{c} AS {r}" for c, r in zip(_ROW, (*_RIGHT, RIGHT_HASH), strict=True)))]
+    matched = reduce(DataFrame.unionByName, found)
+    matched = matched.join(matching.shuffled(rows[0]), F.expr("l_id = _L")).join(matching.shuffled(rows[1]), F.expr("r_id = _R"))
+    paired = matching.expand(same.unionByName(matched.select(*same.columns)), "n", most=most).drop("n")
     # Step 3: numbers run over stretches of time, whose rows are numbered apart
     # and whose sizes add up, so a hot key's rows need not meet in one task.
     order = ", ".join(("unix_timestamp", *(c for c in _LEFT if c not in (KEY, "unix_timestamp")), LEFT_HASH))
-    rest = matching.expand(pool, "n").selectExpr("*", f"{matching.as_group([KEY])} AS _g", f"coalesce(unix_timestamp DIV {STRETCH_SECONDS}, -9223372036854775808L) AS _s")
+    rest = matching.expand(pool, "n", most=most).selectExpr("*", f"{matching.as_group([KEY])} AS _g", f"coalesce(unix_timestamp DIV {STRETCH_SECONDS}, -9223372036854775808L) AS _s")
     before = (
         rest.groupBy("_g", "side", "_s").agg(F.expr("count(1) AS n"))
         .selectExpr("_g", "side", "_s", "coalesce(sum(n) OVER (PARTITION BY _g, side ORDER BY _s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0L) AS _before")
     )
-    nth = rest.selectExpr("*", f"row_number() OVER (PARTITION BY _g, side, _s ORDER BY {order}) AS _r").join(before, ["_g", "side", "_s"])
+    nth = rest.selectExpr("*", f"row_number() OVER (PARTITION BY _g, side, _s ORDER BY {order}) AS _r").join(matching.shuffled(before), ["_g", "side", "_s"])
     keep = {"full": "true", "inner": "a IS NOT NULL AND z IS NOT NULL", "left": "a IS NOT NULL", "right": "z IS NOT NULL"}[how]
     return paired.unionByName(_number_pairs(nth, "_r + _before").filter(keep).selectExpr(*_both_sides()))
 

@@ -137,6 +137,42 @@ def test_connected_sets(spark):
     assert {r.v: r.root for r in m.connected(links, "t").collect()} == {k: k - k % 10 for k in range(40)}
 
 
+def test_row_sides_are_never_broadcast(spark):
+    """Joins whose sides grow with the input deal out both, however small their files are."""
+    from ledgerlens.plans import inspect
+
+    values = [(v, "x" * (v % 3)) for v in range(20)]
+    pool, _ = pool_of(spark, random_groups(random.Random(1), [f"g{k}" for k in range(5)], values))
+    found = []
+    write = m.stored
+
+    def planned(df, name):
+        found.append((name, inspect.plan_text(df, "simple")))
+        return write(df, name)
+
+    with pytest.MonkeyPatch.context() as mp:
+        mp.setattr(m, "stored", planned)
+        m.interval_flows(pool, ["g"], "v", "v - 3", "v + 3", ["v", "t"])
+        m.text_flows(pool, ["g"], "t", 1, ["v"])
+        mp.setattr(m, "GROUP_ROWS", 4)
+        m.interval_flows(pool, ["g"], "v", "v - 3", "v + 3", ["v", "t"])
+        m.text_flows(pool, ["g"], "t", 1, ["v"])
+    # Lists and bounds of stretches have a row for many rows of a large group.
+    rows = [(name, text) for name, text in found if not name.endswith(("-stretches", "-swept", "-sent", "-changed"))]
+    assert sum("SortMergeJoin" in text for _, text in rows) >= 4
+    assert not [name for name, text in rows if "BroadcastHashJoin" in text]
+
+
+def test_copies_of_few_rows_are_expanded_once(spark):
+    from ledgerlens.plans import inspect
+
+    rows = spark.range(5).selectExpr("id", "id AS n")
+    for most, unions in ((4, 0), (None, 1), (m.COPIES_PER_CHUNK + 1, 1)):
+        out = m.expand(rows, "n", "k", most)
+        assert inspect.plan_text(out, "simple").count("Union") == unions
+        assert sorted((r.id, r.k) for r in out.collect()) == [(i, k) for i in range(5) for k in range(i)]
+
+
 # --- through the pairing of the sources -------------------------------------------
 
 
