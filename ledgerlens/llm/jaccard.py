@@ -52,6 +52,7 @@ BLOCK = 2048  # nodes of a tree
 DENSE = 8  # bits a shingle of the bitmaps in trees
 TREE_WORDS = 512  # 64-bit words of a tree's bitmaps at most: wider ones are folded
 COMPARED_WORDS = 1 << 20  # words of bitmaps compared at a time
+MET_PAIRS = 1 << 18  # pairs of nodes that share a shingle, tested at a time
 SLICE = 4 << 20  # bytes of text whose shingles are packed together
 HOT_COUNT = 6250  # counts in the sample from which a shingle's nodes are dealt (100,000 texts)
 HOT_PARTS = 64  # parts of the nodes of such a shingle
@@ -220,6 +221,13 @@ ENTRIES = "bucket long, tokens binary, places binary, owners binary, nodes binar
 LAST_PLACE = (1 << 16) - 1  # places from here on count as this one, which drops fewer pairs
 
 
+def sliced_sets(texts: pa.Array) -> list[np.ndarray]:
+    """The shingle sets of many texts, hashed in slices: hashing takes several times
+    the bytes of its texts."""
+    batch = pa.RecordBatch.from_arrays([texts], names=["text"])
+    return [s for lo, hi in text_slices(batch, limit=SLICE) for s in shingle_sets(*flat_bytes(texts.slice(lo, hi - lo)))]
+
+
 def fingerprints(sets: list[np.ndarray]) -> list[bytes | None]:
     """The node of each shingle set (none for an empty set)."""
     return [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
@@ -322,7 +330,7 @@ def meet(pdf: pd.DataFrame, percent: int = PERCENT, dealt: bool = False) -> pd.D
     for m in range(2, least + 1):
         every = start[length == m]
         x, y = np.triu_indices(m, 1)
-        step = max(1, 2_000_000 // len(x))
+        step = max(1, MET_PAIRS // len(x))
         for at in (every[k : k + step] for k in range(0, len(every), step)):
             spots = at[:, None] + np.arange(m)
             left, right = spots[:, x].ravel(), spots[:, y].ravel()
@@ -355,7 +363,7 @@ def block_links(pdf: pd.DataFrame, percent: int = PERCENT) -> pd.DataFrame:
     out: list[tuple[bytes, bytes]] = []
     for (_, i, j), own in pdf.groupby(["family", "i", "j"], sort=False):
         own = own.sort_values("node", ignore_index=True)
-        sets = shingle_sets(*flat_bytes(pa.array(own["text"], pa.large_string())))
+        sets = sliced_sets(pa.array(own["text"], pa.large_string()))
         sizes, marks = np.array([len(s) for s in sets]), [signature(s, DENSE) for s in sets]
         words = min(TREE_WORDS, max(map(len, marks)) // 8)
         sides = [np.flatnonzero(own["part"].to_numpy() == k) for k in (i, j)]

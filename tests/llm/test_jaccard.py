@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
@@ -206,3 +207,19 @@ def test_nodes_of_hot_shingles_are_dealt(spark, monkeypatch):
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert made.filter(f"bucket >= {parts}").select("bucket").distinct().count() > 10
     assert sorted(map(tuple, j.classes(docs).collect()), key=str) == brute_classes(rows)
+
+
+def test_blocks_hash_their_texts_in_slices(monkeypatch):
+    """The sets of a block are those of its whole texts, hashed a slice at a time."""
+    texts = pa.array([f"{'one two three four five six ' * (k % 7)}{k}" for k in range(60)] + ["", None], pa.large_string())
+    whole = shingle_sets(*flat_bytes(texts))
+    seen = []
+    monkeypatch.setattr(j, "SLICE", 500)
+    monkeypatch.setattr(j, "shingle_sets", lambda raw, bounds: seen.append(len(raw)) or shingle_sets(raw, bounds))
+    sets = j.sliced_sets(texts)
+    assert max(seen) <= 500 and len(seen) > 5
+    assert len(sets) == len(whole) and all((a == b).all() for a, b in zip(sets, whole, strict=True))
+    own = pd.DataFrame({"family": 1, "node": [bytes([k]) for k in range(60)], "text": texts.to_pylist()[:60], "part": 1, "i": 1, "j": 1})
+    seen.clear()
+    j.block_links(own)
+    assert seen and max(seen) <= 500
