@@ -213,3 +213,21 @@ def test_scratch_tables_go_when_the_block_ends(spark):
         spark.range(3).write.parquet(folder + "/x")
         raise ValueError
     assert not os.path.exists(folder.removeprefix("file:"))
+
+
+def test_hot_keys_are_told_apart_without_a_join(spark, monkeypatch):
+    """Keys above the bound leave the pairs as they are, rows without a key included."""
+    from decimal import Decimal
+
+    from ledgerlens.operators import reconcile as rec
+
+    cols = "transaction_uid long, login long, counter_login long, transaction_type long, epoch_seconds long, comment string, amount decimal(18,4)"
+    keys = [[7, 7, 7, 8, 8, 9, None, None], [7, 7, 8, 9, 10, None]]
+    frames = [spark.createDataFrame([(k, 2, None, 3, i, "c", Decimal(5)) for i, k in enumerate(side)], cols) for side in keys]
+    first = rec.load_ledger(frames[0].selectExpr("*", "CAST(timestamp_seconds(epoch_seconds) AS TIMESTAMP_NTZ) AS transaction_ts"))
+    second = rec.load_second_source(frames[1])
+    found = []
+    for bound in (1_000_000, 3):
+        monkeypatch.setattr(rec, "HEAVY_ROWS", bound)
+        found.append(sorted((r.transaction_uid or 0, r.unix_timestamp or 0, r.transaction_uid_2 or 0, r.unix_timestamp_2 or 0) for r in rec.pair_sources(first, second).collect()))
+    assert found[0] == found[1] and len(found[0]) == 3 + 2 + 1 + 1 + 2 + 1
