@@ -499,7 +499,7 @@ def links(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame
     nodes = own.filter("node IS NOT NULL").groupBy("node").agg(F.first("n").alias("n"), F.first("marks").alias("marks"), F.min("doc_id").alias("doc_id"))
     met = written(
         entries(docs, late, percent, hot).groupBy("bucket")
-        .applyInPandas(lambda pdf: meet(pdf, percent, pdf["bucket"].iloc[0] >= parts), "a binary, b binary, large boolean").distinct(),
+        .applyInPandas(lambda pdf: meet(pdf, percent, pdf["bucket"].iloc[0] >= parts), "a binary, b binary, large boolean"),
         "jaccard-met",
     )
     pairs = written(small_pairs(met, nodes.select("node", "n", "marks"), percent), "jaccard-pairs")

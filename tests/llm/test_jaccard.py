@@ -130,6 +130,31 @@ def test_components(spark):
     assert cc.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_need_few_rounds(spark, monkeypatch):
+    # Edges that lie together are contracted: a long path took a round for each doubling.
+    names, real = [], cc.written
+    monkeypatch.setattr(cc, "written", lambda df, name: (names.append(name), real(df, name))[1])
+    edges = [(f"{k:04}", f"{k + 1:04}") for k in range(2000)]
+    random.Random(3).shuffle(edges)
+    rows = cc.components(spark.createDataFrame(edges, "a string, b string").repartition(4)).collect()
+    assert {r.node: r.root for r in rows} == {f"{k:04}": "0000" for k in range(2001)} and len(rows) == 2001
+    assert names.count("component-edges") <= 6
+
+
+def test_contracted_edges_connect_the_same(monkeypatch):
+    monkeypatch.setattr(cc, "CONTRACTED", 40)
+    rng = np.random.default_rng(5)
+    x, y = rng.integers(0, 150, (2, 120))
+    names = np.array([bytes([200 - k, k]) for k in range(150)], object)
+    batches = [pa.RecordBatch.from_pydict({"a": pa.array(names[x[k : k + 20]], pa.binary()), "b": pa.array(names[y[k : k + 20]], pa.binary())}) for k in range(0, 120, 20)]
+    got = [(p["a"], p["b"]) for b in cc.contract(iter(batches)) for p in b.to_pylist()]
+    place = {n: k for k, n in enumerate(names)}
+    after = cc.forest(*(np.array([place[p[k]] for p in got]) for k in (0, 1)), 150)
+    assert (after == cc.forest(x, y, 150)).all()
+    assert len(got) <= 120 and all(a > b for a, b in got)
+    assert list(cc.contract(iter([]))) == []
+
+
 def test_op5_on_all_documents(spark):
     rows = [tuple(r.values()) for r in pq.read_table(f"{SF}/documents.parquet", columns=["doc_id", "text"]).to_pylist()]
     got = sorted(map(tuple, q.op5_signature_trees(spark, SF).select("doc_id", "n_shingles", "component_id").collect()), key=str)
