@@ -38,8 +38,10 @@ from ledgerlens.llm.rolling import Rolling
 WIDTH = 200
 GRAM = 32
 CHUNK = 1 << 18  # window starts handled at a time
-GATHERED = 4000  # contexts of one anchor that are gathered in a task; beyond, step 4
 BUCKET_BYTES = 500_000  # context bytes aimed at for one suffix array
+# Contexts of one anchor that are gathered in a task; beyond, step 4. A context has
+# less than 2 WIDTH bytes, so no anchor alone takes a suffix array above the aim.
+GATHERED = 1000
 
 
 def sliding_least(values: np.ndarray, size: int) -> np.ndarray:
