@@ -18,7 +18,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ledgerlens.config import Tolerances
@@ -107,13 +107,25 @@ _JOINS = ("full", "inner", "left", "right")
 # Leftover rows of a key are numbered within stretches of time of this length.
 STRETCH_SECONDS = 86_400
 
+# From this share of rows with a repeated key on, all rows are matched as those are:
+# telling the others apart would deal out all rows twice. No result depends on it.
+MOSTLY_REPEATED = 0.5
+
 
 def key_repeats(first: DataFrame, second: DataFrame) -> DataFrame:
-    """Keys (not NULL) that occur more than once on a side, and ``n``, their rows
-    on the side with more of them. A partial aggregation, so a hot key stays one
-    row a task."""
+    """Keys (not NULL) that occur more than once on a side, ``n``, their rows on the
+    side with more of them, and ``both``, those of both sides. A partial aggregation,
+    so a hot key stays one row a task."""
+    return _repeats(_marked_keys(first, second))
+
+
+def _marked_keys(first: DataFrame, second: DataFrame) -> DataFrame:
     marked = [df.selectExpr(f"{key} AS {KEY}", f"{l} AS l", f"{1 - l} AS r").filter(f"{KEY} IS NOT NULL") for df, key, l in ((first, KEY, 1), (second, KEY + SUFFIX, 0))]
-    return marked[0].union(marked[1]).groupBy(KEY).agg(F.expr("greatest(sum(l), sum(r)) AS n")).filter("n > 1")
+    return marked[0].union(marked[1])
+
+
+def _repeats(marked: DataFrame) -> DataFrame:
+    return marked.groupBy(KEY).agg(F.expr("greatest(sum(l), sum(r)) AS n"), F.expr("sum(l + r) AS both")).filter("n > 1")
 
 
 def repeated_keys(first: DataFrame, second: DataFrame) -> DataFrame:
@@ -140,7 +152,8 @@ def pair_sources(
     One-to-one: keys that occur once on each side, at most, take the plain key
     join. ``unique_keys=True`` states that there are no others; None finds out
     with one small job over the keys (False: take the way for repeats anyway).
-    Rows of other keys are matched, each row once, in this order:
+    Rows of other keys, or all rows if most have such a key, are matched, each row
+    once, in this order:
 
     1. rows with the same content, then rows with the same hash;
     2. per rule of ``tol`` (comment, time, amount), a maximum matching of the rows
@@ -160,11 +173,20 @@ def pair_sources(
         return _key_join(first, second, how)
     if unique_keys:
         return _key_join(first, second, how)
-    repeated = stored(key_repeats(first, second).withColumnRenamed(KEY, "_rep"), "repeated-keys")
-    if unique_keys is None and repeated.isEmpty():
+    seen = Observation()
+    marked = _marked_keys(first, second).observe(seen, F.expr("count(1) AS rows"))
+    repeated = stored(_repeats(marked).withColumnRenamed(KEY, "_rep"), "repeated-keys")
+    of_repeated = repeated.agg(F.expr("coalesce(sum(both), 0L)")).first()[0]
+    if unique_keys is None and not of_repeated:
         return _key_join(first, second, how)
+    tol = tol or Tolerances()
     # The keys with the most rows, a bounded list, are told apart without a join.
     hot = [r["_rep"] for r in repeated.filter(f"n >= {HEAVY_ROWS}").orderBy(F.desc("n"), "_rep").limit(HEAVY_KEYS).collect()]
+    if of_repeated >= MOSTLY_REPEATED * seen.get["rows"]:
+        # Step 3 gives the pairs of the key join to keys that occur once, too.
+        keyed = first.filter(f"{KEY} IS NOT NULL"), second.filter(f"{KEY + SUFFIX} IS NOT NULL")
+        pairs = _pair_repeated(*keyed, how, tol, hot).select(*first.columns, *second.columns)
+        return _with_keyless(pairs, first, second, how)
     keys = matching.shuffled(repeated.select("_rep"))
     once, often = [], []
     for df, key in ((first, KEY), (second, KEY + SUFFIX)):
@@ -174,7 +196,7 @@ def pair_sources(
         few = rest.join(keys, own, "left_semi")
         often.append(few.unionByName(keyed.filter(F.col(key).isin(hot))) if hot else few)
     out = once[0].join(matching.shuffled(once[1]), F.expr(f"{KEY} = {KEY + SUFFIX}"), how)
-    return _with_keyless(out, first, second, how).unionByName(_pair_repeated(*often, how, tol or Tolerances()))
+    return _with_keyless(out, first, second, how).unionByName(_pair_repeated(*often, how, tol, hot))
 
 
 def _key_join(first: DataFrame, second: DataFrame, how: str) -> DataFrame:
@@ -239,40 +261,107 @@ def _steps(tol: Tolerances) -> list[tuple[str, Callable[[DataFrame], DataFrame]]
     return steps
 
 
-def _pair_repeated(first: DataFrame, second: DataFrame, how: str, tol: Tolerances) -> DataFrame:
-    """Steps 1 to 3 of ``pair_sources`` for rows of repeated keys."""
+def _meet_by_number(rest: DataFrame, hot: Sequence[int], keep: str) -> DataFrame:
+    """Step 3: the rows of a key on both sides, n-th with n-th. A key's rows are dealt
+    out once and numbered there. Those of ``hot`` keys need not meet in one task:
+    numbers run over stretches of time, whose rows are numbered apart and whose
+    sizes add up."""
+    order = ", ".join(("unix_timestamp", *(c for c in _LEFT if c not in (KEY, "unix_timestamp")), LEFT_HASH))
+    few = rest.filter(~F.col(KEY).isin(hot)) if hot else rest
+    few = few.repartition(KEY).selectExpr("*", f"{KEY} AS _g", f"row_number() OVER (PARTITION BY {KEY}, side ORDER BY {order}) AS _r")
+    out = _number_pairs(few, "_r").filter(keep).selectExpr(*_both_sides())
+    if not hot:
+        return out
+    many = rest.filter(F.col(KEY).isin(hot)).selectExpr("*", f"{KEY} AS _g", f"coalesce(unix_timestamp DIV {STRETCH_SECONDS}, -9223372036854775808L) AS _s")
+    before = (
+        many.groupBy("_g", "side", "_s").agg(F.expr("count(1) AS n"))
+        .selectExpr("_g", "side", "_s", "coalesce(sum(n) OVER (PARTITION BY _g, side ORDER BY _s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0L) AS _before")
+    )
+    nth = many.selectExpr("*", f"row_number() OVER (PARTITION BY _g, side, _s ORDER BY {order}) AS _r").join(matching.shuffled(before), ["_g", "side", "_s"])
+    return out.unionByName(_number_pairs(nth, "_r + _before").filter(keep).selectExpr(*_both_sides()))
+
+
+# What rows must agree on whichever rule accepts them, by a hash: rows that do not
+# share it never go together, rows that share it by chance are told apart by the rules.
+_COMMON = matching.grouped_hash([compare.compared(c) for c in _LEFT if c not in ("comment", "unix_timestamp", "amount")])
+
+
+def _judged(pool: DataFrame, tol: Tolerances) -> DataFrame:
+    """A row per ``_COMMON`` of the pool. With one row a side at most there is
+    nothing to choose: both rows' columns, their copies ``_ln`` and ``_rn`` (NULL: no
+    such row) and whether a rule accepts them (``ok``). Else ``many``, and no rows.
+    Each task keeps one row a side of a hash, however many there are."""
+    row = "named_struct('n', n, " + ", ".join(f"'{c}', {c}" for c in _ROW) + ")"
+    sides = [f"max(CASE WHEN side = '{s}' THEN row END) AS {c}" for s, c in (("L", "a"), ("R", "z"))]
+    met = pool.selectExpr(f"{_COMMON} AS _h", "side", f"{row} AS row").groupBy("_h").agg(F.expr("count_if(side = 'L') AS l"), F.expr("count_if(side = 'R') AS r"), *map(F.expr, sides))
+    alone = met.selectExpr("_h", "l > 1 OR r > 1 AS many", *(f"CASE WHEN l <= 1 AND r <= 1 THEN {c} END AS {c}" for c in "az"))
+    rules = [
+        compare.char_ok_sql(tol.levenshtein, tol.char_inclusive),
+        compare.date_ok_sql(tol.seconds, tol.symmetric_time),
+        compare.int_ok_sql(tol.percent),
+    ]
+    return alone.selectExpr("_h", "many", "a.n AS _ln", "z.n AS _rn", *_both_sides()).selectExpr("*", f"{' OR '.join(rules)} AS ok")
+
+
+def _left_alone(judged: DataFrame, used: str = "CASE WHEN ok THEN least(_ln, _rn) ELSE 0L END") -> DataFrame:
+    """Rows (side, the row, n copies) of ``_judged`` that no rule has paired."""
+    left = judged.selectExpr("'L' AS side", *_ROW, f"_ln - {used} AS n")
+    right = judged.selectExpr("'R' AS side", *(f"{r} AS {c}" for c, r in zip(_ROW, (*_RIGHT, RIGHT_HASH), strict=True)), f"_rn - {used} AS n")
+    return left.unionByName(right).filter("n > 0")
+
+
+def _without(pool: DataFrame, flows: DataFrame) -> DataFrame:
+    """The pool's rows with the copies that the flows leave."""
+    spent = flows.selectExpr("n AS _spent", "explode(array(l_id, r_id)) AS _of").groupBy("_of").agg(F.expr("sum(_spent) AS _spent"))
+    left = pool.join(matching.shuffled(spent), F.expr("_id = _of"), "left").withColumn("n", F.expr("n - coalesce(_spent, 0L)"))
+    return left.filter("n > 0").drop("_spent", "_of")
+
+
+def _of_flows(flows: DataFrame, pool: DataFrame) -> DataFrame:
+    """The flows with the columns of both rows, which are in the pool."""
+    left = pool.filter("side = 'L'").selectExpr("_id AS _L", *_ROW)
+    right = pool.filter("side = 'R'").selectExpr("_id AS _R", *(f"{c} AS {r}" for c, r in zip(_ROW, (*_RIGHT, RIGHT_HASH), strict=True)))
+    met = flows.join(matching.shuffled(left), F.expr("l_id = _L")).join(matching.shuffled(right), F.expr("r_id = _R"))
+    return met.select(*_ROW, *_RIGHT, RIGHT_HASH, "n")
+
+
+def _pair_repeated(first: DataFrame, second: DataFrame, how: str, tol: Tolerances, hot: Sequence[int] = ()) -> DataFrame:
+    """Steps 1 to 3 of ``pair_sources`` for rows of repeated keys, of which ``hot``
+    are spread over tasks."""
     second = second.selectExpr(*(f"{r} AS {c}" for c, r in zip(_ROW, (*_RIGHT, RIGHT_HASH), strict=True)))
     # Step 1, by content: copies collapse before the shuffle, which spreads a
     # key's rows by content.
     marked = first.selectExpr(*_ROW, "1L AS l", "0L AS r").unionByName(second.selectExpr(*_ROW, "0L AS l", "1L AS r"))
-    groups = stored(marked.groupBy(*_ROW).agg(F.expr("sum(l) AS nl"), F.expr("sum(r) AS nr")), "repeated-content")
+    groups = marked.groupBy(*_ROW).agg(F.expr("sum(l) AS nl"), F.expr("sum(r) AS nr"))
+    groups = stored(groups.selectExpr("*", "monotonically_increasing_id() AS _id"), "repeated-content")
     most = groups.agg(F.expr("coalesce(max(greatest(nl, nr)), 0L)")).first()[0]
-    same = groups.selectExpr(*_ROW, *(f"{c} AS {r}" for c, r in zip(_ROW, (*_RIGHT, RIGHT_HASH), strict=True)), "least(nl, nr) AS n")
-    pool = groups.filter("nl <> nr").selectExpr("CASE WHEN nl > nr THEN 'L' ELSE 'R' END AS side", *_ROW, "abs(nl - nr) AS n", "monotonically_increasing_id() AS _id")
-    pool = at_first = stored(pool, "repeated-pool")
-    found = []
-    for name, match in _steps(tol):
-        flows = match(pool)
-        found.append(flows)
-        spent = flows.selectExpr("n AS _spent", "explode(array(l_id, r_id)) AS _of").groupBy("_of").agg(F.expr("sum(_spent) AS _spent"))
-        left = pool.join(matching.shuffled(spent), F.expr("_id = _of"), "left").withColumn("n", F.expr("n - coalesce(_spent, 0L)"))
-        pool = stored(left.filter("n > 0").drop("_spent", "_of"), f"repeated-after-{name}")
-    # The rows of all steps' flows at once: ids hold through the steps.
-    rows = [at_first.filter("side = 'L'").selectExpr("_id AS _L", *_ROW), at_first.filter("side = 'R'").selectExpr("_id AS _R", *(f"{c} AS {r}" for c, r in zip(_ROW, (*_RIGHT, RIGHT_HASH), strict=True)))]
-    matched = reduce(DataFrame.unionByName, found)
-    matched = matched.join(matching.shuffled(rows[0]), F.expr("l_id = _L")).join(matching.shuffled(rows[1]), F.expr("r_id = _R"))
-    paired = matching.expand(same.unionByName(matched.select(*same.columns)), "n", most=most).drop("n")
-    # Step 3: numbers run over stretches of time, whose rows are numbered apart
-    # and whose sizes add up, so a hot key's rows need not meet in one task.
-    order = ", ".join(("unix_timestamp", *(c for c in _LEFT if c not in (KEY, "unix_timestamp")), LEFT_HASH))
-    rest = matching.expand(pool, "n", most=most).selectExpr("*", f"{matching.as_group([KEY])} AS _g", f"coalesce(unix_timestamp DIV {STRETCH_SECONDS}, -9223372036854775808L) AS _s")
-    before = (
-        rest.groupBy("_g", "side", "_s").agg(F.expr("count(1) AS n"))
-        .selectExpr("_g", "side", "_s", "coalesce(sum(n) OVER (PARTITION BY _g, side ORDER BY _s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0L) AS _before")
-    )
-    nth = rest.selectExpr("*", f"row_number() OVER (PARTITION BY _g, side, _s ORDER BY {order}) AS _r").join(matching.shuffled(before), ["_g", "side", "_s"])
+    out = groups.selectExpr(*_ROW, *(f"{c} AS {r}" for c, r in zip(_ROW, (*_RIGHT, RIGHT_HASH), strict=True)), "least(nl, nr) AS n")
+    pool = groups.filter("nl <> nr").selectExpr("CASE WHEN nl > nr THEN 'L' ELSE 'R' END AS side", *_ROW, "abs(nl - nr) AS n", "_id")
+    (name, by_hash), *rules = _steps(tol)
+    flows = by_hash(pool)
+    if not flows.isEmpty():
+        out, pool = out.unionByName(_of_flows(flows, pool)), stored(_without(pool, flows), f"repeated-after-{name}")
+    # Step 2. Only rows that have a choice are searched.
+    judged = stored(_judged(pool, tol), "repeated-judged")
+    out = out.unionByName(judged.filter("ok").select(*_ROW, *_RIGHT, RIGHT_HASH, F.expr("least(_ln, _rn) AS n")))
+    rest = _left_alone(judged)
+    choice = judged.filter("many").selectExpr("_h AS _many")
+    if not choice.isEmpty():
+        pool = pool.selectExpr("*", f"{_COMMON} AS _h").join(matching.shuffled(choice), F.expr("_h = _many"), "left_semi").drop("_h")
+        pool = at_first = stored(pool, "repeated-pool")
+        found = []
+        for name, match in rules:
+            flows = match(pool)
+            if not flows.isEmpty():
+                found.append(flows)
+                pool = stored(_without(pool, flows), f"repeated-after-{name}")
+        # The rows of all rules' flows at once: ids hold through the steps.
+        if found:
+            out = out.unionByName(_of_flows(reduce(DataFrame.unionByName, found), at_first))
+        rest = rest.unionByName(pool.select(*rest.columns))
+    paired = matching.expand(out, "n", most=most).drop("n")
     keep = {"full": "true", "inner": "a IS NOT NULL AND z IS NOT NULL", "left": "a IS NOT NULL", "right": "z IS NOT NULL"}[how]
-    return paired.unionByName(_number_pairs(nth, "_r + _before").filter(keep).selectExpr(*_both_sides()))
+    return paired.unionByName(_meet_by_number(matching.expand(rest, "n", most=most), hot, keep))
 
 
 # Rows of one key that one task should join at most, keys looked at for it, and tasks

@@ -231,3 +231,70 @@ def test_hot_keys_are_told_apart_without_a_join(spark, monkeypatch):
         monkeypatch.setattr(rec, "HEAVY_ROWS", bound)
         found.append(sorted((r.transaction_uid or 0, r.unix_timestamp or 0, r.transaction_uid_2 or 0, r.unix_timestamp_2 or 0) for r in rec.pair_sources(first, second).collect()))
     assert found[0] == found[1] and len(found[0]) == 3 + 2 + 1 + 1 + 2 + 1
+
+
+def _sources(spark, keys, rng):
+    """Loaded sources whose rows have the given keys and differ in few columns."""
+    from decimal import Decimal
+
+    from ledgerlens.operators import reconcile as rec
+
+    cols = "transaction_uid long, login long, counter_login long, transaction_type long, epoch_seconds long, comment string, amount decimal(18,4)"
+    usual = [5, None, 1, 100, "abc", Decimal(100)]
+    other = [(6, None), (0, 3), (2,), (200, 900, None), ("ABC", "abd", "", None), (Decimal(0), Decimal(103), Decimal(300), None)]
+
+    def row(key):
+        values = list(usual)
+        for c in rng.sample(range(6), rng.choice((0, 1, 1, 2))):
+            values[c] = rng.choice(other[c])
+        return (key, *values)
+
+    frames = [spark.createDataFrame([row(k) for k in side], cols) for side in keys]
+    first = frames[0].selectExpr("*", "CAST(timestamp_seconds(epoch_seconds) AS TIMESTAMP_NTZ) AS transaction_ts")
+    return rec.load_ledger(first), rec.load_second_source(frames[1])
+
+
+def _statuses(frame, tol):
+    from ledgerlens.operators import reconcile as rec
+
+    return Counter((r.transaction_uid or r.transaction_uid_2, r.status) for r in rec.reconciliation_report(frame, tol).collect())
+
+
+def test_only_rows_with_a_choice_are_searched(spark, monkeypatch):
+    """Rows that meet one row at most are judged by the rules alone; the statuses
+    are those of a search among all rows."""
+    from ledgerlens.config import Tolerances
+    from ledgerlens.operators import reconcile as rec
+
+    rng = random.Random(5)
+    keys = [[k for k in range(60) for _ in range(rng.randint(0, 3))] + [None] * 2 for _ in range(2)]
+    first, second = _sources(spark, keys, rng)
+    tol = Tolerances(levenshtein=2)
+    searched, texts = [], m.text_flows
+    monkeypatch.setattr(m, "text_flows", lambda pool, *a, **b: (searched.append(pool.count()), texts(pool, *a, **b))[1])
+    found = _statuses(rec.pair_sources(first, second, tol=tol), tol)
+    judged = rec._judged
+    # Every row counts as one with a choice.
+    monkeypatch.setattr(rec, "_judged", lambda pool, tol: judged(pool, tol).selectExpr("_h", "true AS many", *(f"CASE WHEN false THEN {c} END AS {c}" for c in ("_ln", "_rn", *rec._ROW, *rec._RIGHT, "row2_sha2")), "false AS ok"))
+    assert _statuses(rec.pair_sources(first, second, tol=tol), tol) == found
+    assert 0 < searched[0] < searched[1] and all(any(s == status for _, s in found) for status in rec.STATUSES)
+
+
+def test_keys_that_occur_once_may_go_with_repeated_ones(spark, monkeypatch):
+    """The share of rows from which on they do changes no status, nor do hot keys."""
+    from ledgerlens.config import Tolerances
+    from ledgerlens.operators import reconcile as rec
+
+    rng = random.Random(6)
+    keys = [[k for k in range(50) for _ in range(rng.choice((0, 1, 1, 1, 4)))] + [None] * 3 for _ in range(2)]
+    first, second = _sources(spark, keys, rng)
+    tol, found = Tolerances(), []
+    for share, heavy in ((0.0, 1_000_000), (0.0, 4), (2.0, 1_000_000)):
+        monkeypatch.setattr(rec, "MOSTLY_REPEATED", share)
+        monkeypatch.setattr(rec, "HEAVY_ROWS", heavy)
+        frame = rec.pair_sources(first, second, tol=tol)
+        assert frame.columns == [*first.columns, *second.columns]
+        found.append(_statuses(frame, tol))
+    assert found[0] == found[1] == found[2]
+    inner = [rec.pair_sources(first, second, "inner", tol=tol).count() for share in (0.0, 2.0) if not monkeypatch.setattr(rec, "MOSTLY_REPEATED", share)]
+    assert inner[0] == inner[1] == sum(n for (_, s), n in found[0].items() if s not in ("left_only", "right_only"))
