@@ -111,6 +111,10 @@ STRETCH_SECONDS = 86_400
 # telling the others apart would deal out all rows twice. No result depends on it.
 MOSTLY_REPEATED = 0.5
 
+# Rows on a side from which a repeated key's rows are spread over tasks, for the
+# ``HEAVY_KEYS`` keys with the most rows; no result depends on it.
+SPREAD_ROWS = 100_000
+
 
 def key_repeats(first: DataFrame, second: DataFrame) -> DataFrame:
     """Keys (not NULL) that occur more than once on a side, ``n``, their rows on the
@@ -181,7 +185,7 @@ def pair_sources(
         return _key_join(first, second, how)
     tol = tol or Tolerances()
     # The keys with the most rows, a bounded list, are told apart without a join.
-    hot = [r["_rep"] for r in repeated.filter(f"n >= {HEAVY_ROWS}").orderBy(F.desc("n"), "_rep").limit(HEAVY_KEYS).collect()]
+    hot = [r["_rep"] for r in repeated.filter(f"n >= {min(SPREAD_ROWS, HEAVY_ROWS)}").orderBy(F.desc("n"), "_rep").limit(HEAVY_KEYS).collect()]
     if of_repeated >= MOSTLY_REPEATED * seen.get["rows"]:
         # Step 3 gives the pairs of the key join to keys that occur once, too.
         keyed = first.filter(f"{KEY} IS NOT NULL"), second.filter(f"{KEY + SUFFIX} IS NOT NULL")
@@ -261,12 +265,15 @@ def _steps(tol: Tolerances) -> list[tuple[str, Callable[[DataFrame], DataFrame]]
     return steps
 
 
+_ORDER = ("unix_timestamp", *(c for c in _LEFT if c not in (KEY, "unix_timestamp")), LEFT_HASH)
+
+
 def _meet_by_number(rest: DataFrame, hot: Sequence[int], keep: str) -> DataFrame:
     """Step 3: the rows of a key on both sides, n-th with n-th. A key's rows are dealt
     out once and numbered there. Those of ``hot`` keys need not meet in one task:
     numbers run over stretches of time, whose rows are numbered apart and whose
     sizes add up."""
-    order = ", ".join(("unix_timestamp", *(c for c in _LEFT if c not in (KEY, "unix_timestamp")), LEFT_HASH))
+    order = ", ".join(_ORDER)
     few = rest.filter(~F.col(KEY).isin(hot)) if hot else rest
     few = few.repartition(KEY).selectExpr("*", f"{KEY} AS _g", f"row_number() OVER (PARTITION BY {KEY}, side ORDER BY {order}) AS _r")
     out = _number_pairs(few, "_r").filter(keep).selectExpr(*_both_sides())
@@ -286,6 +293,15 @@ def _meet_by_number(rest: DataFrame, hot: Sequence[int], keep: str) -> DataFrame
 _COMMON = matching.grouped_hash([compare.compared(c) for c in _LEFT if c not in ("comment", "unix_timestamp", "amount")])
 
 
+def _with_choice(groups: DataFrame) -> DataFrame:
+    """Rows of ``groups`` (a row per content, with its copies ``nl`` and ``nr`` on the
+    sides) that are dealt out by key, and ``choice``: whether among what equal contents
+    leave of the key some rows share ``_COMMON`` with several of a side."""
+    run = f"OVER (PARTITION BY {KEY}, _h)"
+    counted = groups.selectExpr("*", f"{_COMMON} AS _h").selectExpr("*", f"count_if(nl > nr) {run} > 1 OR count_if(nl < nr) {run} > 1 AS _many")
+    return counted.selectExpr(*groups.columns, f"max(_many) OVER (PARTITION BY {KEY}) AS choice")
+
+
 def _judged(pool: DataFrame, tol: Tolerances) -> DataFrame:
     """A row per ``_COMMON`` of the pool. With one row a side at most there is
     nothing to choose: both rows' columns, their copies ``_ln`` and ``_rn`` (NULL: no
@@ -295,21 +311,53 @@ def _judged(pool: DataFrame, tol: Tolerances) -> DataFrame:
     sides = [f"max(CASE WHEN side = '{s}' THEN row END) AS {c}" for s, c in (("L", "a"), ("R", "z"))]
     met = pool.selectExpr(f"{_COMMON} AS _h", "side", f"{row} AS row").groupBy("_h").agg(F.expr("count_if(side = 'L') AS l"), F.expr("count_if(side = 'R') AS r"), *map(F.expr, sides))
     alone = met.selectExpr("_h", "l > 1 OR r > 1 AS many", *(f"CASE WHEN l <= 1 AND r <= 1 THEN {c} END AS {c}" for c in "az"))
+    return alone.selectExpr("_h", "many", "a.n AS _ln", "z.n AS _rn", *_both_sides()).selectExpr("*", f"{_accepted(tol)} AS ok")
+
+
+def _accepted(tol: Tolerances) -> str:
+    """SQL: a rule of step 2 accepts the pair."""
     rules = [
         compare.char_ok_sql(tol.levenshtein, tol.char_inclusive),
         compare.date_ok_sql(tol.seconds, tol.symmetric_time),
         compare.int_ok_sql(tol.percent),
     ]
-    return alone.selectExpr("_h", "many", "a.n AS _ln", "z.n AS _rn", *_both_sides()).selectExpr("*", f"{' OR '.join(rules)} AS ok")
+    return " OR ".join(rules)
+
 
+_USED = "CASE WHEN ok THEN least(_ln, _rn) ELSE 0L END"
 
-def _left_alone(judged: DataFrame, used: str = "CASE WHEN ok THEN least(_ln, _rn) ELSE 0L END") -> DataFrame:
+
+def _left_alone(judged: DataFrame) -> DataFrame:
     """Rows (side, the row, n copies) of ``_judged`` that no rule has paired."""
-    left = judged.selectExpr("'L' AS side", *_ROW, f"_ln - {used} AS n")
-    right = judged.selectExpr("'R' AS side", *(f"{r} AS {c}" for c, r in zip(_ROW, (*_RIGHT, RIGHT_HASH), strict=True)), f"_rn - {used} AS n")
+    left = judged.selectExpr("'L' AS side", *_ROW, f"_ln - {_USED} AS n")
+    right = judged.selectExpr("'R' AS side", *(f"{r} AS {c}" for c, r in zip(_ROW, (*_RIGHT, RIGHT_HASH), strict=True)), f"_rn - {_USED} AS n")
     return left.unionByName(right).filter("n > 0")
 
 
+def _met(rows: DataFrame, by: Sequence[str], *more: str) -> DataFrame:
+    """Rows (side, row structs ``a`` and ``z``, of which one is NULL) that share ``by``,
+    one a side at most and dealt out by a part of it, as one row. A sort, where an
+    aggregation of structs would sort twice."""
+    run = f"OVER (PARTITION BY {', '.join(by)} ORDER BY side)"
+    there = rows.selectExpr("*", f"lead(z) {run} AS _z", f"lag(side) {run} AS _before").filter("_before IS NULL")
+    return there.selectExpr(*more, "side", "a", "coalesce(z, _z) AS z")
+
+
+def _without_choice(pool: DataFrame, tol: Tolerances, most: int, keep: str) -> DataFrame:
+    """Steps 2 and 3 for keys without a choice, in the tasks their rows are dealt to:
+    what the rules accept goes along (side 'B') while the rows left are numbered."""
+    row = "named_struct(" + ", ".join(f"'{c}', {c}" for c in (*_ROW, "n")) + ")"
+    sides = [f"CASE WHEN side = '{s}' THEN {row} END AS {c}" for s, c in (("L", "a"), ("R", "z"))]
+    dealt = pool.selectExpr(f"{KEY} AS _g", f"{_COMMON} AS _h", "side", *_ROW, "n").repartition("_g").selectExpr("_g", "_h", "side", *sides)
+    judged = _met(dealt, ["_g", "_h"], "_g").selectExpr("_g", "a", "z", "a.n AS _ln", "z.n AS _rn", *_both_sides()).selectExpr("_g", "a", "z", "_ln", "_rn", f"{_accepted(tol)} AS ok")
+    none = "CASE WHEN false THEN a END"
+    items = [f"named_struct('side', '{s}', 'a', {a}, 'z', {z}, 'n', {n})" for s, a, z, n in (("B", "a", "z", _USED), ("L", "a", none, f"_ln - {_USED}"), ("R", none, "z", f"_rn - {_USED}"))]
+    rest = matching.expand(judged.selectExpr("_g", f"inline(array({', '.join(items)}))").filter("n > 0"), "n", most=most)
+    order = ", ".join(f"coalesce(a.{c}, z.{c})" for c in _ORDER)
+    numbered = rest.selectExpr("_g", "side", "a", "z", "side = 'B' AS _b", f"row_number() OVER (PARTITION BY _g, side ORDER BY {order}) AS _r")
+    return _met(numbered, ["_g", "_b", "_r"]).filter(keep).selectExpr(*_both_sides())
+
+
 def _without(pool: DataFrame, flows: DataFrame) -> DataFrame:
     """The pool's rows with the copies that the flows leave."""
     spent = flows.selectExpr("n AS _spent", "explode(array(l_id, r_id)) AS _of").groupBy("_of").agg(F.expr("sum(_spent) AS _spent"))
@@ -329,39 +377,57 @@ def _pair_repeated(first: DataFrame, second: DataFrame, how: str, tol: Tolerance
     """Steps 1 to 3 of ``pair_sources`` for rows of repeated keys, of which ``hot``
     are spread over tasks."""
     second = second.selectExpr(*(f"{r} AS {c}" for c, r in zip(_ROW, (*_RIGHT, RIGHT_HASH), strict=True)))
-    # Step 1, by content: copies collapse before the shuffle, which spreads a
-    # key's rows by content.
+    # Step 1, by content. A key's rows go to one task, which sees whether they have a
+    # choice. Those of hot keys are spread by content; copies collapse before the shuffle.
     marked = first.selectExpr(*_ROW, "1L AS l", "0L AS r").unionByName(second.selectExpr(*_ROW, "0L AS l", "1L AS r"))
-    groups = marked.groupBy(*_ROW).agg(F.expr("sum(l) AS nl"), F.expr("sum(r) AS nr"))
+    sums = F.expr("sum(l) AS nl"), F.expr("sum(r) AS nr")
+    few = marked.filter(~F.col(KEY).isin(hot)) if hot else marked
+    groups = _with_choice(few.repartition(KEY).groupBy(*_ROW).agg(*sums))
+    if hot:
+        spread = marked.filter(F.col(KEY).isin(hot)).groupBy(*_ROW).agg(*sums)
+        groups = groups.unionByName(spread.selectExpr("*", "true AS choice"))
     groups = stored(groups.selectExpr("*", "monotonically_increasing_id() AS _id"), "repeated-content")
-    most = groups.agg(F.expr("coalesce(max(greatest(nl, nr)), 0L)")).first()[0]
+    most, searched = groups.agg(F.expr("coalesce(max(greatest(nl, nr)), 0L)"), F.expr("coalesce(max(choice), false)")).first()
     out = groups.selectExpr(*_ROW, *(f"{c} AS {r}" for c, r in zip(_ROW, (*_RIGHT, RIGHT_HASH), strict=True)), "least(nl, nr) AS n")
-    pool = groups.filter("nl <> nr").selectExpr("CASE WHEN nl > nr THEN 'L' ELSE 'R' END AS side", *_ROW, "abs(nl - nr) AS n", "_id")
+    pool = groups.filter("nl <> nr").selectExpr("CASE WHEN nl > nr THEN 'L' ELSE 'R' END AS side", *_ROW, "abs(nl - nr) AS n", "_id", "choice")
+    keep = {"full": "true", "inner": "a IS NOT NULL AND z IS NOT NULL", "left": "a IS NOT NULL", "right": "z IS NOT NULL"}[how]
     (name, by_hash), *rules = _steps(tol)
     flows = by_hash(pool)
     if not flows.isEmpty():
         out, pool = out.unionByName(_of_flows(flows, pool)), stored(_without(pool, flows), f"repeated-after-{name}")
-    # Step 2. Only rows that have a choice are searched.
+        searched, met = True, None
+    else:
+        met = _without_choice(pool.filter("NOT choice"), tol, most, keep)
+        pool = pool.filter("choice")
+    if searched:
+        found, rest = _searched(pool.drop("choice"), tol, rules)
+        out = out.unionByName(found)
+        by_number = _meet_by_number(matching.expand(rest, "n", most=most), hot, keep)
+        met = by_number if met is None else met.unionByName(by_number)
+    return matching.expand(out, "n", most=most).drop("n").unionByName(met)
+
+
+def _searched(pool: DataFrame, tol: Tolerances, rules: Sequence[tuple[str, Callable[[DataFrame], DataFrame]]]) -> tuple[DataFrame, DataFrame]:
+    """Step 2: the pairs that the rules make in the pool, with their copies ``n``, and the
+    rows that are left. Only rows that have a choice are searched."""
     judged = stored(_judged(pool, tol), "repeated-judged")
-    out = out.unionByName(judged.filter("ok").select(*_ROW, *_RIGHT, RIGHT_HASH, F.expr("least(_ln, _rn) AS n")))
+    out = judged.filter("ok").select(*_ROW, *_RIGHT, RIGHT_HASH, F.expr("least(_ln, _rn) AS n"))
     rest = _left_alone(judged)
     choice = judged.filter("many").selectExpr("_h AS _many")
-    if not choice.isEmpty():
-        pool = pool.selectExpr("*", f"{_COMMON} AS _h").join(matching.shuffled(choice), F.expr("_h = _many"), "left_semi").drop("_h")
-        pool = at_first = stored(pool, "repeated-pool")
-        found = []
-        for name, match in rules:
-            flows = match(pool)
-            if not flows.isEmpty():
-                found.append(flows)
-                pool = stored(_without(pool, flows), f"repeated-after-{name}")
-        # The rows of all rules' flows at once: ids hold through the steps.
-        if found:
-            out = out.unionByName(_of_flows(reduce(DataFrame.unionByName, found), at_first))
-        rest = rest.unionByName(pool.select(*rest.columns))
-    paired = matching.expand(out, "n", most=most).drop("n")
-    keep = {"full": "true", "inner": "a IS NOT NULL AND z IS NOT NULL", "left": "a IS NOT NULL", "right": "z IS NOT NULL"}[how]
-    return paired.unionByName(_meet_by_number(matching.expand(rest, "n", most=most), hot, keep))
+    if choice.isEmpty():
+        return out, rest
+    pool = pool.selectExpr("*", f"{_COMMON} AS _h").join(matching.shuffled(choice), F.expr("_h = _many"), "left_semi").drop("_h")
+    pool = at_first = stored(pool, "repeated-pool")
+    found = []
+    for name, match in rules:
+        flows = match(pool)
+        if not flows.isEmpty():
+            found.append(flows)
+            pool = stored(_without(pool, flows), f"repeated-after-{name}")
+    # The rows of all rules' flows at once: ids hold through the steps.
+    if found:
+        out = out.unionByName(_of_flows(reduce(DataFrame.unionByName, found), at_first))
+    return out, rest.unionByName(pool.select(*rest.columns))
 
 
 # Rows of one key that one task should join at most, keys looked at for it, and tasks

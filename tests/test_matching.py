@@ -299,3 +299,69 @@ def test_keys_that_occur_once_may_go_with_repeated_ones(spark, monkeypatch):
     assert found[0] == found[1] == found[2]
     inner = [rec.pair_sources(first, second, "inner", tol=tol).count() for share in (0.0, 2.0) if not monkeypatch.setattr(rec, "MOSTLY_REPEATED", share)]
     assert inner[0] == inner[1] == sum(n for (_, s), n in found[0].items() if s not in ("left_only", "right_only"))
+
+
+def _written(monkeypatch):
+    """Names of the tables that the pairing writes from now on."""
+    from ledgerlens.operators import reconcile as rec
+
+    names, stored = [], rec.stored
+    monkeypatch.setattr(rec, "stored", lambda df, name: (names.append(name), stored(df, name))[1])
+    return names
+
+
+@pytest.mark.parametrize("how", ["full", "inner", "left", "right"])
+def test_keys_without_a_choice_are_paired_where_they_are_dealt(spark, monkeypatch, how):
+    """Their rows are dealt out twice, by key, and nothing but their contents is
+    written; the pairs are those of the search among all rows."""
+    from decimal import Decimal
+
+    from ledgerlens.config import Tolerances
+    from ledgerlens.operators import reconcile as rec
+
+    cols = "transaction_uid long, login long, counter_login long, transaction_type long, epoch_seconds long, comment string, amount decimal(18,4)"
+    first, second = [], []
+    for k in range(30):
+        # A row for each rule, by its own login, with copies; two rows on either side left over.
+        for login, there in enumerate(((100, "abc", 100), (100, "abd", 100), (110, "abc", 100), (100, "abc", 102), (100, "zzz", 500))):
+            first += [(k, 10 * k + login, None, 1, 100, "abc", Decimal(100))] * (1 + (k + login) % 2)
+            second += [(k, 10 * k + login + (login == 4) * (k % 3), None, 1, there[0], there[1], Decimal(there[2]))] * (1 + k % 3)
+    first, second = (spark.createDataFrame(rows, cols) for rows in (first, second))
+    first = rec.load_ledger(first.selectExpr("*", "CAST(timestamp_seconds(epoch_seconds) AS TIMESTAMP_NTZ) AS transaction_ts"))
+    second, tol = rec.load_second_source(second), Tolerances(levenshtein=2)
+    with monkeypatch.context() as patch:
+        names = _written(patch)
+        paired = rec.pair_sources(first, second, how, tol=tol)
+        assert names == ["repeated-keys", "repeated-content"]
+    found = Counter(paired.collect())
+    plan = paired._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RepartitionByExpression") == 1 and "Aggregate [" not in plan
+    flagged = rec._with_choice
+    monkeypatch.setattr(rec, "_with_choice", lambda groups: flagged(groups).selectExpr(*groups.columns, "true AS choice"))
+    assert Counter(rec.pair_sources(first, second, how, tol=tol).collect()) == found
+    statuses = {s for _, s in _statuses(paired, tol)}
+    assert {"exact", "char", "date", "int", "unreconciled"} <= statuses
+
+
+def test_choice_hot_keys_and_shared_hashes_change_no_status(spark, monkeypatch):
+    """Keys with a choice, keys spread over tasks and rows with the same hash but
+    other content go with the others."""
+    from ledgerlens.config import Tolerances
+    from ledgerlens.operators import reconcile as rec
+
+    rng = random.Random(8)
+    keys = [[k for k in range(40) for _ in range(rng.randint(0, 4))] + [None] * 2 for _ in range(2)]
+    first, second = _sources(spark, keys, rng)
+    tol, found = Tolerances(levenshtein=2), []
+    flagged = rec._with_choice
+    for bound, all_searched in ((100_000, True), (100_000, False), (3, False)):
+        monkeypatch.setattr(rec, "SPREAD_ROWS", bound)
+        monkeypatch.setattr(rec, "_with_choice", (lambda groups: flagged(groups).selectExpr(*groups.columns, "true AS choice")) if all_searched else flagged)
+        found.append(_statuses(rec.pair_sources(first, second, tol=tol), tol))
+    assert found[0] == found[1] == found[2]
+    assert {s for _, s in found[0]} >= set(rec.STATUSES) - {"int"}
+    # One hash for all rows of a key on both sides: step 1 pairs as many as there are.
+    same = [df.selectExpr(*(c for c in df.columns if c != h), f"CAST({k} AS STRING) AS {h}") for df, k, h in ((first, "transaction_uid", "row_sha2"), (second, "transaction_uid_2", "row2_sha2"))]
+    counts = _statuses(rec.pair_sources(*same, tol=tol), tol)
+    sizes = [Counter(k for k in side if k is not None) for side in keys]
+    assert all(counts[k, "exact"] == min(sizes[0][k], sizes[1][k]) for k in range(40))
