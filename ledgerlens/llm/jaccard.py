@@ -3,11 +3,14 @@
 Two texts link when the Jaccard similarity of their shingle sets is at least
 ``PERCENT`` / 100. Exact, in these steps:
 
-1. Documents with the same shingle set are one node (128-bit fingerprint).
-2. Shingles are put in one order for all (the most frequent last, then by
-   hash). A set linked to one of n shingles shares ceil(P n) of them with it, so
-   linked sets share one of the first n - ceil(P n) + 1. Those go to buckets by
-   hash, as packed arrays, each node once for each bucket it has shingles in.
+1. Documents with the same shingle set are one node (128-bit fingerprint). A set
+   linked to one of n shingles shares ceil(P n) of them with it, so a node of
+   which n - ceil(P n) + 1 shingles stand in no other text is left aside: most
+   are, and all that follows grows with the others only.
+2. Shingles are put in one order for all (the most frequent last, then by the
+   count of nodes that hold them, then by hash). Linked sets share one of the
+   first n - ceil(P n) + 1. Those go to buckets by hash, as packed arrays, each
+   node once for each bucket it has shingles in.
 3. In a bucket, nodes that share such a shingle meet. Up to ``LEAF`` of them
    are paired at once, if sizes, the places of the shared shingle and token bitmaps
    allow a link (as two leaves of step 4 would be). Larger groups are joined up with those they overlap, over
@@ -23,8 +26,9 @@ Two texts link when the Jaccard similarity of their shingle sets is at least
 5. The pairs of step 3 are compared text by text: first one partner for each
    node, then only pairs that are not connected yet.
 
-The frequent shingles are counted on a sample of whole texts; they decide the
-order only, and any order gives the same links.
+The most frequent shingles are found on a sample of whole texts, the others are
+counted on all nodes that are left; they decide the order only, and any order
+gives the same links.
 """
 
 from __future__ import annotations
@@ -56,6 +60,7 @@ MET_PAIRS = 1 << 18  # pairs of nodes that share a shingle, tested at a time
 SLICE = 4 << 20  # bytes of text whose shingles are packed together
 HOT_COUNT = 6250  # counts in the sample from which a shingle's nodes are dealt (100,000 texts)
 HOT_PARTS = 64  # parts of the nodes of such a shingle
+SLICE_NODES = 1 << 16  # nodes of a slice, numbered in two bytes
 
 
 def least_overlap(n, percent: int = PERCENT):
@@ -204,11 +209,13 @@ def frequent(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return np.sort(every), np.sort(every[many])
 
 
-def prefix(shingles: np.ndarray, late: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """The first n - ceil(P n) + 1 shingles of a sorted set, those of ``late``
-    after all others."""
+def prefix(shingles: np.ndarray, late: np.ndarray, percent: int = PERCENT, counts: np.ndarray | None = None) -> np.ndarray:
+    """The first n - ceil(P n) + 1 shingles of a sorted set, the rarest by
+    ``counts`` first and those of ``late`` after all others."""
     n = len(shingles)
     keep = n - least_overlap(n, percent) + 1
+    if counts is not None:
+        shingles = shingles[np.argsort(counts, kind="stable")]
     if len(late):
         at = np.minimum(np.searchsorted(late, shingles), len(late) - 1)
         is_late = late[at] == shingles
@@ -249,52 +256,164 @@ def members(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "copy", "text").mapInArrow(make, MEMBERS)
 
 
+def sliced_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bytes, np.ndarray, list[np.ndarray]]]:
+    """For each slice of texts its name (a hash of its nodes), its distinct nodes
+    (fingerprint and size, 24 bytes each) and their shingle sets."""
+    for batch in batches:
+        for lo, hi in text_slices(batch, limit=SLICE):
+            sets = shingle_sets(*flat_bytes(batch.column("text").slice(lo, hi - lo)))
+            nodes = fingerprints(sets)
+            first = {node: k for k, node in reversed(list(enumerate(nodes))) if node}
+            every = sorted(first.values())
+            for at in range(0, len(every), SLICE_NODES):
+                rows = every[at : at + SLICE_NODES]
+                ids = np.frombuffer(b"".join(nodes[k] for k in rows), np.uint8).reshape(-1, 16)
+                ids = np.hstack([ids, np.array([len(sets[k]) for k in rows], "<u8").view(np.uint8).reshape(-1, 8)])
+                yield hashlib.blake2b(ids.tobytes(), digest_size=16).digest(), ids, [sets[k] for k in rows]
+
+
+def bucket_ranges(bucket: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """An order that puts equal buckets together, and (bucket, from, to) of each in it."""
+    order = np.argsort(bucket.astype(np.uint16) if bucket.max(initial=0) < 1 << 16 else bucket, kind="stable")
+    some, start = np.unique(bucket[order], return_index=True)
+    return order, list(zip(some.tolist(), start.tolist(), np.append(start, len(order))[1:].tolist(), strict=True))
+
+
+def node_sizes(ids: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(ids[:, 16:]).view("<u8").ravel().astype(np.int64)
+
+
+def alone(pdf: pd.DataFrame) -> pd.DataFrame:
+    """For each row of a bucket the owners of those of its shingles that no other
+    node has. Owners are packed as differences."""
+    token = np.frombuffer(b"".join(pdf["tokens"]), "<u4")
+    order = np.argsort(token)
+    edge = np.r_[True, np.diff(token[order]) != 0, True]
+    single = np.zeros(len(token), bool)
+    single[order[edge[:-1] & edge[1:]]] = True
+    own, lo = [], 0
+    for packed in pdf["owners"]:
+        owner = np.cumsum(np.frombuffer(packed, "<u2"), dtype=np.int64)
+        own.append(np.diff(owner[single[lo : lo + len(owner)]], prepend=0).astype("<u2").tobytes())
+        lo += len(owner)
+    return pd.DataFrame({"slice": pdf["slice"], "nodes": pdf["nodes"], "owners": own})
+
+
+def not_alone(pdf: pd.DataFrame, percent: int = PERCENT) -> pd.DataFrame:
+    """The nodes of a slice that have too few shingles of their own to be without
+    a link."""
+    ids = np.frombuffer(next(x for x in pdf["nodes"] if x is not None), np.uint8).reshape(-1, 24)
+    own = np.zeros(len(ids), np.int64)
+    for packed in pdf["owners"]:
+        own += np.bincount(np.cumsum(np.frombuffer(packed, "<u2"), dtype=np.int64), minlength=len(ids))
+    n = node_sizes(ids)
+    return pd.DataFrame({"node": [x.tobytes() for x in ids[own <= n - least_overlap(n, percent), :16]]})
+
+
+def shared_nodes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Every node that may have a link, in rows (node) that may repeat: nodes of
+    which n - ceil(P n) + 1 shingles stand in no other text are left out. Shingles
+    go to buckets by hash, four bytes of each, at most twice from a slice; what
+    falls together is not taken to be alone."""
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    kinds = pa.schema([("bucket", pa.int64()), ("slice", pa.binary()), ("nodes", pa.binary()), ("tokens", pa.binary()), ("owners", pa.binary())])
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for name, ids, sets in sliced_nodes(batches):
+            token = np.concatenate(sets)
+            owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+            order = np.argsort(token, kind="stable")
+            third = np.r_[np.zeros(min(2, len(token)), bool), token[order][2:] == token[order][:-2]]
+            few = np.sort(order[~third])
+            token, owner = token[few], owner[few]
+            order, ranges = bucket_ranges((token >> np.uint64(8)) % np.uint64(parts))
+            token, owner = (token[order] >> np.uint64(32)).astype("<u4"), owner[order]
+            carrier = int.from_bytes(name[:4], "little") % len(ranges)
+            yield pa.RecordBatch.from_pydict(
+                {"bucket": [b for b, _, _ in ranges], "slice": [name] * len(ranges),
+                 "nodes": [ids.tobytes() if k == carrier else None for k in range(len(ranges))],
+                 "tokens": [token[lo:hi].tobytes() for _, lo, hi in ranges],
+                 "owners": [np.diff(owner[lo:hi], prepend=0).astype("<u2").tobytes() for _, lo, hi in ranges]}, schema=kinds)
+
+    return (
+        docs.select("text").mapInArrow(make, "bucket long, slice binary, nodes binary, tokens binary, owners binary")
+        .groupBy("bucket").applyInPandas(alone, "slice binary, nodes binary, owners binary")
+        .groupBy("slice").applyInPandas(lambda pdf: not_alone(pdf, percent), "node binary")
+    )
+
+
+def counted(pdf: pd.DataFrame) -> pd.DataFrame:
+    """For each row of a bucket how many nodes have each of its shingles."""
+    token, held = (np.frombuffer(b"".join(pdf[c]), kind) for c, kind in (("tokens", np.uint64), ("held", "<u4")))
+    _, of = np.unique(token, return_inverse=True)
+    every = np.bincount(of, weights=held)[of].astype("<u4")
+    ends = np.cumsum([len(x) // 8 for x in pdf["tokens"]]).tolist()
+    return pdf.drop(columns=["bucket", "held"]).assign(counts=[every[lo:hi].tobytes() for lo, hi in zip([0, *ends], ends, strict=False)])
+
+
 def entries(docs: DataFrame, late: np.ndarray, percent: int = PERCENT, hot: np.ndarray | None = None) -> DataFrame:
     """For each slice of texts and bucket a row with its prefix shingles (tokens,
     their places in the order of their sets, owners: numbers in nodes, and nodes:
-    fingerprint and size of 24 bytes each).
+    fingerprint and size of 24 bytes each). Those that one node only has are left
+    out, as nothing meets there.
+    The order needs the nodes of every shingle: slices send their shingles to
+    buckets, which send counts back to the slice, whose sets go along.
     Nodes of ``hot`` shingles are dealt to further buckets, from the number of
     partitions on. The rows go straight to the tasks of their buckets: a table
     of them would hold as much again on disk."""
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    kinds = pa.schema([("bucket", pa.int64()), *((c, pa.binary()) for c in ("slice", "nodes", "sets", "tokens", "held"))])
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for name, ids, sets in sliced_nodes(batches):
+            every = np.concatenate(sets)
+            token, held = np.unique(every, return_counts=True)
+            order, ranges = bucket_ranges((token >> np.uint64(8)) % np.uint64(parts))
+            token, held = token[order], held[order].astype("<u4")
+            carrier = int.from_bytes(name[:4], "little") % len(ranges)
+            carried = [k == carrier for k in range(len(ranges))]
+            yield pa.RecordBatch.from_pydict(
+                {"bucket": [b for b, _, _ in ranges], "slice": [name] * len(ranges),
+                 "nodes": [ids.tobytes() if x else None for x in carried], "sets": [every.tobytes() if x else None for x in carried],
+                 "tokens": [token[lo:hi].tobytes() for _, lo, hi in ranges],
+                 "held": [held[lo:hi].tobytes() for _, lo, hi in ranges]}, schema=kinds)
+
+    def deal(pdf: pd.DataFrame) -> pd.DataFrame:
         shared, dealt = late_list.value
-        for batch in batches:
-            for lo, hi in text_slices(batch, limit=SLICE):
-                sets = shingle_sets(*flat_bytes(batch.column("text").slice(lo, hi - lo)))
-                nodes = fingerprints(sets)
-                sizes = [len(s) for s in sets]
-                first = {node: k for k, node in reversed(list(enumerate(nodes))) if node}
-                rows = sorted(first.values())
-                if not rows:
-                    continue
-                heads = [prefix(sets[k], shared, percent) for k in rows]
-                token = np.concatenate(heads)
-                place = np.concatenate([np.minimum(np.arange(len(h)), LAST_PLACE).astype("<u2") for h in heads])
-                owner = np.repeat(np.arange(len(rows), dtype=np.uint32), [len(h) for h in heads])
-                bucket = (token >> np.uint64(8)) % np.uint64(parts)
-                salt = np.array([nodes[k][0] % HOT_PARTS for k in rows], np.uint64)[owner]
-                bucket += np.where(np.isin(token, dealt), np.uint64(parts) * (salt + np.uint64(1)), np.uint64(0))
-                order = np.argsort(bucket, kind="stable")
-                token, owner, place = token[order], owner[order], place[order]
-                some, ends = np.unique(bucket[order], return_index=True)
-                ends = np.append(ends, len(order))
-                ids = np.frombuffer(b"".join(nodes[k] for k in rows), np.uint8).reshape(-1, 16)
-                ids = np.hstack([ids, np.array([sizes[k] for k in rows], "<u8").view(np.uint8).reshape(-1, 8)])
-                out = {"bucket": some.tolist(), "tokens": [], "places": [], "owners": [], "nodes": []}
-                for k in range(len(some)):
-                    own, of = np.unique(owner[ends[k] : ends[k + 1]], return_inverse=True)
-                    out["tokens"].append(token[ends[k] : ends[k + 1]].tobytes())
-                    out["places"].append(place[ends[k] : ends[k + 1]].tobytes())
-                    out["owners"].append(of.astype("<u4").tobytes())
-                    out["nodes"].append(ids[own].tobytes())
-                yield pa.RecordBatch.from_pydict(out, schema=kinds)
-
-    kinds = pa.schema([("bucket", pa.int64()), ("tokens", pa.binary()), ("places", pa.binary()), ("owners", pa.binary()), ("nodes", pa.binary())])
+        whole = pdf[pdf["nodes"].notna()].iloc[0]  # slices of the same nodes have one name
+        ids, every = np.frombuffer(whole["nodes"], np.uint8).reshape(-1, 24), np.frombuffer(whole["sets"], np.uint64)
+        known, count = (np.frombuffer(b"".join(pdf[c]), kind) for c, kind in (("tokens", np.uint64), ("counts", "<u4")))
+        order = np.argsort(known)
+        known, count = known[order], count[order]
+        count_of = lambda x: count[np.searchsorted(known, x)]
+        ends = np.cumsum(node_sizes(ids)).tolist()
+        heads = [prefix(every[lo:hi], shared, percent, count_of(every[lo:hi])) for lo, hi in zip([0, *ends], ends, strict=False)]
+        token = np.concatenate(heads)
+        place = np.concatenate([np.minimum(np.arange(len(h)), LAST_PLACE).astype("<u2") for h in heads])
+        owner = np.repeat(np.arange(len(heads), dtype=np.uint32), [len(h) for h in heads])
+        met = np.flatnonzero(count_of(token) > 1)
+        token, place, owner = token[met], place[met], owner[met]
+        bucket = (token >> np.uint64(8)) % np.uint64(parts)
+        salt = ids[owner, 0].astype(np.uint64) % np.uint64(HOT_PARTS)
+        bucket += np.where(np.isin(token, dealt), np.uint64(parts) * (salt + np.uint64(1)), np.uint64(0))
+        order, ranges = bucket_ranges(bucket)
+        token, owner, place = token[order], owner[order], place[order]
+        out = {"bucket": [b for b, _, _ in ranges], "tokens": [], "places": [], "owners": [], "nodes": []}
+        for _, lo, hi in ranges:
+            own, of = np.unique(owner[lo:hi], return_inverse=True)
+            out["tokens"].append(token[lo:hi].tobytes())
+            out["places"].append(place[lo:hi].tobytes())
+            out["owners"].append(of.astype("<u4").tobytes())
+            out["nodes"].append(ids[own].tobytes())
+        return pd.DataFrame(out)
+
     # Bounded by FREQUENT.
     late_list = docs.sparkSession.sparkContext.broadcast((late, np.zeros(0, np.uint64) if hot is None else hot))
-    return docs.select("text").mapInArrow(make, ENTRIES)
+    return (
+        docs.select("text").mapInArrow(make, "bucket long, slice binary, nodes binary, sets binary, tokens binary, held binary")
+        .groupBy("bucket").applyInPandas(counted, "slice binary, nodes binary, sets binary, tokens binary, counts binary")
+        .groupBy("slice").applyInPandas(deal, ENTRIES)
+    )
 
 
 def meet(pdf: pd.DataFrame, percent: int = PERCENT, dealt: bool = False) -> pd.DataFrame:
@@ -473,8 +592,8 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> Data
 
 
 def node_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """One text for each wanted node (node, doc_id): texts are looked up by id
-    and checked against the fingerprint, as ids may repeat."""
+    """One text for each wanted node (node, doc_id, copy): texts are looked up by
+    id and hash and checked against the fingerprint, as both may repeat."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -484,8 +603,8 @@ def node_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 keep = [own == n for own, n in zip(fingerprints(sets), part.column("node").to_pylist(), strict=True)]
                 yield part.filter(pa.array(keep))
 
-    own = docs.select(F.col("doc_id").alias("_id"), "text")
-    found = wanted.join(own, F.col("doc_id").eqNullSafe(F.col("_id"))).select("node", "text").mapInArrow(check, "node binary, text string")
+    own = docs.select(F.col("doc_id").alias("_id"), F.col("copy").alias("_copy"), "text")
+    found = wanted.join(own, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("copy") == F.col("_copy"))).select("node", "text").mapInArrow(check, "node binary, text string")
     return found.dropDuplicates(["node"])
 
 
@@ -496,16 +615,20 @@ def links(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame
     late, hot = frequent(docs)
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     own = written(members(docs), "jaccard-members")
-    nodes = own.filter("node IS NOT NULL").groupBy("node").agg(F.first("n").alias("n"), F.first("marks").alias("marks"), F.min("doc_id").alias("doc_id"))
+    some = written(shared_nodes(docs, percent), "jaccard-shared").distinct()
+    nodes = (
+        own.join(some, "node", "left_semi").groupBy("node")
+        .agg(F.first("n").alias("n"), F.first("marks").alias("marks"), F.min(F.struct("doc_id", "copy")).alias("k"))
+    )
+    nodes = written(nodes.select("node", "n", "marks", "k.doc_id", "k.copy"), "jaccard-nodes")
+    texts = written(node_texts(docs, nodes.select("node", "doc_id", "copy")), "jaccard-texts")
     met = written(
-        entries(docs, late, percent, hot).groupBy("bucket")
+        entries(texts, late, percent, hot).groupBy("bucket")
         .applyInPandas(lambda pdf: meet(pdf, percent, pdf["bucket"].iloc[0] >= parts), "a binary, b binary, large boolean"),
         "jaccard-met",
     )
     pairs = written(small_pairs(met, nodes.select("node", "n", "marks"), percent), "jaccard-pairs")
     families = written(components(met.filter("large").select("a", "b")).select("node", F.col("root").alias("family")), "jaccard-families")
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(families.select("node")).distinct()
-    texts = written(node_texts(docs, wanted.join(nodes.select("node", "doc_id"), "node")), "jaccard-texts")
     # One partner for each node first; most other pairs are then connected.
     nearest = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
     first = written(verified(nearest, texts, percent).unionByName(family_links(families, texts, percent)), "jaccard-links")

@@ -248,3 +248,57 @@ def test_blocks_hash_their_texts_in_slices(monkeypatch):
     seen.clear()
     j.block_links(own)
     assert seen and max(seen) <= 500
+
+
+def chance(n, near=10):
+    """Texts of which each shares a few shingles with many others, and near copies of some."""
+    rng = random.Random(11)
+    common = [" ".join(f"c{rng.randint(0, 99999)}" for _ in range(5)) for _ in range(30)]
+    texts = []
+    for _ in range(n):
+        parts = [" ".join(f"w{rng.randint(0, 99999)}" for _ in range(12)) for _ in range(5)]
+        texts.append(" ".join(x for p in parts for x in (p, rng.choice(common))))
+    return texts + [f"{t} and more" for t in texts[:near]]
+
+
+def test_texts_that_share_few_shingles_are_left_aside(spark, monkeypatch):
+    """Pairs met by chance grow with the square of the input: a text most of whose
+    shingles stand in no other one is neither dealt out nor looked up."""
+    kept = {}
+
+    def keep(df, name):
+        kept[name] = real(df, name)
+        return kept[name]
+
+    real = j.written
+    monkeypatch.setattr(j, "written", keep)
+    rows = list(enumerate([*chance(300), "", "alone", None]))
+    assert sorted(map(tuple, j.classes(frame(spark, rows)).collect()), key=str) == brute_classes(rows)
+    assert kept["jaccard-texts"].count() == 20
+    assert kept["jaccard-met"].select("a", "b").distinct().count() == 10
+
+
+@pytest.mark.parametrize("slice_nodes", [1 << 16, 7])
+def test_shared_nodes_hold_every_link(spark, monkeypatch, slice_nodes):
+    monkeypatch.setattr(j, "SLICE", 2000)
+    monkeypatch.setattr(j, "SLICE_NODES", slice_nodes)
+    texts = [*ODD, *family(21), *family(22, 30, 8), *chance(60), *family(21)[:5]]
+    docs = spark.createDataFrame([(t or "",) for t in texts], "text string").repartition(3)
+    got = {bytes(r.node) for r in j.shared_nodes(docs).collect()}
+    nodes = dict(zip(j.fingerprints(sets := j.sliced_sets(pa.array([t or "" for t in texts]))), sets, strict=True))
+    nodes.pop(None)
+    linked = {a for a, x in nodes.items() for b, y in nodes.items() if a != b and j.linked(len(np.intersect1d(x, y)), len(x), len(y))}
+    assert linked <= got and len(got) < len(nodes) - 40
+
+
+def test_prefixes_by_counts_meet():
+    rng = np.random.default_rng(9)
+    late = np.zeros(0, np.uint64)
+    for _ in range(300):
+        x = np.unique(rng.integers(0, 2**64, int(rng.integers(1, 60)), dtype=np.uint64))
+        y = np.unique(np.concatenate([x[rng.random(len(x)) > 0.2], rng.integers(0, 2**64, rng.integers(0, 12), dtype=np.uint64)]))
+        count = lambda s: (s >> np.uint64(7)) % np.uint64(5)
+        if len(y) and j.linked(len(np.intersect1d(x, y)), len(x), len(y)):
+            heads = [j.prefix(s, late, counts=count(s)) for s in (x, y)]
+            assert len(np.intersect1d(*heads))
+            assert all((np.diff(count(h).astype(int)) >= 0).all() for h in heads)
